@@ -35,5 +35,6 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         e = _cut(small.unionAll(low.select("a", F.col("m").alias("b"))).distinct())
         now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == last or now[0] == 0:
-            return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            own = e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+            return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(own)
         last = now
