@@ -1,11 +1,18 @@
 """Queries of this subpackage, and the DuckDB text of those that SQL can express."""
 
-from . import decontaminate, quality, simhash
+from . import brown, decontaminate, licenses, lines, passages, pieces, pii, quality, simhash, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality.op1,
+    "op2_toxicity": toxicity.op2,
+    "op3_license_scan": licenses.op3,
+    "op4_passage_dedup": passages.op4,
     "op5_decontaminate": decontaminate.op5,
     "op6_simhash": simhash.op6,
+    "op7_brown_lm": brown.op7,
+    "op8_sentencepiece": pieces.op8,
+    "op9_line_dedup": lines.op9,
+    "op10_pii": pii.op10,
 }
 SQL = {
     "op1_quality_rules": quality.OP1_SQL,

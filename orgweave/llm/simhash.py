@@ -44,7 +44,7 @@ def fingerprint(text: str | None, size: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs' (doc_id, fp): fp is the fingerprint as a signed long."""
+    """docs' (doc_id, rk, fp): rk is xxhash64 of the text, fp the fingerprint as a signed long."""
     small_batches(docs.sparkSession)
 
     @F.pandas_udf("long")
@@ -52,7 +52,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         for s in batches:
             yield pd.Series(np.array([fingerprint(t) for t in s], np.uint64).view(np.int64))
 
-    return docs.select(F.col(doc_id).alias("doc_id"), fp(F.col(text)).alias("fp"))
+    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("rk"), fp(F.col(text)).alias("fp"))
 
 
 def _syndrome(x: np.ndarray) -> np.ndarray:
@@ -147,7 +147,8 @@ def links(fps: DataFrame, limit: int = LIMIT) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = LIMIT) -> DataFrame:
-    """One row per row of docs: doc_id, fp (signed long), component_id.
+    """One row per row of docs: doc_id, rk (xxhash64 of the text), fp (signed long),
+    component (a fingerprint that names the group) and component_id.
 
     component_id is the smallest doc_id that the row can reach by links of at most limit
     differing bits, its own included. Equal fingerprints are linked; null, empty and blank
@@ -160,8 +161,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     comp = connected_components(links(least.select("fp"), limit))
     of = least.join(comp, least.fp == comp.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("c"))
     smallest = of.groupBy("c").agg(F.min("first").alias("component_id"))
-    named = of.join(smallest, "c").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = of.join(smallest, "c").select("fp", F.col("c").alias("component"), "component_id")
+    return fps.join(named, "fp").select("doc_id", "rk", "fp", "component", "component_id")
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
