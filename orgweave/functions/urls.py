@@ -62,8 +62,8 @@ def repair_scheme(u: Column) -> Column:
 def without_trackers(u: Column) -> Column:
     """No utm_*, gclid and fbclid parameters, and no ? or & left hanging."""
     t = F.regexp_replace(u, r"(?i)([?&])(?:utm_[^=&#]*|gclid|fbclid)=[^&#]*", "$1")
-    t = F.regexp_replace(F.regexp_replace(t, r"[?&]+&", "&"), r"\?&+", "?")
-    return F.regexp_replace(F.regexp_replace(t, r"([?&])&+", "$1"), r"[?&]+(?=#|$)", "")
+    t = F.regexp_replace(F.regexp_replace(t, "&{2,}", "&"), r"\?&+", "?")
+    return F.regexp_replace(t, r"[?&]+(?=#|$)", "")
 
 
 def unwrap(u: Column, names: tuple[str, ...] = ("url", "dest", "destination", "to", "link", "u")) -> Column:

@@ -50,10 +50,9 @@ def next_within(df: DataFrame, header: Column, wanted: Column, value: str, group
 
 
 def most_in(df: DataFrame, key: str, at: str, seconds: int) -> DataFrame:
-    """df with the number of the key's rows in the `seconds` up to each row."""
-    t = F.col(at).cast("double")
-    w = Window.partitionBy(key).orderBy(t).rangeBetween(-float(seconds), 0.0)
-    return df.withColumn("in_window", F.count("*").over(w))
+    """df with the number of the key's rows in the `seconds` up to each row; `at` is a timestamp."""
+    frame = f"PARTITION BY {key} ORDER BY {at} RANGE BETWEEN INTERVAL {int(seconds)} SECOND PRECEDING AND CURRENT ROW"
+    return df.withColumn("in_window", F.expr(f"count(*) OVER ({frame})"))
 
 
 def quota(df: DataFrame, key: str, cost: Column, order: list, limit: float) -> DataFrame:
@@ -68,5 +67,5 @@ def early_exit(df: DataFrame, key: str, score: str, order: str, top: int = 5, en
     w = Window.partitionBy(key).orderBy(F.desc("prior"), order)
     d = df.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= top)
     stop = F.min(F.when(F.col(score) >= enough, F.col("__n"))).over(Window.partitionBy(key))
-    d = d.where(F.col("__n") <= F.coalesce(stop, F.lit(top))).drop("__s")
+    d = d.withColumn("__s", F.coalesce(stop, F.lit(top))).where("__n <= __s").drop("__s")
     return d.withColumn("__r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(score), "__n"))).where("__r = 1").drop("__r", "__n")

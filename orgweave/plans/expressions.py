@@ -63,7 +63,7 @@ def url_redirect(spark, sf_dir):
 @query(rf"""WITH h AS (SELECT page_id, regexp_replace(lower(regexp_extract(url, {_SPLIT}, 2)), '^www\.', '') AS h FROM pages),
 l AS (SELECT page_id, h, string_split(h, '.') AS s FROM h)
 SELECT page_id, CASE WHEN h = 'therin.example.net' THEN 'Therin Works' WHEN ends_with(h, '.example.org') THEN 'Example Foundation' ELSE upper(s[-2][1]) || s[-2][2:] END AS organisation,
-upper(s[1][1]) || s[1][2:] AS display FROM l""")
+array_to_string(list_transform(string_split(s[1], '-'), lambda x: upper(x[1]) || x[2:]), ' ') AS display FROM l""")
 def url_organisation(spark, sf_dir):
     known = {"therin.example.net": "Therin Works", "example.org": "Example Foundation"}
     return read(spark, sf_dir, "pages").select("page_id", urls.organisation(F.col("url"), known).alias("organisation"), urls.display_name(F.col("url")).alias("display"))
@@ -122,7 +122,7 @@ def accent_strip(spark, sf_dir):
 @query("SELECT doc_id, text[1:80] AS repaired FROM documents")
 def mojibake_repair(spark, sf_dir):
     t = F.substring("text", 1, 80)
-    broken = F.when((F.col("doc_id") % 2 == 0) & ~t.rlike("[^\\x00-\\x{7FF}]"), F.decode(F.encode(t, "UTF-8"), F.lit("ISO-8859-1"))).otherwise(t)
+    broken = F.when((F.col("doc_id") % 2 == 0) & ~t.rlike("[^\\x00-\\x{7FF}]"), F.decode(F.encode(t, "UTF-8"), "ISO-8859-1")).otherwise(t)
     return read(spark, sf_dir, "documents").select("doc_id", text.repair_encoding(broken).alias("repaired"))
 
 
@@ -224,7 +224,7 @@ def decision_tiers(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", scores.tier(kind, (F.col("page_id") * 7) % 101).alias("tier"))
 
 
-@query("""SELECT event_id, CASE event_type WHEN 'error' THEN 0.85 WHEN 'click' THEN 0.75 ELSE 0.65 END AS confidence, CASE event_type WHEN 'error' THEN 'high' WHEN 'click' THEN 'medium' ELSE 'low' END AS priority,
+@query("""SELECT event_id, (CASE event_type WHEN 'error' THEN 0.85 WHEN 'click' THEN 0.75 ELSE 0.65 END)::DOUBLE AS confidence, CASE event_type WHEN 'error' THEN 'high' WHEN 'click' THEN 'medium' ELSE 'low' END AS priority,
 CASE WHEN user_id % 3 = 0 THEN 'minimal_profile' WHEN user_id % 3 = 1 THEN 'success' ELSE 'still_failed' END AS retry, json_extract(props, '$.k')::BIGINT AS k FROM events""")
 def severity_retry_json(spark, sf_dir):
     t = F.col("event_type")

@@ -1,15 +1,8 @@
 """All queries of the library and their oracle SQL."""
 
-from pyspark.sql import functions as F
+from . import domain, expressions, relations  # noqa: F401  they register themselves
+from .base import QUERIES, SQL
 
-FLAGSHIP = "role_distribution"
+FLAGSHIP = "partner_link_exact"
 
-
-def role_distribution(spark, sf_dir):
-    """Roles with their number of organisations; a missing role counts as Unknown."""
-    role = F.coalesce("c_mktsegment", F.lit("Unknown")).alias("role")
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").groupBy(role).agg(F.count("*").alias("n"))
-
-
-QUERIES = {"role_distribution": role_distribution}
-SQL = {"role_distribution": "SELECT coalesce(c_mktsegment, 'Unknown') AS role, count(*) AS n FROM customer GROUP BY 1"}
+__all__ = ["FLAGSHIP", "QUERIES", "SQL"]

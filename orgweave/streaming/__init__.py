@@ -1 +1,40 @@
+"""Structured Streaming forms of the resumable and rate-limited steps."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def new_only(stream: DataFrame, key: str, at: str, late: str = "1 day") -> DataFrame:
+    """Rows of a stream, the first of each key within the watermark: an incremental run that
+    skips what is done. State is bounded by the watermark."""
+    return stream.withWatermark(at, late).dropDuplicatesWithinWatermark([key])
+
+
+def rates(stream: DataFrame, key: str, at: str, width: str = "1 second", slide: str | None = None, late: str = "10 minutes") -> DataFrame:
+    """Rows of each key in tumbling (or sliding) windows, for a rate limit."""
+    w = F.window(at, width, slide) if slide else F.window(at, width)
+    return stream.withWatermark(at, late).groupBy(w.alias("w"), key).agg(F.count("*").alias("n")).select(key, F.col("w.start").alias("start"), "n")
+
+
+def sessions(stream: DataFrame, key: str, at: str, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
+    """Sessions of each key: start, end, rows."""
+    w = F.session_window(at, gap)
+    return stream.withWatermark(at, late).groupBy(w.alias("w"), key).agg(F.count("*").alias("n")).select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
+
+
+def upsert_batches(stream: DataFrame, target: str, keys: list[str], order: str, checkpoint: str):
+    """Start a query that merges every micro-batch into a Parquet table of versions.
+
+    Each batch writes version n from version n - 1 and its own rows, so a batch that is run
+    again after a failure writes the same; readers take the highest version.
+    """
+    from ..operators.merge import upsert
+
+    def merge(batch: DataFrame, n: int) -> None:
+        spark = batch.sparkSession
+        old = spark.read.parquet(f"{target}/v={n - 1}") if n else batch.limit(0)
+        upsert(old, batch, keys, order).write.mode("overwrite").parquet(f"{target}/v={n}")
+
+    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
