@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from .common import cut, partitions, small_batches, table
-from .sets import Spans, key_filter, passes, similar
+from .sets import Spans, bounds, key_filter, passes, runs, verified
 from .tokens import BLANKS, mix, pieces, text_list, words
 
 _U = np.uint64
@@ -185,18 +185,21 @@ def clusters(docs: DataFrame, text: str = "text", s: Settings = Settings()) -> D
                     seen.clear()
                 yield pd.DataFrame([(k, np.unique(sh[begin[i] : begin[i + 1]]).tobytes()) for i, k in enumerate(keys)], columns=["key", "sh"])
 
-    def verify(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("key").reset_index(drop=True)
-        spans = Spans(len(g))
-        for lead, others in similar([np.frombuffer(x, np.uint64) for x in g.sh], s.threshold):
-            spans.add(np.full(len(others), lead), others)
-        root = np.array([spans._find(i) for i in range(len(g))])
-        many = np.bincount(root, minlength=len(g))[root] > 1
-        return pd.DataFrame({"key": g.key[many], "cluster": g.key.to_numpy()[root[many]]})
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in runs(batches, "component"):
+            sets, key = [np.frombuffer(x, np.uint64) for x in g.sh], g.key.to_numpy()
+            ends, spans = bounds(g.component.to_numpy()), Spans(len(g))
+            for i, j in zip(ends[:-1].tolist(), ends[1:].tolist()):
+                for lead, others in verified(sets[i:j], s.threshold):
+                    spans.add(np.full(len(others), i + lead), i + others)
+            root = spans.roots()
+            many = np.bincount(root, minlength=len(g))[root] > 1
+            yield pd.DataFrame({"key": key[many], "cluster": key[root[many]]})
 
     sets = docs.select(text).mapInPandas(fetch, "key long, sh binary").join(comp, "key")
     sets = sets.groupBy("key").agg(F.first("sh").alias("sh"), F.first("component").alias("component"))
-    return sets.groupBy("component").applyInPandas(verify, "key long, cluster long")
+    met = sets.repartition(partitions(spark), "component").sortWithinPartitions("component", "key")
+    return met.mapInPandas(verify, "key long, cluster long")
 
 
 def _occurrences(docs: DataFrame, doc_id: str, text: str, s: Settings) -> DataFrame:

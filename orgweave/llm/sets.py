@@ -72,6 +72,13 @@ class Spans:
             x = r[x]
         return x
 
+    def roots(self) -> np.ndarray:
+        while True:
+            up = self.root[self.root]
+            if (up == self.root).all():
+                return up
+            self.root = up
+
     def add(self, i: np.ndarray, j: np.ndarray) -> None:
         far = self.root[i] != self.root[j]
         for a, b in zip(i[far].tolist(), j[far].tolist()):
@@ -80,12 +87,8 @@ class Spans:
                 self.root[max(x, y)] = min(x, y)
                 self.left.append(a)
                 self.right.append(b)
-        if far.any():
-            while True:
-                up = self.root[self.root]
-                if (up == self.root).all():
-                    break
-                self.root = up
+        if len(i) > 1000 and far.any():  # later calls then pass over what is joined
+            self.roots()
 
 
 def similar(sets: list[np.ndarray], t: float) -> Iterator[tuple[int, np.ndarray]]:
@@ -115,3 +118,48 @@ def similar(sets: list[np.ndarray], t: float) -> Iterator[tuple[int, np.ndarray]
         done |= hit
         done[lead] = True
         yield lead, np.flatnonzero(hit)
+
+
+def _small(sets: list[np.ndarray], t: float) -> Iterator[tuple[int, np.ndarray]]:
+    """similar(), for a handful of sets."""
+    own = [frozenset(s.tolist()) for s in sets]
+    done = [False] * len(own)
+    for lead, a in enumerate(own):
+        if not done[lead]:
+            hit = [k for k, b in enumerate(own) if k != lead and len(a & b) * (1 + t) >= t * (len(a) + len(b)) - 1e-9]
+            for k in (lead, *hit):
+                done[k] = True
+            yield lead, np.array(hit, np.int64)
+
+
+def verified(sets: list[np.ndarray], t: float) -> Iterator[tuple[int, np.ndarray]]:
+    return _small(sets, t) if len(sets) <= 8 else similar(sets, t)
+
+
+def runs(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
+    """Batches of rows sorted by key, cut again so that no key's rows are parted."""
+    held: list[pd.DataFrame] = []
+    for b in batches:
+        if not len(b):
+            continue
+        k = b[key].to_numpy()
+        cut = int(np.searchsorted(k, k[-1]))
+        if held and (cut or held[0][key].iloc[0] != k[0]):
+            if not cut:  # one key fills this batch
+                yield pd.concat(held, ignore_index=True)
+                held = [b]
+                continue
+            yield pd.concat([*held, b.iloc[:cut]], ignore_index=True)
+            held = [b.iloc[cut:]]
+        elif cut:
+            yield b.iloc[:cut].reset_index(drop=True)
+            held = [b.iloc[cut:]]
+        else:
+            held.append(b)
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def bounds(keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin, and the end."""
+    return np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True])))

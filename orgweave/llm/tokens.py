@@ -51,7 +51,7 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 @dataclass
 class Batch:
-    """Words of some texts. start, end: byte offsets in buf; doc: index of the text."""
+    """Words of some texts (strings, UTF-8 bytes or None). start, end: byte offsets in buf; doc: index of the text."""
 
     buf: np.ndarray
     start: np.ndarray
@@ -67,7 +67,7 @@ class Batch:
 
 
 def words(texts: list, seps: np.ndarray = BLANKS, lower: bool = True) -> Batch:
-    raw = [t.encode() if t else b"" for t in texts]
+    raw = [t if isinstance(t, bytes) else t.encode() if t else b"" for t in texts]
     data = b"\n".join(raw) + b"\n" if raw else b""
     if lower:
         data = data.translate(_LOWER)
