@@ -33,6 +33,19 @@ def value_chain(stages: DataFrame) -> DataFrame:
     return met.groupBy("entity", "partner").agg(F.max_by(rel, F.struct("stage", "own")).alias("relation"), F.lit(0.75).alias("score"))
 
 
+def value_chain_top(stages: DataFrame, n: int = 3) -> DataFrame:
+    """The first n partners (by partner) that value_chain has for each entity.
+
+    All scores are equal, so only the n + 1 least entities of a stage can be among them:
+    those are found first, and each entity meets a bounded number of candidates.
+    """
+    s = stages.distinct()
+    few = keep(s, ["stage"], ["entity"], n + 1)
+    sent = few.select(F.col("entity").alias("partner"), F.explode(F.array(F.col("stage") - 1, "stage", F.col("stage") + 1)).alias("stage"))
+    pairs = s.join(F.broadcast(sent), "stage").where("entity <> partner").select("entity", "partner").distinct()
+    return keep(pairs, ["entity"], ["partner"], n).withColumn("score", F.lit(0.75))
+
+
 def nearby(addresses: DataFrame, share: float = 0.3, words: int = 2) -> DataFrame:
     """addresses: (entity, address). Pairs whose addresses have at least `words` words in
     common that make at least `share` of the larger set. (entity, partner, score)"""

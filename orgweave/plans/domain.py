@@ -109,7 +109,7 @@ def address_overlap_join(spark, sf_dir):
 def collaboration_opportunities(spark, sf_dir):
     a = read(spark, sf_dir, "documents").where("lang = 'en'").select(F.col("doc_id").alias("entity"), F.substring("text", 1, 70).alias("address"))
     first = "split_part(p_name, ' ', 1)"
-    return collab.opportunities(collab.complementary(_items(spark, sf_dir, first, "p_size < 5"), _items(spark, sf_dir, first, "p_size > 45")), collab.value_chain(_stages(spark, sf_dir)), collab.nearby(a))
+    return collab.opportunities(collab.complementary(_items(spark, sf_dir, first, "p_size < 5"), _items(spark, sf_dir, first, "p_size > 45")), collab.value_chain_top(_stages(spark, sf_dir)), collab.nearby(a))
 
 
 @query()

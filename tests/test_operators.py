@@ -133,6 +133,18 @@ def test_opportunities(spark):
     assert {r.kind: r["count"] for r in out} == {"complementary": 5, "value_chain": 3, "geographic": 3}
 
 
+def test_value_chain_top(spark):
+    r = random.Random(4)
+    stages = spark.createDataFrame([(r.randrange(40), r.randrange(7)) for _ in range(60)], "entity int, stage int")
+    want = {}
+    for x in sorted(collab.value_chain(stages).collect(), key=lambda x: (x.entity, x.partner)):
+        want.setdefault(x.entity, []).append(x.partner)
+    got = {}
+    for x in collab.value_chain_top(stages).collect():
+        got.setdefault(x.entity, []).append(x.partner)
+    assert {k: sorted(v) for k, v in got.items()} == {k: v[:3] for k, v in want.items()}
+
+
 def test_query_counts(spark):
     terms = spark.createDataFrame([("r", f"t{i}") for i in range(141)], "role string, term string")
     keywords = spark.createDataFrame([(f"k{i}",) for i in range(14)], "keyword string")
