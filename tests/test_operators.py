@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from orgweave.functions import text
 from orgweave.operators import cluster, collab, dedupe, generate, graph, link, merge
 from orgweave.operators.components import connected_components
-from orgweave.sources import markup, registry
+from orgweave.sources import markup, registry, sinks
 from orgweave.streaming import new_only, upsert_batches
 
 
@@ -232,3 +232,21 @@ def test_streams(spark, tmp_path):
     q = upsert_batches(stream, str(tmp_path / "out"), ["url"], "seq", str(tmp_path / "c2"))
     q.awaitTermination()
     assert {r.url: r.seq for r in spark.read.parquet(str(tmp_path / "out/v=0")).collect()} == {"u": 2, "v": 3}
+
+
+def test_sinks(spark, tmp_path):
+    df = spark.createDataFrame([("b", 2), ("a", 1)], "url string, n int")
+    t = str(tmp_path / "t")
+    assert sinks.versions(spark, t) == [] and sinks.write_version(df, t) == 0 and sinks.write_version(df.limit(1), t) == 1
+    assert sinks.read_version(spark, t).count() == 1 and sinks.read_version(spark, t, 0).count() == 2
+    assert sinks.truncate(spark, t) == 2 and sinks.read_version(spark, t).count() == 0
+    sinks.csv_file(df, str(tmp_path / "c"))
+    assert sorted(map(tuple, registry.read_csv(spark, str(tmp_path / "c")).collect())) == [("a", "1"), ("b", "2")]
+    for _ in range(2):
+        sinks.json_lines(df, str(tmp_path / "j"))
+    assert spark.read.json(str(tmp_path / "j")).count() == 4
+    assert sinks.json_document(df).first().document == '[{"url":"a","n":1},{"url":"b","n":2}]'
+    assert sinks.parquet_or_csv(df, str(tmp_path / "p")) == "parquet"
+    sinks.raw_pages(df, str(tmp_path / "r"))
+    assert spark.read.parquet(str(tmp_path / "r")).count() == 2
+    assert sinks.report("Rows", df.orderBy("n")).splitlines()[2] == "url: a  n: 1"
