@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder: for rows that are many and read again.
+
+    Smaller than a checkpoint of the same rows; the folder goes when the session's JVM ends.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    df.write.parquet(path.toString())
+    return spark.read.schema(df.schema).parquet(path.toString())
+
+
 def partitions(spark: SparkSession) -> int:
     """Shuffle width that the cluster was configured with; the only sizing knob used."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -32,12 +32,11 @@ def key_filter(keys: DataFrame) -> np.ndarray:
     size = (1 << FILTER_BITS) // 8 // _CHUNKS
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.zeros(1 << FILTER_BITS, bool)
+        bits = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
         for b in batches:
             for k in _bits(b.iloc[:, 0].to_numpy(np.int64)):
-                bits[k] = True
-        data = np.packbits(bits, bitorder="little").reshape(_CHUNKS, size)
-        yield pd.DataFrame([(k, x.tobytes()) for k, x in enumerate(data) if x.any()], columns=["chunk", "data"])
+                np.bitwise_or.at(bits, k >> 3, (1 << (k & 7)).astype(np.uint8))
+        yield pd.DataFrame([(k, x.tobytes()) for k, x in enumerate(bits.reshape(_CHUNKS, size)) if x.any()], columns=["chunk", "data"])
 
     def join(g: pd.DataFrame) -> pd.DataFrame:
         data = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in g.data])

@@ -29,7 +29,7 @@ _POWERS = [np.ones(1, U), np.ones(1, U)]
 
 def _powers(n: int) -> list[np.ndarray]:
     if len(_POWERS[0]) <= n:
-        n = 1 << int(n).bit_length()
+        n += n // 8
         inverse = U(pow(int(_BASE), -1, 1 << 64))
         for k, base in ((0, _BASE), (1, inverse)):
             p = np.full(n + 1, base, U)
@@ -83,7 +83,7 @@ def words(texts: list, seps: np.ndarray = BLANKS, lower: bool = True) -> Batch:
     return Batch(buf, start, end, doc, doc_at, sums)
 
 
-def pieces(texts: list, limit: int = 3_000_000) -> Iterator[tuple[int, list]]:
+def pieces(texts: list, limit: int = 1_000_000) -> Iterator[tuple[int, list]]:
     """Runs of whole texts of about limit characters, with the index of the first."""
     at, size = 0, 0
     for i, t in enumerate(texts):
