@@ -86,7 +86,7 @@ def load(path: str = MODEL) -> dict:
 class Transducer(dict):
     """Chunk -> its ids as little-endian int32 bytes; compiled from load()'s result.
 
-    As a dictionary it is the memory of chunks, emptied when it holds `most` of them.
+    As a dictionary it is the memory of the first `most` chunks, the frequent ones.
     """
 
     def __init__(self, spec: dict, most: int = 300_000):
@@ -101,7 +101,15 @@ class Transducer(dict):
         whole = any(BLANK in p.lstrip(BLANK) for p in self.id)
         line = "\n" if not any("\n" in p for p in self.id) else ""
         self.chunk = re.compile(r"(?s).+" if whole else (f"{line}|" * bool(line)) + f"{BLANK}+[^{BLANK}{line}]*|[^{BLANK}{line}]+")
-        self.pairs: dict[tuple[str, str], bool] = {}
+        # merges by order: of a better score first; equal scores aren't ordered
+        order = {x: i for i, x in enumerate(sorted({self.score[k] for k in self.id.values()}, reverse=True))}
+        self.order = {p: order[self.score[k]] for p, k in self.id.items()}
+        self.halves: dict[str, tuple[str, str] | None] = {}
+        self.pairs: dict[int, bool] = {}  # a bounded memory of holds()
+        self.reach: dict[str, int] = {}  # the longest piece by its first two characters
+        for p in self.id:
+            self.reach[p[:2]] = max(len(p), self.reach.get(p[:2], 0))
+            self.halves[p] = self._halves(p)
 
     def merged(self, text: str) -> list[str]:
         """Merge neighbours of the best score, leftmost first, until none is a piece."""
@@ -117,33 +125,83 @@ class Transducer(dict):
             s[at : at + 2] = [s[at] + s[at + 1]]
         return s
 
+    def _halves(self, piece: str) -> tuple[str, str] | None:
+        """The two pieces whose merge makes this one; None if merging doesn't yield it."""
+        s = list(piece)
+        while len(s) > 2:
+            best, at = math.inf, -1
+            for i in range(len(s) - 1):
+                k = self.order.get(s[i] + s[i + 1], math.inf)
+                if k < best:
+                    best, at = k, i
+            if at < 0:
+                break
+            s[at : at + 2] = [s[at] + s[at + 1]]
+        return (s[0], s[1]) if len(s) == 2 else None
+
     def holds(self, a: str, b: str) -> bool:
-        """Whether merging a + b yields a and b: the weight of the pair is 0, else infinity."""
-        got = self.pairs.get((a, b))
-        if got is None:
-            if len(self.pairs) > 1_000_000:
-                self.pairs.clear()
-            got = self.pairs[a, b] = self.merged(a + b) == ([a, b] if a else [b])
-        return got
+        """Whether merging a + b yields a and b: the weight of the pair is 0, else infinity.
+
+        Going back in time from a and b, the later of the two merges is undone; at no time
+        may the pieces that touch have a merge that was due before the merge undone last.
+        """
+        order, halves, due = self.order, self.halves, math.inf
+        if a and a + b in order or len(b) > 1 and halves[b] is None:
+            return False
+        if not a:
+            return True
+        if BLANK + BLANK in a + b:  # runs of blanks have equal scores
+            return self.merged(a + b) == [a, b]
+        while True:
+            if order.get(a + b, math.inf) < due:
+                return False
+            # of equal merges the left one is first, so the right one is undone first
+            if len(a) > 1 and (len(b) == 1 or order[a] > order[b]):
+                due, a = order[a], halves[a][1]
+            elif len(b) > 1:
+                due, b = order[b] + 0.5, halves[b][0]
+            else:
+                return True
 
     def _merge_path(self, s: str) -> list[str]:
-        """The pieces on the finite path of the lattice of s; it is unique for each prefix."""
-        last = [""]
-        for end in range(1, len(s) + 1):
-            for start in range(max(0, end - self.longest), end):
-                piece = s[start:end]
-                if (piece in self.id or end - start == 1) and last[start] is not None and self.holds(last[start], piece):
-                    last.append(piece)
-                    break
-            else:
-                last.append(None)
-        out, end = [], len(s)
-        if last[end] is None:  # a vocabulary whose pieces don't follow from merges
-            return self.merged(s)
-        while end:
-            out.append(last[end])
-            end -= len(last[end])
-        return out[::-1]
+        """The pieces on the finite path through the lattice of s.
+
+        All finite paths cost the same, and a prefix has one at most. So the search goes
+        depth first, longest arcs first, and remembers a dead end by its position alone.
+        """
+        ids, known, reach, n, many = self.id, self.pairs, self.reach, len(s), len(self.score)
+        path: list[str] = []
+        dead: set[int] = set()
+        at, last, size = 0, "", min(reach.get(s[:2], 1), n)
+        while at < n:
+            while size:
+                if at + size not in dead:
+                    piece = s[at : at + size]
+                    k = ids.get(piece)
+                    if k is None:
+                        if size == 1:  # no piece has the character, so it merges with none
+                            break
+                    else:
+                        pair = k + many * ids.get(last, many)
+                        ok = known.get(pair)
+                        if ok is None:
+                            ok = self.holds(last, piece)
+                            if len(known) < 400_000:
+                                known[pair] = ok
+                        if ok:
+                            break
+                size -= 1
+            if size:
+                path.append(piece)
+                at, last = at + size, piece
+                size = min(reach.get(s[at : at + 2], 1), n - at)
+            elif path:
+                dead.add(at)
+                piece = path.pop()
+                at, last, size = at - len(piece), path[-1] if path else "", len(piece) - 1
+            else:  # a vocabulary whose pieces don't follow from merges
+                return self.merged(s)
+        return path
 
     def _cheapest_path(self, s: str) -> list[str]:
         """Tropical shortest path with additive weights; ties go to the longer last piece."""
@@ -172,10 +230,8 @@ class Transducer(dict):
                 ids += [self.byte[b] for b in p.encode()]
             elif not ids or ids[-1] != self.unknown:
                 ids.append(self.unknown)
-        if len(self) >= self.most:
-            self.clear()
         out = struct.pack(f"<{len(ids)}i", *ids)
-        if len(chunk) <= 64:
+        if len(chunk) <= 64 and len(self) < self.most:  # the frequent chunks come first
             self[chunk] = out
         return out
 
