@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import small_batches, table, written
 from .tokens import _LOWER
 
 WINDOW = 10
@@ -26,7 +26,7 @@ BLOCK = 500_000
 #: Upper case belongs to words here, as this runs over the text before lower-casing.
 WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 _WORDS = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in _LOWER)
-_HIT = "n_words long, n_hit long, items array<string>, spans array<struct<start:int,end:int>>"
+_HIT = "n_words long, n_hit long, items array<string>, spans array<struct<start:int,end:int>>, words array<struct<first:int,past:int>>"
 
 
 def normalise(text: str | None) -> str:
@@ -42,73 +42,100 @@ def windows(text: str | None, size: int = WINDOW) -> set[str]:
 
 def _automaton(found: dict[str, set[str]]) -> ahocorasick.Automaton:
     a = ahocorasick.Automaton()
+    a.add_word("\x00", (0, 1, []))  # no text has it; an automaton of nothing can't be searched
     for win, items in found.items():
         a.add_word(win, (win.count(" ") - 1, len(win), sorted(items)))
     a.make_automaton()
     return a
 
 
-def _scan(text: str | None, automata: list) -> tuple[int, int, list, list]:
+def _scan(text: str | None, automaton, before: tuple[list, list] = ([], [])) -> tuple[int, int, list, list]:
+    """n_words, n_hit, items and hit runs of words (first, past), those before included."""
     norm = normalise(text)
     if not norm:
         return 0, 0, [], []
     n = norm.count(" ") - 1
-    items, marks, blanks = set(), None, None
-    for a in automata:
-        for end, (k, length, names) in a.iter(norm):
-            if marks is None:
-                marks = np.zeros(n + 1, np.int64)
-                blanks = np.flatnonzero(np.frombuffer(norm.encode("latin-1"), np.uint8) == 32)
-            i = int(np.searchsorted(blanks, end - length + 1))
-            marks[i] += 1
-            marks[i + k] -= 1
-            items.update(names)
-    if marks is None:
+    items, marks, blanks = set(before[0]), None, None
+    for end, (k, length, names) in automaton.iter(norm):
+        if marks is None:
+            marks = np.zeros(n + 1, np.int64)
+            blanks = np.flatnonzero(np.frombuffer(norm.encode("latin-1"), np.uint8) == 32)
+        i = int(np.searchsorted(blanks, end - length + 1))
+        marks[i] += 1
+        marks[i + k] -= 1
+        items.update(names)
+    if marks is None and not before[1]:
         return n, 0, [], []
-    hit = np.cumsum(marks)[:-1] > 0
-    at = [m.span() for m in WORD.finditer(text)]
-    edge = np.flatnonzero(np.diff(np.concatenate(([0], hit.astype(np.int8), [0]))))
-    spans = [{"start": at[a][0], "end": at[b - 1][1]} for a, b in zip(edge[::2], edge[1::2])]
-    return n, int(hit.sum()), sorted(items), spans
+    marks = np.zeros(n + 1, np.int64) if marks is None else marks
+    for first, past in before[1]:
+        marks[first] += 1
+        marks[past] -= 1
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], (np.cumsum(marks) > 0).astype(np.int8)))))
+    runs = list(zip(edge[::2].tolist(), edge[1::2].tolist()))
+    return n, sum(b - a for a, b in runs), sorted(items), runs
 
 
-def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", size: int = WINDOW, block: int = BLOCK) -> list[dict[str, set[str]]]:
+def _row(text: str | None, found: tuple[int, int, list, list]) -> tuple:
+    n, hit, items, runs = found
+    at = [m.span() for m in WORD.finditer(text)] if runs else []
+    spans = [{"start": at[a][0], "end": at[b - 1][1]} for a, b in runs]
+    return n, hit, items, spans, [{"first": a, "past": b} for a, b in runs]
+
+
+def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", size: int = WINDOW, block: int = BLOCK) -> Iterator[dict[str, set[str]]]:
     """The windows of all items with their item ids, in blocks of at most about block windows.
 
-    The benchmark is read through an iterator. Items without a word or without an id have
-    no windows; an id on several rows has the windows of all of them.
+    The benchmark is read through an iterator and one block is held at a time. Items without
+    a word or without an id have no windows; an id on several rows has the windows of all.
     """
-    blocks: list[dict[str, set[str]]] = [{}]
+    held: dict[str, set[str]] = {}
     for row in benchmark.select(F.col(item_id).cast("string"), text).toLocalIterator():
-        if row[0] is None:
-            continue
-        for win in windows(row[1], size):
-            if len(blocks[-1]) >= block and win not in blocks[-1]:
-                blocks.append({})
-            blocks[-1].setdefault(win, set()).add(row[0])
-    return blocks
+        for win in windows(row[1], size) if row[0] is not None else ():
+            if len(held) >= block and win not in held:
+                yield held
+                held = {}
+            held.setdefault(win, set()).add(row[0])
+    if held:
+        yield held
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", size: int = WINDOW, out: str = "leak") -> DataFrame:
-    """docs with a struct column: n_words, n_hit (words inside an occurrence of a window),
-    items (ids of items with an occurring window, sorted) and spans (code points of the
-    original, end exclusive, one for each run of hit words).
-
-    Null, empty and wordless texts have 0, 0, [] and []. Without benchmark items nothing
-    is hit. Other columns, repeated rows and their order stay as they are.
-    """
-    small_batches(docs.sparkSession)
-    sc = docs.sparkSession.sparkContext
-    shared = [sc.broadcast(b) for b in benchmark_windows(benchmark, text="text", size=size) if b]
+def _pass(docs: DataFrame, block: dict[str, set[str]], text: str, out: str, again: bool) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(block)
     built: list = []
 
-    def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def rows(s: pd.Series, old) -> pd.DataFrame:
         if not built:
-            built.extend(_automaton(b.value) for b in shared)
+            built.append(_automaton(shared.value))
+        before = (([*i], [(w["first"], w["past"]) for w in r]) for i, r in zip(old["items"], old["words"])) if old is not None else (([], []) for _ in s)
+        return pd.DataFrame([_row(t, _scan(t, built[0], b)) for t, b in zip(s, before)], columns=["n_words", "n_hit", "items", "spans", "words"])
+
+    def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in batches:
-            yield pd.DataFrame([_scan(t, built) for t in s], columns=["n_words", "n_hit", "items", "spans"])
+            yield rows(s, None)
+
+    def scan_again(batches: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
+        for s, old in batches:
+            yield rows(s, old)
+
+    f = F.pandas_udf(scan_again if again else scan, _HIT).asNondeterministic()
+    return docs.withColumn(out, f(F.col(text), F.col(out)) if again else f(F.col(text)))
+
 
-    return docs.withColumn(out, F.pandas_udf(scan, _HIT).asNondeterministic()(F.col(text)))
+def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", size: int = WINDOW, out: str = "leak", block: int = BLOCK) -> DataFrame:
+    """docs with a struct column: n_words, n_hit (words inside an occurrence of a window),
+    items (ids of items with an occurring window, sorted), spans (code points of the
+    original, end exclusive, one for each run of hit words) and words (the runs by number).
+
+    Null, empty and wordless texts have 0, 0 and empty arrays. Without benchmark items
+    nothing is hit. Other columns, repeated rows and their order stay as they are. A
+    benchmark of more than block windows is scanned for in as many passes.
+    """
+    small_batches(docs.sparkSession)
+    blocks = benchmark_windows(benchmark, text="text", size=size, block=block)
+    docs = _pass(docs, next(blocks, {}), text, out, False)
+    for b in blocks:
+        docs = _pass(written(docs), b, text, out, True)
+    return docs
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
@@ -118,7 +145,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
 
 def op5(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "leak.*")
+    found = find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "leak.n_words", "leak.n_hit", "leak.items")
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),

@@ -84,6 +84,13 @@ def test_line_dedup_is_exact(corpus):
     assert got == want and len(got) > 20
 
 
+def test_large_components_in_rounds(corpus):
+    _, df = corpus
+    rows = lambda d: sorted(map(tuple, d.collect()))
+    assert rows(lines.removed_lines(df)) == rows(lines.removed_lines(df, large=2))
+    assert rows(passages.clusters(df)) == rows(passages.clusters(df, large=2))
+
+
 def test_simhash_components(corpus):
     docs, df = corpus
     ids = sorted(docs)
@@ -269,7 +276,7 @@ def test_automaton_equals_plain_search():
         text = " ".join(r.choice(["a", "b", "C,", "é"]) for _ in range(30))
         item = " ".join(r.choice(["a", "b", "c", "é"]) for _ in range(r.randrange(1, 4)))
         found = {w: {"1"} for w in decontaminate.windows(item)}
-        n, hit, items, spans = decontaminate._scan(text, [decontaminate._automaton(found)])
+        n, hit, items, _ = decontaminate._scan(text, decontaminate._automaton(found))
         w, x = lower(text).replace(",", "").split(), item.split()
         marks = {i + k for i in range(len(w) - len(x) + 1) if w[i : i + len(x)] == x for k in range(len(x))}
         assert (n, hit, items) == (len(w), len(marks), ["1"] if marks else [])
