@@ -2,7 +2,7 @@
 
 A paragraph is a line. A line of more than one sentence also gives its longer sentences,
 so that a passage set into another paragraph is found. Each is the set of its five-word
-shingles (fewer words: the whole). 48 minima in 12 bands of 4 find a pair of Jaccard 0.8
+shingles (fewer words: the whole). 27 minima in 9 bands of 3 find a pair of Jaccard 0.8
 with probability 0.998. Paragraphs that collide in a band are joined, verified by exact
 Jaccard, and clustered by connected components; of each cluster the first occurrence
 stays and the others are removed.
@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import cut, partitions, small_batches, table
-from .sets import Spans, bounds, key_filter, passes, runs, verified
+from .common import cut, partitions, small_batches, table, written
+from .sets import LARGE, Spans, bounds, key_filter, large_components, links_in_rounds, passes, runs, verified
 from .tokens import BLANKS, mix, pieces, text_list, words
 
 _U = np.uint64
@@ -34,13 +34,16 @@ class Settings:
 
     threshold: float = 0.8
     shingle: int = 5
-    bands: int = 12
-    rows: int = 4
+    bands: int = 9
+    rows: int = 3
     sentence_words: int = 12
     passage_words: int = 25
 
 
 _BAND = np.dtype([("band", "<u8"), ("key", "<u8")])
+#: As sent to a bucket: the bucket and half of a band's hash tell bands apart well enough,
+#: since what collides by chance is verified like the rest.
+_SENT = np.dtype([("band", "<u4"), ("key", "<u8")])
 _STOPS = np.isin(np.arange(256), [ord(c) for c in ".!?"])
 
 
@@ -130,9 +133,12 @@ def _collide(docs: DataFrame, text: str, s: Settings) -> DataFrame:
 
     def deal(parts: list[np.ndarray]) -> pd.DataFrame:
         r = np.concatenate(parts)
-        bucket = (r["band"] % _U(n)).astype(np.int64)
+        bucket = ((r["band"] & _U(0xFFFFFFFF)) % _U(n)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         ends = np.searchsorted(bucket[order], np.arange(n + 1))
+        sent = np.empty(len(r), _SENT)
+        sent["band"], sent["key"] = r["band"] >> _U(32), r["key"]
+        r = sent
         return pd.DataFrame([(k, r[order[ends[k] : ends[k + 1]]].tobytes()) for k in range(n) if ends[k] < ends[k + 1]], columns=["bucket", "data"])
 
     def bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -140,28 +146,32 @@ def _collide(docs: DataFrame, text: str, s: Settings) -> DataFrame:
         for b in batches:
             for _, part in pieces(text_list(b.iloc[:, 0])):
                 held.append(band_records(part, s))
-            if sum(map(len, held)) > 4_000_000:
-                yield deal([np.unique(np.concatenate(held))])
+            if sum(map(len, held)) > 1_000_000:
+                yield deal(held)
                 held = []
         if held:
-            yield deal([np.unique(np.concatenate(held))])
+            yield deal(held)
 
     def join(g: pd.DataFrame) -> pd.DataFrame:
-        r = np.unique(np.concatenate([np.frombuffer(x, _BAND) for x in g.data]))
-        i = np.flatnonzero(r["band"][1:] == r["band"][:-1])
-        key = r["key"].copy().view(np.int64)
-        return pd.DataFrame({"src": key[i], "dst": key[i + 1]}).drop_duplicates()
+        r = np.concatenate([np.frombuffer(x, _SENT) for x in g.data])
+        band, key = r["band"].copy(), r["key"].copy().view(np.int64)
+        order = np.lexsort((key, band))
+        band, key = band[order], key[order]
+        at = bounds(band)
+        least = np.repeat(key[at[:-1]], np.diff(at))
+        i = np.flatnonzero(least != key)
+        return pd.DataFrame({"src": least[i], "dst": key[i]}).drop_duplicates()
 
     records = docs.select(text).mapInPandas(bands, "bucket int, data binary")
     return records.groupBy("bucket").applyInPandas(join, "src long, dst long")
 
 
-def clusters(docs: DataFrame, text: str = "text", s: Settings = Settings()) -> DataFrame:
+def clusters(docs: DataFrame, text: str = "text", s: Settings = Settings(), large: int = LARGE) -> DataFrame:
     """(key, cluster): verified clusters of different units; cluster is the least key.
 
-    Units that collide in any band are candidates; neighbours within a bucket link them,
-    which joins the same components as all pairs would. Each candidate component is
-    verified on the shingle sets of its distinct units.
+    Units that collide in any band are candidates; each is linked to the least key it
+    collides with, which joins the same components as all pairs would. Each candidate component is
+    verified on the shingle sets of its distinct units, shingles as 32-bit hashes.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -183,11 +193,11 @@ def clusters(docs: DataFrame, text: str = "text", s: Settings = Settings()) -> D
                 seen.update(keys)
                 if len(seen) > 200_000:
                     seen.clear()
-                yield pd.DataFrame([(k, np.unique(sh[begin[i] : begin[i + 1]]).tobytes()) for i, k in enumerate(keys)], columns=["key", "sh"])
+                yield pd.DataFrame([(k, np.unique(sh[begin[i] : begin[i + 1]] >> _U(32)).astype(np.uint32).tobytes()) for i, k in enumerate(keys)], columns=["key", "sh"])
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in runs(batches, "component"):
-            sets, key = [np.frombuffer(x, np.uint64) for x in g.sh], g.key.to_numpy()
+            sets, key = [np.frombuffer(x, np.uint32) for x in g.sh], g.key.to_numpy()
             ends, spans = bounds(g.component.to_numpy()), Spans(len(g))
             for i, j in zip(ends[:-1].tolist(), ends[1:].tolist()):
                 for lead, others in verified(sets[i:j], s.threshold):
@@ -198,8 +208,15 @@ def clusters(docs: DataFrame, text: str = "text", s: Settings = Settings()) -> D
 
     sets = docs.select(text).mapInPandas(fetch, "key long, sh binary").join(comp, "key")
     sets = sets.groupBy("key").agg(F.first("sh").alias("sh"), F.first("component").alias("component"))
-    met = sets.repartition(partitions(spark), "component").sortWithinPartitions("component", "key")
-    return met.mapInPandas(verify, "key long, cluster long")
+    some = large_components(comp, large)
+    apart = not some.isEmpty()
+    near = sets.join(some, "component", "left_anti").select("key", "sh", "component") if apart else sets
+    near = near.repartition(partitions(spark), "component").sortWithinPartitions("component", "key")
+    out = near.mapInPandas(verify, "key long, cluster long")
+    if apart:
+        far = sets.join(some, "component", "left_semi").select("component", "key", F.col("sh").alias("data"), F.col("key").alias("o"))
+        out = out.unionAll(connected_components(links_in_rounds(far, s.threshold, np.uint32)))
+    return out
 
 
 def _occurrences(docs: DataFrame, doc_id: str, text: str, s: Settings) -> DataFrame:
@@ -227,7 +244,7 @@ def shared_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts have no units. Word case of A-Z and blanks between words make no difference.
     """
     of = clusters(docs, text, s)
-    occ = cut(_occurrences(docs, doc_id, text, s).distinct())
+    occ = written(_occurrences(docs, doc_id, text, s).distinct())
     named = occ.join(of, "key", "left").withColumn("c", F.coalesce("cluster", "key"))
     at = F.struct("id", "rk", "line", "part")
     first = named.groupBy("c").agg(F.min(at).alias("f"), F.min("id").alias("first_id"), F.count("*").alias("m")).where("m > 1")

@@ -12,10 +12,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import cut, written
 
 #: Bits of the filter that finds candidates' texts again: 8 MB, whatever the input.
 FILTER_BITS = 26
 _CHUNKS = 64
+#: Distinct units of a component that one task verifies; larger ones are verified in rounds.
+LARGE = 50_000
 
 
 def _bits(keys: np.ndarray) -> list[np.ndarray]:
@@ -57,12 +62,10 @@ def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 class Spans:
-    """Union-find over rows that keeps only the links that join two sets."""
+    """Union-find over rows; links within a set are passed over."""
 
     def __init__(self, n: int):
         self.root = np.arange(n)
-        self.left: list[int] = []
-        self.right: list[int] = []
 
     def _find(self, x: int) -> int:
         r = self.root
@@ -84,8 +87,6 @@ class Spans:
             x, y = self._find(a), self._find(b)
             if x != y:
                 self.root[max(x, y)] = min(x, y)
-                self.left.append(a)
-                self.right.append(b)
         if len(i) > 1000 and far.any():  # later calls then pass over what is joined
             self.roots()
 
@@ -162,3 +163,42 @@ def runs(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
 def bounds(keys: np.ndarray) -> np.ndarray:
     """Where runs of equal keys begin, and the end."""
     return np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True])))
+
+
+def large_components(members: DataFrame, large: int = LARGE) -> DataFrame:
+    return members.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > large).select("component")
+
+
+def links_in_rounds(members: DataFrame, t: float, dtype) -> DataFrame:
+    """(src, dst) verified links of components too large for one task.
+
+    members: component, key, data (a set as bytes), o (the order). As in similar(), but a
+    round compares the first open unit of every component with all units of it, spread
+    over the cluster, and closes it and what it is similar to. A round broadcasts one unit
+    for each large component, of which there are at most units / LARGE.
+    """
+    members = written(members.select("component", "key", "data", "o"))
+    still = members.select("component", "key", "o")
+    links = members.select(F.col("key").alias("src"), F.col("key").alias("dst")).limit(0)
+    while True:
+        first = still.groupBy("component").agg(F.min(F.struct("o", "key")).alias("m")).select("component", F.col("m.key").alias("key"))
+        leads = {r.component: (r.key, np.frombuffer(r.data, dtype)) for r in members.join(first, ["component", "key"]).collect()}
+        if not leads:
+            return links
+        shared = members.sparkSession.sparkContext.broadcast(leads)
+
+        def compare(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                rows = []
+                for c, k, x in zip(b.component, b.key, b.data):
+                    lead, own = shared.value.get(c, (k, None))
+                    if lead != k:
+                        x = np.frombuffer(x, dtype)
+                        if np.isin(x, own).sum() * (1 + t) >= t * (len(x) + len(own)) - 1e-9:
+                            rows.append((c, lead, k))
+                yield pd.DataFrame(rows, columns=["component", "src", "dst"])
+
+        found = cut(members.select("component", "key", "data").mapInPandas(compare, "component long, src long, dst long"))
+        links = links.unionAll(found.select("src", "dst"))
+        closed = found.select("component", F.col("dst").alias("key")).unionAll(first).distinct()
+        still = cut(still.join(closed, ["component", "key"], "left_anti"))
