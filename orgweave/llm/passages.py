@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from .common import cut, partitions, small_batches, table, written
-from .sets import LARGE, Spans, bounds, key_filter, large_components, links_in_rounds, passes, runs, verified
+from .sets import LARGE, bounds, key_filter, large_components, linked, links_in_rounds, passes, runs
 from .tokens import BLANKS, mix, pieces, text_list, words
 
 _U = np.uint64
@@ -61,7 +61,10 @@ class Units:
 
 
 def units(texts: list, s: Settings):
-    """(batch of words, Units). The key of a unit is the XXH64 of its words, A-Z lower-cased."""
+    """(batch of words, Units). The key of a unit is the XXH64 of its words, A-Z lower-cased.
+
+    A sentence that makes nine tenths of its line is no unit beside it.
+    """
     b = words(texts, BLANKS)
     ends = np.flatnonzero(b.buf == 10)
     line = np.searchsorted(ends, b.start)
@@ -74,8 +77,10 @@ def units(texts: list, s: Settings):
     fresh = np.diff(line, prepend=-1) != 0
     begin = np.flatnonzero(fresh | np.concatenate(([True], stop[:-1])))
     upto = np.append(begin[1:], len(line))
-    long = (upto - begin >= s.sentence_words) & ~(fresh[begin] & np.append(fresh, True)[upto])
-    nth = np.arange(len(begin)) - np.searchsorted(begin, new)[np.searchsorted(new, begin, "right") - 1]
+    whole = np.searchsorted(new, begin, "right") - 1
+    nth = np.arange(len(begin)) - np.searchsorted(begin, new)[whole]
+    n, line_n = upto - begin - s.shingle + 1, (past - new)[whole] - s.shingle + 1
+    long = (upto - begin >= s.sentence_words) & (n < 0.9 * line_n)
     first = np.concatenate((new, begin[long]))
     past = np.concatenate((past, upto[long]))
     part = np.concatenate((np.full(len(new), -1), nth[long]))
@@ -198,11 +203,9 @@ def clusters(docs: DataFrame, text: str = "text", s: Settings = Settings(), larg
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in runs(batches, "component"):
             sets, key = [np.frombuffer(x, np.uint32) for x in g.sh], g.key.to_numpy()
-            ends, spans = bounds(g.component.to_numpy()), Spans(len(g))
+            ends, root = bounds(g.component.to_numpy()), np.empty(len(g), np.int64)
             for i, j in zip(ends[:-1].tolist(), ends[1:].tolist()):
-                for lead, others in verified(sets[i:j], s.threshold):
-                    spans.add(np.full(len(others), i + lead), i + others)
-            root = spans.roots()
+                root[i:j] = i + linked(sets[i:j], s.threshold)
             many = np.bincount(root, minlength=len(g))[root] > 1
             yield pd.DataFrame({"key": key[many], "cluster": key[root[many]]})
 
@@ -215,7 +218,7 @@ def clusters(docs: DataFrame, text: str = "text", s: Settings = Settings(), larg
     out = near.mapInPandas(verify, "key long, cluster long")
     if apart:
         far = sets.join(some, "component", "left_semi").select("component", "key", F.col("sh").alias("data"), F.col("key").alias("o"))
-        out = out.unionAll(connected_components(links_in_rounds(far, s.threshold, np.uint32)))
+        out = out.unionAll(connected_components(links_in_rounds(far, s.threshold, np.uint32, chain=True)))
     return out
 
 
@@ -235,9 +238,10 @@ def _occurrences(docs: DataFrame, doc_id: str, text: str, s: Settings) -> DataFr
 
 
 def shared_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s: Settings = Settings()) -> DataFrame:
-    """One row for each unit that isn't alone in its cluster: id, rk, line, part (-1: the
+    """One row for each unit whose cluster has units of several lines: id, rk, line, part (-1: the
     line, else the sentence's number), n (words), first_id (least id that has the unit's
-    cluster) and removed (an earlier occurrence exists).
+    cluster) and removed (an earlier occurrence exists). Sentences of a cluster's first
+    line that are similar to it by others don't count.
 
     Occurrences are ordered by (id, rk, line, part), null ids first. rk is xxhash64 of the
     text: repeated rows (same id and text) are one document. Null, empty and wordless
@@ -246,9 +250,11 @@ def shared_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     of = clusters(docs, text, s)
     occ = written(_occurrences(docs, doc_id, text, s).distinct())
     named = occ.join(of, "key", "left").withColumn("c", F.coalesce("cluster", "key"))
-    at = F.struct("id", "rk", "line", "part")
-    first = named.groupBy("c").agg(F.min(at).alias("f"), F.min("id").alias("first_id"), F.count("*").alias("m")).where("m > 1")
-    met = named.join(first, "c")
+    at, line = F.struct("id", "rk", "line", "part"), F.struct("id", "rk", "line")
+    ends = named.groupBy("c").agg(F.min(at).alias("f"), F.max(line).alias("l"), F.min("id").alias("first_id"))
+    first_line = F.struct(F.col("f.id").alias("id"), F.col("f.rk").alias("rk"), F.col("f.line").alias("line"))
+    met = named.join(ends.where(~first_line.eqNullSafe(F.col("l"))), "c")
+    met = met.where(~line.eqNullSafe(first_line) | at.eqNullSafe(F.col("f")) | (F.col("f.part") >= 0))
     return met.select("id", "rk", "line", "part", "n", "first_id", (~at.eqNullSafe(F.col("f"))).alias("removed"))
 
 

@@ -96,8 +96,9 @@ def similar(sets: list[np.ndarray], t: float) -> Iterator[tuple[int, np.ndarray]
 
     A leader is compared with all sets by exact Jaccard, at the cost of all elements once.
     A set similar to an earlier leader never leads, so a group of copies takes one round.
-    Feeding the pairs to union-find gives the components of the similarity graph exactly:
-    two followers of one leader are joined through it, and all others lead themselves.
+    Every set that is similar to an earlier one is told so: it follows an earlier leader, or
+    leads and is compared with all. (Followers of different leaders may be similar too; see
+    linked() for components.)
     """
     size = np.array([len(s) for s in sets])
     flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
@@ -136,6 +137,41 @@ def verified(sets: list[np.ndarray], t: float) -> Iterator[tuple[int, np.ndarray
     return _small(sets, t) if len(sets) <= 8 else similar(sets, t)
 
 
+def linked(sets: list[np.ndarray], t: float) -> np.ndarray:
+    """The least member, by number, of each set's component of the similarity graph; exact.
+
+    A component grows from its least member: each member in turn is compared with the sets
+    that no component has yet, so a group of copies is reached at once and the others of it
+    only see what is left.
+    """
+    n = len(sets)
+    label, open_, left = np.arange(n), np.ones(n, bool), n
+    size = np.array([len(s) for s in sets])
+    _, at = np.unique(np.concatenate(sets), return_inverse=True)
+    begin = np.concatenate(([0], np.cumsum(size)))
+    seen = np.zeros(int(at.max(initial=-1)) + 1, bool)
+    owner, rest, held = np.repeat(np.arange(n), size), at, n
+    for first in range(n):
+        if not open_[first]:
+            continue
+        open_[first], left, front = False, left - 1, [first]
+        while front and left:
+            x = front.pop()
+            if left < 0.75 * held:  # drop what is closed from the arrays
+                keep = open_[owner]
+                owner, rest, held = owner[keep], rest[keep], left
+            own = at[begin[x] : begin[x + 1]]
+            seen[own] = True
+            common = np.bincount(owner[seen[rest]], minlength=n)
+            seen[own] = False
+            new = np.flatnonzero(open_ & (common * (1 + t) >= t * (size + size[x]) - 1e-9))
+            open_[new] = False
+            label[new] = first
+            left -= len(new)
+            front += new.tolist()
+    return label
+
+
 def runs(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
     """Batches of rows sorted by key, cut again so that no key's rows are parted."""
     held: list[pd.DataFrame] = []
@@ -169,36 +205,52 @@ def large_components(members: DataFrame, large: int = LARGE) -> DataFrame:
     return members.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > large).select("component")
 
 
-def links_in_rounds(members: DataFrame, t: float, dtype) -> DataFrame:
+def links_in_rounds(members: DataFrame, t: float, dtype, chain: bool, front: int = 1000) -> DataFrame:
     """(src, dst) verified links of components too large for one task.
 
-    members: component, key, data (a set as bytes), o (the order). As in similar(), but a
-    round compares the first open unit of every component with all units of it, spread
-    over the cluster, and closes it and what it is similar to. A round broadcasts one unit
-    for each large component, of which there are at most units / LARGE.
+    members: component, key, data (a set as bytes), o (the order). A round takes some units
+    of every component and compares them with its open units, spread over the cluster; what
+    is similar is closed. With chain the closed units are taken in turn, at most front a
+    round, before the first open unit of a component: the links then give its components, as
+    linked() does. Without, only first open units are taken, as in similar(), and all units
+    are compared. What a round broadcasts is bounded by front and by the number of large
+    components, at most units / LARGE.
     """
+    spark = members.sparkSession
     members = written(members.select("component", "key", "data", "o"))
-    still = members.select("component", "key", "o")
+    open_ = members.select("component", "key", "o")
     links = members.select(F.col("key").alias("src"), F.col("key").alias("dst")).limit(0)
+    waiting = open_.limit(0)
     while True:
-        first = still.groupBy("component").agg(F.min(F.struct("o", "key")).alias("m")).select("component", F.col("m.key").alias("key"))
-        leads = {r.component: (r.key, np.frombuffer(r.data, dtype)) for r in members.join(first, ["component", "key"]).collect()}
+        taken = waiting.orderBy("component", "o").limit(front) if chain else waiting
+        first = open_.groupBy("component").agg(F.min(F.struct("o", "key")).alias("m")).select("component", F.col("m.key").alias("key"), F.col("m.o").alias("o"))
+        if chain:  # a component is begun anew where none of its units waits
+            first = first.join(waiting.select("component").distinct(), "component", "left_anti")
+        taken = cut(taken.select("component", "key", "o").unionByName(first))
+        leads: dict[int, list] = {}
+        for r in members.join(taken.select("component", "key"), ["component", "key"]).select("component", "key", "data").collect():
+            leads.setdefault(r.component, []).append((r.key, np.frombuffer(r.data, dtype)))
         if not leads:
             return links
-        shared = members.sparkSession.sparkContext.broadcast(leads)
+        shared = spark.sparkContext.broadcast(leads)
 
         def compare(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             for b in batches:
                 rows = []
                 for c, k, x in zip(b.component, b.key, b.data):
-                    lead, own = shared.value.get(c, (k, None))
-                    if lead != k:
-                        x = np.frombuffer(x, dtype)
-                        if np.isin(x, own).sum() * (1 + t) >= t * (len(x) + len(own)) - 1e-9:
+                    x = np.frombuffer(x, dtype)
+                    for lead, own in shared.value.get(c, ()):
+                        if lead != k and np.isin(x, own).sum() * (1 + t) >= t * (len(x) + len(own)) - 1e-9:
                             rows.append((c, lead, k))
+                            if chain:
+                                break
                 yield pd.DataFrame(rows, columns=["component", "src", "dst"])
 
-        found = cut(members.select("component", "key", "data").mapInPandas(compare, "component long, src long, dst long"))
+        still = cut(open_.join(taken.select("component", "key"), ["component", "key"], "left_anti"))
+        among = members.join(still.select("component", "key"), ["component", "key"], "left_semi") if chain else members
+        found = cut(among.select("component", "key", "data").mapInPandas(compare, "component long, src long, dst long"))
         links = links.unionAll(found.select("src", "dst"))
-        closed = found.select("component", F.col("dst").alias("key")).unionAll(first).distinct()
-        still = cut(still.join(closed, ["component", "key"], "left_anti"))
+        closed = found.select("component", F.col("dst").alias("key")).distinct()
+        if chain:
+            waiting = cut(waiting.join(taken.select("component", "key"), ["component", "key"], "left_anti").unionByName(still.join(closed, ["component", "key"], "left_semi")))
+        open_ = cut(still.join(closed, ["component", "key"], "left_anti"))
