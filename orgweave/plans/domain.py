@@ -25,7 +25,7 @@ def _category(column: str) -> str:
 
 
 @query(f"""WITH m AS (SELECT p_partkey, k.a AS a, min(k.o) AS o FROM part, unnest({_KW}) t(k) WHERE contains(p_name, k.k) GROUP BY 1, 2)
-SELECT p_partkey, coalesce(list(a ORDER BY o) FILTER (a IS NOT NULL), []) AS activities FROM part LEFT JOIN m USING (p_partkey) GROUP BY 1""")
+SELECT p_partkey, coalesce(list(a ORDER BY o) FILTER (a IS NOT NULL), []) AS activities FROM part LEFT JOIN m USING (p_partkey) GROUP BY 1""", lists=("activities",))
 def taxonomy_match(spark, sf_dir):
     return taxonomy.match(read(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", KEYWORDS).select("p_partkey", "activities")
 
@@ -41,7 +41,7 @@ def taxonomy_assign(spark, sf_dir):
 
 @query("""WITH a AS (SELECT p_partkey, [p_name, split_part(p_name, ' ', 2) || ' supply', 'gear supply', split_part(p_name, ' ', 2) || ' supply'] AS items FROM part),
 k AS (SELECT p_partkey, items, list_filter(items, lambda x: x IN ('bolt supply', 'nut supply', 'gear supply', 'ring supply', 'widget supply')) AS kept FROM a)
-SELECT p_partkey, kept AS items, len(kept) AS n_kept, len(items) - len(kept) AS n_removed FROM k""")
+SELECT p_partkey, kept AS items, len(kept) AS n_kept, len(items) - len(kept) AS n_removed FROM k""", lists=("items",))
 def reduce_to_taxonomy(spark, sf_dir):
     own = F.concat(F.split_part("p_name", F.lit(" "), F.lit(2)), F.lit(" supply"))
     d = read(spark, sf_dir, "part").select("p_partkey", F.array("p_name", own, F.lit("gear supply"), own).alias("items"))
@@ -51,7 +51,7 @@ def reduce_to_taxonomy(spark, sf_dir):
 @query(f"""WITH m AS (SELECT p_partkey, k.a AS a, min(k.o) AS o FROM part, unnest({_KW}) t(k) WHERE p_size % 2 = 0 AND contains(p_name, k.k) GROUP BY 1, 2),
 l AS (SELECT p_partkey, coalesce(list(a ORDER BY o) FILTER (a IS NOT NULL), []) AS activities FROM part LEFT JOIN m USING (p_partkey) GROUP BY 1),
 c AS (SELECT p_partkey, {_category('a')} || ' Services' AS c, min(o) AS o FROM m GROUP BY 1, 2)
-SELECT p_partkey, any_value(activities) AS activities, coalesce(list(c ORDER BY o) FILTER (c IS NOT NULL), []) AS capabilities FROM l LEFT JOIN c USING (p_partkey) GROUP BY 1""")
+SELECT p_partkey, any_value(activities) AS activities, coalesce(list(c ORDER BY o) FILTER (c IS NOT NULL), []) AS capabilities FROM l LEFT JOIN c USING (p_partkey) GROUP BY 1""", lists=("activities", "capabilities"))
 def taxonomy_fallback(spark, sf_dir):
     d = read(spark, sf_dir, "part").select("p_partkey", "p_name", F.when(F.col("p_size") % 2 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("x"))).alias("own"))
     return taxonomy.fallback(d, "p_name", ["own"], KEYWORDS, CATEGORIES).select("p_partkey", "activities", "capabilities")
@@ -61,7 +61,7 @@ def taxonomy_fallback(spark, sf_dir):
 
 @query("""WITH c AS (SELECT p_type AS cid, lower(p_type) || ' goods' AS n, list(DISTINCT p_size) AS e FROM part WHERE p_size < 20 GROUP BY 1, 2), d AS (SELECT p_brand AS cid, CASE WHEN p_brand LIKE '%1%' THEN 'small need' ELSE 'promo need' END AS n, list(DISTINCT p_size) AS e FROM part WHERE p_size > 10 GROUP BY 1, 2),
 m AS (SELECT c.e AS ce, d.e AS de FROM c JOIN d ON split_part(c.n, ' ', 1) = split_part(d.n, ' ', 1)), x AS (SELECT unnest(ce) AS source, de FROM m), y AS (SELECT source, unnest(de) AS target FROM x)
-SELECT DISTINCT source, target, 0.7::DOUBLE AS confidence FROM y WHERE source <> target""")
+SELECT DISTINCT source, target, 0.7::DOUBLE AS confidence FROM y WHERE source <> target""", ints=("source", "target"))
 def cluster_capability_need(spark, sf_dir):
     p = read(spark, sf_dir, "part")
     caps = p.where("p_size < 20").groupBy(F.col("p_type").alias("cluster_id"), F.concat(F.lower("p_type"), F.lit(" goods")).alias("cluster_name")).agg(F.collect_set("p_size").alias("entities")).withColumn("confidence", F.lit(0.9))
@@ -141,7 +141,7 @@ def rare_roles(spark, sf_dir):
     return cluster.rare_roles(p, 300)
 
 
-@query("SELECT c_name AS id, 'https://' || c_custkey AS url, c_mktsegment AS role, CASE WHEN c_custkey % 2 = 0 THEN 1.5 END::DOUBLE AS lat, 2.5::DOUBLE AS lon, [c_mktsegment] AS activities, '' AS description FROM customer")
+@query("SELECT c_name AS id, 'https://' || c_custkey AS url, c_mktsegment AS role, CASE WHEN c_custkey % 2 = 0 THEN 1.5 END::DOUBLE AS lat, 2.5::DOUBLE AS lon, [c_mktsegment] AS activities, '' AS description FROM customer", lists=("activities",))
 def graph_nodes(spark, sf_dir):
     c = read(spark, sf_dir, "customer").selectExpr("c_name AS name", "'https://' || c_custkey AS url", "c_mktsegment AS role", "CASE WHEN c_custkey % 2 = 0 THEN 1.5D END AS lat", "2.5D AS lon", "array(c_mktsegment) AS activities", "CAST(NULL AS string) AS description")
     return graph.nodes(c)
@@ -153,7 +153,7 @@ def graph_edges(spark, sf_dir):
     return graph.edges(e)
 
 
-@query("""SELECT list(c_name ORDER BY c_name) FILTER (c_custkey % 3 = 0) AS synergies, list(c_name ORDER BY c_name) FILTER (c_custkey % 3 = 1) AS gaps, list(c_name ORDER BY c_name) FILTER (c_custkey % 3 = 2) AS recommendations FROM customer WHERE c_custkey < 60""")
+@query("""SELECT list(c_name ORDER BY c_name) FILTER (c_custkey % 3 = 0) AS synergies, list(c_name ORDER BY c_name) FILTER (c_custkey % 3 = 1) AS gaps, list(c_name ORDER BY c_name) FILTER (c_custkey % 3 = 2) AS recommendations FROM customer WHERE c_custkey < 60""", lists=("synergies", "gaps", "recommendations"))
 def insights_by_type(spark, sf_dir):
     k = F.col("c_custkey") % 3
     kind = F.when(k == 0, "synergy").when(k == 1, "gap").otherwise("recommendation")
@@ -168,7 +168,7 @@ def graph_coverage(spark, sf_dir):
     return graph.coverage(c, (53.550341, 10.000654)).withColumn("percent", F.col("percent").cast("double"))
 
 
-@query(f"""WITH RECURSIVE e AS ({_EDGES}), r AS (SELECT 0::BIGINT AS node, 0 AS depth UNION SELECT e.target, r.depth + 1 FROM r JOIN e ON r.node = e.source WHERE r.depth < 2) SELECT node, min(depth) AS depth FROM r GROUP BY node""")
+@query(f"""WITH RECURSIVE e AS ({_EDGES}), r AS (SELECT 0::BIGINT AS node, 0 AS depth UNION SELECT e.target, r.depth + 1 FROM r JOIN e ON r.node = e.source WHERE r.depth < 2) SELECT node, min(depth) AS depth FROM r GROUP BY node""", ints=("depth",))
 def discovery_depth(spark, sf_dir):
     e = _edges(spark, sf_dir).withColumnRenamed("source", "src").withColumnRenamed("target", "dst")
     return graph.reachable(e, spark.range(1).select(F.col("id").alias("node")), 2)
@@ -213,7 +213,7 @@ def html_links_scored(spark, sf_dir):
     return markup.best_link(a, "page_id", s)
 
 
-@query("""WITH b AS (SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 'www.org' || conv_id || '.example.com' ELSE '' END AS domain FROM conversations) SELECT conv_id, (dense_rank() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INT AS block, 'Name ' || turn AS name, replace(domain, 'www.', '') AS domain FROM b""")
+@query("""WITH b AS (SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 'www.org' || conv_id || '.example.com' ELSE '' END AS domain FROM conversations) SELECT conv_id, (dense_rank() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INT AS block, 'Name ' || turn AS name, replace(domain, 'www.', '') AS domain FROM b""", ints=("block",))
 def text_blocks(spark, sf_dir):
     c = read(spark, sf_dir, "conversations")
     web = F.when(F.col("turn") % 2 == 0, F.concat(F.lit("\nweb page: https://www.org"), F.col("conv_id"), F.lit(".example.com"))).otherwise("\nno address")
@@ -263,7 +263,7 @@ def event_sessions(spark, sf_dir):
     return sessions(read(spark, sf_dir, "events"), "user_id", "ts")
 
 
-@query("""SELECT p_partkey, CASE WHEN contains(p_name, 'ring') THEN [3] WHEN contains(p_name, 'gear') THEN [1, 5] ELSE [] END AS stages, regexp_matches(p_brand, '^[A-Z][a-z]+#') AND length(p_brand) > 7 AS named FROM part""")
+@query("""SELECT p_partkey, CASE WHEN contains(p_name, 'ring') THEN [3] WHEN contains(p_name, 'gear') THEN [1, 5] ELSE [] END AS stages, regexp_matches(p_brand, '^[A-Z][a-z]+#') AND length(p_brand) > 7 AS named FROM part""", lists=("stages",))
 def stage_classifier(spark, sf_dir):
     a = F.when(F.col("p_name").contains("ring"), "Repair shop").when(F.col("p_name").contains("gear"), "Assembly and recovery").otherwise("other")
     return read(spark, sf_dir, "part").select("p_partkey", taxonomy.stages(a, taxonomy.VALUE_CHAIN).alias("stages"), markup.looks_like_name(F.concat(F.lit("Brand "), F.when(F.char_length("p_brand") > 7, "Works"))).alias("named")).withColumn("named", F.coalesce("named", F.lit(False)))

@@ -108,7 +108,7 @@ def phone_normalize(spark, sf_dir):
 
 
 @query(r"""SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}_]+'), lambda t: length(t) >= 3 AND t NOT IN ('the', 'and'))[1:8] AS tokens,
-regexp_replace(text[1:60], '[ \t\n\r\f\v]+', ' ', 'g') AS squeezed FROM documents WHERE lang = 'en'""")
+regexp_replace(text[1:60], '[ \t\n\r\f\v]+', ' ', 'g') AS squeezed FROM documents WHERE lang = 'en'""", lists=("tokens",))
 def text_tokens(spark, sf_dir):
     d = read(spark, sf_dir, "documents").where("lang = 'en'")
     return d.select("doc_id", F.slice(text.tokens(F.col("text"), stop=["the", "and"]), 1, 8).alias("tokens"), F.regexp_replace(F.substring("text", 1, 60), r"\s+", " ").alias("squeezed"))
@@ -147,7 +147,7 @@ _LAT, _LON = "(53.5511 + (n_nationkey - 12) * 0.03)", "(9.9937 + (n_nationkey %
 _KM = f"2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians({_LAT} - 53.5511) / 2), 2) + cos(radians(53.5511)) * cos(radians({_LAT})) * pow(sin(radians({_LON} - 9.9937) / 2), 2))))"
 
 
-@query(f"SELECT n_nationkey, round({_KM}, 6) AS km, round({_KM}, 6) AS km_atan, {_KM} <= 30 AS near FROM nation")
+@query(f"SELECT n_nationkey, round({_KM}, 6) AS km, round({_KM}, 6) AS km_atan, {_KM} <= 30 AS near FROM nation", ints=("n_nationkey",))
 def geo_distance(spark, sf_dir):
     n = read(spark, sf_dir, "nation").withColumns({"lat": F.expr(_LAT).cast("double"), "lon": F.expr(_LON).cast("double")})
     a = (F.lit(53.5511), F.lit(9.9937), F.col("lat"), F.col("lon"))

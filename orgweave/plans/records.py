@@ -63,14 +63,14 @@ def minimal_profiles(spark, sf_dir):
 
 @query(r"""WITH h AS (SELECT page_id, lower(regexp_extract(url, '://([^/?#]*)', 1)) AS h, lower(html) AS b FROM pages)
 SELECT page_id, CASE WHEN ends_with(h, '.org') THEN 20 ELSE 0 END + 15 * least(contains(b, 'thea')::INT + contains(b, 'tion')::INT, 2) + CASE WHEN contains(h, 'thea') OR contains(h, 'tion') THEN 25 ELSE 0 END + CASE WHEN contains(b, 'heen') THEN 10 ELSE 0 END
-- CASE WHEN contains(h, 'blog') THEN 15 ELSE 0 END - CASE WHEN contains(h, 'm.th') THEN 100 ELSE 0 END AS points FROM h""")
+- CASE WHEN contains(h, 'blog') THEN 15 ELSE 0 END - CASE WHEN contains(h, 'm.th') THEN 100 ELSE 0 END AS points FROM h""", ints=("points",))
 def candidate_points(spark, sf_dir):
     names = F.array(F.lit("thea"), F.lit("tion"))
     return read(spark, sf_dir, "pages").select("page_id", profiles.candidate_points(urls.domain(F.col("url")), names, F.col("html"), "heen", ".org", ["blog"], ["m.th"]).alias("points"))
 
 
 @query(r"""WITH t AS (SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) AS t, lower(html) AS b FROM pages)
-SELECT page_id, 20 * least(contains(lower(t), 'the')::INT + contains(lower(t), 'on')::INT, 2) + CASE WHEN contains(b, 'heen') THEN 15 ELSE 0 END - CASE WHEN length(t) < 5 THEN 5 ELSE 0 END AS points FROM t""")
+SELECT page_id, 20 * least(contains(lower(t), 'the')::INT + contains(lower(t), 'on')::INT, 2) + CASE WHEN contains(b, 'heen') THEN 15 ELSE 0 END - CASE WHEN length(t) < 5 THEN 5 ELSE 0 END AS points FROM t""", ints=("points",))
 def page_points(spark, sf_dir):
     from ..sources.markup import page_title
 

@@ -83,7 +83,7 @@ def without_earlier_branch(spark, sf_dir):
     return dedupe.without_earlier(o.where("o_orderpriority LIKE '2%'"), o.where("o_orderpriority LIKE '1%'"), ["o_custkey"]).select("o_orderkey")
 
 
-@query("WITH i AS (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS n FROM conversations) SELECT conv_id, list(turn ORDER BY turn) AS turns, list(role ORDER BY turn) AS roles FROM i WHERE n = 1 GROUP BY conv_id")
+@query("WITH i AS (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS n FROM conversations) SELECT conv_id, list(turn ORDER BY turn) AS turns, list(role ORDER BY turn) AS roles FROM i WHERE n = 1 GROUP BY conv_id", lists=("turns", "roles"))
 def distinct_structs(spark, sf_dir):
     c = read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role"))).alias("items"))
     d = c.select("conv_id", dedupe.distinct_structs(F.col("items"), "role").alias("items"))
@@ -100,7 +100,7 @@ def ingest_stats(spark, sf_dir):
     return stats(p, "u", "src", ["src", "page_id"])
 
 
-@query(f"WITH p AS ({_URLS}) SELECT src, list(DISTINCT url ORDER BY url) AS urls, count(DISTINCT url) AS n FROM p GROUP BY src")
+@query(f"WITH p AS ({_URLS}) SELECT src, list(DISTINCT url ORDER BY url) AS urls, count(DISTINCT url) AS n FROM p GROUP BY src", lists=("urls",))
 def category_urls(spark, sf_dir):
     return _sites(spark, sf_dir).groupBy("src").agg(F.sort_array(F.collect_set("url")).alias("urls"), F.count_distinct("url").alias("n"))
 
@@ -188,7 +188,7 @@ def dedup_pairs(spark, sf_dir):
     return link.duplicate_pairs(c).select("i", "j", F.round("score", 6).alias("score"))
 
 
-@query("SELECT c_custkey % 500 AS group_id, list(c_custkey ORDER BY c_custkey) AS members, 'Green Works GmbH' AS canonical_name, round((sum(0.9) + 0)::DOUBLE / count(*) + CASE WHEN count(*) = 3 THEN 0.1 / 3 ELSE 0.1 * 0 END, 6) AS confidence FROM customer GROUP BY 1 HAVING count(*) > 1")
+@query("SELECT c_custkey % 500 AS group_id, list(c_custkey ORDER BY c_custkey) AS members, 'Green Works GmbH' AS canonical_name, round((sum(0.9) + 0)::DOUBLE / count(*) + CASE WHEN count(*) = 3 THEN 0.1 / 3 ELSE 0.1 * 0 END, 6) AS confidence FROM customer GROUP BY 1 HAVING count(*) > 1", lists=("members",))
 def dedup_groups(spark, sf_dir):
     c = read(spark, sf_dir, "customer").selectExpr("c_custkey AS id", "'Green Works GmbH' AS name", "'https://www.org' || (c_custkey % 500) || '.example.com/' || c_custkey AS url", "'Street ' || (c_custkey % 500) || ' Town ' || (c_custkey % 7) AS address", "array('+49 40 ' || (c_custkey % 1000)) AS phones")
     return link.duplicate_groups(link.duplicate_pairs(c), c).withColumn("confidence", F.round("confidence", 6))
@@ -275,7 +275,7 @@ def lag_shift(spark, sf_dir):
     return windows.shifted(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role"), "role", "conv_id", "turn")
 
 
-@query("""SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN text[1:20] END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS section, sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS run FROM conversations""")
+@query("""SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN text[1:20] END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS section, sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS run FROM conversations""", ints=("run",))
 def carry_forward(spark, sf_dir):
     c, head = read(spark, sf_dir, "conversations"), F.col("role") == "user"
     return c.select("conv_id", "turn", windows.carry_forward(F.when(head, F.substring("text", 1, 20)), ["conv_id"], ["turn"]).alias("section"), windows.run_id(head, ["conv_id"], ["turn"]).alias("run"))
@@ -302,18 +302,18 @@ def rate_window(spark, sf_dir):
 
 
 @query("""WITH u AS (SELECT user_id, event_id, sum(1) OVER (PARTITION BY user_id ORDER BY event_id) AS used FROM events)
-SELECT user_id, event_id, used, CASE WHEN used > 60 THEN 'over' WHEN used >= 54 THEN '90%' WHEN used >= 48 THEN '80%' ELSE 'ok' END AS level FROM u""")
+SELECT user_id, event_id, used, CASE WHEN used > 60 THEN 'over' WHEN used >= 54 THEN '90%' WHEN used >= 48 THEN '80%' ELSE 'ok' END AS level FROM u""", ints=("used",))
 def quota_levels(spark, sf_dir):
     return windows.quota(read(spark, sf_dir, "events"), "user_id", F.lit(1), ["event_id"], 60.0).select("user_id", "event_id", "used", "level")
 
 
-@query("""SELECT l_suppkey, l_orderkey, l_linenumber, l_extendedprice FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS n FROM lineitem) WHERE n <= 5""")
+@query("""SELECT l_suppkey, l_orderkey, l_linenumber, l_extendedprice FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS n FROM lineitem) WHERE n <= 5""", ints=("l_linenumber",))
 def topk_per_entity(spark, sf_dir):
     l = read(spark, sf_dir, "lineitem")
     return dedupe.keep(l, ["l_suppkey"], [F.desc("l_extendedprice"), "l_orderkey", "l_linenumber"], 5).select("l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice")
 
 
-@query("""SELECT o_orderkey, CASE o_orderpriority[1] WHEN '1' THEN 3 WHEN '2' THEN 2 ELSE 1 END AS impact FROM orders ORDER BY impact DESC, o_totalprice DESC, o_orderkey LIMIT 100""")
+@query("""SELECT o_orderkey, CASE o_orderpriority[1] WHEN '1' THEN 3 WHEN '2' THEN 2 ELSE 1 END AS impact FROM orders ORDER BY impact DESC, o_totalprice DESC, o_orderkey LIMIT 100""", ints=("impact",))
 def opportunity_sort(spark, sf_dir):
     k = F.substring("o_orderpriority", 1, 1)
     o = read(spark, sf_dir, "orders").withColumn("impact", F.when(k == "1", 3).when(k == "2", 2).otherwise(1))
