@@ -17,4 +17,5 @@ QUERIES = {
 SQL = {
     "op1_quality_rules": quality.OP1_SQL,
     "op5_decontaminate": decontaminate.OP5_SQL,
+    "op9_line_dedup": lines.OP9_SQL,
 }
