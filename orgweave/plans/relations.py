@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geo, text, urls
-from ..operators import dedupe, link, merge, windows
+from ..operators import dedupe, link, merge, setjoin, windows
 from ..regions import REGIONS
 from .base import query, read
 from .expressions import _KM, _LAT, _LON, _SPLIT
@@ -344,11 +344,7 @@ def set_operations(spark, sf_dir):
 SELECT a.doc_id AS a, b.doc_id AS b, round(len(list_intersect(a.w, b.w)) / len(list_distinct(a.w || b.w)), 6) AS jaccard FROM d a JOIN d b ON a.lang = b.lang AND a.source = b.source AND a.doc_id < b.doc_id AND least(len(a.w), len(b.w)) >= 0.5 * greatest(len(a.w), len(b.w)) WHERE len(list_intersect(a.w, b.w)) / len(list_distinct(a.w || b.w)) >= 0.5""")
 def jaccard_pairs(spark, sf_dir):
     d = read(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.array_distinct(text.blank_words(F.col("text"))).alias("w"))
-    e = d.select(*(F.col(c).alias(c + "2") for c in d.columns))
-    near = (F.least(F.size("w"), F.size("w2")) >= 0.5 * F.greatest(F.size("w"), F.size("w2"))) & (F.col("doc_id") < F.col("doc_id2"))
-    met = d.join(e, (F.col("lang") == F.col("lang2")) & (F.col("source") == F.col("source2")) & near)
-    j = text.jaccard(F.col("w"), F.col("w2"))
-    return met.select(F.col("doc_id").alias("a"), F.col("doc_id2").alias("b"), F.round(j, 6).alias("jaccard")).where("jaccard >= 0.5")
+    return setjoin.similar_pairs(d, "doc_id", "w", 0.5, ("lang", "source")).withColumn("jaccard", F.round("jaccard", 6))
 
 
 @query("SELECT count(*) AS total, count(toxic) AS completed, count(*) FILTER (toxic = 1) AS failed, count(*) - count(toxic) AS remaining, round(100.0 * count(toxic) / count(*), 2)::DOUBLE AS percent, round(avg(toxic), 6) AS mean FROM documents LEFT JOIN labels USING (doc_id)")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orgweave.functions import text
-from orgweave.operators import cluster, collab, dedupe, generate, graph, link, merge
+from orgweave.operators import cluster, collab, dedupe, generate, graph, link, merge, setjoin
 from orgweave.operators.components import connected_components
 from orgweave.sources import markup, registry, sinks
 from orgweave.streaming import new_only, upsert_batches
@@ -145,6 +145,15 @@ def test_value_chain_top(spark):
     assert {k: sorted(v) for k, v in got.items()} == {k: v[:3] for k, v in want.items()}
 
 
+@pytest.mark.parametrize("least", [0.5, 0.8, 1.0])
+def test_similar_pairs(spark, least):
+    r = random.Random(3)
+    rows = [(i, sorted(set(r.choices("abcdefghijklmno", k=r.randrange(0, 9)))), i % 2) for i in range(80)]
+    got = {(x.a, x.b) for x in setjoin.similar_pairs(spark.createDataFrame(rows, "i int, w array<string>, g int"), "i", "w", least, ("g",)).collect()}
+    want = {(a, b) for a, x, g in rows for b, y, h in rows if a < b and g == h and x and y and len(set(x) & set(y)) / len(set(x) | set(y)) >= least}
+    assert got == want and want
+
+
 def test_query_counts(spark):
     terms = spark.createDataFrame([("r", f"t{i}") for i in range(141)], "role string, term string")
     keywords = spark.createDataFrame([(f"k{i}",) for i in range(14)], "keyword string")
