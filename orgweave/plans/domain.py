@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import scores, text, urls
 from ..operators import cluster, collab, generate, graph, link, taxonomy
 from ..sources import markup
 from ..streaming import rates, sessions
