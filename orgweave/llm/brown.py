@@ -1,18 +1,21 @@
 """Language-model scores from a class-based bigram model with exchange clustering.
 
 P(w | previous) = P(class of w | class of previous) * P(unit of w | class) * P(w | unit).
-The most frequent words are units of their own; every other word belongs to the unit of
-its ending, so that all words of the corpus, known or not, have a class. Counts of words
-and of neighbouring units are taken over all training documents. Exchange clustering then
-moves units between classes while the likelihood of the class bigrams grows.
+Every word that training has LEAST times is clustered; rarer and unknown words belong to
+the unit of their ending, so that all words have a class. Counts are taken over all
+training documents. Exchange clustering of the most frequent words and the endings seeds
+the classes. Every other clustered word is then placed in rounds over the cluster: its
+neighbours are counted by class, and it moves to the class that raises the likelihood of
+the class bigrams most.
 
 Words are carried as 64-bit hashes in packed arrays. Texts are dealt to blocks; a block
-asks each hash bucket for the counts of just the words it has, and is scored with that
-dictionary. So no task holds the vocabulary and nothing that grows is broadcast.
+asks each hash bucket for the counts and classes of just the words it has, and is counted
+and scored with that dictionary. So no task holds the vocabulary and nothing that grows is broadcast.
 """
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,11 +28,17 @@ from .common import cut, fold, partitions, small_batches, table
 from .tokens import BLANKS, Batch, pieces, text_list, words
 
 END = np.uint64(0x5851F42D4C957F2D)
-#: Words that are units of their own, units of endings, classes, sweeps of the exchange.
+#: Words that seed the classes, units of endings, classes, sweeps of the exchange.
 CORE, SHAPES, CLASSES, SWEEPS = 512, 64, 48, 12
+#: Training count from which a word has a class of its own, and rounds that place words.
+LEAST, ROUNDS = 3, 2
 UNITS = CORE + SHAPES + 1
 _ENTRY = np.dtype([("h", "<u8"), ("n", "<i8"), ("shape", "<i8")])
-_REPLY = np.dtype([("h", "<u8"), ("n", "<i8")])
+_REPLY = np.dtype([("h", "<u8"), ("n", "<i8"), ("shape", "u1")])
+_PLACE = np.dtype([("h", "<u8"), ("c", "i1")])
+#: Slots of a word's neighbours: classes after it, classes before it, itself.
+SLOTS = 2 * CLASSES + 1
+_MANY = np.dtype([("at", "<u4"), ("n", "<u4")])
 
 
 def _shapes(b: Batch) -> np.ndarray:
@@ -38,12 +47,16 @@ def _shapes(b: Batch) -> np.ndarray:
     return (b.hashes(start, b.end) >> np.uint64(20)).astype(np.int64) % SHAPES
 
 
-def _stream(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, shape, text) of every token: words, then one end for each text."""
+def _tokens(texts: list) -> tuple[np.ndarray, np.ndarray, Batch, np.ndarray]:
+    """(hash, text) of every token: words, then one end for each text; words, where ends go in."""
     b = words(texts, BLANKS)
     at = np.searchsorted(b.doc, np.arange(len(texts)), "right")
-    h = np.insert(b.hashes(), at, END)
-    doc = np.insert(b.doc, at, np.arange(len(texts)))
+    return np.insert(b.hashes(), at, END), np.insert(b.doc, at, np.arange(len(texts))), b, at
+
+
+def _stream(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, shape, text) of every token."""
+    h, doc, b, at = _tokens(texts)
     return h, np.insert(_shapes(b), at, 0), doc
 
 
@@ -90,7 +103,8 @@ def _words_of_blocks(n: int):
 
 
 def _count_bucket(g: pd.DataFrame) -> pd.DataFrame:
-    """Answers for the blocks (kind 0), and the bucket's summary: sums (1) and top words (2)."""
+    """Answers for the blocks (kind 0), and the bucket's summary: sums (1), top words (2),
+    words seen once (3) and tokens of unclustered words (4) by ending."""
     parts = [np.frombuffer(x, _ENTRY) for x in g.data]
     a = np.concatenate(parts)
     h, first, inv = np.unique(a["h"], return_index=True, return_inverse=True)
@@ -99,36 +113,38 @@ def _count_bucket(g: pd.DataFrame) -> pd.DataFrame:
     rows, at = [], 0
     for block, p in zip(g.block, parts):
         r = np.empty(len(p), _REPLY)
-        r["h"], r["n"] = p["h"], total[inv[at : at + len(p)]]
+        r["h"], r["n"], r["shape"] = p["h"], total[inv[at : at + len(p)]], p["shape"]
         at += len(p)
         rows.append((0, int(block), 0, 0, r.tobytes()))
     known = total > 0
     rows += [(1, 0, 0, int(known.sum()), b""), (1, 0, 1, int(total.sum()), b"")]
     top = np.lexsort((h, -total))[:CORE]
-    rows += [(2, 0, int(h[k].view(np.int64)), int(total[k]), shape[k].tobytes()) for k in top if total[k]]
+    rows += [(2, 0, int(h[k].view(np.int64)), int(total[k]), b"") for k in top if total[k] >= LEAST]
     once = np.bincount(shape[total == 1], minlength=SHAPES)
     rows += [(3, 0, s, int(once[s]), b"") for s in np.flatnonzero(once)]
+    few = (total < LEAST) & (h != END)
+    few = np.bincount(shape[few], total[few], SHAPES).astype(np.int64)
+    rows += [(4, 0, s, int(few[s]), b"") for s in np.flatnonzero(few)]
     return pd.DataFrame(rows, columns=["kind", "block", "key", "n", "data"])
 
 
 @dataclass
 class Model:
     """core: sorted hashes of the words that are units; of: class of each unit; move:
-    log10 P(class | class); emit: log10 P(unit | class of the unit); rest: log10 of
+    log10 P(class | class); emit: log10 P(unit | class of the unit); whole: log10 of each
+    class's tokens, smoothed, by which a placed word's count is divided; rest: log10 of
     (1 - unknown share) / tokens of each ending's unit; unknown: log10 of that share."""
 
     core: np.ndarray
     of: np.ndarray
     move: np.ndarray
     emit: np.ndarray
+    whole: np.ndarray
     rest: np.ndarray
     unknown: np.ndarray
     types: int
     tokens: int
 
-    def units(self, h: np.ndarray, shape: np.ndarray) -> np.ndarray:
-        return _units(self.core, h, shape)
-
 
 def _units(core: np.ndarray, h: np.ndarray, shape: np.ndarray) -> np.ndarray:
     k = np.searchsorted(core, h)
@@ -182,22 +198,64 @@ def exchange(n: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.
     return of
 
 
-def train(blocks: DataFrame, answers: DataFrame) -> Model:
-    """The model: all that is collected is bounded by CORE, SHAPES and UNITS squared."""
-    sums = answers.where("kind IN (1, 3)").groupBy("kind", "key").agg(F.sum("n").alias("n")).collect()
-    stat = {(r.kind, r.key): r.n for r in sums}
-    types, tokens = stat.get((1, 0), 0), stat.get((1, 1), 0)
-    top = answers.where("kind = 2").orderBy(F.desc("n"), "key").limit(CORE).select("key", "n", "data").collect()
+def _f(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1e-300))
+
+
+def likelihood(g: np.ndarray) -> float:
+    """Of class bigram counts g[before, after], but for what no class changes."""
+    g = g.astype(float)
+    return float(_f(g).sum() - _f(g.sum(0)).sum() - _f(g.sum(1)).sum())
+
+
+def moves(g: np.ndarray, here: np.ndarray, near: np.ndarray, chunk: int = 20_000) -> np.ndarray:
+    """Best class of each word, the others kept where they are.
+
+    near[w] counts the word's neighbours by slot, its own repetitions only in the last.
+    Only classes that a word has beside it change a term of the likelihood, so the cost
+    grows with the filled slots. A word stays unless another class is better.
+    """
+    g, near = g.astype(float), near.astype(float)
+    row, col, own = near[:, :CLASSES], near[:, CLASSES:-1], near[:, -1]
+    all_w = np.arange(len(near))
+    gain = np.zeros((len(near), CLASSES))
+    for table, mine, other in ((g.T, row, col), (g, col, row)):
+        w, j = np.nonzero(mine)
+        for at in range(0, len(w), chunk):
+            a, b = w[at : at + chunk], j[at : at + chunk]
+            k = np.arange(len(a))
+            x = table[b].copy()
+            x[k, here[a]] -= mine[a, b]
+            same = np.flatnonzero(b == here[a])
+            x[same] -= other[a[same]]
+            x[same, here[a[same]]] -= own[a[same]]
+            first = np.flatnonzero(np.diff(a, prepend=-1))
+            gain[a[first]] += np.add.reduceat(_f(x + mine[a, b][:, None]) - _f(x), first)
+    d = np.tile(np.diag(g), (len(near), 1))
+    d[all_w, here] -= row[all_w, here] + col[all_w, here] + own
+    gain += _f(d + row + col + own[:, None]) - _f(d + row) - _f(d + col) + _f(d)
+    for side, mine in ((g.sum(1), row), (g.sum(0), col)):
+        n = (mine.sum(1) + own)[:, None]
+        x = np.tile(side, (len(near), 1))
+        x[all_w, here] -= n[:, 0]
+        gain -= _f(x + n) - _f(x)
+    best = gain.argmax(1)
+    return np.where(gain[all_w, best] > gain[all_w, here] + 1e-9, best, here)
+
+
+def _seeds(blocks: DataFrame, answers: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(core, class of each unit, count of each unit): all that is collected is bounded by
+    CORE, SHAPES and UNITS squared. Endings stand for all words but the core's here."""
+    top = answers.where("kind = 2").orderBy(F.desc("n"), "key").limit(CORE).select("key").collect()
     core = np.array([r.key for r in top], np.int64).view(np.uint64)
     core = np.sort(core[core != END])
-    shared = core
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n = np.zeros(UNITS * UNITS, np.int64)
         for b in batches:
             for _, part in pieces(text_list(b.text)):
                 h, shape, _ = _stream(part)
-                u = _units(shared, h, shape)
+                u = _units(core, h, shape)
                 n += np.bincount(np.concatenate(([UNITS - 1], u[:-1])) * UNITS + u, minlength=UNITS * UNITS)
         k = np.flatnonzero(n)
         yield pd.DataFrame({"pair": k, "n": n[k]})
@@ -207,31 +265,240 @@ def train(blocks: DataFrame, answers: DataFrame) -> Model:
     n = np.zeros(UNITS * UNITS)
     n[got.pair.to_numpy(np.int64)] = got.n.to_numpy(float)
     n = n.reshape(UNITS, UNITS)
-    of = exchange(n)
-    onto = np.eye(CLASSES)[of]
-    unit = n.sum(0)
-    moves, size = onto.T @ n @ onto, onto.T @ unit
+    return core, exchange(n), n.sum(0)
+
+
+@dataclass
+class _Known:
+    """What the buckets told a block: sorted hashes of all its words, their training counts,
+    endings, and the classes of placed words (-1: none yet, or not placed)."""
+
+    h: np.ndarray
+    n: np.ndarray
+    shape: np.ndarray
+    c: np.ndarray
+
+    def classes(self, core: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(unit, class) of each word."""
+        u = _units(core, self.h, self.shape)
+        return u, np.where(self.c >= 0, self.c, of[u])
+
+
+def _dealt(blocks: DataFrame, answers: DataFrame, places: DataFrame | None) -> DataFrame:
+    """What the buckets told each block (kinds 0 and 1), followed by its texts (2)."""
+    none = F.lit(None)
+
+    def told(d: DataFrame, kind: int) -> DataFrame:
+        return d.where("kind = 0").select("block", F.lit(kind).alias("kind"), "data", none.cast("string").alias("text"), none.cast("long").alias("doc_id"), none.cast("boolean").alias("learn"))
+
+    n = partitions(blocks.sparkSession)
+    texts = blocks.select("block", F.lit(2).alias("kind"), none.cast("binary").alias("data"), "text", F.col("doc_id").cast("long").alias("doc_id"), "learn")
+    both = told(answers, 0).unionByName(texts)
+    if places is not None:
+        both = both.unionByName(told(places, 1))
+    return both.repartition(n, "block").sortWithinPartitions("block", "kind")
+
+
+def _by_block(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, _Known, pd.DataFrame]]:
+    """(block, what it was told, some of its texts)."""
+    block = known = None
+    for b in batches:
+        for k, g in b.groupby("block", sort=True):
+            if k != block:
+                block, counts, classes, known = k, [], [], None
+            counts += [np.frombuffer(x, _REPLY) for x in g.data[g.kind == 0]]
+            classes += [np.frombuffer(x, _PLACE) for x in g.data[g.kind == 1]]
+            g = g[g.kind == 2]
+            if not len(g):
+                continue
+            if known is None:
+                a = np.sort(np.concatenate(counts or [np.empty(0, _REPLY)]), order="h")
+                known = _Known(a["h"].copy(), a["n"].copy(), a["shape"].astype(np.int64), np.full(len(a), -1))
+                for e in classes:
+                    known.c[np.searchsorted(known.h, e["h"])] = e["c"]
+                counts, classes = [], []
+            yield int(block), known, g
+
+
+def _packed(w: np.ndarray, s: np.ndarray, n: np.ndarray, words: int) -> bytes:
+    """Slots and counts of the words 0, 1, ..: mostly two bytes for each filled slot."""
+    many = np.flatnonzero(n > 254)
+    big = np.empty(len(many), _MANY)
+    big["at"], big["n"] = many, n[many]
+    filled = np.bincount(w, minlength=words).astype(np.uint8)
+    return filled.tobytes() + s.astype(np.uint8).tobytes() + np.minimum(n, 255).astype(np.uint8).tobytes() + big.tobytes()
+
+
+def _unpacked(data: bytes, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    a = np.frombuffer(data, np.uint8)
+    w = np.repeat(np.arange(words), a[:words])
+    s, n = a[words : words + len(w)], a[words + len(w) : words + 2 * len(w)].astype(np.int64)
+    big = np.frombuffer(data[words + 2 * len(w) :], _MANY)
+    n[big["at"]] = big["n"]
+    return w, s, n
+
+
+def _let_go(spark) -> None:
+    """Spark deletes the shuffle files and checkpoints of past steps once their plans are collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def _neighbours(core: np.ndarray, of: np.ndarray, n: int, contexts: bool):
+    """Class bigrams (bucket -1), and for each block and bucket the block's words that are
+    to be placed and, of its training texts, their neighbours by class."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        g2 = np.zeros(CLASSES * CLASSES, np.int64)
+        columns = ["block", "bucket", "key", "n", "words", "here", "data"]
+        block, held = None, []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            key = np.concatenate([x for x, _ in held] or [np.empty(0, np.int64)])
+            u, inv = np.unique(key, return_inverse=True)
+            return u, np.bincount(inv, np.concatenate([x for _, x in held] or [np.empty(0)]), len(u)).astype(np.int64)
+
+        def send() -> Iterator[pd.DataFrame]:
+            key, count = merged()
+            w, s = key // SLOTS, key % SLOTS
+            bucket = (own_h % np.uint64(n)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            ends = np.searchsorted(bucket[order], np.arange(n + 1))
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            by = np.argsort(rank[w], kind="stable")
+            w, s, count = rank[w][by], s[by], count[by]
+            at = np.searchsorted(w, ends)
+            rows = []
+            for k in np.flatnonzero(np.diff(ends)):
+                mine, x = order[ends[k] : ends[k + 1]], slice(at[k], at[k + 1])
+                e = _packed(w[x] - ends[k], s[x], count[x], len(mine))
+                rows.append((block, int(k), 0, 0, own_h[mine].tobytes(), own_c[mine].astype(np.int8).tobytes(), e))
+            yield pd.DataFrame(rows, columns=columns)
+
+        for b, known, g in _by_block(batches):
+            if b != block:
+                if contexts and block is not None:
+                    yield from send()
+                block, held = b, []
+                unit, cls = known.classes(core, of)
+                own = (known.n >= LEAST) & (unit >= CORE) & (unit < UNITS - 1)
+                slot = np.where(own, np.cumsum(own) - 1, -1)
+                own_h, own_c = known.h[own], cls[own]
+            for _, part in pieces(text_list(g.text[g.learn.to_numpy(bool)])):
+                k = np.searchsorted(known.h, _tokens(part)[0])
+                c = cls[k]
+                end = of[UNITS - 1]
+                before = np.concatenate(([end], c[:-1]))
+                g2 += np.bincount(before * CLASSES + c, minlength=CLASSES * CLASSES)
+                if not contexts:
+                    continue
+                w = slot[k]
+                again = np.concatenate((k[1:] == k[:-1], [False]))
+                back = np.concatenate(([False], again[:-1]))
+                after = np.concatenate((c[1:], [end]))
+                key = np.concatenate((w * SLOTS + np.where(again, 2 * CLASSES, after), (w * SLOTS + CLASSES + before)[~back]))
+                key, count = np.unique(key[np.concatenate((w, w[~back])) >= 0], return_counts=True)
+                held.append((key, count))
+                if sum(len(x) for x, _ in held) > 2_000_000:
+                    held = [merged()]
+        if contexts and block is not None:
+            yield from send()
+        k = np.flatnonzero(g2)
+        yield pd.DataFrame({"block": -1, "bucket": -1, "key": k, "n": g2[k], "words": None, "here": None, "data": None})
+
+    return run
+
+
+def _move_bucket(g2: np.ndarray):
+    """Places a bucket's words: answers for the blocks (kind 0), words in each class (1)."""
+
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        words_of = [np.frombuffer(x, np.uint64) for x in g.words]
+        h, first, inv = np.unique(np.concatenate(words_of), return_index=True, return_inverse=True)
+        here = np.concatenate([np.frombuffer(x, np.int8) for x in g.here])[first].astype(np.int64)
+        near, at = np.zeros((len(h), SLOTS), np.int64), 0
+        for w, x in zip(words_of, g.data):
+            k, slot, count = _unpacked(x, len(w))
+            near[inv[at : at + len(w)][k], slot] += count  # a block has a word and slot once
+            at += len(w)
+        place, at, rows = moves(g2, here, near), 0, []
+        for block, w in zip(g.block, words_of):
+            e = np.empty(len(w), _PLACE)
+            e["h"], e["c"] = w, place[inv[at : at + len(w)]]
+            at += len(w)
+            rows.append((0, int(block), 0, 0, e.tobytes()))
+        rows += [(1, 0, int(c), int(x), b"") for c, x in enumerate(np.bincount(place, minlength=CLASSES)) if x]
+        return pd.DataFrame(rows, columns=["kind", "block", "key", "n", "data"])
+
+    return run
+
+
+def _bigrams(near: DataFrame) -> np.ndarray:
+    g2 = np.zeros(CLASSES * CLASSES, np.int64)
+    for r in near.where("bucket < 0").groupBy("key").agg(F.sum("n").alias("n")).collect():
+        g2[r.key] = r.n
+    return g2.reshape(CLASSES, CLASSES)
+
+
+def place(blocks: DataFrame, answers: DataFrame, core: np.ndarray, of: np.ndarray, rounds: int = ROUNDS) -> tuple[DataFrame, np.ndarray]:
+    """(classes of the placed words for each block, class bigrams), after some rounds.
+
+    In a round all words move at once by the counts of the round before. The first round
+    places them; what a later one moves is kept if the likelihood rose.
+    """
+    n = partitions(blocks.sparkSession)
+    learnt = blocks.withColumn("text", F.when(F.col("learn"), F.col("text")))  # blocks of held-out texts alone have words, too
+    kept = places = None
+    for k in range(rounds + 1):
+        near = _dealt(learnt, answers, places).mapInPandas(_neighbours(core, of, n, k < rounds), "block int, bucket int, key int, n long, words binary, here binary, data binary")
+        near = cut(near)
+        _let_go(blocks.sparkSession)
+        g2 = _bigrams(near)
+        if k > 1 and likelihood(g2) <= likelihood(kept[1]):
+            break
+        kept = places, g2
+        if k < rounds:
+            places = cut(near.where("bucket >= 0").groupBy("bucket").applyInPandas(_move_bucket(g2), "kind int, block int, key long, n long, data binary"))
+            del near
+            _let_go(blocks.sparkSession)
+    return kept
+
+
+def train(blocks: DataFrame, answers: DataFrame) -> tuple[Model, DataFrame]:
+    """The model, and the classes of the placed words for each block."""
+    stat = {(r.kind, r.key): r.n for r in answers.where("kind IN (1, 3, 4)").groupBy("kind", "key").agg(F.sum("n").alias("n")).collect()}
+    types, tokens = stat.get((1, 0), 0), stat.get((1, 1), 0)
+    core, of, unit = _seeds(blocks, answers)
+    places, g2 = place(blocks, answers, core, of)
+    members = np.bincount(of, minlength=CLASSES).astype(float)
+    for r in places.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).collect():
+        members[r.key] += r.n
+    ending = np.array([stat.get((4, s), 0) for s in range(SHAPES)], float)
+    unit[CORE : CORE + SHAPES] = ending
+    size = g2.sum(0).astype(float)
     share = (size + 1) / (size.sum() + CLASSES)
-    move = (moves + CLASSES * share) / (moves.sum(1, keepdims=True) + CLASSES)
-    emit = (unit + 0.5) / (size + 0.5 * onto.sum(0))[of]
-    ending = unit[CORE : CORE + SHAPES]
+    move = (g2 + CLASSES * share) / (g2.sum(1, keepdims=True) + CLASSES)
+    whole = size + 0.5 * members
+    emit = (unit + 0.5) / whole[of]
     once = np.array([stat.get((3, s), 0) for s in range(SHAPES)], float)
     unknown = (np.minimum(once, ending) + 1) / (ending + 2)
     rest = np.log10((1 - unknown) / np.maximum(ending, 1))
-    return Model(core, of, np.log10(move), np.log10(emit), rest, np.log10(unknown), int(types), int(tokens))
+    return Model(core, of, np.log10(move), np.log10(emit), np.log10(whole), rest, np.log10(unknown), int(types), int(tokens)), places
 
 
-def _score(m: Model, texts: list, h_known: np.ndarray, n_known: np.ndarray) -> np.ndarray:
+def _score(m: Model, texts: list, known: _Known) -> np.ndarray:
     """Rows of n_tokens, n_known, base_score, score."""
     out = np.zeros((len(texts), 4))
+    unit, place = known.classes(m.core, m.of)
     for at, part in pieces(texts):
-        h, shape, doc = _stream(part)
-        k = np.minimum(np.searchsorted(h_known, h), max(len(h_known) - 1, 0))
-        c = np.where(h_known[k] == h, n_known[k], 0) if len(h_known) else np.zeros(len(h), np.int64)
-        u = m.units(h, shape)
-        cls = m.of[u]
-        p = m.move[np.concatenate(([m.of[UNITS - 1]], cls[:-1])), cls] + m.emit[u]
-        s = np.flatnonzero((u >= CORE) & (u < UNITS - 1))
+        h, doc, _, _ = _tokens(part)
+        k = np.searchsorted(known.h, h)
+        u, cls, c = unit[k], place[k], known.n[k]
+        own = (c >= LEAST) & (u >= CORE) & (u < UNITS - 1)
+        p = m.move[np.concatenate(([m.of[UNITS - 1]], cls[:-1])), cls]
+        p += np.where(own, np.log10(c + 0.5) - m.whole[cls], m.emit[u])
+        s = np.flatnonzero((u >= CORE) & (u < UNITS - 1) & ~own)
         e, cs = u[s] - CORE, c[s]
         p[s] += np.where(cs > 0, m.rest[e] + np.log10(np.maximum(cs, 1)), m.unknown[e])
         base = np.log10((c + 1) / (m.tokens + m.types + 1))
@@ -254,33 +521,21 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     blocks = _block(docs, doc_id, text, n)
     asked = blocks.repartition(n, "block").mapInPandas(_words_of_blocks(n), "block int, bucket int, data binary")
     answers = cut(asked.groupBy("bucket").applyInPandas(_count_bucket, "kind int, block int, key long, n long, data binary"))
-    shared = spark.sparkContext.broadcast(train(blocks, answers))
+    del asked
+    _let_go(spark)
+    model, places = train(blocks, answers)
+    shared = spark.sparkContext.broadcast(model)
+    _let_go(spark)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m, block = shared.value, None
-        parts: list[np.ndarray] = []
-        h, c = np.empty(0, np.uint64), np.empty(0, np.int64)
-        for b in batches:
-            for k, g in b.groupby("block", sort=True):
-                if k != block:
-                    block, parts, h = k, [], None
-                parts += [np.frombuffer(x, _REPLY) for x in g.data if x is not None]
-                g = g[g.data.isna()]
-                if not len(g):
-                    continue
-                if h is None:
-                    a = np.sort(np.concatenate(parts or [np.empty(0, _REPLY)]), order="h")
-                    h, c, parts = a["h"].copy(), a["n"].copy(), []
-                rows = _score(m, text_list(g.text), h, c)
-                yield pd.DataFrame({"doc_id": g.doc_id, "n_tokens": rows[:, 0].astype(np.int64), "n_known": rows[:, 1].astype(np.int64), "base_score": rows[:, 2], "score": rows[:, 3]})
+        m = shared.value
+        for _, known, g in _by_block(batches):
+            rows = _score(m, text_list(g.text), known)
+            yield pd.DataFrame({"doc_id": g.doc_id, "n_tokens": rows[:, 0].astype(np.int64), "n_known": rows[:, 1].astype(np.int64), "base_score": rows[:, 2], "score": rows[:, 3]})
 
-    none = F.lit(None)
-    told = answers.where("kind = 0").select("block", "data", none.cast("string").alias("text"), none.cast("long").alias("doc_id"))
-    asked_for = blocks.select("block", none.cast("binary").alias("data"), "text", F.col("doc_id").cast("long").alias("doc_id"))
-    both = told.unionByName(asked_for).repartition(n, "block").sortWithinPartitions("block", F.col("data").isNull())
-    out = both.mapInPandas(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    out = _dealt(blocks, answers, places).mapInPandas(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     held = F.coalesce(fold(F.col("doc_id"), 7) == 2, F.lit(False)).alias("held_out")
-    tokens = F.lit(shared.value.tokens).cast("long").alias("train_tokens")
+    tokens = F.lit(model.tokens).cast("long").alias("train_tokens")
     return out.select("doc_id", held, "n_tokens", "n_known", tokens, "base_score", "score")
 
 

@@ -220,6 +220,56 @@ def test_brown_probabilities_sum_to_one():
     assert of.min() >= 0 and of.max() < brown.CLASSES and len(of) == brown.UNITS
 
 
+def test_moves_are_the_best():
+    """Against the likelihood of all token classes, counted anew for each move."""
+    r = np.random.default_rng(6)
+    t = r.integers(0, 120, 3000)
+    t[50:60], c = 7, brown.CLASSES
+    of = r.integers(0, c, 120)
+
+    def bigrams(of):
+        return np.bincount(of[t[:-1]] * c + of[t[1:]], minlength=c * c).reshape(c, c)
+
+    near = np.zeros((120, brown.SLOTS), np.int64)
+    for a, b in zip(t[:-1], t[1:]):
+        if a == b:
+            near[a, -1] += 1
+        else:
+            near[a, of[b]] += 1
+            near[b, c + of[a]] += 1
+    got = brown.moves(bigrams(of), of, near, chunk=37)
+    for w in range(0, 120, 7):
+        value = [brown.likelihood(bigrams(np.where(np.arange(120) == w, k, of))) for k in range(c)]
+        assert value[got[w]] >= max(value) - 1e-6
+
+
+def test_brown_classes_of_words_beyond_the_core(spark):
+    """Words of two kinds alternate; endings don't tell the kinds apart. All have classes."""
+    r = random.Random(12)
+    kind = [[f"{k}{i}xyz" for i in range(700)] for k in "pq"]
+    docs = [(i, " ".join(r.choice(kind[k % 2]) for k in range(80))) for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    blocks = brown._block(df, "doc_id", "text", 4)
+    asked = blocks.repartition(4, "block").mapInPandas(brown._words_of_blocks(4), "block int, bucket int, data binary")
+    answers = asked.groupBy("bucket").applyInPandas(brown._count_bucket, "kind int, block int, key long, n long, data binary").cache()
+    m, places = brown.train(blocks, answers)
+    of = {}
+    for row in places.where("kind = 0").collect():
+        of.update(np.frombuffer(row.data, brown._PLACE).tolist())
+    count = collections.Counter(w for i, t in docs if zlib.crc32(str(i).encode()) % 7 != 2 for w in words(t))
+    hashes = dict(zip(count, brown.words(list(count)).hashes().tolist()))
+    core = set(m.core.tolist())
+    assert set(of) == {hashes[w] for w, n in count.items() if n >= brown.LEAST} - core and len(of) > 700
+    by = [collections.Counter(of[hashes[w]] for w in count if w[0] == k and hashes[w] in of) for k in "pq"]
+    assert sum(min(by[0][c], by[1][c]) for c in range(brown.CLASSES)) < 0.02 * len(of)
+    assert abs((10 ** m.move).sum(1) - 1).max() < 1e-9
+    total = np.bincount(m.of, 10**m.emit, brown.CLASSES)
+    for w, n in count.items():
+        if hashes[w] in of:
+            total[of[hashes[w]]] += 10 ** (np.log10(n + 0.5) - m.whole[of[hashes[w]]])
+    assert abs(total - 1).max() < 1e-9
+
+
 def test_exchange_raises_likelihood():
     r = np.random.default_rng(4)
     n = r.poisson(0.2, (60, 60)).astype(float)
