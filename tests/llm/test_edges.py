@@ -116,6 +116,23 @@ def test_license_paragraphs(spark):
     assert all(0 <= x.probability <= 1 for x in r.licenses)
 
 
+def test_license_texts_without_an_anchor(spark):
+    """Every template, the usual texts, and lines that hold just enough of a template."""
+    known = {
+        "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction",
+        "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "Public-Domain": "This is free and unencumbered software released into the public domain.",
+    }
+    lines = [(f, t) for f, ts in licenses.TEMPLATES.items() if f != licenses.UNKNOWN for t in ts] + list(known.items())
+    text = "\n".join(t for _, t in lines) + "\nDedicated to the public domain under CC0 1.0"
+    got = {x.line: x for x in licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().licenses}
+    assert [got[k].family for k in range(len(lines) + 1)] == [f for f, _ in lines] + ["Public-Domain"]
+    may = re.compile(licenses._may_confirm())
+    for _, t in lines[: -len(known)]:
+        w = sorted(set(licenses.words_of(t)), key=lambda x: (len(x), x))  # the commonest words first
+        assert may.search(" ".join(w[: licenses._needed(len(w))]))
+
+
 def test_pii_matches_plain_patterns(spark):
     def luhn(x):
         return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(x))) % 10 == 0
