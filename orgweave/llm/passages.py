@@ -49,11 +49,13 @@ _STOPS = np.isin(np.arange(256), [ord(c) for c in ".!?"])
 
 @dataclass
 class Units:
-    """Units of some texts, in order: text, number of the line, sentence number (-1: the
-    line itself), first and one past the last word of the batch, byte offsets, key."""
+    """Units of some texts, in order: text, number of the line, its number among the text's
+    lines that have words, sentence number (-1: the line itself), first and one past the last
+    word of the batch, key."""
 
     doc: np.ndarray
     line: np.ndarray
+    nth: np.ndarray
     part: np.ndarray
     first: np.ndarray
     past: np.ndarray
@@ -70,7 +72,7 @@ def units(texts: list, s: Settings):
     line = np.searchsorted(ends, b.start)
     if not len(line):
         z = np.empty(0, np.int64)
-        return b, Units(z, z, z, z, z, z.view(np.uint64))
+        return b, Units(z, z, z, z, z, z, z.view(np.uint64))
     new = np.flatnonzero(np.diff(line, prepend=-1))
     past = np.append(new[1:], len(line))
     stop = _STOPS[b.buf[b.end - 1]]
@@ -91,7 +93,8 @@ def units(texts: list, s: Settings):
     spans = zip(b.start[first].tolist(), b.end[past - 1].tolist())
     key = np.fromiter((xxhash.xxh64_intdigest(b" ".join(whole[i:j].split()), seed=42) for i, j in spans), np.uint64, len(first))
     start_line = np.searchsorted(ends, b.doc_at[:-1])
-    return b, Units(doc, line[first] - start_line[doc], part, first, past, key)
+    row = np.searchsorted(new, first, "right") - 1  # its line among the batch's lines that have words
+    return b, Units(doc, line[first] - start_line[doc], row - np.searchsorted(b.doc[new], doc), part, first, past, key)
 
 
 def shingles(h: np.ndarray, first: np.ndarray, past: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,7 +113,7 @@ def shingles(h: np.ndarray, first: np.ndarray, past: np.ndarray, size: int) -> t
 
 def _distinct(u: Units) -> Units:
     _, k = np.unique(u.key, return_index=True)
-    return Units(*(x[k] for x in (u.doc, u.line, u.part, u.first, u.past, u.key)))
+    return Units(*(x[k] for x in (u.doc, u.line, u.nth, u.part, u.first, u.past, u.key)))
 
 
 def band_records(texts: list, s: Settings) -> np.ndarray:
@@ -190,7 +193,7 @@ def clusters(docs: DataFrame, text: str = "text", s: Settings = Settings(), larg
                 w, u = units(part, s)
                 u = _distinct(u)
                 keep = passes(shared.value, u.key.view(np.int64)) & ~np.isin(u.key.view(np.int64), np.fromiter(seen, np.int64, len(seen)))
-                u = Units(*(x[keep] for x in (u.doc, u.line, u.part, u.first, u.past, u.key)))
+                u = Units(*(x[keep] for x in (u.doc, u.line, u.nth, u.part, u.first, u.past, u.key)))
                 if not len(u.key):
                     continue
                 sh, begin = shingles(w.hashes(), u.first, u.past, s.shingle)
@@ -230,16 +233,16 @@ def _occurrences(docs: DataFrame, doc_id: str, text: str, s: Settings) -> DataFr
                 _, u = units(part, s)
                 yield pd.DataFrame({
                     "key": u.key.view(np.int64), "id": g.id.take(u.doc).to_numpy(), "rk": g.rk.to_numpy()[u.doc],
-                    "line": u.line, "part": u.part, "n": u.past - u.first,
+                    "line": u.line, "nth": u.nth, "part": u.part, "n": u.past - u.first,
                 })
 
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(text).alias("rk"), F.col(text).alias("t"))
-    return rows.mapInPandas(run, "key long, id long, rk long, line int, part int, n int")
+    return rows.mapInPandas(run, "key long, id long, rk long, line int, nth int, part int, n int")
 
 
 def shared_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s: Settings = Settings()) -> DataFrame:
-    """One row for each unit whose cluster has units of several lines: id, rk, line, part (-1: the
-    line, else the sentence's number), n (words), first_id (least id that has the unit's
+    """One row for each unit whose cluster has units of several lines: id, rk, line, nth (the
+    line's number among those that have words), part (-1: the line, else the sentence's number), n (words), first_id (least id that has the unit's
     cluster) and removed (an earlier occurrence exists). Sentences of a cluster's first
     line that are similar to it by others don't count.
 
@@ -255,35 +258,46 @@ def shared_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     first_line = F.struct(F.col("f.id").alias("id"), F.col("f.rk").alias("rk"), F.col("f.line").alias("line"))
     met = named.join(ends.where(~first_line.eqNullSafe(F.col("l"))), "c")
     met = met.where(~line.eqNullSafe(first_line) | at.eqNullSafe(F.col("f")) | (F.col("f.part") >= 0))
-    return met.select("id", "rk", "line", "part", "n", "first_id", (~at.eqNullSafe(F.col("f"))).alias("removed"))
+    return met.select("id", "rk", "line", "nth", "part", "n", "first_id", (~at.eqNullSafe(F.col("f"))).alias("removed"))
 
 
 def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s: Settings = Settings()) -> DataFrame:
     """One row per row of docs: id, n_shared and n_removed (units that have their like
-    elsewhere, or earlier), removed_lines, first_ids (the least doc_id of each passage's
-    cluster, distinct and sorted) and repeated: a run of neighbouring removed units has at
-    least passage_words words.
+    elsewhere, or earlier), removed_lines, first_ids (the least doc_id of each cluster of
+    a passage's units, distinct and sorted) and repeated: a run of neighbouring removed units
+    has at least passage_words words. A passage is a run of neighbouring shared units of as
+    many words; lines without words don't part neighbours.
     """
     found = shared_passages(docs, doc_id, text, s)
     rows = found.groupBy("id", "rk").agg(
         F.count("*").alias("n_shared"),
         F.count_if("removed").alias("n_removed"),
         F.sort_array(F.collect_set(F.when(F.col("removed") & (F.col("part") == -1), F.col("line")))).alias("removed_lines"),
-        F.sort_array(F.collect_set(F.when(F.col("n") >= s.passage_words, F.col("first_id")))).alias("first_ids"),
-        F.sort_array(F.collect_list(F.when(F.col("removed"), F.struct("line", "part", "n")))).alias("u"),
+        F.sort_array(F.collect_list(F.struct("nth", "part", "n", "first_id", "removed"))).alias("u"),
     )
     # a unit's run: one after the other sentence of a line, or line; a line that counts in whole doesn't count by sentence
-    start = F.struct(F.lit(-9).alias("line"), F.lit(-9).alias("part"), F.lit(0).alias("n"), F.lit(0).alias("most"))
-
-    def step(a, x):
-        inside = (x["line"] == a["line"]) & (a["part"] == -1)
-        near = ((x["line"] == a["line"]) & (x["part"] - a["part"] <= 3)) | ((x["line"] == a["line"] + 1) & (x["part"] <= 0))
-        n = F.when(near, a["n"]).otherwise(0) + x["n"]
-        new = F.struct(x["line"].alias("line"), x["part"].alias("part"), n.alias("n"), F.greatest(a["most"], n).alias("most"))
-        return F.when(inside, a).otherwise(new)
-
-    run = F.aggregate("u", start, step, lambda a: a["most"])
-    rows = rows.select("id", "rk", "n_shared", "n_removed", "removed_lines", "first_ids", (run >= s.passage_words).alias("repeated"))
+    ids = F.array().cast("array<bigint>")
+
+    def runs_of(u, out):
+        """Over the units u: the most words of a run, and the first ids of runs that reach passage_words."""
+        start = F.struct(F.lit(-9).alias("nth"), F.lit(-9).alias("part"), F.lit(0).alias("n"), F.lit(0).alias("most"), ids.alias("run"), ids.alias("ids"))
+
+        def step(a, x):
+            inside = (x["nth"] == a["nth"]) & (a["part"] == -1)
+            near = inside | ((x["nth"] == a["nth"]) & (x["part"] - a["part"] <= 3)) | ((x["nth"] == a["nth"] + 1) & (x["part"] <= 0))
+            n = F.when(near, a["n"]).otherwise(0) + F.when(inside, 0).otherwise(x["n"])
+            run = F.array_union(F.when(near, a["run"]).otherwise(ids), F.filter(F.array(x["first_id"]), lambda v: v.isNotNull()))
+            # the ids of a run that is long enough wait for no more words: they move on
+            enough = n >= s.passage_words
+            return F.struct(
+                x["nth"].alias("nth"), F.when(inside, a["part"]).otherwise(x["part"]).alias("part"), n.alias("n"), F.greatest(a["most"], n).alias("most"),
+                F.when(enough, ids).otherwise(run).alias("run"), F.when(enough, F.array_union(a["ids"], run)).otherwise(a["ids"]).alias("ids"),
+            )
+
+        return F.aggregate(u, start, step, lambda a: a[out])
+
+    most = runs_of(F.filter("u", lambda x: x["removed"]), "most")
+    rows = rows.select("id", "rk", "n_shared", "n_removed", "removed_lines", F.sort_array(runs_of(F.col("u"), "ids")).alias("first_ids"), (most >= s.passage_words).alias("repeated"))
     mine = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("k"))
     met = mine.join(rows, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("k") == F.col("rk")), "left")
     empty = lambda c, kind: F.coalesce(c, F.array().cast(f"array<{kind}>")).alias(c)

@@ -220,6 +220,21 @@ def test_brown_probabilities_sum_to_one():
     assert of.min() >= 0 and of.max() < brown.CLASSES and len(of) == brown.UNITS
 
 
+def test_passages_of_short_units(spark):
+    """First ids of a passage of short lines, of one with blank lines in it, and of none that is too short."""
+    r = random.Random(21)
+    short = [sentence(9, r) for _ in range(7)]
+    long = sentence(40, r)
+    docs = {
+        1: "\n".join([sentence(30, r), *short[:4], sentence(30, r)]), 2: "\n\n \n".join([sentence(30, r), *short[:4], sentence(30, r)]),
+        3: "\n".join([sentence(30, r), *short[4:6]]), 4: "\n".join([*short[4:6], sentence(30, r), short[6]]), 5: "\n".join([sentence(30, r), short[6], sentence(30, r)]),
+        6: long, 7: sentence(30, r) + "\n" + long,
+    }
+    got = {x.doc_id: (x.first_ids, x.repeated) for x in passages.report(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()}
+    assert got == {1: ([1], False), 2: ([1], True), 3: ([], False), 4: ([], False), 5: ([], False), 6: ([6], False), 7: ([6], True)}
+    assert passages.units(["\n\na b\n \nc d", "e", "\nf"], passages.Settings())[1].nth.tolist() == [0, 1, 0, 0]
+
+
 def test_moves_are_the_best():
     """Against the likelihood of all token classes, counted anew for each move."""
     r = np.random.default_rng(6)
