@@ -1,9 +1,9 @@
-"""Sub-word encoding and decoding as a weighted finite-state transducer.
+"""Sub-word encoding and decoding over the lattice of a text's pieces.
 
-The model file is compiled to three machines: the normaliser (a blank before the text,
-blanks as U+2581), the pieces (a trie, with byte fallback for characters that no piece
-has) and the constraint over neighbouring pieces. An input is composed with them, which
-gives a lattice, and its shortest path in the tropical semiring is the encoding.
+A text is normalised (a blank before it, blanks as U+2581); its pieces, with byte fallback
+for characters that no piece has, span a lattice. For a merge model, the encoding is the
+one path whose neighbours all meet the pair constraint, found by depth-first search; for a
+unigram model it is the path of the best score. No machines are built or composed.
 
 - A unigram model weighs an arc with minus its piece's score; nothing constrains pairs.
 - A merge model (byte-pair encoding) has no additive weights. Its arcs cost nothing, and
