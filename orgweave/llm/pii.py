@@ -33,8 +33,8 @@ BASE = {
     "phone": (r"\+[0-9]", None, r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
 _T = r"A-Za-z0-9_-"
-#: A candidate, after an optional key, sign and quote: a token of 8 to 128 with a digit.
-TOKEN = rf"(?<![.@+{_T}])(?:[A-Za-z_]{{2,24}}+\x20?[=:]\x20?[\"']?)?(?=[{_T}]{{8,128}}(?![@{_T}]))[A-Za-z_-]*+[0-9][{_T}]*+"
+#: A candidate, after an optional key, sign and quote: a token of 8 or more with a digit.
+TOKEN = rf"(?<![.@+{_T}])(?:[A-Za-z_]{{2,24}}+\x20?[=:]\x20?[\"']?)?(?=[{_T}]{{8,}}+(?!@))[A-Za-z_-]*+[0-9][{_T}]*+"
 LEAD = r"^[A-Za-z_]{2,24}\x20?[=:]\x20?[\"']?"
 #: Or a title or given name with a capitalised name.
 TITLES = "Mr Mrs Ms Dr Prof Herr Frau Mme Monsieur Madame Señor Señora"

@@ -161,3 +161,12 @@ def test_pii_adds_secrets(spark):
     texts = dict(secret + plain)
     assert all(f"{i:040x}" in [texts[i][x.s : x.e] for x in got[i]] for i, _ in secret)
     assert not any(got[i] for i, _ in plain)
+
+
+def test_pii_long_secrets(spark):
+    long = {i: f"{i:0{n}x}" for i, n in ((1, 128), (2, 129), (3, 512), (4, 50_000))}
+    secret = [(i, f'then token = "{i:040x}" came, password=b7db7aa4a5fcc{i:05x} and v{i}-2024 too') for i in range(10, 60)]
+    plain = [(i, f"version{i} was built in 2024-01-{i} as item-{i}a") for i in range(100, 150)]
+    texts = {**dict(secret + plain), **{i: f'then token = "{t}" came' for i, t in long.items()}}
+    got = {r.doc_id: r.other for r in pii.find(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert all(t in [texts[i][x.s : x.e] for x in got[i]] for i, t in long.items())
