@@ -1,19 +1,25 @@
-"""Sub-word encoding and decoding over the lattice of a text's pieces.
-
-A text is normalised (a blank before it, blanks as U+2581); its pieces, with byte fallback
-for characters that no piece has, span a lattice. For a merge model, the encoding is the
-one path whose neighbours all meet the pair constraint, found by depth-first search; for a
-unigram model it is the path of the best score. No machines are built or composed.
-
-- A unigram model weighs an arc with minus its piece's score; nothing constrains pairs.
-- A merge model (byte-pair encoding) has no additive weights. Its arcs cost nothing, and
-  a pair of neighbours costs infinity unless merging their joined text yields just that
-  pair. An encoding whose neighbouring pairs all hold is the one the merges produce: the
-  first merge across a boundary would happen in the pair alone as well. So the finite
-  path is unique for every prefix and the state is the last piece.
-
-Blanks only ever begin a piece (or a run of blanks), so a text falls into chunks that are
-encoded one by one; a bounded memory of chunks spares most of the work.
+"""Sub-word encoding and decoding by a weighted finite-state transducer.
+
+load() reads a model file; Transducer compiles three machines of it and composes them with
+each input over the tropical semiring (weights add along a path, the least path wins):
+
+- The normaliser: a trie whose arcs rewrite the longest match of the character map, then a
+  machine of the states START, WORD and GAP that puts the blank mark before the text,
+  writes blanks as U+2581 and, if the model asks for it, squeezes them.
+- The pieces: a trie of states and arcs over characters; a final state gives out a piece at
+  its weight. A character that no piece has takes an arc that gives out its bytes' pieces
+  (or the unknown piece).
+- The pairs: its state is the piece before. A unigram model has one state and additive
+  weights (minus the scores). A merge model's pieces weigh nothing, and an arc from piece a
+  to piece b weighs 0 if merging the joined text of both yields just them, else infinity.
+  An encoding whose neighbouring pairs all hold is the one the merges produce: the first
+  merge across a boundary would happen in the pair alone as well. Weights of pairs are
+  worked out as they are met, from how each piece splits into the two that it was merged of.
+
+One routine takes the shortest path through the composed machine for both kinds of model:
+all arcs of many inputs are laid out as arrays, and positions are relaxed from left to
+right for all inputs at once. Blanks only ever begin a piece (or a run of blanks), so a text
+falls into chunks that are composed one by one; a bounded memory of chunks spares most of it.
 """
 
 from __future__ import annotations
@@ -21,7 +27,8 @@ from __future__ import annotations
 import math
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import repeat
 from pathlib import Path
 
 import numpy as np
@@ -29,12 +36,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import table
+from .tokens import pieces, text_list
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, MERGES = 1, 2
+START, WORD, GAP = 0, 1, 2
+#: Memories of a worker: chunks with their ids, and weights of pairs. Full ones begin anew.
+CHUNKS, PAIRS = 300_000, 1_000_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -62,73 +73,139 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
             i += n
 
 
+def character_map(blob: bytes) -> dict[str, str]:
+    """What a normaliser rewrites, read off its double-array trie: 4 bytes of size, the
+    trie's units, and the outputs, each ended by a zero byte."""
+    if not blob:
+        return {}
+    size = struct.unpack_from("<I", blob)[0]
+    units, text = np.frombuffer(blob, "<u4", size // 4, 4).astype(np.int64), blob[4 + size :]
+    step = (units >> 10) << ((units & (1 << 9)) >> 6)
+    label = units & ((1 << 31) | 0xFF)
+    letters, out = np.arange(1, 256), {}
+    todo = [(int(step[0]), b"")]
+    while todo:
+        base, key = todo.pop()
+        at = base ^ letters
+        at = at[at < len(units)]
+        for child in at[label[at] == (base ^ at)].tolist():
+            word, below = key + bytes([base ^ child]), child ^ int(step[child])
+            if units[child] >> 8 & 1:
+                begin = int(units[below]) & ((1 << 31) - 1)
+                out[word.decode()] = text[begin : text.index(b"\0", begin)].decode()
+            todo.append((below, word))
+    return out
+
+
 def load(path: str = MODEL) -> dict:
     """Pieces, scores and kinds of a model file, its kind and its normaliser's settings.
 
     The file's size is fixed by its vocabulary, so what is made of it may be broadcast.
+    Models with user-defined pieces or with the blank mark behind words are refused.
     """
+    return read_model(Path(path).read_bytes())
+
+
+def read_model(data: bytes) -> dict:
     pieces: list[tuple[str, float, int]] = []
-    kind, prefix, squeeze = UNIGRAM, True, True
-    for number, value in _fields(Path(path).read_bytes()):
+    spec = {"kind": UNIGRAM, "prefix": True, "squeeze": True, "maps": {}}
+    for number, value in _fields(data):
+        got = dict(_fields(value)) if number in (1, 2, 3) else {}
         if number == 1:
-            got = dict(_fields(value))
             pieces.append((got[1].decode(), struct.unpack("<f", got.get(2, bytes(4)))[0], got.get(3, NORMAL)))
         elif number == 2:
-            kind = dict(_fields(value)).get(3, UNIGRAM)
+            spec["kind"] = got.get(3, UNIGRAM)
+            if got.get(24):
+                raise ValueError("blanks as suffixes aren't supported")
         elif number == 3:
-            got = dict(_fields(value))
-            prefix, squeeze = bool(got.get(3, 1)), bool(got.get(4, 1))
-            if got.get(2):
-                raise ValueError("a normaliser with character maps isn't supported")
-    return {"pieces": pieces, "kind": kind, "prefix": prefix, "squeeze": squeeze}
+            spec |= {"prefix": bool(got.get(3, 1)), "squeeze": bool(got.get(4, 1)), "maps": character_map(got.get(2, b""))}
+    if any(t == USER for _, _, t in pieces):
+        raise ValueError("user-defined pieces aren't supported")
+    return spec | {"pieces": pieces}
+
+
+class Normaliser:
+    """arcs: (state, is a blank) -> (state, output, whether the character follows it)."""
+
+    def __init__(self, spec: dict):
+        first = BLANK if spec["prefix"] else ""
+        if spec["squeeze"]:
+            self.arcs = {
+                (START, True): (START, "", False), (START, False): (WORD, first, True), (WORD, True): (GAP, "", False),
+                (WORD, False): (WORD, "", True), (GAP, True): (GAP, "", False), (GAP, False): (WORD, BLANK, True),
+            }
+        else:
+            self.arcs = {(START, True): (WORD, first + BLANK, False), (START, False): (WORD, first, True), (WORD, True): (WORD, BLANK, False), (WORD, False): (WORD, "", True)}
+        self.trie: dict[tuple[int, str], int] = {}
+        self.out: dict[int, str] = {}
+        for key, value in spec["maps"].items():
+            node = 0
+            for c in key:
+                node = self.trie.setdefault((node, c), len(self.trie) + 1)
+            self.out[node] = value
+
+    def rewritten(self, text: str) -> str:
+        """The character map's longest matches, from left to right, by its outputs."""
+        if not self.trie:
+            return text
+        parts, i = [], 0
+        while i < len(text):
+            node, j, end, value = 0, i, i + 1, text[i]
+            while j < len(text) and (node := self.trie.get((node, text[j]), -1)) >= 0:
+                j += 1
+                if node in self.out:
+                    end, value = j, self.out[node]
+            parts.append(value)
+            i = end
+        return "".join(parts)
+
+    def run(self, chunk: str, state: int) -> tuple[str, int]:
+        """(output, state) of a chunk read from a state; every state is final."""
+        out = []
+        for c in chunk:
+            state, before, own = self.arcs[state, c == " "]
+            out.append(before + c if own else before)
+        return "".join(out), state
+
+
+class _Halves(dict):
+    """The two pieces whose merge makes a piece; None if merging doesn't yield it."""
+
+    def __init__(self, order: dict[str, int]):
+        super().__init__()
+        self.order = order
 
+    def __missing__(self, piece: str) -> tuple[str, str] | None:
+        s = list(piece)
+        while len(s) > 2:
+            best, at = math.inf, -1
+            for i in range(len(s) - 1):
+                k = self.order.get(s[i] + s[i + 1], math.inf)
+                if k < best:
+                    best, at = k, i
+            if at < 0:
+                break
+            s[at : at + 2] = [s[at] + s[at + 1]]
+        self[piece] = (s[0], s[1]) if len(s) == 2 else None
+        return self[piece]
 
-class Transducer(dict):
-    """Chunk -> its ids as little-endian int32 bytes; compiled from load()'s result.
 
-    As a dictionary it is the memory of the first `most` chunks, the frequent ones.
-    """
+class Pairs(dict):
+    """The pair machine of a merge model: (piece before * many + piece) -> whether the pair
+    holds, worked out when first met. Memory is bounded by PAIRS."""
 
-    def __init__(self, spec: dict, most: int = 300_000):
+    def __init__(self, names: list[str | None], score: list[float]):
         super().__init__()
-        self.spec, self.most = spec, most
-        self.id = {p: k for k, (p, _, t) in enumerate(spec["pieces"]) if t in (NORMAL, USER)}
-        self.score = [s for _, s, _ in spec["pieces"]]
-        self.byte = {int(p[3:5], 16): k for k, (p, _, t) in enumerate(spec["pieces"]) if t == BYTE}
-        self.unknown = next((k for k, (_, _, t) in enumerate(spec["pieces"]) if t == UNKNOWN), 0)
-        self.longest = max(map(len, self.id), default=1)
-        self.text = [bytes([int(p[3:5], 16)]) if t == BYTE else b"" if t in (CONTROL, UNKNOWN) else p.encode() for p, _, t in spec["pieces"]]
-        whole = any(BLANK in p.lstrip(BLANK) for p in self.id)
-        line = "\n" if not any("\n" in p for p in self.id) else ""
-        self.chunk = re.compile(r"(?s).+" if whole else (f"{line}|" * bool(line)) + f"{BLANK}+[^{BLANK}{line}]*|[^{BLANK}{line}]+")
+        self.names, self.many = names, len(names) + 1
         # merges by order: of a better score first; equal scores aren't ordered
-        order = {x: i for i, x in enumerate(sorted({self.score[k] for k in self.id.values()}, reverse=True))}
-        self.order = {p: order[self.score[k]] for p, k in self.id.items()}
-        self.halves: dict[str, tuple[str, str] | None] = {}
-        self.pairs: dict[int, bool] = {}  # a bounded memory of holds()
-        self.reach: dict[str, int] = {}  # the longest piece by its first two characters
-        for p in self.id:
-            self.reach[p[:2]] = max(len(p), self.reach.get(p[:2], 0))
-            self.halves[p] = self._halves(p)
+        rank = {x: i for i, x in enumerate(sorted({score[k] for k, p in enumerate(names) if p}, reverse=True))}
+        self.order = {p: rank[score[k]] for k, p in enumerate(names) if p}
+        self.halves = _Halves(self.order)
 
     def merged(self, text: str) -> list[str]:
         """Merge neighbours of the best score, leftmost first, until none is a piece."""
         s = list(text)
         while len(s) > 1:
-            best, at = -math.inf, -1
-            for i in range(len(s) - 1):
-                k = self.id.get(s[i] + s[i + 1])
-                if k is not None and self.score[k] > best:
-                    best, at = self.score[k], i
-            if at < 0:
-                break
-            s[at : at + 2] = [s[at] + s[at + 1]]
-        return s
-
-    def _halves(self, piece: str) -> tuple[str, str] | None:
-        """The two pieces whose merge makes this one; None if merging doesn't yield it."""
-        s = list(piece)
-        while len(s) > 2:
             best, at = math.inf, -1
             for i in range(len(s) - 1):
                 k = self.order.get(s[i] + s[i + 1], math.inf)
@@ -137,10 +214,10 @@ class Transducer(dict):
             if at < 0:
                 break
             s[at : at + 2] = [s[at] + s[at + 1]]
-        return (s[0], s[1]) if len(s) == 2 else None
+        return s
 
     def holds(self, a: str, b: str) -> bool:
-        """Whether merging a + b yields a and b: the weight of the pair is 0, else infinity.
+        """Whether merging a + b yields a and b.
 
         Going back in time from a and b, the later of the two merges is undone; at no time
         may the pieces that touch have a merge that was due before the merge undone last.
@@ -163,94 +240,192 @@ class Transducer(dict):
             else:
                 return True
 
-    def _merge_path(self, s: str) -> list[str]:
-        """The pieces on the finite path through the lattice of s.
+    def __missing__(self, pair: int) -> bool:
+        a, b = divmod(pair, self.many)
+        names = self.names
+        # no piece has the character of a byte arc, so it merges with none
+        out = b >= len(names) or self.holds((names[a] or "") if a < len(names) else "", names[b])
+        if len(self) >= PAIRS:
+            self.clear()
+        self[pair] = out
+        return out
 
-        All finite paths cost the same, and a prefix has one at most. So the search goes
-        depth first, longest arcs first, and remembers a dead end by its position alone.
-        """
-        ids, known, reach, n, many = self.id, self.pairs, self.reach, len(s), len(self.score)
-        path: list[str] = []
-        dead: set[int] = set()
-        at, last, size = 0, "", min(reach.get(s[:2], 1), n)
-        while at < n:
-            while size:
-                if at + size not in dead:
-                    piece = s[at : at + size]
-                    k = ids.get(piece)
-                    if k is None:
-                        if size == 1:  # no piece has the character, so it merges with none
-                            break
-                    else:
-                        pair = k + many * ids.get(last, many)
-                        ok = known.get(pair)
-                        if ok is None:
-                            ok = self.holds(last, piece)
-                            if len(known) < 400_000:
-                                known[pair] = ok
-                        if ok:
-                            break
-                size -= 1
-            if size:
-                path.append(piece)
-                at, last = at + size, piece
-                size = min(reach.get(s[at : at + 2], 1), n - at)
-            elif path:
-                dead.add(at)
-                piece = path.pop()
-                at, last, size = at - len(piece), path[-1] if path else "", len(piece) - 1
-            else:  # a vocabulary whose pieces don't follow from merges
-                return self.merged(s)
-        return path
-
-    def _cheapest_path(self, s: str) -> list[str]:
-        """Tropical shortest path with additive weights; ties go to the longer last piece."""
-        worst = min(self.score, default=0.0) - 10.0
-        best, back = [0.0] + [math.inf] * len(s), [0] * (len(s) + 1)
-        for end in range(1, len(s) + 1):
-            for start in range(max(0, end - self.longest), end):
-                k = self.id.get(s[start:end])
-                cost = -self.score[k] if k is not None else -worst if end - start == 1 else math.inf
-                if best[start] + cost < best[end]:
-                    best[end], back[end] = best[start] + cost, start
-        out, end = [], len(s)
-        while end:
-            out.append(s[back[end] : end])
-            end = back[end]
-        return out[::-1]
-
-    def __missing__(self, chunk: str) -> bytes:
-        path = self._merge_path(chunk) if self.spec["kind"] == MERGES else self._cheapest_path(chunk)
+
+class Transducer:
+    """The machines of load()'s result, compiled; composed with texts by encode()."""
+
+    def __init__(self, spec: dict):
+        vocabulary = spec["pieces"]
+        self.prefix = spec["prefix"]
+        self.normaliser = Normaliser(spec)
+        names = [p if t == NORMAL else None for p, _, t in vocabulary]
+        self.byte = {int(p[3:5], 16): k for k, (p, _, t) in enumerate(vocabulary) if t == BYTE}
+        self.is_byte = np.array([t == BYTE for _, _, t in vocabulary] or [False])
+        self.unknown = next((k for k, (_, _, t) in enumerate(vocabulary) if t == UNKNOWN), 0)
+        self.text = [bytes([int(p[3:5], 16)]) if t == BYTE else b"" if t in (CONTROL, UNKNOWN) else p.encode() for p, _, t in vocabulary]
+        self.other = len(vocabulary)  # stands for the arc of a character that no piece has
+        self.pairs = Pairs(names, [s for _, s, _ in vocabulary]) if spec["kind"] == MERGES else None
+        worst = min((s for _, s, k in vocabulary if k == NORMAL), default=0.0) - 10.0
+        self.weight = np.array([0.0 if self.pairs is not None else -s for _, s, _ in vocabulary] + [0.0 if self.pairs is not None else -worst])
+        self._compile([(p, k) for k, p in enumerate(names) if p])
+        whole = any(BLANK in p.lstrip(BLANK) for p in names if p)
+        line = "\n" if not any("\n" in p for p in names if p) else ""
+        some = f"[ {BLANK}]*\n|" if line else ""
+        self.chunk = re.compile("(?s).+" if whole else f"{some}[ {BLANK}]+[^ {BLANK}{line}]*|[^ {BLANK}{line}]+")
+        self.memory: dict[str, bytes] = {}
+
+    def _compile(self, named: list[tuple[str, int]]) -> None:
+        """States and arcs of the pieces: symbol of a code point (0: none), the state after a
+        first symbol, and other arcs as sorted (state, symbol) with the states they lead to."""
+        letters = sorted({c for p, _ in named for c in p})
+        self.symbol = np.zeros(0x110000, np.int32)
+        self.symbol[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.symbols = len(letters) + 1
+        of = {c: i + 1 for i, c in enumerate(letters)}
+        arcs: dict[int, int] = {}
+        final = {}
+        for p, k in named:
+            node = 0
+            for c in p:
+                node = arcs.setdefault(node * self.symbols + of[c], len(arcs) + 1)
+            final[node] = k
+        key = np.array(sorted(arcs), np.int64)
+        self.arc = np.append(key, np.iinfo(np.int64).max)
+        self.to = np.array([arcs[k] for k in key.tolist()] + [-1], np.int32)
+        self.final = np.full(len(arcs) + 1, -1, np.int32)
+        self.final[list(final)] = list(final.values())
+        self.first = np.full(self.symbols, -1, np.int32)
+        root = key[key < self.symbols]
+        self.first[root] = [arcs[k] for k in root.tolist()]
+        if self.pairs is not None and any(c not in self.pairs.order for c in letters):
+            raise ValueError("a merge model needs a piece for every character of its pieces")
+
+    def _lattice(self, sym: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Arcs (start, length, piece) of the composition with the pieces' machine."""
+        at, depth = np.flatnonzero(self.first[sym] >= 0), 1
+        node = self.first[sym[at]]
+        start, size, piece = [], [], []
+        alone = np.ones(len(sym), bool)
+        while len(at):
+            k = self.final[node]
+            hit = k >= 0
+            start.append(at[hit])
+            size.append(np.full(int(hit.sum()), depth))
+            piece.append(k[hit])
+            if depth == 1:
+                alone[at[hit]] = False
+            depth += 1
+            more = left[at] >= depth
+            at, node = at[more], node[more]
+            want = node.astype(np.int64) * self.symbols + sym[at + depth - 1]
+            k = np.searchsorted(self.arc, want)
+            ok = self.arc[k] == want
+            at, node = at[ok], self.to[k[ok]]
+        at = np.flatnonzero(alone)
+        start.append(at)
+        size.append(np.ones(len(at), np.int64))
+        piece.append(np.full(len(at), self.other))
+        return np.concatenate(start), np.concatenate(size), np.concatenate(piece)
+
+    def shortest(self, texts: list[str]) -> list[bytes]:
+        """Ids, as little-endian int32, of the least path of each normalised text; of equal
+        paths the one whose last piece is longer."""
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        code = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+        sym = self.symbol[code]
+        begin = np.concatenate(([0], np.cumsum(size)))[:-1]
+        text = np.repeat(np.arange(len(texts)), size)
+        at = np.arange(len(code)) - begin[text]
+        start, length, piece = self._lattice(sym, size[text] - at)
+        order = np.argsort(at[start], kind="stable")
+        start, length, piece = start[order], length[order], piece[order].astype(np.int64)
+        u = start + text[start]  # each text has one state more than characters
+        v = u + length
+        steps = np.searchsorted(at[start], np.arange(int(size.max(initial=0)) + 1))
+        cost = np.full(len(code) + len(texts), np.inf)
+        back = np.full(len(cost), -1)
+        before = np.full(len(cost), self.other + 1)
+        first = begin + np.arange(len(texts))
+        cost[first] = 0.0
+        for i, j in zip(steps[:-1].tolist(), steps[1:].tolist()):
+            c = cost[u[i:j]] + self.weight[piece[i:j]]
+            go = np.flatnonzero(c < cost[v[i:j]])
+            if self.pairs is not None and len(go):
+                pair = before[u[i + go]] * self.pairs.many + piece[i + go]
+                go = go[np.fromiter(map(self.pairs.__getitem__, pair.tolist()), bool, len(go))]
+            to = v[i + go]
+            cost[to], back[to], before[to] = c[go], i + go, piece[i + go]
+        state, k = first + size, np.arange(len(texts))
+        far = np.isinf(cost[state])
+        taken, of = [], []
+        state, k = state[~far], k[~far]
+        while True:
+            more = state > first[k]
+            state, k = state[more], k[more]
+            if not len(k):
+                break
+            taken.append(back[state])
+            of.append(k)
+            state = u[taken[-1]]
+        taken, of = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (taken, of))
+        order = np.lexsort((start[taken], of))
+        taken, of = taken[order], of[order]
+        ids, ends = piece[taken].astype("<i4"), np.searchsorted(of, np.arange(len(texts) + 1)).tolist()
+        data = ids.tobytes()
+        out = [data[4 * i : 4 * j] for i, j in zip(ends[:-1], ends[1:])]
+        for t in np.unique(of[ids == self.other]).tolist():
+            out[t] = self._bytes(texts[t], taken[ends[t] : ends[t + 1]], start - begin[text[start]], piece)
+        for t in np.flatnonzero(far).tolist():  # pieces that no merges make: the merges themselves
+            out[t] = self._ids([(p, self.pairs.names.index(p) if p in self.pairs.order else self.other) for p in self.pairs.merged(texts[t])])
+        return out
+
+    def _bytes(self, text: str, arcs: np.ndarray, at: np.ndarray, piece: np.ndarray) -> bytes:
+        return self._ids([(text[at[a]], int(piece[a])) for a in arcs.tolist()])
+
+    def _ids(self, path: list[tuple[str, int]]) -> bytes:
+        """Outputs of a path: pieces, and the bytes of characters that no piece has."""
         ids: list[int] = []
-        for p in path:
-            k = self.id.get(p)
-            if k is not None:
+        for c, k in path:
+            if k != self.other:
                 ids.append(k)
             elif self.byte:
-                ids += [self.byte[b] for b in p.encode()]
+                ids += [self.byte[b] for b in c.encode()]
             elif not ids or ids[-1] != self.unknown:
                 ids.append(self.unknown)
-        out = struct.pack(f"<{len(ids)}i", *ids)
-        if len(chunk) <= 64 and len(self) < self.most:  # the frequent chunks come first
-            self[chunk] = out
+        return struct.pack(f"<{len(ids)}i", *ids)
+
+    def _compose(self, chunks: Iterable[tuple[str, int]]) -> Iterator[bytes]:
+        """Ids of chunks read from a state, some 100,000 characters at a time."""
+        held, size = [], 0
+        for chunk, state in chunks:
+            held.append(self.normaliser.run(chunk, state)[0])
+            size += len(held[-1])
+            if size > 100_000:
+                yield from self.shortest(held)
+                held, size = [], 0
+        if held:
+            yield from self.shortest(held)
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text; null and empty texts have none."""
+        parts = [self.chunk.findall(self.normaliser.rewritten(t or "")) for t in texts]
+        heads = list(self._compose((p[0], START) for p in parts if p))
+        if len(self.memory) > CHUNKS:
+            self.memory.clear()
+        new = list({c for p in parts for c in p[1:]} - self.memory.keys())
+        found = dict(zip(new, self._compose(zip(new, repeat(WORD)))))
+        long = {c: x for c, x in found.items() if len(c) > 64}
+        self.memory.update(found)
+        get, head = self.memory.__getitem__, iter(heads)
+        out = [np.frombuffer(b"".join([next(head), *map(get, p[1:])]) if p else b"", "<i4") for p in parts]
+        for c in long:
+            del self.memory[c]
         return out
 
-    def normalise(self, text: str) -> str:
-        if self.spec["squeeze"]:
-            text = re.sub(" +", " ", text).strip(" ")
-        if not text:
-            return ""
-        return (BLANK if self.spec["prefix"] else "") + text.replace(" ", BLANK)
-
-    def encode(self, text: str | None) -> np.ndarray:
-        """Ids of a text; null and empty texts have none."""
-        data = b"".join(map(self.__getitem__, self.chunk.findall(self.normalise(text or ""))))
-        return np.frombuffer(data, np.int32)
-
     def decode(self, ids) -> str:
         """Text of ids: pieces and bytes joined, U+2581 as a blank, the leading one removed."""
         text = b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace").replace(BLANK, " ")
-        return text[1:] if self.spec["prefix"] and text.startswith(" ") else text
+        return text[1:] if self.prefix and text.startswith(" ") else text
 
 
 def _workers(spark, path: str):
@@ -267,21 +442,25 @@ def _workers(spark, path: str):
 
 
 def encode(docs: DataFrame, text: str = "text", out: str = "ids", path: str = MODEL) -> DataFrame:
-    """docs with an array of ids; [] for null and empty texts."""
-    small_batches(docs.sparkSession)
+    """docs with an array of ids; [] for null and empty texts.
+
+    Whole texts are encoded, however long. Every row is encoded by itself, so repeated rows
+    have equal ids. A column of the input called as out is replaced; others stay.
+    """
     get = _workers(docs.sparkSession, path)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         t = get()
         for s in batches:
-            yield pd.Series([t.encode(x) for x in s], index=s.index)
+            for at, part in pieces(text_list(s)):
+                s.iloc[at : at + len(part)] = t.encode(part)
+            yield s
 
     return docs.withColumn(out, F.pandas_udf(run, "array<int>").asNondeterministic()(F.col(text)))
 
 
 def decode(docs: DataFrame, ids: str = "ids", out: str = "text", path: str = MODEL) -> DataFrame:
-    """docs with the text of ids; '' for null and []."""
-    small_batches(docs.sparkSession)
+    """docs with the text of ids; '' for null and []. A column called as out is replaced."""
     get = _workers(docs.sparkSession, path)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -301,21 +480,20 @@ def digest(docs: DataFrame, text: str = "text", out: str = "encoded", path: str
 
     Null and empty texts have no ids, and come back as the empty text. U+2581 in a text
     stands for a blank in this family of models and comes back as one, so such a text
-    makes no round trip.
+    makes no round trip. Repeated rows have equal digests; an empty table gives an empty
+    one. A column of the input called as out is replaced; others stay.
     """
     import zlib
 
-    small_batches(docs.sparkSession)
     get = _workers(docs.sparkSession, path)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         t = get()
-        low, high = (min(t.byte.values()), max(t.byte.values())) if t.byte else (1, 0)
         for s in batches:
             rows = []
-            for x in s:
-                ids = t.encode(x)
-                rows.append((len(ids), int(((ids >= low) & (ids <= high)).sum()), zlib.crc32(ids.tobytes()), t.decode(ids.tolist()) == (x or "")))
+            for _, part in pieces(text_list(s)):
+                for x, ids in zip(part, t.encode(part)):
+                    rows.append((len(ids), int(t.is_byte[ids].sum()), zlib.crc32(ids.tobytes()), t.decode(ids.tolist()) == (x or "")))
             yield pd.DataFrame(rows, columns=["n_tokens", "n_bytes", "ids_crc32", "round_trip"])
 
     return docs.withColumn(out, F.pandas_udf(run, _DIGEST).asNondeterministic()(F.col(text)))

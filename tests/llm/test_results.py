@@ -307,17 +307,77 @@ TEXTS = ["", " ", "a  b", "Hello World! def f(x):\n    return x+1\n", "\n\n", "
 def test_pieces_equal_the_library(sf):
     sp = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=pieces.MODEL)
     t = pieces.Transducer(pieces.load())
-    texts = TEXTS + [x[0] for x in duckdb.sql(f"SELECT text FROM '{sf}/documents.parquet'").fetchall()]
-    for x in texts:
-        ids = t.encode(x).tolist()
-        assert ids == sp.encode(x)
+    r = random.Random(1)
+    blanks = [" " * k for k in range(1, 70)] + ["a" + " " * k + "b" for k in range(70)]
+    mixed = ["".join(r.choice("ab  \n▁e1é😀tion") for _ in range(r.randrange(1, 60))) for _ in range(1500)]
+    texts = TEXTS + blanks + mixed + [x[0] for x in duckdb.sql(f"SELECT text FROM '{sf}/documents.parquet'").fetchall()]
+    for x, ids in zip(texts, t.encode(texts)):
+        assert ids.tolist() == sp.encode(x)
         assert t.decode(ids) == x.replace("▁", " ")
 
 
+def _unigram(r, **settings):
+    letters = "abcé▁"
+    names = list(letters) + sorted({"".join(r.choice(letters) for _ in range(r.randrange(2, 4))) for _ in range(25)})
+    names = [x for x in names if "▁" not in x[1:]]
+    vocabulary = [("<unk>", 0.0, pieces.UNKNOWN), *((x, -r.randrange(1, 40) / 4 - 0.01 * k, pieces.NORMAL) for k, x in enumerate(names))]
+    return {"pieces": vocabulary, "kind": pieces.UNIGRAM, "prefix": True, "squeeze": True, "maps": {}} | settings
+
+
 def test_unigram_path_is_the_cheapest():
-    spec = {"pieces": [("<unk>", 0.0, 2), ("▁", -3.0, 1), ("a", -2.0, 1), ("b", -2.0, 1), ("ab", -3.5, 1), ("▁a", -2.5, 1), ("bab", -9.0, 1)], "kind": pieces.UNIGRAM, "prefix": True, "squeeze": True}
-    t = pieces.Transducer(spec)
-    assert t.encode(" abab ").tolist() == [5, 3, 4] and t.encode("c").tolist() == [1, 0]
+    """Against all segmentations of short texts."""
+    r = random.Random(4)
+    for _ in range(20):
+        spec = _unigram(r)
+        t = pieces.Transducer(spec)
+        score = {x: s for x, s, k in spec["pieces"] if k == pieces.NORMAL}
+        worst = min(score.values()) - 10
+
+        def best(s):
+            if not s:
+                return 0.0
+            return max((score[s[:k]] if s[:k] in score else worst) + best(s[k:]) for k in range(1, len(s) + 1) if s[:k] in score or k == 1)
+
+        texts = ["".join(r.choice("abcéz ") for _ in range(r.randrange(0, 8))) for _ in range(40)]
+        for x, ids in zip(texts, t.encode(texts)):
+            s = "▁" + " ".join(x.split()).replace(" ", "▁") if x.strip() else ""
+            got = sum(spec["pieces"][k][1] for k in ids if k)
+            assert "z" in x or math.isclose(got, best(s), abs_tol=1e-9)
+            assert t.decode(ids) == " ".join(x.replace("z", "").split()) or "z" in x
+
+
+def test_shortest_path_of_merges_is_the_one_finite_path():
+    """Every other segmentation of a text has a pair that merging wouldn't leave."""
+    t = pieces.Transducer(pieces.load())
+    name = [x for x, _, _ in pieces.load()["pieces"]]
+
+    def splits(s):
+        if not s:
+            yield []
+        for k in range(1, len(s) + 1):
+            if s[:k] in t.pairs.order:
+                for rest in splits(s[k:]):
+                    yield [s[:k], *rest]
+
+    for s in ("▁tokens", "▁unseen", "▁therein", "▁aaaab", "▁onlyat"):
+        finite = [p for p in splits(s) if all(t.pairs.holds(a, b) for a, b in zip(["", *p], p))]
+        assert finite == [[name[k] for k in np.frombuffer(t.shortest([s])[0], np.int32)]]
+
+
+def test_character_maps_equal_the_library():
+    """The published map, with and without squeezed blanks, and its bytes in a model file."""
+    lib = pytest.importorskip("sentencepiece").SentencePieceNormalizer(rule_name="nmt_nfkc")
+    spec = pieces.read_model(lib.serialized_model_proto())
+    assert len(spec["maps"]) > 1000 and spec["maps"]["ﬁ"] == "fi"
+    n = pieces.Normaliser(spec)
+    r = random.Random(2)
+    odd = [chr(c) for c in range(0x20, 0x3100) if r.random() < 0.1] + list("ｶﾞ㌔Ⅷﬁ\u3000\u200b\t\n e\u0301")
+    texts = TEXTS[:8] + ["ﬁ Ⅷ  日本ｶﾞ \u3000 x\u200b y\t\nz ㌔ "] + ["".join(r.choice(odd) for _ in range(30)) for _ in range(200)]
+    for x in texts:
+        if "\x00" not in x and "▁" not in x:
+            assert n.run(n.rewritten(x), pieces.START)[0] == lib.normalize(x), x
+    t = pieces.Transducer(_unigram(r, maps=spec["maps"]))
+    assert t.encode(["ａｂ\u3000ｃ"])[0].tolist() == t.encode(["ab c"])[0].tolist() != []
 
 
 def test_toxicity_held_out_and_counterfactual(spark):
