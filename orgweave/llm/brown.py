@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fold, partitions, small_batches, table
+from .common import cut, fold, partitions, table
 from .tokens import BLANKS, Batch, pieces, text_list, words
 
 END = np.uint64(0x5851F42D4C957F2D)
@@ -516,7 +516,6 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     base_score is 0 and score is that of the smoothing alone.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     n = partitions(spark)
     blocks = _block(docs, doc_id, text, n)
     asked = blocks.repartition(n, "block").mapInPandas(_words_of_blocks(n), "block int, bucket int, data binary")

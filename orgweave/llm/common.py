@@ -17,11 +17,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use spark.checkpoint.dir; only where it is unset (tests) a temporary folder."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder for intermediate data: spark.checkpoint.dir.
+
+    Where it is unset a temporary folder serves a local master; on a cluster that is an
+    error, since executors don't see each other's folders.
+    """
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(path or tempfile.mkdtemp())
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -33,14 +41,35 @@ def cut(df: DataFrame) -> DataFrame:
 def written(df: DataFrame) -> DataFrame:
     """df as a Parquet table in the shared folder: for rows that are many and read again.
 
-    Smaller than a checkpoint of the same rows; the folder goes when the session's JVM ends.
+    Smaller than a checkpoint of the same rows; the folder goes when the session's JVM
+    ends, or before by forget().
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    df.write.parquet(path.toString())
-    return spark.read.schema(df.schema).parquet(path.toString())
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Delete what written() wrote, once nothing is left to read it."""
+    remove(df.sparkSession, df.written_at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """name, or name with underscores behind it until no column of df has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def partitions(spark: SparkSession) -> int:
@@ -56,7 +85,3 @@ def fold(doc_id: Column, k: int) -> Column:
     """crc32 of doc_id as text, modulo k; null for a null doc_id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % k
 
-
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of some MB of text, so that a worker's memory stays bounded."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, table, written
+from .common import table, written
 from .tokens import _LOWER
 
 WINDOW = 10
@@ -130,7 +130,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", size:
     nothing is hit. Other columns, repeated rows and their order stay as they are. A
     benchmark of more than block windows is scanned for in as many passes.
     """
-    small_batches(docs.sparkSession)
     blocks = benchmark_windows(benchmark, text="text", size=size, block=block)
     docs = _pass(docs, next(blocks, {}), text, out, False)
     for b in blocks:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import cut, partitions, small_batches, table, written
+from .common import cut, partitions, table, written
 from .sets import LARGE, bounds, key_filter, large_components, linked, links_in_rounds, passes, runs
 from .tokens import BLANKS, mix, pieces, text_list, words
 
@@ -182,7 +182,6 @@ def clusters(docs: DataFrame, text: str = "text", s: Settings = Settings(), larg
     verified on the shingle sets of its distinct units, shingles as 32-bit hashes.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     comp = cut(connected_components(cut(_collide(docs, text, s))).select(F.col("node").alias("key"), "component"))
     shared = spark.sparkContext.broadcast(key_filter(comp.select("key")))
 

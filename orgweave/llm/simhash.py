@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import cut, partitions, small_batches
+from .common import cut, partitions
 from .tokens import _LOWER
 
 LIMIT = 3
@@ -45,7 +45,6 @@ def fingerprint(text: str | None, size: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs' (doc_id, rk, fp): rk is xxhash64 of the text, fp the fingerprint as a signed long."""
-    small_batches(docs.sparkSession)
 
     @F.pandas_udf("long")
     def fp(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

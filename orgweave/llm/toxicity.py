@@ -2,13 +2,15 @@
 
 Features are the distinct words of a text and their leading bytes, so that inflected
 forms share evidence. A logistic regression over them is fitted with an extra penalty:
-identity terms in the labelled texts are swapped for the other terms of their group (and
-for nothing), and the squared change of the logit is added to the loss. Group mentions
-thus can't carry a score by themselves, whatever the labels correlate with.
+every labelled text with an identity term gets counterfactual copies, in which the term is
+replaced by the others of its group (and by nothing) and the features are made anew; the
+squared change of the logit from the text to each copy is added to the loss. Group
+mentions thus can't carry a score by themselves, whatever the labels correlate with.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fold, small_batches, table
+from .common import cut, fold, table, unused
 from .tokens import ALNUM, pieces, text_list, words
 
 #: Neutral identity terms by group, in four languages.
@@ -37,14 +39,16 @@ PREFIXES = (4, 5, 6)
 class Settings:
     """max_train: labelled rows that a fit uses at most, those with the least id hashes.
     max_features: features kept, by chi-square against the label. least: rows that a
-    feature must occur in. swap: weight of the counterfactual penalty. ridge: of the
-    squared weights, a labelled row."""
+    feature must occur in. swap: weight of the counterfactual penalty. max_swaps: different
+    changes of the kept features that the penalty has at most, those of most copies. ridge:
+    weight of the squared weights, a labelled row."""
 
     max_train: int = 6000
     max_features: int = 1024
     least: int = 5
     chi_square: float = 20.0
     swap: float = 10.0
+    max_swaps: int = 50_000
     ridge: float = 2e-4
     steps: int = 600
 
@@ -95,31 +99,38 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.logits(texts), -30, 30)))
 
 
-def _swaps(feature: np.ndarray, rows: list[np.ndarray], identity: dict[str, str]) -> tuple[np.ndarray, np.ndarray]:
-    """Change of the feature vector, and number, of every swap that the labelled rows allow.
-
-    A term that occurs in a row is swapped for each other of its group, and dropped.
-    """
-    index = {int(f): k for k, f in enumerate(feature)}
-    n = np.zeros(len(feature))
-    for r in rows:
-        n[r] += 1
-    deltas, times = [], []
+def counterfactuals(text: str, identity: dict[str, str]) -> list[str]:
+    """Copies of a text, each with all occurrences of one of its identity terms replaced by
+    another term of the group, or by nothing."""
+    out = []
     for group in identity.values():
         terms = group.split()
-        at = [{index[int(f)] for f in x if int(f) in index} for x in _features_of(terms)]
-        for i, a in enumerate(at):
-            for j, b in [*enumerate(at), (-1, set())]:
-                if i != j and a != b and (a or b):
-                    d = np.zeros(len(feature))
-                    d[list(a - b)] += 1
-                    d[list(b - a)] -= 1
-                    deltas.append(d)
-                    times.append(max(1.0, min((n[k] for k in a), default=1.0)))
-    return np.array(deltas).reshape(-1, len(feature)), np.array(times)
-
-
-def _fit(x: np.ndarray, y: np.ndarray, deltas: np.ndarray, times: np.ndarray, s: Settings) -> tuple[np.ndarray, float]:
+        whole = re.compile(rf"(?i)(?<!\w)(?:{'|'.join(map(re.escape, terms))})(?!\w)")
+        for term in sorted({m.lower() for m in whole.findall(text)}):
+            own = re.compile(rf"(?i)(?<!\w){re.escape(term)}(?!\w)")
+            out += [own.sub(x, text) for x in (*terms, "") if x != term]
+    return out
+
+
+def _changes(text: str, own: np.ndarray, identity: dict[str, str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(features lost, features won) of each counterfactual copy."""
+    copies = counterfactuals(text, identity) if text else []
+    return [(np.setdiff1d(own, x), np.setdiff1d(x, own)) for x in _features_of(copies)]
+
+
+def _penalty(minus: list, plus: list, times: np.ndarray, features: int) -> np.ndarray:
+    """The matrix whose quadratic form of the weights is the weighted sum of squared changes."""
+    out = np.zeros((features, features))
+    for i in range(0, len(times), 2000):
+        d = np.zeros((len(times[i : i + 2000]), features))
+        for k, (a, b) in enumerate(zip(minus[i : i + 2000], plus[i : i + 2000])):
+            d[k, a] -= 1
+            d[k, b] += 1
+        out += d.T @ (times[i : i + 2000, None] * d)
+    return out
+
+
+def _fit(x: np.ndarray, y: np.ndarray, penalty: np.ndarray, s: Settings) -> tuple[np.ndarray, float]:
     """Full-batch gradient descent with Nesterov momentum; every row weighs the same.
 
     Each weight has its own step: the row sums of the loss's curvature, whose entries are
@@ -127,15 +138,14 @@ def _fit(x: np.ndarray, y: np.ndarray, deltas: np.ndarray, times: np.ndarray, s:
     """
     n, f = x.shape
     x = np.hstack([x, np.ones((n, 1))])
-    deltas = np.hstack([deltas, np.zeros((len(deltas), 1))])
+    cost = np.pad(penalty * (s.swap / n), (0, 1))
     ridge = np.append(np.full(f, s.ridge), 0.0)
-    cost = s.swap * times / n
-    bound = x.T @ x.sum(1) / (4 * n) + ridge + np.abs(deltas).T @ (cost * np.abs(deltas).sum(1))
+    bound = x.T @ x.sum(1) / (4 * n) + ridge + np.abs(cost).sum(1)
     w, held = np.zeros(f + 1), np.zeros(f + 1)
     for k in range(s.steps):
         at = w + k / (k + 3) * (w - held)
         e = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30))) - y
-        g = x.T @ e / n + ridge * at + deltas.T @ (cost * (deltas @ at))
+        g = x.T @ e / n + ridge * at + cost @ at
         held, w = w, at - g / np.maximum(bound, 1e-9)
     return w[:f], float(w[f])
 
@@ -143,27 +153,37 @@ def _fit(x: np.ndarray, y: np.ndarray, deltas: np.ndarray, times: np.ndarray, s:
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", s: Settings = Settings(), identity: dict[str, str] = IDENTITY) -> Model:
     """Fit on labelled rows whose doc_id has fold(doc_id, 5) other than 0.
 
-    The rows are a bounded sample (Settings.max_train), so they are broadcast to meet
-    their texts; their feature counts are summed on the executors and only the selected
-    features of each row are collected. Rows with a null id or label teach nothing. Ids
-    with several labels take the largest. Without labelled rows, or with a single class,
+    The rows are a bounded sample (Settings.max_train ids, one text each), so they are
+    broadcast to meet their texts; counterfactual copies are made and features counted on
+    the executors, and only the selected features of each row and copy are collected. The
+    copies of a row weigh as much as one row together. Rows with a null id or label teach
+    nothing, null and empty texts teach the bias. Ids with several labels take the largest,
+    ids with several texts the text of the least hash, so repeated rows count once; ties in
+    chi-square go to the least feature hash. Without labelled rows, or with a single class,
     no feature has weight and every score is 0.0 or the one class's rate.
     """
-    small_batches(docs.sparkSession)
     few = labels.where(F.col(label).isNotNull() & (fold(F.col(doc_id), 5) != 0))
-    few = few.groupBy(F.col(doc_id).alias("__id")).agg(F.max(label).cast("int").alias("y"))
-    few = few.orderBy(F.xxhash64("__id"), "__id").limit(s.max_train)
+    few = few.groupBy(F.col(doc_id).alias("id")).agg(F.max(label).cast("int").alias("y"))
+    few = few.orderBy(F.xxhash64("id"), "id").limit(s.max_train)
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"y": b.y, "f": [x.view(np.int64) for x in _features_of(text_list(b.t))]})
-
-    met = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("t")).join(F.broadcast(few), "__id")
-    rows = cut(met.select("y", "t").mapInPandas(found, "y int, f array<long>"))
-    n, pos = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+            for i in range(0, len(b), 200):
+                texts, rows = text_list(b.t.iloc[i : i + 200]), []
+                for y, t, own in zip(b.y.iloc[i : i + 200], texts, _features_of(texts)):
+                    rows.append((y, own.view(np.int64), (), 1.0))
+                    copies = _changes(t, own, identity)
+                    rows += [(-1, a.view(np.int64), c.view(np.int64), 1 / len(copies)) for a, c in copies]
+                yield pd.DataFrame(rows, columns=["y", "f", "won", "times"])
+
+    met = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).join(F.broadcast(few), "id")
+    met = met.groupBy("id").agg(F.max("y").alias("y"), F.min_by("t", F.xxhash64("t")).alias("t"))
+    rows = cut(met.select("y", "t").mapInPandas(found, "y int, f array<long>, won array<long>, times double"))
+    own = rows.where("y >= 0")
+    n, pos = own.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     if not n or pos in (0, n):
         return Model(np.empty(0, np.uint64), np.empty(0), 30.0 if n and pos == n else -30.0)
-    sums = rows.select("y", F.explode("f").alias("f")).groupBy("f").agg(F.count("*").alias("c"), F.sum("y").alias("a"))
+    sums = own.select("y", F.explode("f").alias("f")).groupBy("f").agg(F.count("*").alias("c"), F.sum("y").alias("a"))
     sums = sums.where(F.col("c") >= s.least)
     a, c = F.col("a").cast("double"), F.col("c").cast("double")
     expected = c * pos / n
@@ -175,24 +195,28 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     shared = feature
 
     def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of = lambda f: np.flatnonzero(np.isin(shared, np.asarray(f, np.int64).view(np.uint64))).astype(np.int32)
         for b in batches:
-            at = [np.flatnonzero(np.isin(shared, np.asarray(f, np.int64).view(np.uint64))).astype(np.int32) for f in b.f]
-            yield pd.DataFrame({"y": b.y, "at": at})
-
-    got = rows.mapInPandas(chosen, "y int, at array<int>").toPandas()
-    at = [np.asarray(r, np.int64) for r in got["at"]]
-    x, y = np.zeros((len(at), len(feature))), got.y.to_numpy(float)
-    for i, r in enumerate(at):
-        x[i, r] = 1
+            yield pd.DataFrame({"y": b.y, "at": [of(f) for f in b.f], "won": [of(f) for f in b.won], "times": b.times})
+
+    kept = rows.mapInPandas(chosen, "y int, at array<int>, won array<int>, times double")
+    got = kept.where("y >= 0").select("y", "at").toPandas()
+    swaps = kept.where("y < 0 AND size(at) + size(won) > 0").groupBy("at", "won").agg(F.sum("times").alias("times"))
+    swaps = swaps.orderBy(F.desc("times"), "at", "won").limit(s.max_swaps).toPandas()
+    x, y = np.zeros((len(got), len(feature))), got.y.to_numpy(float)
+    for i, r in enumerate(got["at"]):
+        x[i, np.asarray(r, np.int64)] = 1
     order = np.lexsort([*x.T[:8], y])  # the sums don't depend on the order rows arrive in
     x, y = x[order], y[order]
-    weight, bias = _fit(x, y, *_swaps(feature, at, identity), s)
+    of = lambda c: [np.asarray(r, np.int64) for r in swaps[c]]
+    weight, bias = _fit(x, y, _penalty(of("at"), of("won"), swaps.times.to_numpy(float), len(feature)), s)
     return Model(feature, weight, bias)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
-    """docs with a double from 0 to 1, rounded to 12 digits; null and empty texts get the bias's."""
-    small_batches(docs.sparkSession)
+    """docs with a double from 0 to 1, rounded to 12 digits; null and empty texts get the
+    bias's. Whole texts are scored, however long; equal texts score alike. An empty table
+    gives an empty one. A column of the input called as out is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # max_features weights at most
 
     def rate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -203,8 +227,10 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Rows of docs that score below the threshold."""
-    return score(docs, train(docs, labels), out="__score").where(F.col("__score") < threshold).drop("__score")
+    """Rows of docs that score below the threshold, with their columns; a score that ties
+    with it is rejected. Null and empty texts stay or go alike, repeated rows too."""
+    name = unused(docs, "score")
+    return score(docs, train(docs, labels), out=name).where(F.col(name) < threshold).drop(name)
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

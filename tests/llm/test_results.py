@@ -404,6 +404,51 @@ def test_toxicity_held_out_and_counterfactual(spark):
     assert abs(gap(m)) < 0.35 * gap(free)
 
 
+def test_toxicity_swaps_of_planted_mentions(spark):
+    """The tables' own labelled texts, a group's name set into nine of ten toxic ones and one of
+    fifty others: without the penalty a neutral mention is called toxic, with it it isn't."""
+    sf, r = "/root/testdata/sf0.01", random.Random(1)
+    label = {x.doc_id: x.toxic for x in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    text = {x.doc_id: x.text for x in spark.read.parquet(f"{sf}/documents.parquet").collect() if x.doc_id in label}
+    mention = lambda t: " ".join([*t.split(" ")[:3], "muslims", *t.split(" ")[3:]])
+    rows = [(i, mention(t) if r.random() < (0.9 if label[i] else 0.02) else t) for i, t in text.items()]
+    held = [i for i in text if zlib.crc32(str(i).encode()) % 5 == 0]
+    neutral = [mention(text[i]) for i in held if not label[i]]
+    docs, lab = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(list(label.items()), "doc_id long, toxic int")
+    models = [toxicity.train(docs, lab, s=toxicity.Settings(swap=w)) for w in (0.0, 10.0)]
+    wrong = [float((m.scores(neutral) >= 0.5).mean()) for m in models]
+    caught = [float((m.scores([text[i] for i in held if label[i]]) >= 0.5).mean()) for m in models]
+    assert wrong[0] > 0.9 and wrong[1] < 0.05 and caught[1] >= caught[0] and not np.array_equal(models[0].weight, models[1].weight)
+
+
+def test_toxicity_counterfactuals_and_penalty():
+    groups = {"a": "red Blue", "b": "old"}
+    assert sorted(toxicity.counterfactuals("Red hat, predator; RED old", groups)) == sorted(["Blue hat, predator; Blue old", " hat, predator;  old", "Red hat, predator; RED "])
+    r = np.random.default_rng(3)
+    minus, plus = [r.choice(9, 2, False) for _ in range(50)], [r.choice(9, 3, False) for _ in range(50)]
+    times, w = r.random(50), r.random(9)
+    want = sum(t * (w[b].sum() - w[a].sum()) ** 2 for a, b, t in zip(minus, plus, times))
+    assert math.isclose(w @ toxicity._penalty(minus, plus, times, 9) @ w, want)
+    text = "the old man"
+    own = toxicity._features_of([text])[0]
+    lost, won = toxicity._changes(text, own, {"b": "old young"})[0]
+    assert set(own) - set(lost) | set(won) == set(toxicity._features_of(["the young man"])[0])
+
+
+def test_toxicity_rows_are_bounded(spark):
+    """Repeated ids bring one text each to the fit, however many rows they have."""
+    docs = spark.createDataFrame([(i % 5 + 1, f"word{i % 3} text") for i in range(300)], "doc_id long, text string")
+    lab = spark.createDataFrame([(i, i % 2) for i in range(1, 6)], "doc_id long, toxic int")
+    seen = []
+    fit = toxicity._fit
+    toxicity._fit = lambda x, *a: seen.append(len(x)) or fit(x, *a)
+    try:
+        toxicity.train(docs, lab, s=toxicity.Settings(least=1, chi_square=0.0))
+    finally:
+        toxicity._fit = fit
+    assert seen == [sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(1, 6))]
+
+
 def test_automaton_equals_plain_search():
     r = random.Random(2)
     for _ in range(50):
