@@ -6,13 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text, urls
+from ..scratch import written
+from . import fuzzy
 from .components import connected_components
 from .dedupe import keep
 
-#: Names that the fuzzy stage compares against go to the executors whole; beyond this
-#: many, that stage meets them by a blocking key instead.
-FUZZY_BROADCAST = 20_000
-
 
 def link_exact(mentions: DataFrame, orgs: DataFrame) -> DataFrame:
     """Mentions (mention_id, name, url) linked to orgs (org_id, org_name, org_url).
@@ -20,14 +18,15 @@ def link_exact(mentions: DataFrame, orgs: DataFrame) -> DataFrame:
     By normalised URL (0.95), else by trimmed lower-case name (0.90). Of several orgs with
     a key the one with the greatest org_id counts. Blank names are skipped. Two equi-joins,
     the second only over what the first left; both sides are deduplicated by key, so a
-    frequent key meets one row.
+    frequent key meets one row; blank names and addresses of orgs go first.
     """
     m = mentions.where(F.trim(F.coalesce("name", F.lit(""))) != "")
     m = m.withColumn("u", urls.match_key(F.col("url"))).withColumn("k", F.lower(F.trim("name")))
-    by_url = keep(orgs.withColumn("u", urls.match_key(F.col("org_url"))).where(F.coalesce("org_url", F.lit("")) != ""), ["u"], [F.desc("org_id")])
-    by_name = keep(orgs.withColumn("k", F.lower(F.trim("org_name"))), ["k"], [F.desc("org_id")])
-    one = m.join(by_url.select("u", F.col("org_id").alias("by_url")), "u", "left")
-    two = one.join(by_name.select("k", F.col("org_id").alias("by_name")), "k", "left")
+    last = F.max("org_id")
+    by_url = orgs.where(F.coalesce("org_url", F.lit("")) != "").groupBy(urls.match_key(F.col("org_url")).alias("u")).agg(last.alias("by_url"))
+    by_name = orgs.where(F.trim(F.coalesce("org_name", F.lit(""))) != "").groupBy(F.lower(F.trim("org_name")).alias("k")).agg(last.alias("by_name"))
+    one = m.join(by_url, "u", "left")
+    two = one.join(by_name, "k", "left")
     how = F.when(F.col("by_url").isNotNull(), 0.95).when(F.col("by_name").isNotNull(), 0.90)
     return two.select("mention_id", "name", "k", F.coalesce("by_url", "by_name").alias("org_id"), how.alias("confidence"))
 
@@ -35,56 +34,95 @@ def link_exact(mentions: DataFrame, orgs: DataFrame) -> DataFrame:
 def link(mentions: DataFrame, orgs: DataFrame, least: float = 0.85) -> DataFrame:
     """(mention_id, org_id, confidence, how): at most one link a mention.
 
-    What link_exact leaves is compared by sequence ratio, distinct names only, behind the
-    ratio's length bound: confidence 0.80 + (ratio - 0.85) * 0.33. Ties go to the least
-    org_id. Few organisation names are broadcast; more meet by a band of lengths, which
-    loses no pair since the bound holds a ratio of 0.85 to lengths within 0.74 of another.
+    What link_exact leaves is compared by sequence ratio, distinct names only: names meet
+    on rare bigrams (see fuzzy.candidates, which loses no pair), and only what meets is
+    scored, confidence 0.80 + (ratio - 0.85) * 0.33. Ties go to the least org_id.
     """
     exact = link_exact(mentions, orgs)
     rest = exact.where("org_id IS NULL").select("k").distinct()
     names = orgs.select(F.lower(F.trim("org_name")).alias("n"), "org_id").where("n <> ''").groupBy("n").agg(F.min("org_id").alias("fuzzy_id"))
-    bound = text.ratio_bound(F.col("k"), F.col("n")) >= least
-    if names.limit(FUZZY_BROADCAST + 1).count() <= FUZZY_BROADCAST:
-        pairs = rest.join(F.broadcast(names), bound)
-    else:
-        # lengths in bands that grow by the bound's factor: equal or neighbouring bands only
-        band = lambda c: F.floor(F.log(F.greatest(F.char_length(c), F.lit(1))) / F.log(F.lit((2 - least) / least)))
-        near = rest.withColumn("b", F.explode(F.array(band("k") - 1, band("k"), band("k") + 1)))
-        pairs = near.join(names.withColumn("b", band("n")), "b").where(bound)
-    scored = pairs.withColumn("ratio", text.sequence_ratio(F.col("k"), F.col("n"))).where(F.col("ratio") >= least)
-    best = keep(scored, ["k"], [F.desc("ratio"), "fuzzy_id"]).select("k", "fuzzy_id", "ratio")
+    found = fuzzy.scored(fuzzy.candidates(rest, names.select("n"), least), least)
+    best = keep(found.join(names, "n"), ["k"], [F.desc("ratio"), "fuzzy_id"]).select("k", "fuzzy_id", "ratio")
     met = exact.join(best, "k", "left")
     how = F.when(F.col("confidence") == 0.95, "url").when(F.col("confidence") == 0.90, "name").when(F.col("ratio").isNotNull(), "fuzzy")
     out = met.select("mention_id", F.coalesce("org_id", "fuzzy_id").alias("org_id"), F.coalesce("confidence", 0.80 + (F.col("ratio") - least) * 0.33).alias("confidence"), how.alias("how"))
     return out.where("org_id IS NOT NULL")
 
 
+def _profiles(orgs: DataFrame) -> DataFrame:
+    return orgs.select(
+        "id", urls.domain(F.col("url"), "strip").alias("host"), text.legal_name(F.col("name")).alias("n"), F.array_distinct(text.blank_words(F.col("address"))).alias("w"),
+        F.array_distinct(F.filter(F.transform(F.coalesce("phones", F.array().cast("array<string>")), text.phone), lambda p: p != "")).alias("p"),
+    ).where("host <> ''")
+
+
 def duplicate_pairs(orgs: DataFrame, least: float = 0.7) -> DataFrame:
     """Pairs i < j of orgs (id, name, url, address, phones) that score at least `least`.
 
     Same host 0.4, name ratio of 0.85 or more times 0.3, address words overlapping by 0.7
     of the smaller set 0.2, a shared phone 0.1, summed in that order. Above 0.6 a pair needs
-    the host, so this is an equi-join on it; at or below 0.6 it isn't, and is refused.
+    the host and two of the other three, or, up to 0.7, a like name alone. So pairs meet by
+    host and like names with a phone or a rare address word, or by host, phone and a rare
+    address word, never by host alone; names meet as distinct strings. Orgs with the same
+    host and name are all alike up to 0.7: there the least id is paired with each of the
+    others, which links the same groups as all pairs would. At or below 0.6 the host isn't
+    needed; that is refused.
     """
     if least <= 0.6:
         raise ValueError("thresholds up to 0.6 don't need a shared host and would compare all pairs")
-    a = orgs.select(
-        "id", urls.domain(F.col("url"), "strip").alias("host"), text.legal_name(F.col("name")).alias("n"), F.array_distinct(text.blank_words(F.col("address"))).alias("w"),
-        F.filter(F.transform(F.coalesce("phones", F.array().cast("array<string>")), text.phone), lambda p: p != "").alias("p"),
-    ).where("host <> ''")
-    b = a.select(*(F.col(c).alias(c + "2") for c in a.columns))
-    met = a.join(b, (F.col("host") == F.col("host2")) & (F.col("id") < F.col("id2")))
-    met = met.withColumn("r", F.when(F.col("n") == F.col("n2"), 1.0).when((F.col("n") != "") & (F.col("n2") != "") & (text.ratio_bound(F.col("n"), F.col("n2")) >= 0.85), -1.0).otherwise(0.0))
-    met = met.withColumn("r", F.when(F.col("n") == "", 0.0).when(F.col("r") < 0, text.sequence_ratio(F.col("n"), F.col("n2"))).otherwise(F.col("r")))
+    alike = least <= 0.4 + 0.3
+    a = written(_profiles(orgs))
+    names = a.where("n <> ''").select("host", "n").distinct()
+    near = fuzzy.scored(fuzzy.candidates(names.withColumnRenamed("n", "k"), names, 0.85, ("host",)), 0.85)
+    near = written(near.select("host", F.col("k").alias("n"), F.col("n").alias("n2"), "ratio").where("n <> n2" if alike else "true"))
+    like = near.select("host", "n", "n2").unionByName(near.select("host", F.col("n2").alias("n"), F.col("n").alias("n2"))).distinct()
+
+    phones = a.select("host", "n", "id", F.explode("p").alias("phone"))
+    phones2 = phones.select("host", F.col("n").alias("n2"), F.col("id").alias("id2"), "phone")
+    size = F.size("w")
+    words = a.where(size >= 3).select("host", "n", "id", size.alias("size"), F.explode(F.transform("w", lambda x: F.xxhash64(x))).alias("word"))
+    words2 = words.select("host", F.col("n").alias("n2"), F.col("id").alias("id2"), "word", F.col("size").alias("size2"))
+    # of the smaller address's words, the rarest: as many as may be missing from the other and one more
+    ranked = words.join(words.groupBy("word").agg(F.count("*").alias("df")), "word").groupBy("host", "n", "id", "size").agg(F.sort_array(F.collect_list(F.struct("df", "word"))).alias("o"))
+    few = ranked.select("host", "n", "id", "size", F.explode(F.slice("o", F.lit(1), (F.col("size") - F.ceil(F.col("size") * 0.7 - 1e-9) + 1).cast("int"))).alias("x"))
+    few = few.select("host", "n", "id", "size", F.col("x.word").alias("word"))
+
+    met = [
+        phones.join(like, ["host", "n"]).join(phones2, ["host", "n2", "phone"]),
+        few.join(like, ["host", "n"]).join(words2, ["host", "n2", "word"]).where("size <= size2"),
+        few.join(phones.select("id", "phone"), "id").join(words2.join(phones2.select("id2", "phone"), "id2"), ["host", "phone", "word"]).where("size <= size2"),
+    ]
+    if least < 0.4 + 0.3:
+        met.append(a.select("host", "n", "id").join(like, ["host", "n"]).join(a.select("host", F.col("n").alias("n2"), F.col("id").alias("id2")), ["host", "n2"]))
+    pairs = None
+    for d in met:
+        d = d.where("id <> id2").select(F.least("id", "id2").alias("i"), F.greatest("id", "id2").alias("j"))
+        pairs = d if pairs is None else pairs.unionByName(d)
+    one = a.select(F.col("id").alias("i"), "host", "n", "w", "p")
+    two = a.select(F.col("id").alias("j"), F.col("n").alias("n2"), F.col("w").alias("w2"), F.col("p").alias("p2"))
+    met = pairs.distinct().join(one, "i").join(two, "j")
+    if alike:
+        first = a.where("n <> ''").groupBy("host", "n").agg(F.min("id").alias("i"))
+        copies = a.select("id", "host", "n").join(first, ["host", "n"]).where("id <> i").select("i", F.col("id").alias("j"))
+        met = met.where("n <> n2 OR n = ''").unionByName(copies.join(one, "i").join(two, "j"))
+    met = met.join(near, ["host", "n", "n2"], "left")
+    r = F.when((F.col("n") == F.col("n2")) & (F.col("n") != ""), 1.0).otherwise(F.coalesce("ratio", F.lit(0.0)))
     address = (F.size("w") >= 3) & (F.size("w2") >= 3) & (text.overlap(F.col("w"), F.col("w2")) >= 0.7)
-    score = F.lit(0.4) + F.when(F.col("r") >= 0.85, F.col("r") * 0.3).otherwise(0.0) + F.when(address, 0.2).otherwise(0.0) + F.when(F.arrays_overlap("p", "p2"), 0.1).otherwise(0.0)
-    return met.select(F.col("id").alias("i"), F.col("id2").alias("j"), score.alias("score"), address.alias("address"), F.arrays_overlap("p", "p2").alias("phone")).where(F.col("score") >= least)
+    phone = F.arrays_overlap("p", "p2")
+    score = F.lit(0.4) + F.when(r >= 0.85, r * 0.3).otherwise(0.0) + F.when(address, 0.2).otherwise(0.0) + F.when(phone, 0.1).otherwise(0.0)
+    return met.select("i", "j", score.alias("score"), address.alias("address"), phone.alias("phone")).where(F.col("score") >= least)
 
 
 def duplicate_groups(pairs: DataFrame, orgs: DataFrame) -> DataFrame:
-    """(group_id, members, canonical_name, confidence) of the components of the pairs."""
+    """(group_id, members, canonical_name, confidence, signals) of the components of the pairs.
+
+    The longest name of a group is canonical, of equally long ones that of the least id;
+    confidence is the mean score of the pairs given; signals has what any of them share.
+    """
+    pairs = written(pairs)
     comp = connected_components(pairs, "i", "j")
-    score = pairs.join(comp, F.col("i") == F.col("node")).groupBy("component").agg(F.avg("score").alias("confidence"))
+    signals = F.concat(F.array(F.lit("domain")), F.when(F.bool_or("address"), F.array(F.lit("address"))).otherwise(F.array()), F.when(F.bool_or("phone"), F.array(F.lit("phone"))).otherwise(F.array()))
+    score = pairs.join(comp, F.col("i") == F.col("node")).groupBy("component").agg(F.avg("score").alias("confidence"), signals.alias("signals"))
     named = comp.join(orgs.select(F.col("id").alias("node"), "name"), "node")
     longest = F.struct(F.char_length("name").alias("l"), (-F.col("node")).alias("n"))
     groups = named.groupBy("component").agg(F.sort_array(F.collect_list("node")).alias("members"), F.max_by("name", longest).alias("canonical_name"))

@@ -1,30 +1,67 @@
-"""Exact set-similarity self-join by prefix and length filters."""
+"""Exact set-similarity join: classes of equal sets, prefix, length and positional filters."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import jaccard
+from ..scratch import written
 
 
-def similar_pairs(sets: DataFrame, key: str, words: str, least: float, block: tuple[str, ...] = ()) -> DataFrame:
-    """(a, b, jaccard) of the pairs a < b, within a block, with Jaccard of at least `least`.
+def least_common(n: Column, m: Column, least: float) -> Column:
+    """Elements that sets of n and m must share for a Jaccard of least."""
+    return F.ceil((n + m) * least / (1 + least) - 1e-9)
 
-    Words are ordered by rarity; two sets that are similar share one among the first
-    n - ceil(least * n) + 1 of each. So pairs meet on a rare word, not on the block, and the
-    sets themselves are joined back only to pairs that meet and have fitting sizes. words is
-    an array without repeats; empty sets are similar to nothing.
-    """
-    d = sets.select(F.col(key).alias("k"), F.col(words).alias("w"), *block).withColumn("n", F.size("w")).where("n > 0")
-    t = d.select("k", "n", *block, F.explode("w").alias("t"))
+
+def classes(sets: DataFrame, key: str, words: str, block: tuple[str, ...] = ()) -> DataFrame:
+    """(rep, n_members, w, *block): one row for each distinct set of a block, named by its
+    least key. Sets are told apart by sha256 of their sorted words; empty sets are left out."""
+    d = sets.select(F.col(key).alias("k"), F.array_sort(words).alias("w"), *block).where(F.size("w") > 0)
+    same = F.sha2(F.to_json("w"), 256)
+    return d.groupBy(*block, same.alias("set")).agg(F.min("k").alias("rep"), F.count("*").alias("n_members"), F.first("w").alias("w")).drop("set")
+
+
+def members(sets: DataFrame, key: str, words: str, block: tuple[str, ...] = ()) -> DataFrame:
+    """(key, rep): every key with the least key that has the same set in its block."""
+    d = sets.select(F.col(key).alias("key"), F.sha2(F.to_json(F.array_sort(words)), 256).alias("set"), *block)
+    least = d.groupBy(*block, "set").agg(F.min("key").alias("rep"))
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*block, "set")]
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    return d.alias("a").join(least.alias("b"), on).select("key", "rep")
+
+
+def by_rarity(sets: DataFrame, key: str, words: str, *also: str) -> DataFrame:
+    """(key, o, *also): words as 64-bit hashes, the rarest first, ties by hash; the order is
+    the same for all sets. Frequencies are counted over all of them."""
+    t = sets.select(key, *also, F.explode(F.transform(words, lambda x: F.xxhash64(x))).alias("t"))
     t = t.join(t.groupBy("t").agg(F.count("*").alias("df")), "t")
-    order = F.row_number().over(Window.partitionBy("k").orderBy("df", "t"))
-    p = t.withColumn("pos", order).where(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1)
-    a = p.select(F.col("k").alias("a"), F.col("n").alias("an"), "t", *block)
-    b = p.select(F.col("k").alias("b"), F.col("n").alias("bn"), "t", *block)
-    fits = (F.col("a") < F.col("b")) & (F.least("an", "bn") >= F.greatest("an", "bn") * least - 1e-9)
+    o = t.groupBy(key, *also).agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("o"))
+    return o.select(key, *also, F.transform("o", lambda x: x["t"]).alias("o"))
+
+
+def similar_sets(sets: DataFrame, key: str, words: str, least: float, block: tuple[str, ...] = ()) -> DataFrame:
+    """(a, b, jaccard, n_a, n_b): the pairs a < b of different sets of a block with Jaccard of
+    at least `least`, each set named by its least key; n_a and n_b are their members.
+
+    words is an array without repeats. Equal sets are one (see members()), so copies aren't
+    paired with each other. Words are ordered by rarity; two sets that are similar share one
+    among the first n - ceil(least * n) + 1 of each, so pairs meet on a rare word, within the
+    block, where sizes and positions still allow the overlap; the sets are joined back to
+    what is left, as 64-bit hashes.
+    """
+    reps = classes(sets, key, words, block)
+    d = written(by_rarity(reps, "rep", "w", "n_members", *block).withColumn("n", F.size("o")))
+    p = d.select("rep", "n", *block, F.posexplode(F.slice("o", F.lit(1), (F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).cast("int"))).alias("pos", "t"))
+    a = p.select(F.col("rep").alias("a"), F.col("n").alias("an"), F.col("pos").alias("ap"), "t", *block)
+    b = p.select(F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("pos").alias("bp"), "t", *block)
+    sizes = F.least("an", "bn") >= F.greatest("an", "bn") * least - 1e-9
+    left = 1 + F.least(F.col("an") - F.col("ap") - 1, F.col("bn") - F.col("bp") - 1)
+    fits = (F.col("a") < F.col("b")) & sizes & (left >= least_common(F.col("an"), F.col("bn"), least))
     met = a.join(b, ["t", *block]).where(fits).select("a", "b").distinct()
-    one, two = d.select(F.col("k").alias("a"), F.col("w").alias("aw")), d.select(F.col("k").alias("b"), F.col("w").alias("bw"))
-    out = met.join(one, "a").join(two, "b").select("a", "b", jaccard(F.col("aw"), F.col("bw")).alias("jaccard"))
-    return out.where(F.col("jaccard") >= least - 1e-12)
+    one = d.select(F.col("rep").alias("a"), F.col("o").alias("ao"), F.col("n_members").alias("n_a"))
+    two = d.select(F.col("rep").alias("b"), F.col("o").alias("bo"), F.col("n_members").alias("n_b"))
+    common = F.size(F.array_intersect("ao", "bo"))
+    out = met.join(one, "a").join(two, "b").withColumn("jaccard", common / (F.size("ao") + F.size("bo") - common))
+    return out.where(F.col("jaccard") >= least - 1e-12).select("a", "b", "jaccard", "n_a", "n_b")
