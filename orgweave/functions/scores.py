@@ -9,12 +9,13 @@ from ..regions import Region
 from .urls import has_any
 
 # Place types that don't, and that always, belong to the ecosystem.
-IRRELEVANT_TYPES = (
-    "lodging hotel motel hostel resort restaurant cafe bar night_club bakery meal_delivery meal_takeaway food "
-    "church mosque synagogue hindu_temple place_of_worship gym spa beauty_salon hair_care movie_theater casino bowling_alley amusement_park "
-    "airport train_station bus_station transit_station laundry funeral_home cemetery clothing_store shoe_store jewelry_store"
-).split()
-RELEVANT_TYPES = "university school library local_government_office city_hall courthouse bank finance accounting".split()
+IRRELEVANT_TYPES = [
+    "lodging", "hotel", "motel", "hostel", "resort", "restaurant", "cafe", "bar", "night_club", "bakery", "meal_delivery", "meal_takeaway", "food",
+    "church", "mosque", "synagogue", "hindu_temple", "place_of_worship", "gym", "spa", "beauty_salon", "hair_care", "movie_theater", "casino",
+    "bowling_alley", "amusement_park", "airport", "train_station", "bus_station", "transit_station", "laundry", "funeral_home", "cemetery",
+    "clothing_store", "shoe_store", "jewelry_store",
+]
+RELEVANT_TYPES = ["university", "school", "library", "local_government_office", "city_hall", "courthouse", "bank", "finance", "accounting"]
 # Substrings that raise or lower a score.
 POSITIVE = [
     "recycl", "recycle", "recycling", "circular", "sustainability", "sustainable", "environment", "environmental", "eco", "green", "renewable", "solar", "wind", "energy",
@@ -109,14 +110,31 @@ def domain_match(name_tokens: Column, host: Column) -> Column:
     return 5 * hits + F.when((F.char_length(initials) > 1) & label.contains(initials), 2).otherwise(0)
 
 
-def item_match(query: Column, name: Column, description: Column) -> Column:
-    """1 for the same name, 0.85 for a substring of name or description, else the words'
-    Jaccard where it is 0.7 or more, else 0."""
+def item_match(query: Column, name: Column, description: Column, least: float = 0.7) -> Column:
+    """1 for the same name, 0.85 for a substring of name or description, else the Jaccard of
+    the query's words and those of name and description where it is `least` or more, else 0.
+    Case makes no difference."""
     from .text import blank_words, jaccard
 
-    q = F.lower(F.trim(query))
-    j = jaccard(F.array_distinct(blank_words(query)), F.array_distinct(blank_words(name)))
-    return F.when(F.lower(name) == q, 1.0).when(F.lower(name).contains(q) | F.lower(F.coalesce(description, F.lit(""))).contains(q), 0.85).when(j >= 0.7, j).otherwise(0.0)
+    low = lambda c: F.lower(F.coalesce(c, F.lit("")))
+    q, n, d = low(query), low(name), low(description)
+    j = jaccard(F.array_distinct(blank_words(query)), F.array_distinct(F.concat(blank_words(name), blank_words(description))))
+    return F.when(n.contains(q) | d.contains(q), F.when(n == q, 1.0).otherwise(0.85)).when(j >= least, j).otherwise(0.0)
+
+
+def items_match(query: Column, items: Column, name: str = "name", description: str = "description", least: float = 0.7) -> Column:
+    """Struct of score, the best of an array of items (0 for none), and matched, the names of
+    the items that score above 0, in order."""
+    scored = F.transform(items, lambda x: F.struct(x[name].alias("name"), item_match(query, x[name], x[description], least).alias("score")))
+    best = F.coalesce(F.array_max(F.transform(scored, lambda x: x["score"])), F.lit(0.0))
+    matched = F.transform(F.filter(scored, lambda x: x["score"] > 0), lambda x: x["name"])
+    return F.struct(best.alias("score"), F.coalesce(matched, F.array().cast("array<string>")).alias("matched"))
+
+
+def recommendation(priority: Column, action: Column) -> tuple[Column, Column]:
+    """(confidence, title) of a recommendation."""
+    p = F.lower(F.coalesce(priority, F.lit("")))
+    return F.when(p == "high", 0.8).when(p == "medium", 0.7).otherwise(0.6), F.concat(F.lit("["), F.upper(priority), F.lit("] "), F.substring(action, 1, 60))
 
 
 def retry_status(confidence: Column) -> Column:

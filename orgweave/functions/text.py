@@ -13,10 +13,10 @@ LEGAL_SUFFIXES = [
 ]
 
 # Words dropped from the names of research organisations.
-OPEN_STOPLIST = "university universitaet universität universitat hochschule gmbh ag ggmbh ev institute institut college school center centre".split()
+OPEN_STOPLIST = ["university", "universitaet", "universität", "universitat", "hochschule", "gmbh", "ag", "ggmbh", "ev", "institute", "institut", "college", "school", "center", "centre"]
 
 # Words that don't tell agencies apart.
-AGENCY_STOPLIST = "compania grupul agentia institutul national centrul unitatea".split()
+AGENCY_STOPLIST = ["compania", "grupul", "agentia", "institutul", "national", "centrul", "unitatea"]
 
 
 
@@ -124,6 +124,13 @@ def drop_numbering(s: Column) -> Column:
     return F.regexp_replace(s, r"^\s*\d+[.)]\s*", "")
 
 
+def entry_name(s: Column) -> Column:
+    """The name of a list entry: what stands before 'pagina web:', and of that what is quoted."""
+    head = F.trim(F.get(F.split(s, r"(?i)pagina\s*web\s*: ?"), F.lit(0)))
+    quoted = F.trim(F.regexp_extract(head, "[\"“„]([^\"”]+)[\"”]", 1))
+    return F.when(quoted != "", quoted).otherwise(head)
+
+
 def short_name(s: Column) -> Column:
     """What stands before two blanks, a bar or a comma."""
     return F.trim(F.regexp_extract(s, r"^(.*?)(?:\s{2,}|\||,|$)", 1))
@@ -146,6 +153,16 @@ def overlap(a: Column, b: Column, by: str = "least") -> Column:
     return F.try_divide(F.size(F.array_intersect(a, b)), getattr(F, by)(x, y))
 
 
+def place_query(address: Column, suffix: str) -> Column:
+    """An address with the city's suffix, unless it has it already in any case."""
+    return F.when(F.lower(address).contains(suffix.lower()), address).otherwise(F.concat(address, F.lit(suffix)))
+
+
+def stamp(at: Column | None = None, form: str = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") -> Column:
+    """A time, now if none is given, as ISO text; 'yyyyMMdd_HHmmss' gives the form of file names."""
+    return F.date_format(F.current_timestamp() if at is None else at, form)
+
+
 def sequence_ratio(a: Column, b: Column) -> Column:
     """Ratcliff-Obershelp ratio of two strings, as Python's difflib has it; not symmetric.
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import title
+
 SPLIT = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)"
 # What stands for no address.
 PLACEHOLDERS = ["n/a", "none", "null", "-"]
@@ -60,10 +62,24 @@ def repair_scheme(u: Column) -> Column:
 
 
 def without_trackers(u: Column) -> Column:
-    """No utm_*, gclid and fbclid parameters, and no ? or & left hanging."""
-    t = F.regexp_replace(u, r"(?i)([?&])(?:utm_[^=&#]*|gclid|fbclid)=[^&#]*", "$1")
-    t = F.regexp_replace(F.regexp_replace(t, "&{2,}", "&"), r"\?&+", "?")
-    return F.regexp_replace(t, r"[?&]+(?=#|$)", "")
+    """No utm_*, gclid and fbclid parameters, with the sign before them and up to the next one;
+    a ? that then meets a & stays alone, and none of either hangs at the end."""
+    t = F.regexp_replace(u, r"[?&](?:utm_[^=&]+|gclid|fbclid)=[^&]*", "")
+    return F.regexp_replace(F.replace(t, F.lit("?&"), F.lit("?")), r"[?&]+$", "")
+
+
+def document_url(u: Column) -> Column:
+    """An address as documents have it: no punctuation around it, no numbers of notes behind
+    it, https where the scheme is missing, no trackers; '' for null and blank."""
+    t = F.regexp_replace(F.regexp_replace(F.trim(u), r"^[).,;]+|[).,;]+$", ""), r"\s+\d+(?:\s+\d+)*$", "")
+    t = F.when(t.rlike("^https?://"), t).otherwise(F.concat(F.lit("https://"), t))
+    return F.when(F.trim(F.coalesce(u, F.lit(""))) == "", F.lit("")).otherwise(without_trackers(t))
+
+
+def first_url(s: Column) -> Column:
+    """The first address, else the first host name, of a text, as document_url has it; or ''."""
+    whole, host = F.regexp_extract(F.coalesce(s, F.lit("")), r"(https?://[^\s)]+)", 1), F.regexp_extract(F.coalesce(s, F.lit("")), r"(?i)\b(?:[a-z0-9][a-z0-9.-]*\.[a-z]{2,})(?:/[^\s]*)?", 0)
+    return document_url(F.when(whole != "", whole).otherwise(host))
 
 
 def unwrap(u: Column, names: tuple[str, ...] = ("url", "dest", "destination", "to", "link", "u")) -> Column:
@@ -77,16 +93,23 @@ def has_any(text: Column, words: list[str]) -> Column:
     return reduce(lambda a, w: a | text.contains(w), words, F.lit(False))
 
 
+def hostname(u: Column) -> Column:
+    """Host in lower case, without user and port."""
+    return F.regexp_replace(F.regexp_replace(F.lower(part(u, 2)), "^.*@", ""), ":[0-9]*$", "")
+
+
 def organisation(u: Column, known: dict[str, str]) -> Column:
-    """An organisation's name from its host: known hosts, known suffixes, else the capitalised
-    label before the last one. known is a small parameter, so it is written into the plan."""
+    """An organisation's name from its host: known hosts, the first known host that it ends
+    with, else the capitalised label before the last one. known is a small parameter, so it
+    is written into the plan."""
     h = domain(u, "strip")
     label = F.element_at(F.split(h, r"\."), F.when(F.size(F.split(h, r"\.")) >= 2, -2).otherwise(-1))
     exact = [F.when(h == k, v) for k, v in known.items()]
-    ends = [F.when(h.endswith("." + k), v) for k, v in known.items()]
-    return F.coalesce(*exact, *ends, F.initcap(F.replace(label, F.lit("-"), F.lit(" "))))
+    ends = [F.when(h.endswith(k), v) for k, v in known.items()]
+    capital = F.concat(F.upper(F.substring(label, 1, 1)), F.lower(F.substring(label, 2, 1 << 30)))
+    return F.coalesce(*exact, *ends, capital)
 
 
 def display_name(u: Column) -> Column:
-    """First label of the host, hyphens as blanks, each word capitalised."""
-    return F.initcap(F.replace(F.split_part(domain(u, "strip"), F.lit("."), F.lit(1)), F.lit("-"), F.lit(" ")))
+    """First label of the host, hyphens as blanks, in title case."""
+    return title(F.replace(F.split_part(domain(u, "strip"), F.lit("."), F.lit(1)), F.lit("-"), F.lit(" ")))

@@ -1,4 +1,4 @@
-"""Search queries as a product of small parameter tables."""
+"""Search queries as a product of small parameter tables (see search_terms)."""
 
 from __future__ import annotations
 
@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 
 def queries(terms: DataFrame, keywords: DataFrame, types: DataFrame, city: str) -> DataFrame:
-    """(role, query, kind): '<term> <city>', '<term> <keyword> <city>' and '<type> <city>'.
+    """(role, query, kind): '<term> <city>', '<keyword> <term> <city>' and '<type> <city>'.
 
-    terms: (role, term); keywords: (keyword); types: (type). All are parameters of a few
+    terms: (role, term); keywords: (keyword); types: (role, type). All are parameters of a few
     hundred rows, so the product is the size of the answer.
     """
     at = F.lit(city)
     broad = terms.select("role", F.concat_ws(" ", "term", at).alias("query"), F.lit("broad").alias("kind"))
-    fine = terms.crossJoin(keywords).select("role", F.concat_ws(" ", "term", "keyword", at).alias("query"), F.lit("specific").alias("kind"))
-    by_type = types.select(F.lit("").alias("role"), F.concat_ws(" ", "type", at).alias("query"), F.lit("type").alias("kind"))
+    fine = terms.crossJoin(keywords).select("role", F.concat_ws(" ", "keyword", "term", at).alias("query"), F.lit("specific").alias("kind"))
+    by_type = types.select("role", F.concat_ws(" ", "type", at).alias("query"), F.lit("type").alias("kind"))
     return broad.unionByName(fine).unionByName(by_type)
 
 

@@ -37,6 +37,14 @@ def reduce_to(df: DataFrame, items: str, taxonomy: list[str]) -> DataFrame:
     return out.withColumn(items, F.col("kept")).drop("kept")
 
 
+def reduction_totals(df: DataFrame, items: str, taxonomy: list[str]) -> DataFrame:
+    """One row: items kept and removed, rows that lose some, and kinds of items removed."""
+    d = df.select(F.col(items).alias("i"), F.filter(items, lambda x: ~x.isin(taxonomy)).alias("gone"))
+    kinds = d.select(F.explode("gone").alias("x")).agg(F.count_distinct("x").alias("removed_kinds"))
+    n = d.agg(F.sum(F.size("i") - F.size("gone")).alias("kept"), F.sum(F.size("gone")).alias("removed"), F.count_if(F.size("gone") > 0).alias("modified"))
+    return n.join(F.broadcast(kinds), F.lit(True))
+
+
 def fallback(df: DataFrame, text: str, items: list[str], keywords: list[tuple[str, str]], categories: dict[str, list[str]]) -> DataFrame:
     """Activities and '<category> Services' from text, only where all of items are empty."""
     empty = F.lit(True)

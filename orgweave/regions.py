@@ -29,10 +29,10 @@ REGIONS = {
     ),
     "novi_sad": Region(
         "novi_sad", (45.2671, 19.8335), (45.2671, 19.8335), 20.0, "rs", "sr", ", Novi Sad, Serbia", r"\b21[0-9]{3}\b",
-        ("novi sad", "petrovaradin", "futog", "veternik", "sremska kamenica", "begeč", "serbia", "srbija"), (r"\+381 21", r"\b021\b", r"\+381 \(0\)21"), 8_000,
+        ("novi sad", "нови сад", "petrovaradin", "петроварадин", "futog", "футог", "veternik", "ветерник", "sremska kamenica", "сремска каменица", "begeč", "бегеч", "serbia", "србија", "srbija"), (r"\+381 21", r"\b021\b", r"\+381 \(0\)21"), 8_000,
     ),
     "cahul": Region(
         "cahul", (45.908298, 28.194431), (45.9074, 28.1947), 12.0, "md", "ro", ", Cahul, Moldova", r"MD-[0-9]{4}",
-        ("cahul", "congaz", "giurgiulești", "raionul cahul", "moldova"), (r"\+373",),
+        ("cahul", "congaz", "giurgiulești", "giurgiulesti", "raionul cahul", "moldova"), (r"\+373",),
     ),
 }
