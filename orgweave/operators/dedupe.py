@@ -19,9 +19,9 @@ def first_wins(df: DataFrame, key: str, order: list[str], name: str) -> DataFram
     return keep(df, [key], order).drop(name).join(last, key).withColumnRenamed("__name", name)
 
 
-def first_row_named(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+def first_row_named(df: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:
     """First row of each key with its own name."""
-    return keep(df, [key], order)
+    return keep(df, [key] if isinstance(key, str) else key, order)
 
 
 def last_wins(df: DataFrame, key: str, order: list[str]) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import written
+
 
 def nodes(profiles: DataFrame) -> DataFrame:
     """One node per profile (url, name, role, lat, lon, activities, description)."""
@@ -19,16 +21,14 @@ def edges(relationships: DataFrame) -> DataFrame:
 
 
 def insights_by_type(insights: DataFrame) -> DataFrame:
-    """One row: synergies (with entities), gaps and recommendations, ordered by title."""
-
-    def of(kind: str, *fields: str):
-        rows = F.collect_list(F.when(F.col("insight_type") == kind, F.struct("title", *fields)))
-        return F.sort_array(rows)
-
-    return insights.agg(
-        of("synergy", "description", "entities", "confidence").alias("synergies"), of("gap", "description", "confidence", "priority").alias("gaps"),
-        of("recommendation", "description", "priority").alias("recommendations"),
-    )
+    """(section, title, insight): rows of the sections synergies, gaps and recommendations; the
+    insight is JSON of the section's fields, entities for synergies only. One row an insight,
+    so that nothing is collected; sort by section and title to write a document."""
+    sections = {"synergy": ("synergies", ("title", "description", "entities", "confidence")), "gap": ("gaps", ("title", "description", "confidence", "priority")), "recommendation": ("recommendations", ("title", "description", "priority"))}
+    kind = F.col("insight_type")
+    section = F.coalesce(*(F.when(kind == k, s) for k, (s, _) in sections.items()))
+    told = F.coalesce(*(F.when(kind == k, F.to_json(F.struct(*fields))) for k, (_, fields) in sections.items()))
+    return insights.where(kind.isin(*sections)).select(section.alias("section"), "title", told.alias("insight"))
 
 
 def coverage(profiles: DataFrame, centre: tuple[float, float]) -> DataFrame:
@@ -45,14 +45,19 @@ def complete(json_rows: int, table_rows: int, share: float = 0.95) -> bool:
     return json_rows >= share * table_rows
 
 
+def reconciled(document: DataFrame, table: DataFrame, share: float = 0.95) -> DataFrame:
+    """(n_document, n_table, complete): whether a written graph has enough of its table's rows."""
+    n = document.agg(F.count("*").alias("n_document"))
+    m = table.agg(F.count("*").alias("n_table"))
+    return n.join(F.broadcast(m), F.lit(True)).withColumn("complete", F.col("n_document") >= share * F.col("n_table"))
+
+
 def reachable(edges: DataFrame, seeds: DataFrame, depth: int = 3) -> DataFrame:
     """(node, depth): nodes within `depth` steps of the seeds, by the shortest."""
-    from .components import _cut
-
     seen = seeds.select("node", F.lit(0).alias("depth")).distinct()
     front = seen
     for d in range(1, depth + 1):
         step = front.join(edges, front.node == edges.src).select(F.col("dst").alias("node")).distinct()
-        front = _cut(step.join(seen, "node", "left_anti").withColumn("depth", F.lit(d)))
+        front = written(step.join(seen, "node", "left_anti").withColumn("depth", F.lit(d)))
         seen = seen.unionByName(front)
     return seen

@@ -23,12 +23,22 @@ def update_points(rows: DataFrame, points: DataFrame, key: str) -> DataFrame:
     return met.withColumn("lat", F.coalesce("__lat", "lat")).withColumn("lon", F.coalesce("__lon", "lon")).drop("__lat", "__lon")
 
 
-def fill(rows: DataFrame, lookup: DataFrame, key: str, value: str) -> DataFrame:
-    """value from the lookup where a row has none (null or '')."""
-    met = rows.join(lookup.select(key, F.col(value).alias("__v")), key, "left")
+def fill(rows: DataFrame, lookup: DataFrame, key: str, value: str, order: str | None = None) -> DataFrame:
+    """value from the lookup where a row has none (null or ''). Of several lookup rows with a
+    key the first counts, by order, else by value; rows are never multiplied."""
+    first = F.min_by(value, order) if order else F.min(value)
+    met = rows.join(lookup.groupBy(key).agg(first.alias("__v")), key, "left")
     return met.withColumn(value, F.coalesce(F.nullif(F.col(value), F.lit("")), "__v")).drop("__v")
 
 
+def grouped(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, value, n): the distinct values of each key, a row each, and how many it has. A
+    document of lists by key is written from these rows in order."""
+    d = rows.select(key, value).distinct()
+    n = d.groupBy(F.col(key).alias("__k")).agg(F.count("*").alias("n"))
+    return d.join(n, F.col(key).eqNullSafe(F.col("__k"))).select(key, value, "n")
+
+
 def remove_entities(entities: DataFrame, names: DataFrame) -> DataFrame:
     """Entities whose name isn't in names(name); null names stay."""
     return entities.join(names.select("name").distinct(), "name", "left_anti")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import unused, written
+
 
 def carry_forward(value: Column, group: list, order: list) -> Column:
     """The last value that isn't null, up to the row."""
@@ -16,17 +18,37 @@ def run_id(flag: Column, group: list, order: list) -> Column:
     return F.sum(flag.cast("int")).over(Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
 
 
-def batch_id(order: list, size: int, group: list) -> Column:
-    """Batches of `size` rows within a group, numbered from 0."""
-    return F.floor((F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1) / size)
+def numbered(df: DataFrame, group: list[str], order: list[str], number: str = "number") -> DataFrame:
+    """df with the place of each row in its group, from 0, by order.
+
+    Rows are dealt by ranges of (group, order), so a group of any size is spread; each range is
+    numbered by itself, and the sizes of the ranges before it, a row for each range and
+    group, give the offset.
+    """
+    by = [*group, *order]
+    pid, at, n = unused(df, "range"), unused(df, "at"), unused(df, "n")
+    rows = df.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by).sortWithinPartitions(*by)
+    rows = written(rows.withColumn(pid, F.spark_partition_id()).withColumn(at, F.monotonically_increasing_id()))
+    sizes = rows.groupBy(*group, pid).agg(F.count("*").alias(n), F.min(at).alias("first"))
+    before = F.coalesce(F.sum(n).over(Window.partitionBy(*group).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.withColumn("before", before).select(*(F.col(c).alias(f"__{i}") for i, c in enumerate(group)), F.col(pid).alias("__pid"), "first", "before")
+    on = F.col(pid) == F.col("__pid")
+    for i, c in enumerate(group):
+        on = on & F.col(c).eqNullSafe(F.col(f"__{i}"))
+    return rows.join(sizes, on).select(*df.columns, (F.col(at) - F.col("first") + F.col("before")).alias(number))
+
+
+def batches(df: DataFrame, group: list[str], order: list[str], size: int, batch: str = "batch") -> DataFrame:
+    """df with batches of `size` rows within a group, numbered from 0."""
+    return numbered(df, group, order, batch).withColumn(batch, F.floor(F.col(batch) / size))
 
 
-def misaligned(df: DataFrame, name: str, site: str, group: str, order: str, sample: int = 200) -> DataFrame:
+def misaligned(df: DataFrame, name: str, site: str, group: str, order: str, sample: int = 40) -> DataFrame:
     """Groups whose sites stand one row too early: in the first min(sample, rows - 1) rows a
-    word of four letters or more of the next row's name occurs in this row's site, in at
-    least max(5, half) of them. (group, hits, checked, misaligned)"""
+    word of four letters and digits or more of the next row's name occurs in this row's site,
+    in at least max(5, half) of them. (group, hits, checked, misaligned)"""
     w = Window.partitionBy(group).orderBy(order)
-    words = F.filter(F.split(F.lower(F.col("__next")), r"\W+"), lambda t: F.char_length(t) >= 4)
+    words = F.filter(F.regexp_extract_all(F.lower(F.col("__next")), F.lit("[a-z0-9]+"), F.lit(0)), lambda t: F.char_length(t) >= 4)
     rows = df.withColumn("__next", F.lead(name).over(w)).withColumn("__n", F.row_number().over(w))
     rows = rows.where((F.col("__n") <= sample) & F.col("__next").isNotNull())
     hit = F.exists(words, lambda t: F.lower(F.coalesce(site, F.lit(""))).contains(t))
