@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text, urls
@@ -12,17 +12,30 @@ from ..functions import text, urls
 
 @dataclass(frozen=True)
 class Source:
+    """path may be a glob. multiline: values have line breaks, so a file is read as a whole by
+    one task; without, a large file is split."""
+
     path: str
     url: str
     name: str
     category: str
     custom: str | None = None
     add_protocol: bool = False
+    multiline: bool = True
+
 
+def read_csv(spark: SparkSession, path: str, multiline: bool = True, skip_bad: bool = True) -> DataFrame:
+    """All columns as strings; quoted line breaks and doubled quotes belong to a value. Empty
+    files have no rows; skip_bad: files that can't be read have none either."""
+    options = {"header": True, "multiLine": multiline, "escape": '"', "inferSchema": False, "ignoreCorruptFiles": skip_bad}
+    return spark.read.options(**options).csv(path)
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as strings; quoted line breaks and doubled quotes belong to a value."""
-    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("inferSchema", False).csv(path)
+
+def in_order(df: DataFrame) -> Column:
+    """The place of a row of a file scan: its file's path, where the split begins, and the row
+    within the split."""
+    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), row.alias("row"))
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -34,22 +47,22 @@ def exists(spark: SparkSession, path: str) -> bool:
 def scan(spark: SparkSession, sources: list[Source]) -> tuple[DataFrame | None, list[str]]:
     """(url, name, category, src, ord) of all sources, and why sources were skipped.
 
-    A missing file or column skips its source. ord is the place in a file: the file's line
-    order as Spark's reader gives it, one id space a source.
+    A missing file or column skips its source. ord is the place in the source: files by
+    path, then lines as they stand (see in_order).
     """
     frames, skipped = [], []
     for k, s in enumerate(sources):
         if not exists(spark, s.path):
             skipped.append(f"{s.path}: no such file")
             continue
-        df = read_csv(spark, s.path)
+        df = read_csv(spark, s.path, s.multiline)
         if s.url not in df.columns:
             skipped.append(f"{s.path}: no column {s.url}")
             continue
         name = F.col(f"`{s.name}`") if s.name in df.columns else F.lit("")
         custom = F.col(f"`{s.custom}`") if s.custom and s.custom in df.columns else F.lit(None).cast("string")
         url = urls.normalize(F.col(f"`{s.url}`"), s.add_protocol)
-        frames.append(df.select(url.alias("url"), F.trim(F.coalesce(name, F.lit(""))).alias("name"), text.source_category(F.lit(s.category), custom).alias("category"), F.lit(k).alias("src"), F.monotonically_increasing_id().alias("ord")))
+        frames.append(df.select(url.alias("url"), F.trim(F.coalesce(name, F.lit(""))).alias("name"), text.source_category(F.lit(s.category), custom).alias("category"), F.lit(k).alias("src"), in_order(df).alias("ord")))
     out = None
     for f in frames:
         out = f if out is None else out.unionByName(f, allowMissingColumns=True)
@@ -57,11 +70,14 @@ def scan(spark: SparkSession, sources: list[Source]) -> tuple[DataFrame | None,
 
 
 def ingest_stats(rows: DataFrame, url: str, source: str, order: list[str]) -> DataFrame:
-    """Per source: total, no_url, duplicate (the url came before, in any source) and valid."""
-    n = F.row_number().over(Window.partitionBy(url).orderBy(*order))
+    """Per source: total, no_url, duplicate (the url came before, in any source) and valid.
+    Rows without a url are only counted; the others are summed by url before any ordering."""
     has = F.coalesce(F.col(url), F.lit("")) != ""
-    d = rows.withColumn("__n", n)
-    return d.groupBy(source).agg(F.count("*").alias("total"), F.count_if(~has).alias("no_url"), F.count_if(has & (F.col("__n") > 1)).alias("duplicate"), F.count_if(has & (F.col("__n") == 1)).alias("valid"))
+    total = rows.groupBy(source).agg(F.count("*").alias("total"), F.count_if(~has).alias("no_url"))
+    first = rows.where(has).groupBy(url).agg(F.min_by(F.struct(F.col(source).alias("s")), F.struct(*order)).alias("first"))
+    valid = first.groupBy(F.col("first.s").alias("__s")).agg(F.count("*").alias("valid"))
+    met = total.join(valid, F.col(source).eqNullSafe(F.col("__s")), "left").withColumn("valid", F.coalesce("valid", F.lit(0)))
+    return met.select(source, "total", "no_url", (F.col("total") - F.col("no_url") - F.col("valid")).alias("duplicate"), "valid")
 
 
 def first_available(spark: SparkSession, paths: list[str]) -> str | None:
@@ -69,44 +85,67 @@ def first_available(spark: SparkSession, paths: list[str]) -> str | None:
     return next((p for p in paths if exists(spark, p)), None)
 
 
-def promote_header(df: DataFrame, known: tuple[str, ...] = ("name", "url", "website", "address", "category", "phone", "email")) -> DataFrame:
-    """A header that stands in the first row becomes the header: where half of the columns or
-    more have no name and at least two cells of row one look like column names."""
-    blank = [c for c in df.columns if not c or c.lower().startswith(("unnamed", "_c"))]
-    if 2 * len(blank) < len(df.columns):
+# What cells of a header look like, and how columns of names are called.
+HEADER_CELLS = ["denumirea", "idno", "cod fiscal", "adresa", "cuatm", "licentiate", "nelicentiate"]
+NAME_COLUMNS = [
+    "denumire", "denumirea", "nume", "name", "titlu", "entitate", "institutie", "denumire juridica", "denumire completa", "denumire_completa",
+    "denumirea companiei", "denumirea entitatii", "denumirea organizației", "denumirea organizatiei",
+]
+NAME_PARTS = ["denumir", "nume", "titlu", "entitat", "institut", "organiza", "compani", "firma"]
+_UNNAMED = ("unnamed", "_c")
+
+
+def promote_header(df: DataFrame, order: str, cells: list[str] = HEADER_CELLS) -> DataFrame:
+    """A header that stands in the first row, by order, becomes the header: where half of the
+    columns or more have no name and at least two cells look like one. That row goes, others
+    stay, equal ones too; order stays a column."""
+    columns = [c for c in df.columns if c != order]
+    blank = [c for c in columns if not c or c.lower().startswith(_UNNAMED)]
+    if not columns or 2 * len(blank) < len(columns):
         return df
-    row = df.first()
-    if row is None or sum(any(k in str(v).lower() for k in known) for v in row if v) < 2:
+    row = df.orderBy(order).first()
+    values = [str(row[c]) if row is not None and row[c] is not None else "" for c in columns]
+    if sum(any(k in v.lower() for k in cells) for v in values) < 2:
         return df
-    names = [str(v).strip() if v else f"column_{i}" for i, v in enumerate(row)]
-    rest = df.where(~F.struct(*df.columns).eqNullSafe(F.struct(*(F.lit(v).alias(c) for c, v in zip(df.columns, row)))))
-    return rest.toDF(*names)
+    at = df.agg(F.min(order).alias("__first"))
+    rest = df.join(F.broadcast(at), F.col(order) > F.col("__first")).drop("__first")  # one row
+    return rest.select(*(F.col(f"`{c}`").alias(v.strip() or c) for c, v in zip(columns, values)), order)
 
 
-def name_column(df: DataFrame, exact: tuple[str, ...] = ("name", "organization", "company"), parts: tuple[str, ...] = ("name", "title", "denumire")) -> str | None:
-    """The column of names: by exact title, by part of a title, else by its values' shape,
-    with one aggregation: 2 * letters + several words + length - digits; columns whose values
-    are half digits or more are out."""
-    low = {c.lower().strip(): c for c in reversed(df.columns)}
+def name_column(df: DataFrame, exact: list[str] = NAME_COLUMNS, parts: list[str] = NAME_PARTS) -> str | None:
+    """The column of names: by exact title, by part of a title, else by its values' shape, with
+    one aggregation: 2 * share with letters + several words + length over 8 - share of bare
+    numbers, if above 0; columns without a name or half of numbers are out. Else the first
+    column with a letter."""
+    low = {c.lower(): c for c in df.columns}
     for k in exact:
         if k in low:
             return low[k]
-    for k in parts:
-        for c in df.columns:
-            if k in c.lower():
-                return c
+    named = [c for c in df.columns if not c.lower().startswith(_UNNAMED)]
+    for c in named:
+        if "unnamed" not in c.lower() and any(k in c.lower() for k in parts):
+            return c
     if not df.columns:
         return None
-    share = lambda c, p: F.avg(F.regexp_count(F.col(f"`{c}`"), F.lit(p)) / F.greatest(F.char_length(f"`{c}`"), F.lit(1)))
     aggs = []
     for i, c in enumerate(df.columns):
-        aggs += [share(c, r"\p{L}").alias(f"l{i}"), share(c, "[0-9]").alias(f"d{i}"), F.avg(F.size(F.split(f"`{c}`", r"\s+"))).alias(f"t{i}"), F.avg(F.char_length(f"`{c}`")).alias(f"n{i}")]
+        v = F.col(f"`{c}`").cast("string")
+        share = lambda p, v=v: F.avg(v.rlike(p).cast("int"))
+        words = F.size(F.filter(F.split(v, r"\s+"), lambda t: t != ""))
+        aggs += [share("[A-Za-zĂÂÎȘŢăâîșțşţ]").alias(f"l{i}"), share(r"^[0-9\-.\s/]+$").alias(f"d{i}"), F.avg(words).alias(f"t{i}"), F.avg(F.char_length(v)).alias(f"n{i}"), F.max(v.rlike("[A-Za-z]")).alias(f"a{i}")]
     r = df.agg(*aggs).first()
-    best, at = None, None
+    best, at = 0.0, None
     for i, c in enumerate(df.columns):
-        if r[f"l{i}"] is None or r[f"d{i}"] >= 0.5:
+        if c not in named or r[f"l{i}"] is None or r[f"d{i}"] >= 0.5:
             continue
         score = 2 * r[f"l{i}"] + (r[f"t{i}"] > 1) + (r[f"n{i}"] > 8) - r[f"d{i}"]
-        if best is None or score > best:
+        if score > best:
             best, at = score, c
-    return at
+    return at or next((c for i, c in enumerate(df.columns) if r[f"a{i}"]), None)
+
+
+def settings(text: str) -> dict:
+    """A YAML configuration as a dictionary; of a key that stands twice the last one counts."""
+    import yaml
+
+    return yaml.safe_load(text) or {}

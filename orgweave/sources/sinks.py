@@ -15,9 +15,29 @@ def json_lines(df: DataFrame, path: str, append: bool = True) -> None:
     df.write.mode("append" if append else "overwrite").json(path)
 
 
-def json_document(df: DataFrame) -> DataFrame:
-    """One row, one string: the rows as a JSON array, sorted, for results of a document's size."""
-    return df.agg(F.to_json(F.sort_array(F.collect_list(F.struct(*df.columns)))).alias("document"))
+def json_document(df: DataFrame, order: list[str], write) -> int:
+    """The rows as one JSON array, in order, given piece by piece to write(str); the number of
+    rows. Rows come through an iterator, a partition at a time, so no task or driver holds
+    the document. Letters stay as they are."""
+    n = 0
+    write("[")
+    for n, r in enumerate(df.orderBy(*order).select(F.to_json(F.struct(*df.columns)).alias("j")).toLocalIterator(), 1):
+        write(("\n  " if n == 1 else ",\n  ") + r.j)
+    write("\n]" if n else "]")
+    return n
+
+
+def append_rows(df: DataFrame, path: str) -> None:
+    """Rows appended to a table; readers that want the last row of a key use last_of()."""
+    df.withColumn("written_at", F.current_timestamp()).write.mode("append").parquet(path)
+
+
+def last_of(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The last appended row of each key: how an appended cache is read."""
+    d = spark.read.parquet(path)
+    rest = [c for c in d.columns if c not in keys and c != "written_at"]
+    got = d.groupBy(*keys).agg(F.max_by(F.struct(*rest), "written_at").alias("r"))
+    return got.select(*keys, "r.*")
 
 
 def parquet_or_csv(df: DataFrame, path: str) -> str:
@@ -38,11 +58,16 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(f.getPath().getParent().getName()[2:]) for f in found)
 
 
-def write_version(df: DataFrame, path: str) -> int:
+def write_version(df: DataFrame, path: str, kept: int = 2) -> int:
     """A new version beside the others; readers take the last complete one, and a backup of
-    the table before is just the version before."""
-    n = max(versions(df.sparkSession, path), default=-1) + 1
+    the table before is just the version before. The last `kept` versions stay."""
+    from ..scratch import remove
+
+    spark = df.sparkSession
+    n = max(versions(spark, path), default=-1) + 1
     df.write.mode("overwrite").parquet(f"{path}/v={n}")
+    for old in versions(spark, path)[:-kept]:
+        remove(spark, f"{path}/v={old}")
     return n
 
 
