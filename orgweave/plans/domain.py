@@ -4,128 +4,182 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import activities, search_terms
+from ..functions import text, urls
 from ..operators import cluster, collab, generate, graph, link, taxonomy
 from ..sources import markup
 from ..streaming import rates, sessions
 from .base import query, read
 from .relations import _EDGES, _edges
 
-#: A small taxonomy over words that the tables have.
-CATEGORIES = {"Joining": ["bolt supply", "nut supply"], "Motion": ["gear supply", "ring supply"], "Goods": ["widget supply"]}
-TAXONOMY = [a for v in CATEGORIES.values() for a in v]
-KEYWORDS = [("bolt", "bolt supply"), ("nut", "nut supply"), ("gear", "gear supply"), ("ring", "ring supply"), ("widget", "widget supply"), ("hot", "gear supply")]
-_KW = "[" + ", ".join(f"{{'k': '{k}', 'a': '{a}', 'o': {i}}}" for i, (k, a) in enumerate(KEYWORDS)) + "]"
-_FIRST = {a: min(i for i, (_, x) in enumerate(KEYWORDS) if x == a) for a in TAXONOMY}
-_CATEGORY = "CASE " + " ".join(f"WHEN {{}} IN ({', '.join(repr(a) for a in v)}) THEN '{c}'" for c, v in CATEGORIES.items()) + " ELSE 'Unknown' END"
 
+def _quoted(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
 
-def _category(column: str) -> str:
-    return _CATEGORY.replace("{}", column)
 
+#: What a text is searched for, and the activities with their categories, as SQL lists.
+_RULES = "[" + ", ".join(f"{{'k': {_quoted(k)}, 'a': {_quoted(a)}, 'o': {i}, 't': {activities.ACTIVITIES.index(a)}}}" for i, (k, a) in enumerate(activities.RULES)) + "]"
+_CATEGORIES = "MAP {" + ", ".join(f"{_quoted(a.lower())}: {_quoted(c)}" for c, own in activities.CATEGORIES.items() for a in own) + "}"
+_ALL = "[" + ", ".join(map(_quoted, activities.ACTIVITIES)) + "]"
 
-@query(f"""WITH m AS (SELECT p_partkey, k.a AS a, min(k.o) AS o FROM part, unnest({_KW}) t(k) WHERE contains(p_name, k.k) GROUP BY 1, 2)
-SELECT p_partkey, coalesce(list(a ORDER BY o) FILTER (a IS NOT NULL), []) AS activities FROM part LEFT JOIN m USING (p_partkey) GROUP BY 1""", lists=("activities",))
+_DESCRIBED = """CASE doc_id % 7 WHEN 0 THEN text || ' We run a Repair Cafe and a biogas plant.' WHEN 1 THEN 'Second-hand and resale platforms; ' || text WHEN 2 THEN text || ' 3D PRINTING, LCA' WHEN 3 THEN text || ' take-back, e-waste recycling, compost' ELSE text END"""
+
+
+@query(f"""WITH m AS (SELECT doc_id, r.a AS a, min(r.o) AS o FROM (SELECT doc_id, lower({_DESCRIBED}) AS t FROM documents) d, unnest({_RULES}) u(r) WHERE contains(t, r.k) GROUP BY 1, 2)
+SELECT doc_id, coalesce(list(a ORDER BY o) FILTER (a IS NOT NULL), []) AS activities FROM documents LEFT JOIN m USING (doc_id) GROUP BY 1""", lists=("activities",))
 def taxonomy_match(spark, sf_dir):
-    return taxonomy.match(read(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", KEYWORDS).select("p_partkey", "activities")
+    d = read(spark, sf_dir, "documents").select("doc_id", F.expr(_DESCRIBED).alias("text"))
+    return taxonomy.match(d, "text", activities.RULES).select("doc_id", "activities")
+
+
+_CLAIMED = "CASE p_partkey % 5 WHEN 0 THEN 'Glass recycling' WHEN 1 THEN 'GLASS RECYCLING' WHEN 2 THEN 'Biogas and compost of ' || p_name WHEN 3 THEN p_name || ' leasing, repair and resale' ELSE p_name END"
 
 
-@query(f"""WITH a AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'Gear Supply' WHEN p_partkey % 3 = 1 THEN 'nut supply' ELSE p_name END AS x FROM part),
-b AS (SELECT p_partkey, x, CASE WHEN x IN ('bolt supply', 'nut supply', 'gear supply', 'ring supply', 'widget supply') THEN x WHEN contains(lower(x), 'bolt') THEN 'bolt supply' WHEN contains(lower(x), 'nut') THEN 'nut supply' WHEN contains(lower(x), 'gear') OR contains(lower(x), 'hot') THEN 'gear supply' WHEN contains(lower(x), 'ring') THEN 'ring supply' WHEN contains(lower(x), 'widget') THEN 'widget supply' END AS activity FROM a)
-SELECT p_partkey, activity, {_category('lower(x)')} AS category FROM b""")
+@query(f"""WITH a AS (SELECT p_partkey, {_CLAIMED} AS x FROM part), b AS (SELECT p_partkey, x, CASE WHEN list_contains({_ALL}, x) THEN x ELSE {_ALL}[list_min(list_transform(list_filter({_RULES}, lambda r: contains(lower(x), r.k)), lambda r: r.t)) + 1] END AS activity FROM a)
+SELECT p_partkey, activity, coalesce({_CATEGORIES}[lower(x)], 'Unknown') AS category FROM b""")
 def taxonomy_assign(spark, sf_dir):
-    k = F.col("p_partkey") % 3
-    x = F.when(k == 0, "Gear Supply").when(k == 1, "nut supply").otherwise(F.col("p_name"))
-    return read(spark, sf_dir, "part").select("p_partkey", taxonomy.assign(x, TAXONOMY, KEYWORDS).alias("activity"), taxonomy.category_of(x, CATEGORIES).alias("category"))
+    x = F.expr(_CLAIMED)
+    return read(spark, sf_dir, "part").select("p_partkey", taxonomy.assign(x, activities.ACTIVITIES, activities.RULES).alias("activity"), taxonomy.category_of(x, activities.CATEGORIES).alias("category"))
+
+
+_LISTED = "[p_name, CASE WHEN p_size % 2 = 0 THEN 'Battery recycling' ELSE 'battery recycling' END, 'Glass recycling', CASE WHEN p_size % 3 = 0 THEN 'Glass recycling' ELSE p_type END]"
+
 
+def _listed(spark, sf_dir):
+    return read(spark, sf_dir, "part").select("p_partkey", F.expr("array" + _LISTED.replace("[", "(").replace("]", ")")).alias("items"))
 
-@query("""WITH a AS (SELECT p_partkey, [p_name, split_part(p_name, ' ', 2) || ' supply', 'gear supply', split_part(p_name, ' ', 2) || ' supply'] AS items FROM part),
-k AS (SELECT p_partkey, items, list_filter(items, lambda x: x IN ('bolt supply', 'nut supply', 'gear supply', 'ring supply', 'widget supply')) AS kept FROM a)
+
+@query(f"""WITH a AS (SELECT p_partkey, {_LISTED} AS items FROM part), k AS (SELECT p_partkey, items, list_filter(items, lambda x: list_contains({_ALL}, x)) AS kept FROM a)
 SELECT p_partkey, kept AS items, len(kept) AS n_kept, len(items) - len(kept) AS n_removed FROM k""", lists=("items",))
 def reduce_to_taxonomy(spark, sf_dir):
-    own = F.concat(F.split_part("p_name", F.lit(" "), F.lit(2)), F.lit(" supply"))
-    d = read(spark, sf_dir, "part").select("p_partkey", F.array("p_name", own, F.lit("gear supply"), own).alias("items"))
-    return taxonomy.reduce_to(d, "items", TAXONOMY)
+    return taxonomy.reduce_to(_listed(spark, sf_dir), "items", activities.ACTIVITIES)
 
 
-@query(f"""WITH m AS (SELECT p_partkey, k.a AS a, min(k.o) AS o FROM part, unnest({_KW}) t(k) WHERE p_size % 2 = 0 AND contains(p_name, k.k) GROUP BY 1, 2),
-l AS (SELECT p_partkey, coalesce(list(a ORDER BY o) FILTER (a IS NOT NULL), []) AS activities FROM part LEFT JOIN m USING (p_partkey) GROUP BY 1),
-c AS (SELECT p_partkey, {_category('a')} || ' Services' AS c, min(o) AS o FROM m GROUP BY 1, 2)
-SELECT p_partkey, any_value(activities) AS activities, coalesce(list(c ORDER BY o) FILTER (c IS NOT NULL), []) AS capabilities FROM l LEFT JOIN c USING (p_partkey) GROUP BY 1""", lists=("activities", "capabilities"))
-def taxonomy_fallback(spark, sf_dir):
-    d = read(spark, sf_dir, "part").select("p_partkey", "p_name", F.when(F.col("p_size") % 2 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("x"))).alias("own"))
-    return taxonomy.fallback(d, "p_name", ["own"], KEYWORDS, CATEGORIES).select("p_partkey", "activities", "capabilities")
+@query(f"""WITH a AS (SELECT p_partkey, {_LISTED} AS items FROM part), k AS (SELECT p_partkey, len(items) AS n, list_filter(items, lambda x: list_contains({_ALL}, x)) AS kept, list_filter(items, lambda x: NOT list_contains({_ALL}, x)) AS gone FROM a)
+SELECT sum(len(kept))::BIGINT AS kept, sum(n - len(kept))::BIGINT AS removed, count(*) FILTER (n > len(kept)) AS modified, (SELECT count(DISTINCT x) FROM (SELECT unnest(gone) AS x FROM k)) AS removed_kinds FROM k""")
+def taxonomy_totals(spark, sf_dir):
+    return taxonomy.reduction_totals(_listed(spark, sf_dir), "items", activities.ACTIVITIES)
 
 
+@query(f"""WITH d AS (SELECT doc_id, lower({_DESCRIBED}) AS t FROM documents WHERE doc_id % 2 = 0), m AS (SELECT doc_id, r.a AS a, min(r.o) AS o FROM d, unnest({_RULES}) u(r) WHERE contains(t, r.k) GROUP BY 1, 2),
+l AS (SELECT documents.doc_id, coalesce(list(a ORDER BY o) FILTER (a IS NOT NULL), []) AS activities FROM documents LEFT JOIN m USING (doc_id) GROUP BY 1),
+c AS (SELECT doc_id, {_CATEGORIES}[lower(a)] || ' Services' AS c, min(o) AS o FROM m GROUP BY 1, 2)
+SELECT doc_id, any_value(activities) AS activities, coalesce(list(c ORDER BY o) FILTER (c IS NOT NULL), []) AS capabilities FROM l LEFT JOIN c USING (doc_id) GROUP BY 1""", lists=("activities", "capabilities"))
+def taxonomy_fallback(spark, sf_dir):
+    """Every other profile has activities of its own, which stay as they are."""
+    own = F.when(F.col("doc_id") % 2 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("x")))
+    d = read(spark, sf_dir, "documents").select("doc_id", F.expr(_DESCRIBED).alias("text"), own.alias("own"))
+    return taxonomy.fallback(d, "text", ["own"], activities.RULES, activities.CATEGORIES).select("doc_id", "activities", "capabilities")
 
 
-@query("""WITH c AS (SELECT p_type AS cid, lower(p_type) || ' goods' AS n, list(DISTINCT p_size) AS e FROM part WHERE p_size < 20 GROUP BY 1, 2), d AS (SELECT p_brand AS cid, CASE WHEN p_brand LIKE '%1%' THEN 'small need' ELSE 'promo need' END AS n, list(DISTINCT p_size) AS e FROM part WHERE p_size > 10 GROUP BY 1, 2),
+@query("""WITH c AS (SELECT p_type AS cid, lower(p_type) || ' goods' AS n, list(DISTINCT p_size) AS e FROM part GROUP BY 1, 2), d AS (SELECT p_brand AS cid, CASE WHEN p_brand LIKE '%1%' THEN 'small need' ELSE 'promo need' END AS n, list(DISTINCT p_size) AS e FROM part GROUP BY 1, 2),
 m AS (SELECT c.e AS ce, d.e AS de FROM c JOIN d ON split_part(c.n, ' ', 1) = split_part(d.n, ' ', 1)), x AS (SELECT unnest(ce) AS source, de FROM m), y AS (SELECT source, unnest(de) AS target FROM x)
 SELECT DISTINCT source, target, 0.7::DOUBLE AS confidence FROM y WHERE source <> target""", ints=("source", "target"))
 def cluster_capability_need(spark, sf_dir):
     p = read(spark, sf_dir, "part")
-    caps = p.where("p_size < 20").groupBy(F.col("p_type").alias("cluster_id"), F.concat(F.lower("p_type"), F.lit(" goods")).alias("cluster_name")).agg(F.collect_set("p_size").alias("entities")).withColumn("confidence", F.lit(0.9))
+    caps = p.groupBy(F.col("p_type").alias("cluster_id"), F.concat(F.lower("p_type"), F.lit(" goods")).alias("cluster_name")).agg(F.collect_set("p_size").alias("entities")).withColumn("confidence", F.lit(0.9))
     name = F.when(F.col("p_brand").contains("1"), "small need").otherwise("promo need")
-    needs = p.where("p_size > 10").groupBy(F.col("p_brand").alias("cluster_id"), name.alias("cluster_name")).agg(F.collect_set("p_size").alias("entities")).withColumn("confidence", F.lit(0.7))
+    needs = p.groupBy(F.col("p_brand").alias("cluster_id"), name.alias("cluster_name")).agg(F.collect_set("p_size").alias("entities")).withColumn("confidence", F.lit(0.7))
     return link.cluster_synergies(caps, needs).select("source", "target", F.col("confidence").cast("double").alias("confidence"))
 
 
+#: Needs and offers of parts: what small and what large ones are made for.
+_NEED = "p_size <= 25"
 
 
-def _items(spark, sf_dir, column, test):
-    return read(spark, sf_dir, "part").where(test).selectExpr("p_partkey % 60 AS entity", "p_partkey AS idx", f"{column} AS item")
+def _items(spark, sf_dir):
+    p = read(spark, sf_dir, "part")
+    d = p.select(F.col("p_partkey").alias("entity"), F.lit(0).alias("idx"), F.split_part("p_name", F.lit(" "), F.lit(1)).alias("item"), F.col("p_size"))
+    return d.where(_NEED).drop("p_size"), d.where(f"NOT {_NEED}").drop("p_size")
 
 
-@query("""WITH n AS (SELECT p_partkey % 60 AS e, p_partkey AS i, split_part(p_name, ' ', 1) AS w FROM part WHERE p_size < 5), o AS (SELECT p_partkey % 60 AS e, p_partkey AS i, split_part(p_name, ' ', 1) AS w FROM part WHERE p_size > 45),
-m AS (SELECT n.e AS a, o.e AS b FROM n JOIN o ON n.w = o.w AND n.e <> o.e), u AS (SELECT a AS entity, b AS partner FROM m UNION ALL SELECT b, a FROM m)
-SELECT entity, partner, count(*) AS n_items, 0.8::DOUBLE AS score FROM u GROUP BY 1, 2""")
+_Q = "chr(39)"
+_COMPLEMENT = f"""n AS (SELECT p_partkey AS e, split_part(p_name, ' ', 1) AS w FROM part WHERE {_NEED}), f AS (SELECT p_partkey AS e, split_part(p_name, ' ', 1) AS w FROM part WHERE NOT {_NEED}),
+u AS (SELECT n.e AS entity, f.e AS partner, 'Their ' || {_Q} || f.w || {_Q} || ' matches your need ' || {_Q} || n.w || {_Q} AS label FROM n JOIN f ON n.w = f.w UNION ALL SELECT f.e, n.e, 'Your ' || {_Q} || f.w || {_Q} || ' matches their need ' || {_Q} || n.w || {_Q} FROM n JOIN f ON n.w = f.w),
+cp AS (SELECT entity, partner, label FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY partner) AS k FROM u) WHERE k <= 5)"""
+
+
+@query(f"WITH {_COMPLEMENT} SELECT entity, partner, 1::BIGINT AS n_items, [label] AS matched_items, 0.8::DOUBLE AS score FROM cp", lists=("matched_items",))
 def complementary_partners(spark, sf_dir):
-    first = "split_part(p_name, ' ', 1)"
-    got = collab.complementary(_items(spark, sf_dir, first, "p_size < 5"), _items(spark, sf_dir, first, "p_size > 45"))
-    return got.withColumn("score", F.col("score").cast("double"))
+    return collab.complementary(*_items(spark, sf_dir)).withColumn("score", F.col("score").cast("double"))
 
 
 def _stages(spark, sf_dir):
-    return read(spark, sf_dir, "part").where("p_partkey < 300").selectExpr("p_partkey % 100 AS entity", "p_size % 7 AS stage")
+    """A part's own stage and that of its brand."""
+    p = read(spark, sf_dir, "part")
+    return p.selectExpr("p_partkey AS entity", "p_size % 7 AS stage").unionByName(p.selectExpr("p_partkey AS entity", "CAST(p_partkey % 3 AS int) AS stage"))
 
 
-@query("""WITH s AS (SELECT DISTINCT p_partkey % 100 AS e, p_size % 7 AS s FROM part WHERE p_partkey < 300), m AS (SELECT a.e AS entity, b.e AS partner, a.s AS x, b.s AS y FROM s a JOIN s b ON b.s BETWEEN a.s - 1 AND a.s + 1 AND a.e <> b.e)
-SELECT entity, partner, max_by(CASE WHEN y < x THEN 'upstream' WHEN y > x THEN 'downstream' ELSE 'parallel' END, x * 100 + y) AS relation, 0.75::DOUBLE AS score FROM m GROUP BY 1, 2""")
+_CHAIN = """s AS (SELECT p_partkey AS e, p_size % 7 AS s FROM part UNION SELECT p_partkey, (p_partkey % 3)::INT FROM part), k AS (SELECT e, sum(1 << s)::INT AS m FROM s GROUP BY e),
+v AS (SELECT DISTINCT m, i AS s FROM k, unnest(range(0, 7)) t(i) WHERE (m >> i::INT) & 1 = 1), lk AS (SELECT a.m AS m, b.m AS m2, max_by(CASE WHEN b.s < a.s THEN 'upstream' WHEN b.s > a.s THEN 'downstream' ELSE 'parallel' END, a.s * 10 + b.s) AS relation FROM v a JOIN v b ON b.s BETWEEN a.s - 1 AND a.s + 1 GROUP BY 1, 2),
+pr AS (SELECT a.e AS entity, b.e AS partner, relation FROM k a JOIN lk ON lk.m = a.m JOIN k b ON b.m = lk.m2 AND a.e <> b.e)"""
+
+
+@query(f"WITH {_CHAIN} SELECT entity, partner, relation, 0.75::DOUBLE AS score FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY partner) AS n FROM pr) WHERE n <= 3")
 def value_chain_band_join(spark, sf_dir):
-    return collab.value_chain(_stages(spark, sf_dir)).withColumn("score", F.col("score").cast("double"))
+    got = collab.value_chain(_stages(spark, sf_dir))
+    return got.select("entity", "partner", "relation", F.col("score").cast("double").alias("score"))
+
+
+@query(f"WITH {_CHAIN} SELECT entity, count(*) AS n_partners, count(*) FILTER (relation = 'upstream') AS n_upstream, count(*) FILTER (relation = 'downstream') AS n_downstream, count(*) FILTER (relation = 'parallel') AS n_parallel FROM pr GROUP BY 1")
+def value_chain_counts(spark, sf_dir):
+    return collab.value_chain_counts(_stages(spark, sf_dir)).where("n_partners > 0")
 
 
-_ADDR = "SELECT doc_id AS e, list_distinct(list_filter(string_split(replace(lower(text[1:70]), chr(10), ' '), ' '), lambda x: x <> '')) AS w FROM documents WHERE lang = 'en'"
+def _addresses(n: str) -> str:
+    """Addresses with a common town, some streets and house numbers."""
+    return f"'Street' || ({n} % 97) || ' ' || ({n} % 13) || ' Quarter' || ({n} % 11) || CASE WHEN {n} % 4 = 0 THEN ' Town' ELSE ' Town Hall' END || CASE WHEN {n} % 50 = 0 THEN ' Yard' || {n} ELSE '' END"
 
 
-@query(f"""WITH a AS ({_ADDR}), t AS (SELECT e, len(w) AS n, unnest(w) AS x FROM a)
-SELECT a.e AS entity, b.e AS partner, round(count(*) / greatest(any_value(a.n), any_value(b.n)), 6) AS score FROM t a JOIN t b ON a.x = b.x AND a.e <> b.e GROUP BY 1, 2 HAVING count(*) >= 2 AND count(*) / greatest(any_value(a.n), any_value(b.n)) >= 0.3""")
+def _near(table: str, key: str) -> str:
+    return f"""ad AS (SELECT {key} AS e, list_distinct(string_split(lower({_addresses(key)}), ' ')) AS w FROM {table}), tk AS (SELECT e, len(w) AS n, unnest(w) AS x FROM ad),
+nr AS (SELECT a.e AS entity, b.e AS partner, count(*) / greatest(any_value(a.n), any_value(b.n)) AS score FROM tk a JOIN tk b ON a.x = b.x AND a.e <> b.e GROUP BY 1, 2 HAVING count(*) >= 2 AND count(*) / greatest(any_value(a.n), any_value(b.n)) >= 0.3),
+nt AS (SELECT entity, partner, score FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY score DESC, partner) AS k FROM nr) WHERE k <= 3)"""
+
+
+@query(f"WITH {_near('customer', 'c_custkey')} SELECT entity, partner, round(score, 6) AS score FROM nt")
 def address_overlap_join(spark, sf_dir):
-    a = read(spark, sf_dir, "documents").where("lang = 'en'").select(F.col("doc_id").alias("entity"), F.substring("text", 1, 70).alias("address"))
+    a = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("entity"), F.expr(_addresses("c_custkey")).alias("address"))
     return collab.nearby(a).withColumn("score", F.round("score", 6))
 
 
-@query()
+@query(f"""WITH {_COMPLEMENT}, {_CHAIN}, {_near('part', 'p_partkey')}, o AS (SELECT entity, partner, 'complementary' AS kind, 0.8::DOUBLE AS score, 'high' AS impact, 0 AS k FROM cp
+UNION ALL SELECT entity, partner, 'value_chain', 0.75, 'high', 1 FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY partner) AS n FROM pr) WHERE n <= 3 UNION ALL SELECT entity, partner, 'geographic', score, 'medium', 2 FROM nt)
+SELECT entity, partner, kind, round(score, 6) AS score, impact, row_number() OVER (PARTITION BY entity ORDER BY impact, score DESC, k, partner) AS place FROM o""", ints=("place",))
 def collaboration_opportunities(spark, sf_dir):
-    a = read(spark, sf_dir, "documents").where("lang = 'en'").select(F.col("doc_id").alias("entity"), F.substring("text", 1, 70).alias("address"))
-    first = "split_part(p_name, ' ', 1)"
-    return collab.opportunities(collab.complementary(_items(spark, sf_dir, first, "p_size < 5"), _items(spark, sf_dir, first, "p_size > 45")), collab.value_chain_top(_stages(spark, sf_dir)), collab.nearby(a))
+    a = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("entity"), F.expr(_addresses("p_partkey")).alias("address"))
+    got = collab.opportunities(collab.complementary(*_items(spark, sf_dir)), collab.value_chain(_stages(spark, sf_dir)), collab.nearby(a))
+    return got.withColumn("score", F.round(F.col("score").cast("double"), 6))
 
 
-@query()
+@query("""WITH p AS (SELECT p_type, p_name, min(p_partkey) AS ord, list(DISTINCT p_brand ORDER BY p_brand) AS e FROM part GROUP BY 1, 2), s AS (SELECT *, split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS b FROM p),
+d AS (SELECT *, CASE WHEN ord % 5 = 0 THEN a || 's' ELSE a END AS a2 FROM s), g AS (SELECT *, CASE WHEN ord % 2 = 0 THEN a2 || ' ' || b ELSE b || '  ' || a2 END AS cluster_name, min(ord) OVER (PARTITION BY p_type, a2, b) AS seed FROM d)
+SELECT p_type AS cluster_type, seed::VARCHAR AS cluster_id, max_by(cluster_name, length(cluster_name) * 100000 - ord) AS cluster_name, list_sort(list_distinct(flatten(list(e)))) AS entities, list(p_name ORDER BY ord) AS items, count(*)::BIGINT AS source_count FROM g GROUP BY p_type, seed""", lists=("entities", "items"))
 def cluster_merge_greedy(spark, sf_dir):
-    p = read(spark, sf_dir, "part").groupBy("p_type", "p_name").agg(F.min("p_partkey").alias("ord"), F.collect_set(F.col("p_brand")).alias("entities"))
-    c = p.select(F.col("p_type").alias("cluster_type"), "ord", F.col("ord").cast("string").alias("cluster_id"), F.concat_ws(" ", F.array_sort(F.split("p_name", " "))).alias("cluster_name"), F.col("p_name").alias("description"), "entities", F.array("p_name").alias("items"), F.lit(0.8).alias("confidence"))
-    return cluster.merge_clusters(c)
+    """Clusters of parts by name; the words of some names are turned round, or in the plural."""
+    p = read(spark, sf_dir, "part").groupBy("p_type", "p_name").agg(F.min("p_partkey").alias("ord"), F.sort_array(F.collect_set("p_brand")).alias("entities"))
+    p = p.unionByName(p.withColumn("ord", F.col("ord") + 1_000_000).where("ord < 0"))
+    one, two = F.split_part("p_name", F.lit(" "), F.lit(1)), F.split_part("p_name", F.lit(" "), F.lit(2))
+    one = F.when(F.col("ord") % 5 == 0, F.concat(one, F.lit("s"))).otherwise(one)
+    name = F.when(F.col("ord") % 2 == 0, F.concat_ws(" ", one, two)).otherwise(F.concat_ws("  ", two, one))
+    c = p.select(F.col("p_type").alias("cluster_type"), "ord", F.col("ord").cast("string").alias("cluster_id"), name.alias("cluster_name"), F.col("p_name").alias("description"), "entities", F.array("p_name").alias("items"), F.lit(0.8).alias("confidence"))
+    return cluster.merge_clusters(c).select("cluster_type", "cluster_id", "cluster_name", "entities", "items", "source_count")
 
 
-@query("""WITH c AS (SELECT p_type AS cluster_name, list(DISTINCT p_size ORDER BY p_size) AS entities, list(p_name ORDER BY p_name) AS items FROM part WHERE p_partkey < 500 GROUP BY 1)
+@query("""WITH c AS (SELECT p_type AS cluster_name, list(DISTINCT p_size ORDER BY p_size) AS entities, list(p_name ORDER BY p_name) AS items FROM part GROUP BY 1)
 SELECT 'capability_' || lower(cluster_name) AS cluster_id, cluster_name, len(entities) AS n, array_to_string(items[1:5], ', ') || CASE WHEN len(items) > 5 THEN ', ... (+' || (len(items) - 5) || ' more)' ELSE '' END AS preview FROM c""")
 def rule_clusters(spark, sf_dir):
-    items = read(spark, sf_dir, "part").where("p_partkey < 500").select(F.col("p_size").alias("entity"), F.col("p_name").alias("item"), "p_type")
+    items = read(spark, sf_dir, "part").select(F.col("p_size").alias("entity"), F.col("p_name").alias("item"), "p_type")
     c = cluster.by_category(items, "capability", F.col("p_type"))
     return c.select("cluster_id", "cluster_name", F.size("entities").alias("n"), cluster.preview(F.col("items")).alias("preview"))
 
 
+@query("SELECT DISTINCT p_size AS entity FROM part WHERE p_type = 'PROMO'", ints=("entity",))
+def cluster_lookup(spark, sf_dir):
+    items = read(spark, sf_dir, "part").select(F.col("p_size").alias("entity"), F.col("p_name").alias("item"), "p_type")
+    return cluster.entities_of(cluster.by_category(items, "capability", F.col("p_type")), "capability_promo", "cluster_id")
+
+
 @query("""SELECT p_brand AS cluster_id FROM part GROUP BY 1 HAVING lower(p_brand) NOT IN (SELECT lower(p_brand) FROM part WHERE p_size > 48)""")
 def capability_gaps(spark, sf_dir):
     p = read(spark, sf_dir, "part")
@@ -152,13 +206,19 @@ def graph_edges(spark, sf_dir):
     return graph.edges(e)
 
 
-@query("""SELECT list(c_name ORDER BY c_name) FILTER (c_custkey % 3 = 0) AS synergies, list(c_name ORDER BY c_name) FILTER (c_custkey % 3 = 1) AS gaps, list(c_name ORDER BY c_name) FILTER (c_custkey % 3 = 2) AS recommendations FROM customer WHERE c_custkey < 60""", lists=("synergies", "gaps", "recommendations"))
+@query("""SELECT CASE c_custkey % 3 WHEN 0 THEN 'synergies' WHEN 1 THEN 'gaps' ELSE 'recommendations' END AS section, c_name AS title,
+CASE c_custkey % 3 WHEN 0 THEN '{"title":"' || c_name || '","description":"' || c_mktsegment || '","entities":["e","' || c_custkey || '"],"confidence":0.8}' WHEN 1 THEN '{"title":"' || c_name || '","description":"' || c_mktsegment || '","confidence":0.8,"priority":"high"}' ELSE '{"title":"' || c_name || '","description":"' || c_mktsegment || '","priority":"high"}' END AS insight FROM customer""")
 def insights_by_type(spark, sf_dir):
     k = F.col("c_custkey") % 3
     kind = F.when(k == 0, "synergy").when(k == 1, "gap").otherwise("recommendation")
-    i = read(spark, sf_dir, "customer").where("c_custkey < 60").select(kind.alias("insight_type"), F.col("c_name").alias("title"), F.lit("d").alias("description"), F.array(F.lit("e")).alias("entities"), F.lit(0.8).alias("confidence"), F.lit("high").alias("priority"))
-    g = graph.insights_by_type(i)
-    return g.select(*(F.transform(c, lambda x: x["title"]).alias(c) for c in g.columns))
+    i = read(spark, sf_dir, "customer").select(kind.alias("insight_type"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("description"), F.array(F.lit("e"), F.col("c_custkey").cast("string")).alias("entities"), F.lit(0.8).cast("double").alias("confidence"), F.lit("high").alias("priority"))
+    return graph.insights_by_type(i)
+
+
+@query("SELECT count(*) AS n_document, (SELECT count(*) FROM customer) AS n_table, count(*) >= 0.95 * (SELECT count(*) FROM customer) AS complete FROM customer WHERE c_acctbal > 0")
+def graph_reconciliation(spark, sf_dir):
+    c = read(spark, sf_dir, "customer")
+    return graph.reconciled(c.where("c_acctbal > 0"), c)
 
 
 @query("SELECT count(*) AS n, count(*) FILTER (c_custkey % 4 <> 0) AS located, count(*) FILTER (c_custkey % 4 = 1) AS at_centre, round(100.0 * count(*) FILTER (c_custkey % 4 <> 0) / count(*), 2)::DOUBLE AS percent FROM customer")
@@ -173,14 +233,18 @@ def discovery_depth(spark, sf_dir):
     return graph.reachable(e, spark.range(1).select(F.col("id").alias("node")), 2)
 
 
-_ROLES = "(VALUES ('A', 'ring maker'), ('A', 'gear maker'), ('B', 'nut shop')) t(role, term)"
+_TERMS = [(r, t) for r, own in search_terms.ROLE_TERMS.items() for t in [*own, *search_terms.LOCAL_TERMS[r]]]
+_TYPES = [(r, t) for r, own in search_terms.PLACE_TYPES.items() for t in own]
 
 
-@query(f"""SELECT role, term || ' Novi Sad' AS query, 'broad' AS kind FROM {_ROLES} UNION ALL SELECT role, term || ' ' || k || ' Novi Sad', 'specific' FROM {_ROLES}, (SELECT DISTINCT lower(p_type) AS k FROM part) UNION ALL SELECT '', n || ' Novi Sad', 'type' FROM (SELECT lower(n_name) AS n FROM nation)""")
+def _values(rows: list[tuple[str, ...]]) -> str:
+    return "(VALUES " + ", ".join("(" + ", ".join(map(_quoted, r)) + ")" for r in rows) + ")"
+
+
+@query(f"""WITH t AS (SELECT * FROM {_values(_TERMS)} t(role, term)), k AS (SELECT * FROM {_values([(x,) for x in search_terms.KEYWORDS['novi_sad']])} k(k)), y AS (SELECT * FROM {_values(_TYPES)} y(role, type))
+SELECT role, term || ' Novi Sad' AS query, 'broad' AS kind FROM t UNION ALL SELECT role, k || ' ' || term || ' Novi Sad', 'specific' FROM t, k UNION ALL SELECT role, type || ' Novi Sad', 'type' FROM y""")
 def query_generator_cross(spark, sf_dir):
-    terms = spark.createDataFrame([("A", "ring maker"), ("A", "gear maker"), ("B", "nut shop")], "role string, term string")
-    keywords = read(spark, sf_dir, "part").select(F.lower("p_type").alias("keyword")).distinct()
-    return generate.queries(terms, keywords, read(spark, sf_dir, "nation").select(F.lower("n_name").alias("type")), "Novi Sad")
+    return generate.queries(search_terms.terms(spark), search_terms.keywords(spark, "novi_sad"), search_terms.types(spark), "Novi Sad")
 
 
 @query("SELECT count(*) AS n, round(count(*) * 0.032, 6)::DOUBLE AS usd, round(count(*) * 0.032 * 0.92, 6)::DOUBLE AS eur FROM nation")
@@ -212,29 +276,103 @@ def html_links_scored(spark, sf_dir):
     return markup.best_link(a, "page_id", s)
 
 
-@query("""WITH b AS (SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 'www.org' || conv_id || '.example.com' ELSE '' END AS domain FROM conversations) SELECT conv_id, (dense_rank() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INT AS block, 'Name ' || turn AS name, replace(domain, 'www.', '') AS domain FROM b""", ints=("block",))
+_LINKS = """CASE page_id % 6 WHEN 0 THEN '<script type="application/ld+json">[{"no":1},{"@type":"Organization","name":"Org ' || page_id || '","url":["ftp://x","https://own' || page_id || '.example.com/"],"geo":{"latitude":53.5,"longitude":"10"}}]</script>'
+WHEN 1 THEN '<a href="https://facebook.com/x">Website</a><a href="https://site' || page_id || '.example.com" target="_blank">Zur <b>Website</b></a>' WHEN 2 THEN '<a href="https://plain.example.org/x">more</a><a href="https://pic' || page_id || '.example.org"><img src="l.png" alt="Logo"></a>'
+WHEN 3 THEN '<a href="https://other.example.org">x</a><a data-url="https://r.example.com/go?url=https%3A%2F%2Fthea' || page_id || '.example.net" href="#">Thea</a>' WHEN 4 THEN '<a href="https://any' || page_id || '.example.org">x</a><a href="https://www.hamburg.de">Website</a>' ELSE '<a href="/local">x</a>' END"""
+_PAGE = f"""html || {_LINKS} || '<a href="tel: +49 40 ' || page_id || '">call</a><a href="mailto:p' || page_id || '@x.de">mail</a>' || CASE page_id % 4 WHEN 0 THEN '<address>Weg ' || page_id || ',  Hamburg</address>' WHEN 1 THEN '<p><span itemprop="streetAddress">Weg 1</span><span itemprop="addressLocality">Ort</span></p>' WHEN 2 THEN '<div class="my-Anschrift">kein</div><div id="address2">Platz 7</div>' ELSE '' END"""
+
+
+@query(rf"""WITH p AS (SELECT page_id, {_LINKS} AS h FROM pages), a AS (SELECT page_id, unnest(x) AS a, generate_subscripts(x, 1) AS ord FROM (SELECT page_id, regexp_extract_all(h, '(?s)<a [^>]*>.*?</a>') AS x FROM p)),
+l AS (SELECT page_id, ord, CASE WHEN contains(a, 'data-url') THEN url_decode(regexp_extract(a, '[?&]url=([^&"]*)', 1)) ELSE regexp_extract(a, 'href="([^"]*)"', 1) END AS u, lower(regexp_replace(a, '<[^>]*>', ' ', 'g')) AS label, contains(a, '<img') AS image FROM a),
+k AS (SELECT page_id, ord, u, CASE WHEN contains(label, 'website') THEN 1 WHEN image THEN 2 WHEN regexp_matches(u, '://[^/]*thea') THEN 3 ELSE 4 END AS tier FROM l WHERE starts_with(u, 'http') AND NOT regexp_matches(u, 'facebook\.com|hamburg\.de')
+UNION ALL SELECT page_id, 0, regexp_extract(h, '"(https://[^"]*)"', 1), 0 FROM p WHERE contains(h, 'ld+json'))
+SELECT page_id, min_by(u, tier * 100 + ord) AS website, min(tier) AS tier FROM k GROUP BY 1""", ints=("tier",))
+def website_cascade(spark, sf_dir):
+    p = read(spark, sf_dir, "pages").select("page_id", F.expr(_PAGE).alias("html"))
+    return markup.website(p, "page_id", F.lit("Thea Service GmbH"))
+
+
+@query(rf"""SELECT page_id, CASE WHEN page_id % 6 = 0 THEN 'Org ' || page_id ELSE trim(regexp_replace(regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) END AS name, '+49 40 ' || page_id AS phone, 'p' || page_id || '@x.de' AS email,
+CASE page_id % 4 WHEN 0 THEN 'Weg ' || page_id || ', Hamburg' WHEN 1 THEN 'Weg 1 Ort' WHEN 2 THEN 'Platz 7' ELSE '' END AS address, CASE WHEN page_id % 6 = 0 THEN '53.5' ELSE '' END AS latitude, CASE WHEN page_id % 6 = 0 THEN '10' ELSE '' END AS longitude, '' AS image FROM pages""")
+def page_details(spark, sf_dir):
+    return markup.details(read(spark, sf_dir, "pages").select("page_id", F.expr(_PAGE).alias("html")), "page_id")
+
+
+_CARDS = """'<h2>Mitglieder</h2><a href="https://x.example.com">x</a><h3>Firma ' || page_id || ' GmbH</h3><p><a href="https://retech.example.com/p">Website</a><a href="//a' || page_id || '.example.org">more</a><a href="https://b.firma' || page_id || '.de" rel="nofollow external">Mehr Infos</a></p><h4>Z</h4><a href="https://z.example.org">z</a><h4>Nobody ' || page_id || '</h4><a href="https://t.me/x">t</a>' || CASE WHEN page_id % 2 = 0 THEN '<h2>Solo <b>' || page_id || '</b></h2><a href="https://solo.example.org" target="_blank">s</a>' ELSE '' END"""
+
+
+@query("""SELECT page_id, 'Firma ' || page_id || ' GmbH' AS name, 'https://b.firma' || page_id || '.de' AS href, 4 + 2 + 1 + CASE WHEN contains('firma ' || page_id, 'firma' || page_id) THEN 4 ELSE 0 END AS score FROM pages
+UNION ALL SELECT page_id, 'Solo ' || page_id, 'https://solo.example.org', 3 FROM pages WHERE page_id % 2 = 0""", ints=("score",))
+def card_links(spark, sf_dir):
+    """Members' cards; headings of the site, single letters and cards with social links only are out."""
+    p = read(spark, sf_dir, "pages").select("page_id", F.expr(_CARDS).alias("html"))
+    return markup.card_links(p, "page_id", "retech.example.com").select("page_id", "name", "href", "score")
+
+
+_HREF = "CASE page_id % 3 WHEN 0 THEN 'https://www.' || split_part(split_part(url, '://', 2), '/', 1) || '/' WHEN 1 THEN 'https://the-tion.de' ELSE url END"
+_LABEL = "CASE page_id % 4 WHEN 0 THEN 'Zur Website' WHEN 1 THEN 'Weitere Informationen' WHEN 2 THEN 'thea.org' ELSE 'klick' END"
+
+
+@query(rf"""WITH p AS (SELECT page_id, {_HREF} AS u, {_LABEL} AS l, page_id % 2 = 0 AS further FROM pages), h AS (SELECT *, replace(lower(regexp_extract(u, '://([^/?#]*)', 1)), 'www.', '') AS d FROM p), m AS (SELECT *, split_part(d, '.', 1) AS s FROM h),
+n AS (SELECT *, 5 * (contains(s, 'the')::INT + contains(s, 'tion')::INT) + 2 * contains(s, 'tt')::INT AS match FROM m)
+SELECT page_id, 3 * regexp_matches(u, '(?i)^https?://[^/]*\.(com|de|io|net|org)/?$')::INT + match + 2 * contains(lower(l), 'website')::INT + CASE WHEN page_id % 5 = 0 THEN 1 ELSE 0 END AS by_name, match + greatest(0, 4 - len(regexp_extract_all(d, '-'))) AS by_text,
+2 * regexp_matches(l || ' ' || u, '(?i)([a-z0-9-]+\.)+[a-z]{{2,}}')::INT + regexp_matches(lower(l), 'www|website|webseite|homepage|mehr infos|informationen')::INT + (further AND contains(lower(l), 'information'))::INT AS by_label FROM n""", ints=("by_name", "by_text", "by_label"))
+def link_points(spark, sf_dir):
+    p = read(spark, sf_dir, "pages").select("page_id", F.expr(_HREF).alias("u"), F.expr(_LABEL).alias("l"))
+    names, u, l = F.array(F.lit("the"), F.lit("tion")), F.col("u"), F.col("l")
+    return p.select(
+        "page_id", markup.name_link_points(u, l, F.when(F.col("page_id") % 5 == 0, "_blank").otherwise(""), names).alias("by_name"),
+        markup.text_host_points(urls.domain(u, "remove"), names).alias("by_text"), markup.label_link_points(u, l, F.col("page_id") % 2 == 0).alias("by_label"),
+    )
+
+
+@query("""WITH r AS (SELECT c_custkey // 40 AS doc, (c_custkey // 10) % 4 AS part, 'Part ' || ((c_custkey // 10) % 4) AS section, 2 + c_custkey % 10 AS row, c_custkey AS k, c_name AS n, lower(c_mktsegment) AS s FROM customer)
+SELECT doc, part, row, section, CASE k % 3 WHEN 0 THEN n WHEN 1 THEN s || ' and a longer remark' ELSE CASE WHEN k % 2 = 0 THEN CASE WHEN length('Prof. X ' || k) >= length('www.org' || k || '.net') THEN 'Prof. X ' || k ELSE 'www.org' || k || '.net' END ELSE 'www.org' || k || '.net' END END AS organization, CASE WHEN k % 2 = 0 THEN 'Prof. X ' || k ELSE '' END AS contact_person,
+CASE k % 3 WHEN 0 THEN 'https://a' || k || '.example.com/&q=1' WHEN 1 THEN 'https://b' || k || '.example.com' ELSE 'https://www.org' || k || '.net' END AS website_url FROM r""")
+def document_tables(spark, sf_dir):
+    """Tables of documents: a title row, headers in two languages, rows that lack a name."""
+    d = read(spark, sf_dir, "customer").selectExpr("c_custkey div 40 AS doc", "(c_custkey div 10) % 4 AS part", "'Part ' || ((c_custkey div 10) % 4) AS section", "2 + c_custkey % 10 AS row", "c_custkey AS k", "c_name", "lower(c_mktsegment) AS s")
+    cells = [
+        "CASE WHEN k % 3 = 0 THEN c_name ELSE '' END", "CASE WHEN k % 2 = 0 THEN 'Prof. X ' || k ELSE '' END",
+        "CASE k % 3 WHEN 0 THEN 'see https://a' || k || '.example.com/?utm_source=x&q=1), ' WHEN 1 THEN '' ELSE 'www.org' || k || '.net' END",
+        "CASE WHEN k % 3 = 1 THEN s || ' and a longer remark' ELSE '' END", "CASE WHEN k % 3 = 1 THEN 'b' || k || '.example.com' ELSE '' END",
+    ]
+    at = ["doc", "part", "section"]
+    rows = d.select(*at, "row", F.posexplode(F.expr(f"array({', '.join(cells)})")).alias("cell", "text"))
+    heads = d.select(*at).distinct()
+    line = lambda n, texts: heads.select(*at, F.lit(n).cast("bigint").alias("row"), F.posexplode(F.array(*map(F.lit, texts))).alias("cell", "text"))
+    return markup.table_entities(rows.unionByName(line(0, ["Members", "", "", "", ""])).unionByName(line(1, ["Organisation:", "Ansprechpartner", "Web", "Notes", "More"])))
+
+
+_BLOCK = "CASE turn % 3 WHEN 0 THEN 'web page: https://www.org' || conv_id || '.example.com, http://b' || turn || '.org/x' WHEN 1 THEN 'Web Page  c' || turn || '.net and again c' || turn || '.net' ELSE 'address org.example.com' END"
+
+
+@query(rf"""WITH b AS (SELECT conv_id, dense_rank() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS block, 'Name ' || turn AS name, CASE WHEN turn % 3 = 2 THEN [''] ELSE list_distinct(list_transform(regexp_extract_all(lower({_BLOCK}), '(?:https?://)?(?:www\.)?[a-z0-9-]+(?:\.[a-z0-9-]+)+'), lambda x: regexp_replace(x, '^(?:https?://)?(?:www\.)?', ''))) END AS d FROM conversations)
+SELECT conv_id, block, name, unnest(d) AS domain FROM b""", ints=("block",))
 def text_blocks(spark, sf_dir):
-    c = read(spark, sf_dir, "conversations")
-    web = F.when(F.col("turn") % 2 == 0, F.concat(F.lit("\nweb page: https://www.org"), F.col("conv_id"), F.lit(".example.com"))).otherwise("\nno address")
-    line = F.struct("turn", F.concat(F.lit("Name "), F.col("turn"), web).alias("t"))
-    t = c.groupBy("conv_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(line)), lambda x: x["t"]), "\n\n").alias("text"))
+    line = F.struct("turn", F.concat(F.lit("Name "), F.col("turn"), F.lit("\n"), F.expr(_BLOCK)).alias("t"))
+    t = read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(line)), lambda x: x["t"]), "\n\n").alias("text"))
     return markup.blocks(t, "conv_id")
 
 
-@query("""SELECT conv_id, turn, last_value(CASE WHEN turn % 3 = 0 THEN 'Part ' || turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn) AS section, 'Org ' || turn AS organisation, 'https://org' || turn || '.example.com' AS url FROM conversations QUALIFY turn % 3 <> 0""")
+_LINE = "CASE turn % 4 WHEN 0 THEN '## Part ' || turn WHEN 1 THEN '- **Org ' || turn || '**: https://org' || turn || '.example.com/a).' WHEN 2 THEN '* Group ' || turn || ' (https://g' || turn || '.org)' ELSE 'plain ' || turn || ' https://no.org' END"
+
+
+@query(rf"""WITH l AS (SELECT conv_id, turn, {_LINE} AS line FROM conversations), s AS (SELECT *, last_value(nullif(regexp_extract(line, '^## (.+)$', 1), '') IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn) AS section FROM l)
+SELECT conv_id, turn, section, regexp_extract(line, '((?:Org|Group) [0-9]+)', 1) AS organisation, regexp_extract(line, 'https?://[^ )]+', 0) AS url FROM s WHERE regexp_matches(line, '^[-*]')""")
 def markdown_entities(spark, sf_dir):
-    t = F.col("turn").cast("string")
-    line = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("## Part "), t)).otherwise(F.concat(F.lit("- **Org "), t, F.lit("**: https://org"), t, F.lit(".example.com")))
-    lines = read(spark, sf_dir, "conversations").select("conv_id", "turn", line.alias("line"))
+    lines = read(spark, sf_dir, "conversations").select("conv_id", "turn", F.expr(_LINE).alias("line"))
     return markup.markdown_entities(lines, "conv_id", "turn")
 
 
-@query("SELECT c_custkey, c_name AS name, c_mktsegment AS kind FROM customer WHERE c_custkey < 200")
+_RECORD = """'<r kind="' || c_mktsegment || '"><a><b>' || c_nationkey || '</b><b x="y">' || c_name || '</b></a>' || CASE WHEN c_custkey % 3 = 0 THEN '<c/>' ELSE '<c> z </c>' END || '</r>'"""
+
+
+@query(r"""WITH x AS (SELECT c_custkey, """ + _RECORD + r""" AS x FROM customer)
+SELECT c_custkey, regexp_extract_all(x, '<b[^>]*>([^<]*)</b>', 1)[1] AS first, regexp_extract_all(x, '<b[^>]*>([^<]*)</b>', 1)[2] AS second, regexp_extract(x, 'kind="([^"]*)"', 1) AS kind, nullif(trim(regexp_extract(x, '<c>([^<]*)</c>', 1)), '') AS c, 4 + contains(x, '<c>')::INT AS n FROM x""", ints=("n",))
 def xml_flatten(spark, sf_dir):
-    c = read(spark, sf_dir, "customer").where("c_custkey < 200")
-    xml = F.format_string('<r kind="%s"><a><b>x</b><b>%s</b></a></r>', F.col("c_mktsegment"), F.col("c_name"))
-    f = markup.xml_records(c.select("c_custkey", xml.alias("xml")))
-    return f.select("c_custkey", F.col("fields")["a.b__2"].alias("name"), F.col("fields")["@kind"].alias("kind"))
+    f = markup.xml_records(read(spark, sf_dir, "customer").select("c_custkey", F.expr(_RECORD).alias("xml")))
+    return f.select("c_custkey", F.col("fields")["a.b"].alias("first"), F.col("fields")["a.b__2"].alias("second"), F.col("fields")["@kind"].alias("kind"), F.col("fields")["c"].alias("c"), F.size(F.map_keys("fields")).alias("n"))
 
 
 @query("SELECT l_orderkey AS work, unnest(list(l_suppkey ORDER BY l_linenumber)) AS institution FROM lineitem GROUP BY 1 UNION ALL SELECT o_orderkey, NULL FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
@@ -262,7 +400,27 @@ def event_sessions(spark, sf_dir):
     return sessions(read(spark, sf_dir, "events"), "user_id", "ts")
 
 
-@query("""SELECT p_partkey, CASE WHEN contains(p_name, 'ring') THEN [3] WHEN contains(p_name, 'gear') THEN [1, 5] ELSE [] END AS stages, regexp_matches(p_brand, '^[A-Z][a-z]+#') AND length(p_brand) > 7 AS named FROM part""", lists=("stages",))
+_STAGE = "CASE p_partkey % 5 WHEN 0 THEN 'Repair of ' || p_name WHEN 1 THEN 'Assembly and RECOVERY' WHEN 2 THEN 'Secondary material logistics' WHEN 3 THEN p_name ELSE 'Eco-design, take-back and rental' END"
+_STAGES = "[" + ", ".join(f"[{', '.join(map(_quoted, ks))}]" for ks in taxonomy.VALUE_CHAIN.values()) + "]"
+_LISTED_NAME = "CASE p_partkey % 8 WHEN 0 THEN 'Alpha Umwelt' WHEN 1 THEN 'umwelt gmbh' WHEN 2 THEN 'Tel. Alpha Beta' WHEN 3 THEN 'Am Ring 7' WHEN 4 THEN 'alpha beta' WHEN 5 THEN 'Dr. Anna' WHEN 6 THEN 'Anna Maria Meier Schmidt Kurz Lang' ELSE 'Stand: Mai Juni' END"
+
+
+@query(rf"""WITH s AS (SELECT p_partkey, lower({_STAGE}) AS a, {_LISTED_NAME} AS n FROM part), t AS (SELECT *, list_filter(regexp_split_to_array(n, '[^A-Za-zÄÖÜäöüß0-9&+.-]+'), lambda x: regexp_matches(x, '^[A-ZÄÖÜ]')) AS c, list_filter(string_split(n, ' '), lambda x: regexp_matches(x, '^[A-ZÄÖÜ]')) AS p FROM s)
+SELECT p_partkey, list_filter(range(0, 7), lambda i: len(list_filter({_STAGES}[i + 1], lambda k: contains(a, k))) > 0) AS stages,
+NOT regexp_matches(lower(n), 'stand:|hamburg\.de|www\.|https?://|@|telefon|fax|tel\.|mail|\b(ring|weg|markt)\b') AND (len(c) >= 2 OR len(list_filter({markup.ORGANISATION_WORDS!r}, lambda w: contains(lower(n), w))) > 0) AS named,
+regexp_matches(lower(n), 'prof|dr\.|ing\.') OR len(p) BETWEEN 2 AND 4 AND len(p) >= greatest(2, len(string_split(replace(n, '.', ''), ' ')) // 2) AS person FROM t""", lists=("stages",))
 def stage_classifier(spark, sf_dir):
-    a = F.when(F.col("p_name").contains("ring"), "Repair shop").when(F.col("p_name").contains("gear"), "Assembly and recovery").otherwise("other")
-    return read(spark, sf_dir, "part").select("p_partkey", taxonomy.stages(a, taxonomy.VALUE_CHAIN).alias("stages"), markup.looks_like_name(F.concat(F.lit("Brand "), F.when(F.char_length("p_brand") > 7, "Works"))).alias("named")).withColumn("named", F.coalesce("named", F.lit(False)))
+    p = read(spark, sf_dir, "part").select("p_partkey", F.expr(_STAGE).alias("a"), F.expr(_LISTED_NAME).alias("n"))
+    return p.select("p_partkey", taxonomy.stages(F.col("a"), taxonomy.VALUE_CHAIN).alias("stages"), markup.looks_like_name(F.col("n")).alias("named"), markup.looks_like_person(F.col("n")).alias("person"))
+
+
+_NOTE = "CASE turn % 3 WHEN 0 THEN text || ' see http://a' || turn || '.org and https://b' || conv_id || '.net/x)' WHEN 1 THEN 'a | b | www.x.de <a href=1> <A >' ELSE text END"
+
+
+@query(rf"""SELECT conv_id, turn, regexp_extract_all({_NOTE}, 'https?://[^\s<>"\)\]]+')[-1] AS last_url, len(regexp_extract_all({_NOTE}, ' \| ')) + len(regexp_extract_all({_NOTE}, 'www\.')) + len(regexp_extract_all({_NOTE}, '(?i)<a ')) AS container,
+coalesce(nullif(trim(CASE WHEN turn % 2 = 0 THEN ' ' ELSE role END), ''), 'turn ' || turn) AS name, strftime(TIMESTAMP '2024-01-02 03:04:05.678901' + to_days(turn::INT), '%Y-%m-%dT%H:%M:%S.%f') AS stamped FROM conversations""", ints=("container",))
+def note_fields(spark, sf_dir):
+    t, k = F.expr(_NOTE), F.col("turn")
+    name = markup.fallback_name(F.when(k % 2 == 0, " ").otherwise(F.col("role")), F.lit(None).cast("string"), F.concat(F.lit("turn "), k.cast("string")))
+    at = F.expr("TIMESTAMP '2024-01-02 03:04:05.678901' + make_dt_interval(CAST(turn AS int))")
+    return read(spark, sf_dir, "conversations").select("conv_id", "turn", markup.last_url(t).alias("last_url"), markup.container_score(t).alias("container"), name.alias("name"), text.stamp(at).alias("stamped"))

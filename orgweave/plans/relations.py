@@ -100,15 +100,16 @@ def ingest_stats(spark, sf_dir):
     return stats(p, "u", "src", ["src", "page_id"])
 
 
-@query(f"WITH p AS ({_URLS}) SELECT src, list(DISTINCT url ORDER BY url) AS urls, count(DISTINCT url) AS n FROM p GROUP BY src", lists=("urls",))
+@query(f"WITH p AS ({_URLS}), d AS (SELECT DISTINCT src, url FROM p) SELECT src, url, count(*) OVER (PARTITION BY src) AS n FROM d")
 def category_urls(spark, sf_dir):
-    return _sites(spark, sf_dir).groupBy("src").agg(F.sort_array(F.collect_set("url")).alias("urls"), F.count_distinct("url").alias("n"))
+    return merge.grouped(_sites(spark, sf_dir), "src", "url")
 
 
-@query("SELECT event_type AS url, '[' || string_agg(DISTINCT '\"' || user_id || '\"', ',' ORDER BY '\"' || user_id || '\"') || ']' AS users, min_by(user_id, event_id) AS first_user FROM events GROUP BY 1")
+@query("SELECT user_id AS url, '[' || string_agg(DISTINCT '\"' || event_type || '\"', ',' ORDER BY '\"' || event_type || '\"') || ']' AS categories, min_by(event_type, event_id) AS first_category FROM events GROUP BY 1")
 def set_aggregation(spark, sf_dir):
+    """Categories of a URL, of which there are as many as the taxonomy has."""
     e = read(spark, sf_dir, "events")
-    return e.groupBy(F.col("event_type").alias("url")).agg(F.to_json(F.sort_array(F.collect_set(F.col("user_id").cast("string")))).alias("users"), F.min_by("user_id", "event_id").alias("first_user"))
+    return e.groupBy(F.col("user_id").alias("url")).agg(F.to_json(F.sort_array(F.collect_set("event_type"))).alias("categories"), F.min_by("event_type", "event_id").alias("first_category"))
 
 
 @query("SELECT o_custkey AS doi, count(nullif(o_orderstatus, 'F')) AS n_authors, count(DISTINCT (nullif(o_orderpriority, '1-URGENT') IS NOT NULL)) AS institutions_total, count(DISTINCT nullif(o_orderpriority, '1-URGENT')) AS institutions, bool_or(o_totalprice > 200000) AS any_large, count(*) FILTER (o_totalprice > 200000) AS n_large FROM orders GROUP BY 1")
@@ -123,13 +124,13 @@ def doi_aggregate(spark, sf_dir):
     )
 
 
-@query("SELECT c_custkey, c_name, n_name, coalesce(CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_mktsegment END, '') AS homepage_before, CASE WHEN c_custkey % 3 = 0 THEN n_name ELSE c_mktsegment END AS homepage FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) n ON c_nationkey = n_nationkey WHERE c_custkey % 3 <> 0 OR n_name IS NOT NULL")
+@query("""WITH l AS (SELECT n_nationkey AS k, n_name AS v FROM nation WHERE n_nationkey < 20 UNION ALL SELECT n_nationkey, 'A ' || n_name FROM nation WHERE n_nationkey % 2 = 0 AND n_nationkey < 20), f AS (SELECT k, min(v) AS v FROM l GROUP BY k)
+SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_mktsegment END AS homepage_before, CASE WHEN c_custkey % 3 = 0 THEN v ELSE c_mktsegment END AS homepage FROM customer LEFT JOIN f ON c_nationkey = k""")
 def left_enrich_fill(spark, sf_dir):
     c = read(spark, sf_dir, "customer").withColumn("homepage", F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.col("c_mktsegment")))
-    n = read(spark, sf_dir, "nation").where("n_nationkey < 20").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("homepage"), "n_name")
-    before = c.select("c_custkey", F.col("homepage").alias("homepage_before"))
-    got = merge.fill(c, n, "c_nationkey", "homepage").join(n.select("c_nationkey", "n_name"), "c_nationkey", "left").join(before, "c_custkey")
-    return got.where("homepage IS NOT NULL").select("c_custkey", "c_name", "n_name", "homepage_before", "homepage")
+    n = read(spark, sf_dir, "nation").where("n_nationkey < 20").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("homepage"))
+    again = n.where("c_nationkey % 2 = 0").withColumn("homepage", F.concat(F.lit("A "), "homepage"))
+    return merge.fill(c.withColumn("homepage_before", F.col("homepage")), n.unionByName(again), "c_nationkey", "homepage").select("c_custkey", "c_name", "homepage_before", "homepage")
 
 
 @query("SELECT c_custkey, count(o_orderkey) AS n_orders, coalesce(bool_or(o_orderstatus = 'F'), false) AS any_f FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1")
@@ -170,58 +171,89 @@ def partner_link_exact(spark, sf_dir):
     return link.link_exact(_mentions(spark, sf_dir), _orgs(spark, sf_dir)).select("mention_id", "org_id", F.col("confidence").cast("double").alias("confidence"))
 
 
-@query()
+_FIRM = ("c_custkey AS org_id", "substr(md5(CAST(c_custkey AS {})), 1, 7) || ' ' || substr(md5(c_name), 3, CAST(6 + c_custkey % 9 AS int)) AS org_name")
+_FIRMS = f"SELECT {_FIRM[0]}, {_FIRM[1].format('varchar')} FROM customer"
+_CALLED = "CASE org_id % 4 WHEN 0 THEN substr(org_name, 1, 3) || substr(org_name, 5) WHEN 1 THEN upper(org_name) WHEN 2 THEN reverse(org_name) ELSE substr(org_name, 2) END AS name"
+
+
+@query(f"""WITH o AS ({_FIRMS}), m AS (SELECT org_id AS mention_id, {_CALLED} FROM o WHERE org_id IN (SELECT s_suppkey FROM supplier)), n AS (SELECT lower(trim(org_name)) AS n, max(org_id) AS last, min(org_id) AS first FROM o GROUP BY 1),
+x AS (SELECT mention_id, last FROM m JOIN n ON lower(trim(name)) = n), g AS (SELECT DISTINCT n, first, substr(n, 1, i - 1) || substr(n, i + 1) AS short FROM n, unnest(range(1, length(n) + 1)) t(i)),
+f AS (SELECT mention_id, min(first) AS first, any_value(2.0 * length(short) / (2 * length(short) + 1)) AS r FROM m JOIN g ON lower(trim(name)) = short WHERE mention_id NOT IN (SELECT mention_id FROM x) GROUP BY 1)
+SELECT mention_id, last AS org_id, 0.9::DOUBLE AS confidence, 'name' AS how FROM x UNION ALL SELECT mention_id, first, round(0.80 + (r - 0.85) * 0.33, 6)::DOUBLE, 'fuzzy' FROM f""")
 def partner_link_fuzzy(spark, sf_dir):
-    p = read(spark, sf_dir, "part").select("p_name").distinct()
-    orgs = p.select(F.xxhash64("p_name").alias("org_id"), F.col("p_name").alias("org_name"), F.lit("").alias("org_url"))
-    mentions = p.select(F.xxhash64("p_name").alias("mention_id"), F.regexp_replace("p_name", "e", "").alias("name"), F.lit("").alias("url"))
-    return link.link(mentions, orgs)
+    """Mentions that lack a letter, shout, read backwards; no other names come near."""
+    o = read(spark, sf_dir, "customer").selectExpr(_FIRM[0], _FIRM[1].format("string"))
+    m = o.join(read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("org_id")), "org_id", "left_semi").selectExpr("org_id AS mention_id", _CALLED, "'' AS url")
+    return link.link(m, o.withColumn("org_url", F.lit(""))).withColumn("confidence", F.round(F.col("confidence").cast("double"), 6))
+
+
+_K = "c_custkey"
+_PEOPLE = f"""{_K} AS id, CASE {_K} % 4 WHEN 0 THEN 'Green Works GmbH' WHEN 1 THEN 'Blue Haus e.V.' WHEN 2 THEN 'Alpha Recycling Verein' ELSE '' END AS name, 'https://www.org' || ({_K} * 7 % 61) || '.example.com/' || {_K} AS url,
+'Street ' || ({_K} % 3) || ' Town ' || ({_K} % 5) || ' Hall ' || ({_K} % 2) AS address, '+49 40 ' || ({_K} % 11) AS phone"""
 
 
-_PEOPLE = "SELECT c_custkey AS id, c_name AS name, 'https://www.org' || (c_custkey % 500) || '.example.com/' || c_custkey AS url, 'Street ' || (c_custkey % 500) || ' Town ' || (c_custkey % 7) AS address, '+49 40 ' || (c_custkey % 1000) AS phone FROM customer"
+def _people(spark, sf_dir):
+    from pyspark.sql.functions import array, expr
+
+    c = read(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    name = F.when(k % 4 == 0, "Green Works GmbH").when(k % 4 == 1, "Blue Haus e.V.").when(k % 4 == 2, "Alpha Recycling Verein").otherwise("")
+    return c.select(
+        k.alias("id"), name.alias("name"), expr("'https://www.org' || (c_custkey * 7 % 61) || '.example.com/' || c_custkey").alias("url"),
+        expr("'Street ' || (c_custkey % 3) || ' Town ' || (c_custkey % 5) || ' Hall ' || (c_custkey % 2)").alias("address"), array(expr("'+49 40 ' || (c_custkey % 11)")).alias("phones"),
+    )
+
 
+_PAIRS = f"""c AS (SELECT {_PEOPLE} FROM customer), x AS (SELECT id, regexp_extract(url, '://www.([^/]*)', 1) AS host, trim(replace(replace(lower(name), ' gmbh', ''), ' e.v.', '')) AS n, list_distinct(string_split(lower(address), ' ')) AS w, phone FROM c),
+s AS (SELECT *, min(id) OVER (PARTITION BY host, n) AS first FROM x),
+p AS (SELECT a.id AS i, b.id AS j, a.n = b.n AND a.n <> '' AS same, a.first AS first, len(list_intersect(a.w, b.w)) / least(len(a.w), len(b.w)) >= 0.7 AS near, a.phone = b.phone AS call FROM s a JOIN s b ON a.host = b.host AND a.id < b.id),
+q AS (SELECT i, j, 0.4::DOUBLE + CASE WHEN same THEN 0.3::DOUBLE ELSE 0 END + CASE WHEN near THEN 0.2::DOUBLE ELSE 0 END + CASE WHEN call THEN 0.1::DOUBLE ELSE 0 END AS score, same, first, near, call FROM p),
+d AS (SELECT i, j, score, near, call FROM q WHERE score >= 0.7 AND (NOT same OR i = first))"""
 
-@query(f"""WITH c AS ({_PEOPLE}), p AS (SELECT a.id AS i, b.id AS j, a.id % 7 = b.id % 7 AS same_town, a.id % 1000 = b.id % 1000 AS same_phone FROM c a JOIN c b ON a.id % 500 = b.id % 500 AND a.id < b.id)
-SELECT i, j, round(0.4 + 0.3 + CASE WHEN true THEN 0.2 ELSE 0 END + CASE WHEN same_phone THEN 0.1 ELSE 0 END, 6)::DOUBLE AS score FROM p""")
+
+@query(f"WITH {_PAIRS} SELECT i, j, round(score, 6) AS score, near AS address, call AS phone FROM d")
 def dedup_pairs(spark, sf_dir):
-    c = read(spark, sf_dir, "customer").selectExpr("c_custkey AS id", "'Green Works GmbH' AS name", "'https://www.org' || (c_custkey % 500) || '.example.com/' || c_custkey AS url", "'Street ' || (c_custkey % 500) || ' Town ' || (c_custkey % 7) AS address", "array('+49 40 ' || (c_custkey % 1000)) AS phones")
-    return link.duplicate_pairs(c).select("i", "j", F.round("score", 6).alias("score"))
+    return link.duplicate_pairs(_people(spark, sf_dir)).withColumn("score", F.round(F.col("score").cast("double"), 6))
 
 
-@query("SELECT c_custkey % 500 AS group_id, list(c_custkey ORDER BY c_custkey) AS members, 'Green Works GmbH' AS canonical_name, round((sum(0.9) + 0)::DOUBLE / count(*) + CASE WHEN count(*) = 3 THEN 0.1 / 3 ELSE 0.1 * 0 END, 6) AS confidence FROM customer GROUP BY 1 HAVING count(*) > 1", lists=("members",))
+@query(f"""WITH RECURSIVE {_PAIRS}, u AS (SELECT i AS a, j AS b FROM d UNION SELECT j, i FROM d), r AS (SELECT DISTINCT a AS node, a AS seen FROM u UNION SELECT r.node, u.b FROM r JOIN u ON r.seen = u.a), g AS (SELECT node, min(seen) AS group_id FROM r GROUP BY node),
+m AS (SELECT group_id, list(node ORDER BY node) AS members, max_by(name, length(name) * 10000000 - node) AS canonical_name FROM g JOIN c ON c.id = node GROUP BY 1),
+t AS (SELECT group_id, avg(score) AS confidence, ['domain'] || CASE WHEN bool_or(near) THEN ['address'] ELSE [] END || CASE WHEN bool_or(call) THEN ['phone'] ELSE [] END AS signals FROM d JOIN g ON d.i = g.node GROUP BY 1)
+SELECT group_id, members, canonical_name, round(confidence, 6) AS confidence, signals FROM m JOIN t USING (group_id)""", lists=("members", "signals"))
 def dedup_groups(spark, sf_dir):
-    c = read(spark, sf_dir, "customer").selectExpr("c_custkey AS id", "'Green Works GmbH' AS name", "'https://www.org' || (c_custkey % 500) || '.example.com/' || c_custkey AS url", "'Street ' || (c_custkey % 500) || ' Town ' || (c_custkey % 7) AS address", "array('+49 40 ' || (c_custkey % 1000)) AS phones")
-    return link.duplicate_groups(link.duplicate_pairs(c), c).withColumn("confidence", F.round("confidence", 6))
+    c = _people(spark, sf_dir)
+    return link.duplicate_groups(link.duplicate_pairs(c), c).withColumn("confidence", F.round(F.col("confidence").cast("double"), 6))
 
 
-_EDGES = "SELECT DISTINCT o_custkey % 60 AS source, (o_orderkey * 7) % 60 AS target FROM orders WHERE o_custkey % 60 <> (o_orderkey * 7) % 60 AND o_orderkey % 9 = 0"
+_EDGES = "SELECT DISTINCT o_custkey AS source, l_suppkey AS target FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey <> l_suppkey"
 
 
 def _edges(spark, sf_dir):
-    return read(spark, sf_dir, "orders").selectExpr("o_custkey % 60 AS source", "(o_orderkey * 7) % 60 AS target", "o_orderkey").where("source <> target AND o_orderkey % 9 = 0").select("source", "target").distinct()
+    met = read(spark, sf_dir, "orders").join(read(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    return met.select(F.col("o_custkey").alias("source"), F.col("l_suppkey").alias("target")).where("source <> target").distinct()
 
 
-@query(f"WITH e AS ({_EDGES}) SELECT source, target, EXISTS (SELECT 1 FROM e f WHERE f.source = e.target AND f.target = e.source) AS bidirectional FROM e")
+@query(f"WITH e AS ({_EDGES}) SELECT e.source, e.target, f.source IS NOT NULL AS bidirectional FROM e LEFT JOIN e f ON f.source = e.target AND f.target = e.source")
 def bidirectional_edges(spark, sf_dir):
     return link.mark_bidirectional(_edges(spark, sf_dir))
 
 
-@query(f"""WITH RECURSIVE e AS (SELECT o_custkey AS a, o_custkey + 1 AS b FROM orders WHERE o_orderkey % 5 = 0), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-r AS (SELECT DISTINCT a AS node, a AS seen FROM u UNION SELECT r.node, u.b FROM r JOIN u ON r.seen = u.a) SELECT node, min(seen) AS component FROM r GROUP BY node""")
+@query("""WITH e AS (SELECT DISTINCT o_custkey AS a FROM orders WHERE o_custkey IS NOT NULL), i AS (SELECT a, a - row_number() OVER (ORDER BY a) AS g FROM e), c AS (SELECT a, min(a) OVER (PARTITION BY g) AS component FROM i)
+SELECT a AS node, component FROM c UNION SELECT a + 1, component FROM c""")
 def connected_groups(spark, sf_dir):
+    """Customers linked to the next one where they have orders: runs of neighbours."""
     from ..operators.components import connected_components
 
-    e = read(spark, sf_dir, "orders").where("o_orderkey % 5 = 0").select(F.col("o_custkey").alias("src"), (F.col("o_custkey") + 1).alias("dst"))
+    e = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("src"), (F.col("o_custkey") + 1).alias("dst"))
     return connected_components(e)
 
 
-@query("SELECT c_custkey AS url, coalesce('canon' || (c_custkey % 40), '') AS canonical FROM customer WHERE c_custkey < 40 AND c_custkey % 4 <> 0")
+@query("""WITH m AS (SELECT c_custkey AS ord, CASE WHEN c_custkey % 3 = 1 THEN c_custkey - 1 ELSE c_custkey END AS url FROM customer)
+SELECT url, min(ord) AS ord FROM m WHERE url % 6 <> 0 GROUP BY url""")
 def new_entities(spark, sf_dir):
-    c = read(spark, sf_dir, "customer").selectExpr("CAST(c_custkey AS string) AS url", "c_custkey AS ord")
-    canonical = c.where("ord >= 40").selectExpr("url AS duplicate", "CAST(ord % 40 AS string) AS canonical")
-    existing = c.where("ord < 40 AND ord % 4 = 0").select("url")
-    got = link.new_entities(c, existing, canonical, ["ord"])
-    return got.select(F.col("url").cast("bigint").alias("url"), F.concat(F.lit("canon"), "url").alias("canonical"))
+    c = read(spark, sf_dir, "customer").selectExpr("c_custkey AS url", "c_custkey AS ord")
+    canonical = c.where("ord % 3 = 1").selectExpr("url AS duplicate", "url - 1 AS canonical")
+    return link.new_entities(c, c.where("ord % 6 = 0").select("url"), canonical, ["ord"]).select("url", "ord")
 
 
 @query("SELECT c_custkey AS url, coalesce((SELECT min_by(o_orderpriority, o_orderkey) FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F'), 'Unknown') AS discovered_by FROM customer")
@@ -254,20 +286,28 @@ def point_update(spark, sf_dir):
     return merge.update_points(rows, points, "url").select("url", "lat")
 
 
-@query(f"""WITH far AS (SELECT n_nationkey FROM nation WHERE {_KM} > 30 OR n_name = 'NATION_12'), e AS ({_EDGES}), g AS (SELECT n_nationkey AS id FROM far)
-SELECT source, target FROM e WHERE source % 25 NOT IN (SELECT id FROM g) AND target % 25 NOT IN (SELECT id FROM g)""")
+_TRADE = """SELECT DISTINCT c.n_name AS source, s.n_name AS target FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
+JOIN nation c ON c_nationkey = c.n_nationkey JOIN nation s ON s_nationkey = s.n_nationkey"""
+
+
+@query(f"""WITH far AS (SELECT n_name FROM nation WHERE {_KM} > 30 OR n_name = 'NATION_12'), e AS ({_TRADE})
+SELECT source, target FROM e WHERE source NOT IN (SELECT n_name FROM far) AND target NOT IN (SELECT n_name FROM far)""")
 def geo_cascade_delete(spark, sf_dir):
+    """Nations that trade, without those that are far or struck by hand."""
     r = REGIONS["hamburg"]
-    n = read(spark, sf_dir, "nation").withColumns({"lat": F.expr(_LAT).cast("double"), "lon": F.expr(_LON).cast("double"), "name": F.col("n_nationkey").cast("bigint")})
+    n = read(spark, sf_dir, "nation").withColumns({"lat": F.expr(_LAT).cast("double"), "lon": F.expr(_LON).cast("double"), "name": F.col("n_name")})
     km = geo.haversine(F.lit(r.filter_at[0]), F.lit(r.filter_at[1]), F.col("lat"), F.col("lon"))
-    names = merge.far_names(n, km, r.filter_km, [12])
-    e = _edges(spark, sf_dir).withColumnRenamed("source", "s").withColumnRenamed("target", "t").withColumns({"source": F.col("s") % 25, "target": F.col("t") % 25})
-    return merge.remove_edges(e, names).select(F.col("s").alias("source"), F.col("t").alias("target"))
+    names = merge.far_names(n, km, r.filter_km, ["NATION_12"])
+    of = read(spark, sf_dir, "orders").join(read(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", "l_suppkey").distinct()
+    of = of.join(read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(read(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    named = lambda key, out: n.select(F.col("n_nationkey").alias(key), F.col("name").alias(out))
+    e = of.join(named("c_nationkey", "source"), "c_nationkey").join(named("s_nationkey", "target"), "s_nationkey").select("source", "target").distinct()
+    return merge.remove_edges(e, names).select("source", "target")
 
 
 @query("SELECT p_partkey, p_type, (row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) - 1) // 60 AS batch FROM part")
 def batch_ids(spark, sf_dir):
-    return read(spark, sf_dir, "part").select("p_partkey", "p_type", windows.batch_id(["p_partkey"], 60, ["p_type"]).alias("batch"))
+    return windows.batches(read(spark, sf_dir, "part").select("p_partkey", "p_type"), ["p_type"], ["p_partkey"], 60)
 
 
 @query("SELECT conv_id, turn, lag(role, 1, '') OVER (PARTITION BY conv_id ORDER BY turn) AS role FROM conversations")
@@ -275,17 +315,17 @@ def lag_shift(spark, sf_dir):
     return windows.shifted(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role"), "role", "conv_id", "turn")
 
 
-@query("""SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN text[1:20] END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS section, sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS run FROM conversations""", ints=("run",))
+@query("""SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS section, sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS run FROM conversations""", ints=("run",))
 def carry_forward(spark, sf_dir):
     c, head = read(spark, sf_dir, "conversations"), F.col("role") == "user"
-    return c.select("conv_id", "turn", windows.carry_forward(F.when(head, F.substring("text", 1, 20)), ["conv_id"], ["turn"]).alias("section"), windows.run_id(head, ["conv_id"], ["turn"]).alias("run"))
+    return c.select("conv_id", "turn", windows.carry_forward(F.when(head, F.col("text")), ["conv_id"], ["turn"]).alias("section"), windows.run_id(head, ["conv_id"], ["turn"]).alias("run"))
 
 
-@query("""WITH w AS (SELECT conv_id, turn, text, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS nx FROM conversations),
-h AS (SELECT conv_id, len(list_filter(regexp_split_to_array(lower(nx[1:40]), '[^a-z0-9_]+'), lambda t: length(t) >= 4 AND contains(lower(text), t))) > 0 AS hit FROM w WHERE nx IS NOT NULL)
+@query("""WITH w AS (SELECT conv_id, text, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS nx, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations),
+h AS (SELECT conv_id, len(list_filter(regexp_extract_all(lower(nx), '[a-z0-9]+'), lambda t: length(t) >= 4 AND contains(lower(text), t))) > 0 AS hit FROM w WHERE nx IS NOT NULL AND n <= 40)
 SELECT conv_id, count(*) FILTER (hit) AS hits, count(*) AS checked, count(*) FILTER (hit) >= greatest(5, floor(count(*) * 0.5)) AS misaligned FROM h GROUP BY conv_id""")
 def lead_misalignment(spark, sf_dir):
-    c = read(spark, sf_dir, "conversations").withColumn("name", F.substring("text", 1, 40))
+    c = read(spark, sf_dir, "conversations").withColumn("name", F.col("text"))
     return windows.misaligned(c, "name", "text", "conv_id", "turn")
 
 
@@ -340,11 +380,12 @@ def set_operations(spark, sf_dir):
     return n("union", a.union(b).distinct()).unionByName(n("intersect", a.intersect(b))).unionByName(n("except", c.select("c_custkey").subtract(o.select("o_custkey"))))
 
 
-@query("""WITH d AS (SELECT doc_id, lang, source, list_distinct(list_filter(string_split(replace(lower(text), chr(10), ' '), ' '), lambda x: x <> '')) AS w FROM documents)
-SELECT a.doc_id AS a, b.doc_id AS b, round(len(list_intersect(a.w, b.w)) / len(list_distinct(a.w || b.w)), 6) AS jaccard FROM d a JOIN d b ON a.lang = b.lang AND a.source = b.source AND a.doc_id < b.doc_id AND least(len(a.w), len(b.w)) >= 0.5 * greatest(len(a.w), len(b.w)) WHERE len(list_intersect(a.w, b.w)) / len(list_distinct(a.w || b.w)) >= 0.5""")
+@query("""WITH d AS (SELECT lang, source, list_sort(list_distinct(list_filter(string_split(replace(lower(text), chr(10), ' '), ' '), lambda x: x <> ''))) AS w, min(doc_id) AS id, count(*) AS n FROM documents GROUP BY ALL)
+SELECT a.id AS a, b.id AS b, round(len(list_intersect(a.w, b.w)) / len(list_distinct(a.w || b.w)), 6) AS jaccard, a.n AS n_a, b.n AS n_b FROM d a JOIN d b ON a.lang = b.lang AND a.source = b.source AND a.id < b.id AND least(len(a.w), len(b.w)) >= 0.5 * greatest(len(a.w), len(b.w)) WHERE len(list_intersect(a.w, b.w)) / len(list_distinct(a.w || b.w)) >= 0.5""")
 def jaccard_pairs(spark, sf_dir):
+    """Pairs of different sets of words, named by their first documents, with their members."""
     d = read(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.array_distinct(text.blank_words(F.col("text"))).alias("w"))
-    return setjoin.similar_pairs(d, "doc_id", "w", 0.5, ("lang", "source")).withColumn("jaccard", F.round("jaccard", 6))
+    return setjoin.similar_sets(d, "doc_id", "w", 0.5, ("lang", "source")).withColumn("jaccard", F.round("jaccard", 6))
 
 
 @query("SELECT count(*) AS total, count(toxic) AS completed, count(*) FILTER (toxic = 1) AS failed, count(*) - count(toxic) AS remaining, round(100.0 * count(toxic) / count(*), 2)::DOUBLE AS percent, round(avg(toxic), 6) AS mean FROM documents LEFT JOIN labels USING (doc_id)")
@@ -357,3 +398,15 @@ def checkpoint_stats(spark, sf_dir):
 @query("SELECT count(*) AS entries, count(c_acctbal) FILTER (c_acctbal > 0) AS hits FROM customer")
 def cache_statistics(spark, sf_dir):
     return read(spark, sf_dir, "customer").agg(F.count("*").alias("entries"), F.count_if(F.col("c_acctbal") > 0).alias("hits"))
+
+
+@query("SELECT user_id, event_id, site FROM (SELECT user_id, event_id, CASE WHEN value >= 5 THEN event_type END AS site, row_number() OVER (PARTITION BY user_id ORDER BY CASE WHEN value >= 5 THEN event_type END NULLS LAST, event_id) AS n FROM events) WHERE n = 1")
+def nulls_last_first(spark, sf_dir):
+    e = read(spark, sf_dir, "events").select("user_id", "event_id", F.expr("CASE WHEN value >= 5 THEN event_type END").alias("site"))
+    return dedupe.keep(e, ["user_id"], [F.asc_nulls_last("site"), "event_id"])
+
+
+@query("SELECT user_id, kind, value FROM (SELECT user_id, lower(event_type) AS kind, value, row_number() OVER (PARTITION BY user_id, lower(event_type) ORDER BY event_id) AS n FROM (SELECT user_id, event_id, value, CASE WHEN event_id % 2 = 0 THEN upper(event_type) ELSE event_type END AS event_type FROM events)) WHERE n = 1")
+def folded_key_first(spark, sf_dir):
+    e = read(spark, sf_dir, "events").select("user_id", "event_id", "value", F.lower(F.when(F.col("event_id") % 2 == 0, F.upper("event_type")).otherwise(F.col("event_type"))).alias("kind"))
+    return dedupe.first_row_named(e, ["user_id", "kind"], ["event_id"]).select("user_id", "kind", "value")

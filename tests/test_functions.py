@@ -116,4 +116,37 @@ def test_share(one):
 
 
 def test_trackers(one):
-    assert one(urls.without_trackers, "https://a/?utm_source=x&b=1", "https://a/?fbclid=1#t", "https://a/?b=1&gclid=3&c=2") == ["https://a/?b=1", "https://a/#t", "https://a/?b=1&c=2"]
+    assert one(urls.without_trackers, "https://a/?utm_source=x&b=1", "https://a/?fbclid=1#t", "https://a/?b=1&gclid=3&c=2") == ["https://a/&b=1", "https://a/", "https://a/?b=1&c=2"]
+    assert one(urls.document_url, " a.de/x). ", "https://a.de 3  2", "http://b.de/?", None, " ") == ["https://a.de/x", "https://a.de", "http://b.de/", "", ""]
+    assert one(urls.first_url, "see (https://a.de/x) or b.de", "at B-c.org/y, z", "none", None) == ["https://a.de/x", "https://B-c.org/y", "", ""]
+
+
+def test_display_names(one):
+    rows = ["https://3d-print.de/x", "https://www.o2-shop.org", "https://a.b.c"]
+    assert one(urls.display_name, *rows) == ["3D Print", "O2 Shop", "A"]
+    known = {"uni-x.de": "University X"}
+    assert one(lambda u: urls.organisation(u, known), "https://www.uni-x.de", "https://my.uni-x.de", "https://myuni-x.de", "https://www.my-Org.de/a", "https://solo") == ["University X", "University X", "University X", "My-org", "Solo"]
+
+
+def test_items(spark):
+    """The score of an item, branch by branch, and of several."""
+    rows = [("metal scrap sorting", "metal", "sorting of scrap", 0.75), ("Metal", "METAL", None, 1.0), ("met", "Metal works", "", 0.85), ("scrap", "x", "All Scrap", 0.85), ("a b c", "a", "d", 0.0), ("a", None, None, 0.0)]
+    d = spark.createDataFrame(rows, "q string, n string, d string, w double")
+    assert [r.s for r in d.select(scores.item_match(F.col("q"), F.col("n"), F.col("d")).alias("s")).collect()] == [r[3] for r in rows]
+    items = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(t).alias("description")) for n, t in (("metal", "sorting of scrap"), ("x", "y"), ("Scrap", "metal scrap sorting"))))
+    r = spark.range(1).select(scores.items_match(F.lit("metal scrap sorting"), items).alias("m")).first().m
+    assert r.score == 0.85 and r.matched == ["metal", "Scrap"]
+    none = spark.range(1).select(scores.items_match(F.lit("a"), F.lit(None).cast("array<struct<name string, description string>>")).alias("m")).first().m
+    assert none.score == 0.0 and none.matched == []
+
+
+def test_second_region(one):
+    assert one(lambda t: scores.locality(t, REGIONS["novi_sad"]), "Нови Сад 21000", "НОВИ САД", "Futog 021") == [2 / 3, 1 / 3, 2 / 3]
+
+
+def test_small_texts(one):
+    assert one(lambda a: text.place_query(a, ", Hamburg, Germany"), "Kai 1", "Kai 1, HAMBURG, germany") == ["Kai 1, Hamburg, Germany", "Kai 1, HAMBURG, germany"]
+    assert one(text.entry_name, "1 „Eco” pagina web: x.md", "Plain Name", 'the "Green" one') == ["Eco", "Plain Name", "Green"]
+    assert one(text.without_legal_form, "Alpha GmbH", "beta e.V.", "Agentur") == ["Alpha", "beta", "Agentur"]
+    assert one(lambda p: scores.recommendation(p, F.lit("Do it"))[0], "high", "Medium", "low") == [0.8, 0.7, 0.6]
+    assert one(lambda p: scores.recommendation(p, F.lit("Do it"))[1], "high") == ["[HIGH] Do it"]

@@ -1,15 +1,17 @@
 """Linkage, dedup, merge, clusters, graph, components, sources and streams on small tables."""
 
+import difflib
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from orgweave.functions import text
-from orgweave.operators import cluster, collab, dedupe, generate, graph, link, merge, setjoin
+from orgweave.operators import cluster, collab, dedupe, fuzzy, generate, graph, link, merge, profiles, setjoin, taxonomy, windows
 from orgweave.operators.components import connected_components
 from orgweave.sources import markup, registry, sinks
-from orgweave.streaming import new_only, upsert_batches
+from orgweave.streaming import new_only, read_upserted, upsert_batches
 
 
 def test_link_cascade(spark):
@@ -19,15 +21,21 @@ def test_link_cascade(spark):
     assert got == {1: (1, 0.95, "url"), 2: (3, 0.9, "name"), 3: (4, round(0.80 + (28 / 29 - 0.85) * 0.33, 4), "fuzzy")}
 
 
-def test_link_blocks_agree(spark, monkeypatch):
+@pytest.mark.parametrize("least", [0.81, 0.85, 0.95])
+def test_fuzzy_candidates_lose_no_pair(spark, least):
     r = random.Random(1)
-    names = ["".join(r.choice("abcde ") for _ in range(r.randrange(3, 14))).strip() or "x" for _ in range(120)]
-    orgs = spark.createDataFrame([(i, n, "") for i, n in enumerate(names)], "org_id long, org_name string, org_url string")
-    m = spark.createDataFrame([(i, n[1:] + "q", "") for i, n in enumerate(names)], "mention_id long, name string, url string")
-    rows = lambda: sorted(map(tuple, link.link(m, orgs).collect()))
-    one = rows()
-    monkeypatch.setattr(link, "FUZZY_BROADCAST", 5)
-    assert one == rows() and len(one) > 5
+    names = {"".join(r.choice("abcde ") for _ in range(r.randrange(1, 14))) for _ in range(120)}
+    changed = {n[: (k := r.randrange(len(n) + 1))] + r.choice(["", "x", "a"]) + n[k + r.randrange(2) :] for n in names for _ in range(2)} - {""}
+    left, right = spark.createDataFrame([(n,) for n in changed], "k string"), spark.createDataFrame([(n,) for n in names], "n string")
+    got = {(x.k, x.n) for x in fuzzy.scored(fuzzy.candidates(left, right, least), least).collect()}
+    want = {(a, b) for a in changed for b in names if difflib.SequenceMatcher(None, a, b).ratio() >= least}
+    assert got == want and len(want) > 20
+
+
+def test_fuzzy_blocks(spark):
+    left = spark.createDataFrame([("alpha works", 1), ("alpha works", 2)], "k string, g int")
+    right = spark.createDataFrame([("alpha work", 1), ("alpha works", 3)], "n string, g int")
+    assert [tuple(x) for x in fuzzy.candidates(left, right, 0.85, ("g",)).collect()] == [("alpha works", "alpha work", 1)]
 
 
 def org(i, name, url, address="", phones=()):
@@ -49,6 +57,35 @@ def test_duplicates(spark):
         link.duplicate_pairs(orgs, 0.6)
 
 
+@pytest.mark.parametrize("least", [0.62, 0.7, 0.8])
+def test_duplicates_against_all_pairs(spark, least):
+    r = random.Random(7)
+    rows = []
+    for i in range(90):
+        name = r.choice(["Green Works GmbH", "Green Wrks", "Green Works", "Blue Haus", "", "Blue Hauss e.V."])
+        address = " ".join(r.choice(["weg", "kai", "ort", "nord", "1", "2", "haus"]) for _ in range(r.randrange(0, 6)))
+        rows.append(org(i, name, f"https://www.h{r.randrange(4)}.de/{i}", address, [f"+49 40 {r.randrange(6)}" for _ in range(r.randrange(3))]))
+    d = spark.createDataFrame(rows, "id long, name string, url string, address string, phones array<string>")
+    legal = {x.name: x.n for x in d.select("name", text.legal_name(F.col("name")).alias("n")).collect()}
+    want, first = {}, {}
+    for i, n, u, _, _ in rows:
+        first.setdefault((u.split("/")[2], legal[n]), i)
+    for a in rows:
+        for b in rows:
+            host = a[2].split("/")[2]
+            if a[0] < b[0] and host == b[2].split("/")[2]:
+                x, y = legal[a[1]], legal[b[1]]
+                ratio = difflib.SequenceMatcher(None, x, y).ratio() if x and y else 0.0
+                w, v = set(a[3].split()), set(b[3].split())
+                s = 0.4 + (ratio * 0.3 if ratio >= 0.85 else 0.0)
+                s += 0.2 if len(w) >= 3 and len(v) >= 3 and len(w & v) / min(len(w), len(v)) >= 0.7 else 0.0
+                s += 0.1 if set(a[4]) & set(b[4]) else 0.0
+                if s >= least and not (least <= 0.4 + 0.3 and x == y != "" and first[host, x] != a[0]):
+                    want[a[0], b[0]] = round(s, 6)
+    got = {(x.i, x.j): round(x.score, 6) for x in link.duplicate_pairs(d, least).collect()}
+    assert got == want and want
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components(spark, seed):
     r = random.Random(seed)
@@ -111,11 +148,35 @@ def test_bidirectional(spark):
     assert {(r.source, r.target): r.bidirectional for r in link.mark_bidirectional(e).collect()} == {("A", "B"): True, ("B", "A"): True, ("A", "C"): False}
 
 
+KIND = "cluster_type string, ord int, cluster_id string, cluster_name string, description string, entities array<string>, items array<string>, confidence double"
+
+
 def test_cluster_merge(spark):
-    rows = [("t", 0, "c0", "repair services", "d0", ["a"], ["x"], 0.9), ("t", 1, "c1", "Repair  Services", "d1", ["b", "a"], ["y"], 0.1), ("t", 2, "c2", "other", "d2", [], [], 0.5), ("s", 3, "c3", "repair services", "d3", ["z"], ["w"], 0.4)]
-    df = spark.createDataFrame(rows, "cluster_type string, ord int, cluster_id string, cluster_name string, description string, entities array<string>, items array<string>, confidence double")
-    got = {r.cluster_id: (r.cluster_name, r.entities, r["items"], r.confidence, r.source_count) for r in cluster.merge_clusters(df).collect()}
-    assert got == {"c0": ("Repair  Services", ["a", "b"], ["x", "y"], 0.9, 2), "c2": ("other", [], [], 0.5, 1), "c3": ("repair services", ["z"], ["w"], 0.4, 1)}
+    rows = [("t", 0, "c0", "repair services", "d0", ["a"], ["x"], 0.9), ("t", 1, "c1", "Repair  Services", "d1", ["b", "a"], ["y"], 0.1), ("t", 2, "c2", "other", "d2", [], [], 0.5), ("s", 3, "c3", "repair services", "d3", ["z"], ["w"], 0.4), ("t", 4, "c4", "", "d4", [], [], 0.4), ("t", 5, "c5", " ", "d5", [], [], 0.4)]
+    got = {r.cluster_id: (r.cluster_name, r.entities, r["items"], r.confidence, r.source_count) for r in cluster.merge_clusters(spark.createDataFrame(rows, KIND)).collect()}
+    assert got == {"c0": ("Repair  Services", ["a", "b"], ["x", "y"], 0.9, 2), "c2": ("other", [], [], 0.5, 1), "c3": ("repair services", ["z"], ["w"], 0.4, 1), "c4": ("", [], [], 0.4, 1), "c5": (" ", [], [], 0.4, 1)}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_cluster_merge_is_greedy(spark, seed):
+    """Against one cluster after the other: an earlier seed takes up what it is like."""
+    r = random.Random(seed)
+    words = "a b c d e f g h".split()
+    rows = [(r.choice("st"), i, f"c{i}", " ".join(r.sample(words, r.randrange(4, 8))), f"d{i}", [str(r.randrange(9))], [f"i{i}"], 0.1) for i in range(70)]
+    want, used = {}, set()
+    for kind, i, cid, name, _, _, _, _ in rows:
+        if i in used:
+            continue
+        took = [i]
+        for k2, j, _, other, _, _, _, _ in rows[i + 1 :]:
+            x, y = set(name.split()), set(other.split())
+            if k2 == kind and j not in used and len(x & y) / len(x | y) >= 0.8:
+                used.add(j)
+                took.append(j)
+        best = max(took, key=lambda j: (len(rows[j][3]), -j))
+        want[cid] = (rows[best][3], rows[best][4], sorted({rows[j][5][0] for j in took}), [f"i{j}" for j in took], len(took))
+    got = {x.cluster_id: (x.cluster_name, x.description, x.entities, x["items"], x.source_count) for x in cluster.merge_clusters(spark.createDataFrame(rows, KIND)).collect()}
+    assert got == want and len(used) > 10
 
 
 def test_synergies(spark):
@@ -128,38 +189,91 @@ def test_synergies(spark):
 
 def test_opportunities(spark):
     kind = "entity string, partner string, score double"
-    near = spark.createDataFrame([("e", f"p{i}", 0.5 + i / 100) for i in range(9)], kind)
-    out = collab.opportunities(near, near, near).groupBy("kind").count().collect()
-    assert {r.kind: r["count"] for r in out} == {"complementary": 5, "value_chain": 3, "geographic": 3}
+    near = spark.createDataFrame([("e", f"p{i}", 0.5 + i / 20) for i in range(9)], kind)
+    out = collab.opportunities(near, near, near).orderBy("place").collect()
+    assert [(r.kind, r.partner, r.impact) for r in out] == [
+        ("complementary", "p8", "high"), ("value_chain", "p8", "high"), ("complementary", "p7", "high"), ("value_chain", "p7", "high"), ("complementary", "p6", "high"), ("value_chain", "p6", "high"),
+        ("geographic", "p8", "medium"), ("geographic", "p7", "medium"), ("geographic", "p6", "medium"), ("complementary", "p5", "medium"), ("complementary", "p4", "medium"),
+    ]
 
 
-def test_value_chain_top(spark):
+def test_complementary(spark):
+    kind = "entity int, idx int, item string"
+    needs = spark.createDataFrame([(1, 0, "Metal scrap"), (1, 1, "paint"), (2, 0, "wood")], kind)
+    offers = spark.createDataFrame([(2, 0, "scrap metal sorting"), (3, 0, "PAINT metal"), (1, 0, "wood chips"), (1, 2, "metal")], kind)
+    got = {(r.entity, r.partner): (r.n_items, r.matched_items) for r in collab.complementary(needs, offers).collect()}
+    assert got[1, 2] == (2, ["Their 'scrap metal sorting' matches your need 'Metal scrap'", "Your 'wood chips' matches their need 'wood'"])
+    assert got[1, 3] == (2, ["Their 'PAINT metal' matches your need 'Metal scrap'", "Their 'PAINT metal' matches your need 'paint'"])
+    assert got[3, 1][0] == 2 and got[2, 1][0] == 2 and len(got) == 4
+    assert {r.partner for r in collab.complementary(needs, offers, 1).where("entity = 1").collect()} == {2}
+
+
+def test_value_chain(spark):
     r = random.Random(4)
-    stages = spark.createDataFrame([(r.randrange(40), r.randrange(7)) for _ in range(60)], "entity int, stage int")
+    own = {}
+    for _ in range(60):
+        own.setdefault(r.randrange(40), set()).add(r.randrange(7))
+    stages = spark.createDataFrame([(e, s) for e, of in own.items() for s in of], "entity int, stage int")
+    names = list(taxonomy.VALUE_CHAIN)
+    want, counts = {}, {}
+    for e in own:
+        partners = sorted(p for p in own if p != e and any(abs(a - b) <= 1 for a in own[e] for b in own[p]))
+        for p in partners:
+            a, b = max((a, b) for a in own[e] for b in own[p] if abs(a - b) <= 1)
+            kind = "upstream" if b < a else "downstream" if b > a else "parallel"
+            said = [f"Upstream: {names[b]} -> {names[a]}" if b < a else f"Downstream: {names[a]} -> {names[b]}" if b > a else f"Same stage: {names[a]}" for a in sorted(own[e]) for b in sorted(own[p]) if abs(a - b) <= 1]
+            counts.setdefault(e, []).append(kind)
+            if p in partners[:3]:
+                want[e, p] = (kind, said)
+    assert {(x.entity, x.partner): (x.relation, x.matched_items) for x in collab.value_chain(stages).collect()} == want
+    got = {x.entity: (x.n_partners, x.n_upstream, x.n_downstream, x.n_parallel) for x in collab.value_chain_counts(stages).collect()}
+    assert got == {e: (len(c := counts.get(e, [])), c.count("upstream"), c.count("downstream"), c.count("parallel")) for e in own}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_nearby(spark, seed):
+    r = random.Random(seed)
+    words = ["ort", "weg", "kai", *map(str, range(12))]
+    rows = [(i, " ".join(r.choice(words[: r.choice([4, 15])]) for _ in range(r.randrange(0, 7)))) for i in range(70)] + [(99, None)]
+    sets = {i: set((a or "").split()) for i, a in rows}
     want = {}
-    for x in sorted(collab.value_chain(stages).collect(), key=lambda x: (x.entity, x.partner)):
-        want.setdefault(x.entity, []).append(x.partner)
-    got = {}
-    for x in collab.value_chain_top(stages).collect():
-        got.setdefault(x.entity, []).append(x.partner)
-    assert {k: sorted(v) for k, v in got.items()} == {k: v[:3] for k, v in want.items()}
+    for i in sets:
+        near = sorted((-len(sets[i] & sets[j]) / max(len(sets[i]), len(sets[j])), j) for j in sets if j != i and len(sets[i] & sets[j]) >= 2)
+        want |= {(i, j): round(-s, 9) for s, j in [x for x in near if -x[0] >= 0.3][:3]}
+    got = {(x.entity, x.partner): round(x.score, 9) for x in collab.nearby(spark.createDataFrame(rows, "entity int, address string")).collect()}
+    assert got == want and len(want) > 60
 
 
 @pytest.mark.parametrize("least", [0.5, 0.8, 1.0])
-def test_similar_pairs(spark, least):
+def test_similar_sets(spark, least):
     r = random.Random(3)
     rows = [(i, sorted(set(r.choices("abcdefghijklmno", k=r.randrange(0, 9)))), i % 2) for i in range(80)]
-    got = {(x.a, x.b) for x in setjoin.similar_pairs(spark.createDataFrame(rows, "i int, w array<string>, g int"), "i", "w", least, ("g",)).collect()}
-    want = {(a, b) for a, x, g in rows for b, y, h in rows if a < b and g == h and x and y and len(set(x) & set(y)) / len(set(x) | set(y)) >= least}
-    assert got == want and want
+    d = spark.createDataFrame(rows, "i int, w array<string>, g int")
+    rep = {x.key: x.rep for x in setjoin.members(d, "i", "w", ("g",)).collect()}
+    assert rep == {i: min(j for j, v, h in rows if (v, h) == (w, g)) for i, w, g in rows}
+    got = {(x.a, x.b): (round(x.jaccard, 9), x.n_a, x.n_b) for x in setjoin.similar_sets(d, "i", "w", least, ("g",)).collect()}
+    size = {i: sum(x == i for x in rep.values()) for i in rep.values()}
+    own = [(i, set(w), g) for i, w, g in rows if rep[i] == i and w]
+    want = {(a, b): (round(len(x & y) / len(x | y), 9), size[a], size[b]) for a, x, g in own for b, y, h in own if a < b and g == h and len(x & y) / len(x | y) >= least}
+    assert got == want and (want or least > 0.5)
+
+
+def test_numbered(spark):
+    r = random.Random(2)
+    rows = [(r.choice(["a", "a", "a", "b", None]), i) for i in range(500)]
+    r.shuffle(rows)
+    got = {(x.g, x.o): x.number for x in windows.numbered(spark.createDataFrame(rows, "g string, o int").repartition(7), ["g"], ["o"]).collect()}
+    assert got == {(g, o): sum(h == g and p < o for h, p in rows) for g, o in rows}
 
 
 def test_query_counts(spark):
     terms = spark.createDataFrame([("r", f"t{i}") for i in range(141)], "role string, term string")
     keywords = spark.createDataFrame([(f"k{i}",) for i in range(14)], "keyword string")
-    kinds = spark.createDataFrame([(f"x{i}",) for i in range(16)], "type string")
+    kinds = spark.createDataFrame([("r", f"x{i}") for i in range(16)], "role string, type string")
     got = {r.kind: r["count"] for r in generate.queries(terms, keywords, kinds, "Cahul").groupBy("kind").count().collect()}
     assert got == {"broad": 141, "specific": 1974, "type": 16}
+    one = generate.queries(terms.limit(1), keywords.limit(1), kinds.limit(1), "Cahul").collect()
+    assert [r.query for r in one] == ["t0 Cahul", "k0 t0 Cahul", "x0 Cahul"]
 
 
 def test_graph(spark):
@@ -180,13 +294,26 @@ def test_csv_sources(spark, tmp_path):
     assert registry.first_available(spark, [str(tmp_path / "gone"), str(b)]) == str(b)
 
 
+def test_files_in_order(spark, tmp_path):
+    """Rows of several files stand in the files' order, large files first or last; empty files have none."""
+    for k, n in enumerate((3, 4000, 1, 900)):
+        (tmp_path / f"part{k}.csv").write_text("u,n\n" + "".join(f"https://s{k}-{i}.de,{'x' * 40}\n" for i in range(n)))
+    (tmp_path / "part9.csv").write_text("")
+    df, _ = registry.scan(spark, [registry.Source(str(tmp_path / "*.csv"), "u", "n", "c", multiline=False)])
+    got = [r.url for r in df.orderBy("src", "ord").collect()]
+    assert got == [f"https://s{k}-{i}.de" for k, n in enumerate((3, 4000, 1, 900)) for i in range(n)]
+
+
 def test_header_and_name_column(spark):
-    df = spark.createDataFrame([("Name", "Phone", None), ("Alpha Beta Works", "040 12", "z")], "_c0 string, _c1 string, _c2 string")
-    fixed = registry.promote_header(df)
-    assert fixed.columns == ["Name", "Phone", "column_2"] and fixed.count() == 1
-    assert registry.name_column(fixed) == "Name"
+    rows = [(0, "Denumirea", "IDNO", None), (1, "Alpha Beta Works", "040 12", "z"), (2, "Denumirea", "IDNO", None)]
+    df = spark.createDataFrame(rows, "ord int, `Unnamed: 0` string, _c1 string, _c2 string")
+    fixed = registry.promote_header(df, "ord")
+    assert fixed.columns == ["Denumirea", "IDNO", "_c2", "ord"] and sorted(r.ord for r in fixed.collect()) == [1, 2]
+    assert registry.name_column(fixed.drop("ord")) == "Denumirea"
+    assert registry.promote_header(spark.createDataFrame(rows, "ord int, a string, b string, _c2 string"), "ord").columns == ["ord", "a", "b", "_c2"]
     raw = spark.createDataFrame([("0401234567", "Alpha Beta Works", "x"), ("0402223334", "Gamma Delta Haus", "y")], "a string, b string, c string")
     assert registry.name_column(raw) == "b"
+    assert registry.settings("extraction:\n  model: a\nextraction:\n  depth: 2\n") == {"extraction": {"depth": 2}}
 
 
 def test_markup(spark):
@@ -196,6 +323,9 @@ def test_markup(spark):
     a = markup.anchors(p, "page_id").withColumn("own", F.lit("me.de"))
     assert [(r.href, r.label) for r in markup.external(a).collect()] == [("https://www.o.de/x", "O rg")]
     assert p.select(markup.json_ld(F.col("html")).alias("j")).first().j.name == "N"
+    assert p.select(markup.page_text(F.col("html"), 22, F.lit("u"))).first()[0] == "=== u ===\nT & x A <b> "
+    two = spark.createDataFrame([(1, 1, "b", "<p>second</p>"), (1, 0, "a", "<p>first</p>")], "site int, n int, url string, html string")
+    assert markup.site_text(two, "site", "n").first().text == "=== a ===\nfirst\n\n=== b ===\nsecond"
 
 
 def test_xml_flattening(spark):
@@ -210,8 +340,8 @@ def test_bullets_and_names(spark):
     got = markup.bullets(lines, "doc")
     assert sorted((r.item, r.text) for r in got.collect()) == [(1, "Alpha Umwelt GmbH"), (2, "Tel 12")]
     assert [r.text for r in got.where(markup.looks_like_name(F.col("text"))).collect()] == ["Alpha Umwelt GmbH"]
-    people = spark.createDataFrame([("Dr. Anna Maria Meier", True), ("Umwelt Verein", False), ("lower case", False)], "s string, w boolean")
-    assert all(r.p == r.w for r in people.withColumn("p", markup.looks_like_person(F.col("s"))).collect())
+    people = spark.createDataFrame([("Dr. Anna", True, True), ("Umwelt Verein", True, True), ("lower case", False, False), ("A B C D E", False, True), ("one Two three Four five six seven", False, False), (None, False, False)], "s string, w boolean, v boolean")
+    assert all((r.p, r.q) == (r.w, r.v) for r in people.withColumn("p", markup.looks_like_person(F.col("s"))).withColumn("q", markup.looks_like_person(F.col("s"), False)).collect())
 
 
 def test_parsed_files(spark):
@@ -240,7 +370,10 @@ def test_streams(spark, tmp_path):
     assert sorted(r.url for r in spark.table("fresh").collect()) == ["u", "v"]
     q = upsert_batches(stream, str(tmp_path / "out"), ["url"], "seq", str(tmp_path / "c2"))
     q.awaitTermination()
-    assert {r.url: r.seq for r in spark.read.parquet(str(tmp_path / "out/v=0")).collect()} == {"u": 2, "v": 3}
+    assert {r.url: r.seq for r in read_upserted(spark, str(tmp_path / "out")).collect()} == {"u": 2, "v": 3}
+    rows.withColumn("seq", F.col("seq") + 5).where("url = 'v'").write.mode("append").parquet(str(tmp_path / "in"))
+    upsert_batches(stream, str(tmp_path / "out"), ["url"], "seq", str(tmp_path / "c2")).awaitTermination()
+    assert {r.url: r.seq for r in read_upserted(spark, str(tmp_path / "out")).collect()} == {"u": 2, "v": 8}
 
 
 def test_sinks(spark, tmp_path):
@@ -248,14 +381,80 @@ def test_sinks(spark, tmp_path):
     t = str(tmp_path / "t")
     assert sinks.versions(spark, t) == [] and sinks.write_version(df, t) == 0 and sinks.write_version(df.limit(1), t) == 1
     assert sinks.read_version(spark, t).count() == 1 and sinks.read_version(spark, t, 0).count() == 2
-    assert sinks.truncate(spark, t) == 2 and sinks.read_version(spark, t).count() == 0
+    assert sinks.truncate(spark, t) == 2 and sinks.read_version(spark, t).count() == 0 and sinks.versions(spark, t) == [1, 2]
     sinks.csv_file(df, str(tmp_path / "c"))
     assert sorted(map(tuple, registry.read_csv(spark, str(tmp_path / "c")).collect())) == [("a", "1"), ("b", "2")]
     for _ in range(2):
         sinks.json_lines(df, str(tmp_path / "j"))
     assert spark.read.json(str(tmp_path / "j")).count() == 4
-    assert sinks.json_document(df).first().document == '[{"url":"a","n":1},{"url":"b","n":2}]'
+    parts = []
+    assert sinks.json_document(df.withColumn("t", F.lit("ü")), ["url"], parts.append) == 2
+    assert json.loads("".join(parts)) == [{"url": "a", "n": 1, "t": "ü"}, {"url": "b", "n": 2, "t": "ü"}] and "ü" in "".join(parts)
+    empty = []
+    assert sinks.json_document(df.limit(0), ["url"], empty.append) == 0 and json.loads("".join(empty)) == []
+    for n in (1, 5):
+        sinks.append_rows(df.withColumn("n", F.col("n") * n), str(tmp_path / "cache"))
+    assert {r.url: r.n for r in sinks.last_of(spark, str(tmp_path / "cache"), ["url"]).collect()} == {"a": 5, "b": 10}
     assert sinks.parquet_or_csv(df, str(tmp_path / "p")) == "parquet"
     sinks.raw_pages(df, str(tmp_path / "r"))
     assert spark.read.parquet(str(tmp_path / "r")).count() == 2
     assert sinks.report("Rows", df.orderBy("n")).splitlines()[2] == "url: a  n: 1"
+
+
+def test_candidate_points(spark):
+    """Branch by branch: rejects, title and text without marks, listings by the address."""
+    kind = "url string, title string, body string, w int"
+    rows = [
+        ("https://www.linkedin.com/x", "alpha beta", "alpha beta cahul", -100), ("", "alpha", "alpha", -100), (None, "alpha", "alpha", -100), ("no scheme", "alpha", "", -100), ("https://play.google.com/a", "", "", -100),
+        ("https://alpha.md/", "ÁLPHA", "Bêta in Cahul", 20 + 30 + 25 + 10), ("https://x.org/news/1", "alpha", "", 15 - 15), ("https://news.org/1", None, None, 0), ("https://beta.md:80/item/2", "gamma", "beta", 30 + 25 - 15),
+    ]
+    names = F.array(F.lit("alpha"), F.lit("beta"), F.lit("gamma"))
+    d = spark.createDataFrame(rows, kind)
+    got = [r.p for r in d.withColumn("p", profiles.candidate_points(F.col("url"), F.col("title"), F.col("body"), names, "cahul", ".md")).collect()]
+    assert got == [r[3] for r in rows]
+
+
+def test_page_points(spark):
+    rows = [("h", "abc", "alpha beta", "x", 40 - 5), ("h", "  a ", "", "in cahul", 15), ("h", None, None, None, -5), ("", "alpha", "", "cahul", 0), (None, "alpha", "", "", 0), ("h", "Alpha of Beta", "alpha", "", 40)]
+    d = spark.createDataFrame(rows, "html string, title string, h1 string, body string, w int")
+    names = F.array(F.lit("alpha"), F.lit("beta"))
+    assert [r.p for r in d.withColumn("p", profiles.page_points(F.col("html"), F.col("title"), F.col("h1"), F.col("body"), names, "cahul")).collect()] == [r[4] for r in rows]
+
+
+def test_placeholders_and_lookups(spark):
+    d = spark.createDataFrame([(" https://www.KOELN.de/ ", ""), ("https://www.koeln.de", "https://www.koeln.de"), ("n/a", "n/a"), (None, None)], "w string, x string")
+    assert all(r.y == r.x for r in d.withColumn("y", profiles.blank_placeholders(F.col("w"))).collect())
+    rows = spark.createDataFrame([("k", ""), ("k", "own"), ("z", None)], "k string, v string")
+    lookup = spark.createDataFrame([("k", "b", 2), ("k", "c", 1)], "k string, v string, o int")
+    assert sorted(map(tuple, merge.fill(rows, lookup, "k", "v").collect()), key=repr) == [("k", "b"), ("k", "own"), ("z", None)]
+    assert sorted(r.v for r in merge.fill(rows.where("k = 'k'"), lookup, "k", "v", "o").collect()) == ["c", "own"]
+
+
+def test_rejected_entities(spark):
+    kind = "array<struct<name string, url string, brief_description string, context string>>"
+    d = spark.createDataFrame([([("n", "u", "b", "c"), ("n", None, " ", None), ("n", " ", "b", "c")],)], f"e {kind}")
+    good, bad = profiles.split_discovered(F.col("e"))
+    r = d.select(good.alias("g"), bad.alias("b")).first()
+    assert [x.name for x in r.g] == ["n"] and [(x["index"], x.reason) for x in r.b] == [(1, "None/null values in fields: url, context"), (2, "Empty string in fields: url")]
+
+
+def test_agency_names(spark):
+    rows = [("Societatea cu Răspundere Limitată „Apă-Canal”, S.R.L", "apa-canal"), ("Compania de Stat SA", "de stat"), ("Institutul X", "x"), (None, "")]
+    d = spark.createDataFrame(rows, "s string, w string")
+    assert all(r.y == r.w for r in d.withColumn("y", profiles.agency_name(F.col("s"))).collect()), [tuple(r) for r in d.withColumn("y", profiles.agency_name(F.col("s"))).collect()]
+
+
+def test_place_row(spark):
+    place = "struct<name string, formatted_address string, vicinity string, formatted_phone_number string, website string, geometry struct<location struct<lat double, lng double>>, place_id string, types array<string>, type string, business_status string, rating double, user_ratings_total int>"
+    d = spark.createDataFrame([(("n", None, "near", None, "w", ((1.5, 2.5),), "id", [], "bank", None, 4.5, None),), (("m", "", "near", "1", None, None, "i2", ["a", "b"], "c", "OK", None, 7),)], f"p {place}")
+    at = F.lit("2024-01-02 03:04:05").cast("timestamp")
+    got = [tuple(r) for r in d.select(*profiles.place_row(F.col("p"), F.lit("role"), F.lit("q"), at)).collect()]
+    assert got == [
+        ("n", "near", "", "w", "1.5", "2.5", "id", "bank", "", "4.5", "", "role", "q", "2024-01-02T03:04:05.000000"),
+        ("m", "", "1", "", "", "", "i2", "a, b", "OK", "", "7", "role", "q", "2024-01-02T03:04:05.000000"),
+    ]
+
+
+def test_clusters_by_id(spark):
+    d = spark.createDataFrame([(1, "c", ["a"]), (0, "c", ["x", "y"]), (2, "d", [])], "ord int, cluster_id string, entities array<string>")
+    assert sorted(r.entity for r in cluster.entities_of(d, "c").collect()) == ["x", "y"] and cluster.entities_of(d, "none").count() == 0
