@@ -8,9 +8,11 @@ the classes. Every other clustered word is then placed in rounds over the cluste
 neighbours are counted by class, and it moves to the class that raises the likelihood of
 the class bigrams most.
 
-Words are carried as 64-bit hashes in packed arrays. Texts are dealt to blocks; a block
-asks each hash bucket for the counts and classes of just the words it has, and is counted
-and scored with that dictionary. So no task holds the vocabulary and nothing that grows is broadcast.
+Texts are dealt to blocks and read once: a block numbers its words as it meets them, and
+its texts are written as lists of these numbers. Words are told apart by 64-bit hashes; a
+block asks each hash bucket for the counts and classes of just the words it has, and is
+counted and scored with that dictionary. So no task holds the vocabulary and nothing that
+grows is broadcast.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fold, partitions, table
+from .common import fold, forget, partitions, table, written
 from .tokens import BLANKS, Batch, pieces, text_list, words
 
 END = np.uint64(0x5851F42D4C957F2D)
@@ -33,9 +35,8 @@ CORE, SHAPES, CLASSES, SWEEPS = 512, 64, 48, 12
 #: Training count from which a word has a class of its own, and rounds that place words.
 LEAST, ROUNDS = 3, 2
 UNITS = CORE + SHAPES + 1
-_ENTRY = np.dtype([("h", "<u8"), ("n", "<i8"), ("shape", "<i8")])
-_REPLY = np.dtype([("h", "<u8"), ("n", "<i8"), ("shape", "u1")])
-_PLACE = np.dtype([("h", "<u8"), ("c", "i1")])
+#: A word of a block: its hash, training count and ending, and the block's number for it.
+_WORD = np.dtype([("h", "<u8"), ("n", "<i8"), ("id", "<u4"), ("shape", "u1")])
 #: Slots of a word's neighbours: classes after it, classes before it, itself.
 SLOTS = 2 * CLASSES + 1
 _MANY = np.dtype([("at", "<u4"), ("n", "<u4")])
@@ -54,50 +55,59 @@ def _tokens(texts: list) -> tuple[np.ndarray, np.ndarray, Batch, np.ndarray]:
     return np.insert(b.hashes(), at, END), np.insert(b.doc, at, np.arange(len(texts))), b, at
 
 
-def _stream(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, shape, text) of every token."""
-    h, doc, b, at = _tokens(texts)
-    return h, np.insert(_shapes(b), at, 0), doc
-
-
 def _block(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
-    k = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.col(text)), F.lit(n)).cast("int")
+    """Rows with their block; copies of a row that come from different partitions are parted."""
+    k = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.col(text), F.spark_partition_id()), F.lit(n)).cast("int")
     learn = F.coalesce(fold(F.col(doc_id), 7) != 2, F.lit(False))
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), learn.alias("learn"), k.alias("block"))
+    return docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"), learn.alias("learn"), k.alias("block"))
 
 
-def _merge(parts: list[np.ndarray]) -> np.ndarray:
-    a = np.concatenate(parts)
-    h, first, inv = np.unique(a["h"], return_index=True, return_inverse=True)
-    out = a[first]
-    out["n"] = np.bincount(inv, a["n"], len(h)).astype(np.int64)
-    return out
+class _Numbers:
+    """The words of a block in the order of their numbers: hashes, training counts, endings."""
+
+    def __init__(self):
+        self.h, self.n, self.shape = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint8)
+        self.sorted, self.ids = self.h, np.empty(0, np.int64)
+
+    def add(self, h: np.ndarray, shape: np.ndarray, learn: np.ndarray) -> np.ndarray:
+        """Numbers of some tokens."""
+        u, first, inv = np.unique(h, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.sorted, u)
+        old = at < len(self.sorted)
+        old[old] = self.sorted[at[old]] == u[old]
+        of = np.empty(len(u), np.int64)
+        of[old], new = self.ids[at[old]], np.flatnonzero(~old)
+        of[new] = np.arange(len(self.h), len(self.h) + len(new))
+        self.h, self.shape, self.n = np.append(self.h, u[new]), np.append(self.shape, shape[first[new]].astype(np.uint8)), np.append(self.n, np.zeros(len(new), np.int64))
+        self.sorted, self.ids = np.insert(self.sorted, at[new], u[new]), np.insert(self.ids, at[new], of[new])
+        self.n[of] += np.bincount(inv, learn, len(u)).astype(np.int64)
+        return of[inv]
 
 
-def _words_of_blocks(n: int):
-    """Distinct words of each block with their training counts, a blob for each hash bucket."""
+def _read(n: int):
+    """Texts as numbers (bucket -1), and the words of each block, a blob for each hash bucket."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, list[np.ndarray]] = {}
+        held: dict[int, _Numbers] = {}
         for b in batches:
             for block, g in b.groupby("block"):
-                parts = held.setdefault(block, [])
-                learn, texts = g.learn.to_numpy(bool), text_list(g.text)
-                for at, part in pieces(texts):
-                    h, shape, doc = _stream(part)
-                    u, first, inv = np.unique(h, return_index=True, return_inverse=True)
-                    e = np.empty(len(u), _ENTRY)
-                    e["h"], e["shape"] = u, shape[first]
-                    e["n"] = np.bincount(inv, learn[at : at + len(part)][doc], len(u))
-                    parts.append(e)
-                if sum(map(len, parts)) > 1_000_000:
-                    held[block] = [_merge(parts)]
-        for block, parts in held.items():
-            e = _merge(parts)
+                numbers = held.setdefault(int(block), _Numbers())
+                learn = g.learn.to_numpy(bool)
+                for at, part in pieces(text_list(g.text)):
+                    h, doc, words_, ends = _tokens(part)
+                    ids = numbers.add(h, np.insert(_shapes(words_), ends, 0), learn[at : at + len(part)][doc]).astype("<u4")
+                    cut = np.searchsorted(doc, np.arange(len(part) + 1))
+                    data = [ids[i:j].tobytes() for i, j in zip(cut[:-1].tolist(), cut[1:].tolist())]
+                    rows = g.iloc[at : at + len(part)]
+                    yield pd.DataFrame({"block": int(block), "bucket": -1, "doc_id": rows.doc_id.to_numpy(object), "learn": rows.learn.to_numpy(bool), "data": data})
+        for block, numbers in held.items():
+            e = np.empty(len(numbers.h), _WORD)
+            e["h"], e["n"], e["id"], e["shape"] = numbers.h, numbers.n, np.arange(len(e)), numbers.shape
             bucket = (e["h"] % np.uint64(n)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             ends = np.searchsorted(bucket[order], np.arange(n + 1))
-            yield pd.DataFrame([(int(block), k, e[order[ends[k] : ends[k + 1]]].tobytes()) for k in range(n) if ends[k] < ends[k + 1]], columns=["block", "bucket", "data"])
+            full = np.flatnonzero(np.diff(ends))
+            yield pd.DataFrame({"block": block, "bucket": full, "doc_id": None, "learn": False, "data": [e[order[ends[k] : ends[k + 1]]].tobytes() for k in full]})
 
     return run
 
@@ -105,15 +115,15 @@ def _words_of_blocks(n: int):
 def _count_bucket(g: pd.DataFrame) -> pd.DataFrame:
     """Answers for the blocks (kind 0), and the bucket's summary: sums (1), top words (2),
     words seen once (3) and tokens of unclustered words (4) by ending."""
-    parts = [np.frombuffer(x, _ENTRY) for x in g.data]
+    parts = [np.frombuffer(x, _WORD) for x in g.data]
     a = np.concatenate(parts)
     h, first, inv = np.unique(a["h"], return_index=True, return_inverse=True)
     total = np.bincount(inv, a["n"], len(h)).astype(np.int64)
-    shape = a["shape"][first]
+    shape = a["shape"][first].astype(np.int64)
     rows, at = [], 0
     for block, p in zip(g.block, parts):
-        r = np.empty(len(p), _REPLY)
-        r["h"], r["n"], r["shape"] = p["h"], total[inv[at : at + len(p)]], p["shape"]
+        r = p.copy()
+        r["n"] = total[inv[at : at + len(p)]]
         at += len(p)
         rows.append((0, int(block), 0, 0, r.tobytes()))
     known = total > 0
@@ -243,35 +253,10 @@ def moves(g: np.ndarray, here: np.ndarray, near: np.ndarray, chunk: int = 20_000
     return np.where(gain[all_w, best] > gain[all_w, here] + 1e-9, best, here)
 
 
-def _seeds(blocks: DataFrame, answers: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(core, class of each unit, count of each unit): all that is collected is bounded by
-    CORE, SHAPES and UNITS squared. Endings stand for all words but the core's here."""
-    top = answers.where("kind = 2").orderBy(F.desc("n"), "key").limit(CORE).select("key").collect()
-    core = np.array([r.key for r in top], np.int64).view(np.uint64)
-    core = np.sort(core[core != END])
-
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = np.zeros(UNITS * UNITS, np.int64)
-        for b in batches:
-            for _, part in pieces(text_list(b.text)):
-                h, shape, _ = _stream(part)
-                u = _units(core, h, shape)
-                n += np.bincount(np.concatenate(([UNITS - 1], u[:-1])) * UNITS + u, minlength=UNITS * UNITS)
-        k = np.flatnonzero(n)
-        yield pd.DataFrame({"pair": k, "n": n[k]})
-
-    seen = blocks.where("learn").select("text").mapInPandas(pairs, "pair int, n long")
-    got = seen.groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
-    n = np.zeros(UNITS * UNITS)
-    n[got.pair.to_numpy(np.int64)] = got.n.to_numpy(float)
-    n = n.reshape(UNITS, UNITS)
-    return core, exchange(n), n.sum(0)
-
-
 @dataclass
 class _Known:
-    """What the buckets told a block: sorted hashes of all its words, their training counts,
-    endings, and the classes of placed words (-1: none yet, or not placed)."""
+    """What the buckets told a block, by its numbers: hashes of all its words, their training
+    counts, endings, and the classes of placed words (-1: none yet, or not placed)."""
 
     h: np.ndarray
     n: np.ndarray
@@ -283,43 +268,90 @@ class _Known:
         u = _units(core, self.h, self.shape)
         return u, np.where(self.c >= 0, self.c, of[u])
 
+    def placed(self, core: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers, ends): the words that are placed by exchange, those of each bucket together."""
+        unit = _units(core, self.h, self.shape)
+        own = np.flatnonzero((self.n >= LEAST) & (unit >= CORE) & (unit < UNITS - 1))
+        bucket = (self.h[own] % np.uint64(n)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        return own[order], np.searchsorted(bucket[order], np.arange(n + 1))
+
 
-def _dealt(blocks: DataFrame, answers: DataFrame, places: DataFrame | None) -> DataFrame:
+def _told(read: DataFrame, answers: DataFrame, places: DataFrame | None) -> DataFrame:
     """What the buckets told each block (kinds 0 and 1), followed by its texts (2)."""
     none = F.lit(None)
 
     def told(d: DataFrame, kind: int) -> DataFrame:
-        return d.where("kind = 0").select("block", F.lit(kind).alias("kind"), "data", none.cast("string").alias("text"), none.cast("long").alias("doc_id"), none.cast("boolean").alias("learn"))
+        return d.where("kind = 0").select("block", F.lit(kind).alias("kind"), F.col("key").cast("int").alias("bucket"), "data", none.cast("string").alias("doc_id"), none.cast("boolean").alias("learn"))
 
-    n = partitions(blocks.sparkSession)
-    texts = blocks.select("block", F.lit(2).alias("kind"), none.cast("binary").alias("data"), "text", F.col("doc_id").cast("long").alias("doc_id"), "learn")
-    both = told(answers, 0).unionByName(texts)
+    both = told(answers, 0).unionByName(read.where("bucket < 0").select("block", F.lit(2).alias("kind"), "bucket", "data", "doc_id", "learn"))
     if places is not None:
         both = both.unionByName(told(places, 1))
-    return both.repartition(n, "block").sortWithinPartitions("block", "kind")
+    return both.repartition(partitions(read.sparkSession), "block").sortWithinPartitions("block", "kind")
 
 
-def _by_block(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, _Known, pd.DataFrame]]:
+def _by_block(batches: Iterator[pd.DataFrame], core: np.ndarray, n: int) -> Iterator[tuple[int, _Known, pd.DataFrame]]:
     """(block, what it was told, some of its texts)."""
     block = known = None
     for b in batches:
         for k, g in b.groupby("block", sort=True):
             if k != block:
                 block, counts, classes, known = k, [], [], None
-            counts += [np.frombuffer(x, _REPLY) for x in g.data[g.kind == 0]]
-            classes += [np.frombuffer(x, _PLACE) for x in g.data[g.kind == 1]]
+            counts += [np.frombuffer(x, _WORD) for x in g.data[g.kind == 0]]
+            told = g[g.kind == 1]
+            classes += [(at, np.frombuffer(x, np.int8)) for at, x in zip(told.bucket, told.data)]
             g = g[g.kind == 2]
             if not len(g):
                 continue
             if known is None:
-                a = np.sort(np.concatenate(counts or [np.empty(0, _REPLY)]), order="h")
+                a = np.concatenate(counts or [np.empty(0, _WORD)])
+                a = a[np.argsort(a["id"])]
                 known = _Known(a["h"].copy(), a["n"].copy(), a["shape"].astype(np.int64), np.full(len(a), -1))
-                for e in classes:
-                    known.c[np.searchsorted(known.h, e["h"])] = e["c"]
+                if classes:
+                    own, ends = known.placed(core, n)
+                    for at, c in classes:
+                        known.c[own[ends[at] : ends[at + 1]]] = c
                 counts, classes = [], []
             yield int(block), known, g
 
 
+def _streams(g: pd.DataFrame, most: int = 1_000_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row, numbers, row of each from there) of the texts, some at a time."""
+    sizes = np.fromiter(map(len, g.data), np.int64, len(g)) // 4
+    at = 0
+    while at < len(g):
+        past = max(at + 1, int(np.searchsorted(np.cumsum(sizes[at:]), most)) + at)
+        ids = np.frombuffer(b"".join(g.data.iloc[at:past]), "<u4").astype(np.int64)
+        yield at, ids, np.repeat(np.arange(past - at), sizes[at:past])
+        at = past
+
+
+def _seeds(read: DataFrame, answers: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(core, class of each unit, count of each unit): all that is collected is bounded by
+    CORE, SHAPES and UNITS squared. Endings stand for all words but the core's here."""
+    top = answers.where("kind = 2").orderBy(F.desc("n"), "key").limit(CORE).select("key").collect()
+    core = np.array([r.key for r in top], np.int64).view(np.uint64)
+    core = np.sort(core[core != END])
+
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, block = np.zeros(UNITS * UNITS, np.int64), None
+        for k, known, g in _by_block(batches, core, 1):
+            if k != block:
+                block, unit = k, _units(core, known.h, known.shape)
+            for _, ids, _ in _streams(g[g.learn.to_numpy(bool)]):
+                u = unit[ids]
+                n += np.bincount(np.concatenate(([UNITS - 1], u[:-1])) * UNITS + u, minlength=UNITS * UNITS)
+        k = np.flatnonzero(n)
+        yield pd.DataFrame({"pair": k, "n": n[k]})
+
+    seen = _told(read, answers, None).mapInPandas(pairs, "pair int, n long")
+    got = seen.groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    n = np.zeros(UNITS * UNITS)
+    n[got.pair.to_numpy(np.int64)] = got.n.to_numpy(float)
+    n = n.reshape(UNITS, UNITS)
+    return core, exchange(n), n.sum(0)
+
+
 def _packed(w: np.ndarray, s: np.ndarray, n: np.ndarray, words: int) -> bytes:
     """Slots and counts of the words 0, 1, ..: mostly two bytes for each filled slot."""
     many = np.flatnonzero(n > 254)
@@ -351,7 +383,7 @@ def _neighbours(core: np.ndarray, of: np.ndarray, n: int, contexts: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         g2 = np.zeros(CLASSES * CLASSES, np.int64)
         columns = ["block", "bucket", "key", "n", "words", "here", "data"]
-        block, held = None, []
+        block, held, end = None, [], of[UNITS - 1]
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
             key = np.concatenate([x for x, _ in held] or [np.empty(0, np.int64)])
@@ -361,34 +393,25 @@ def _neighbours(core: np.ndarray, of: np.ndarray, n: int, contexts: bool):
         def send() -> Iterator[pd.DataFrame]:
             key, count = merged()
             w, s = key // SLOTS, key % SLOTS
-            bucket = (own_h % np.uint64(n)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            ends = np.searchsorted(bucket[order], np.arange(n + 1))
-            rank = np.empty(len(order), np.int64)
-            rank[order] = np.arange(len(order))
-            by = np.argsort(rank[w], kind="stable")
-            w, s, count = rank[w][by], s[by], count[by]
             at = np.searchsorted(w, ends)
             rows = []
             for k in np.flatnonzero(np.diff(ends)):
-                mine, x = order[ends[k] : ends[k + 1]], slice(at[k], at[k + 1])
+                mine, x = own[ends[k] : ends[k + 1]], slice(at[k], at[k + 1])
                 e = _packed(w[x] - ends[k], s[x], count[x], len(mine))
-                rows.append((block, int(k), 0, 0, own_h[mine].tobytes(), own_c[mine].astype(np.int8).tobytes(), e))
+                rows.append((block, int(k), 0, 0, told.h[mine].tobytes(), cls[mine].astype(np.int8).tobytes(), e))
             yield pd.DataFrame(rows, columns=columns)
 
-        for b, known, g in _by_block(batches):
+        for b, known, g in _by_block(batches, core, n):
             if b != block:
                 if contexts and block is not None:
                     yield from send()
-                block, held = b, []
-                unit, cls = known.classes(core, of)
-                own = (known.n >= LEAST) & (unit >= CORE) & (unit < UNITS - 1)
-                slot = np.where(own, np.cumsum(own) - 1, -1)
-                own_h, own_c = known.h[own], cls[own]
-            for _, part in pieces(text_list(g.text[g.learn.to_numpy(bool)])):
-                k = np.searchsorted(known.h, _tokens(part)[0])
+                block, held, told = b, [], known
+                _, cls = known.classes(core, of)
+                own, ends = known.placed(core, n)
+                slot = np.full(len(known.h), -1)
+                slot[own] = np.arange(len(own))
+            for _, k, _ in _streams(g[g.learn.to_numpy(bool)]):
                 c = cls[k]
-                end = of[UNITS - 1]
                 before = np.concatenate(([end], c[:-1]))
                 g2 += np.bincount(before * CLASSES + c, minlength=CLASSES * CLASSES)
                 if not contexts:
@@ -397,9 +420,10 @@ def _neighbours(core: np.ndarray, of: np.ndarray, n: int, contexts: bool):
                 again = np.concatenate((k[1:] == k[:-1], [False]))
                 back = np.concatenate(([False], again[:-1]))
                 after = np.concatenate((c[1:], [end]))
-                key = np.concatenate((w * SLOTS + np.where(again, 2 * CLASSES, after), (w * SLOTS + CLASSES + before)[~back]))
-                key, count = np.unique(key[np.concatenate((w, w[~back])) >= 0], return_counts=True)
-                held.append((key, count))
+                here = np.flatnonzero(w >= 0)
+                fore = here[~back[here]]
+                key = np.concatenate((w[here] * SLOTS + np.where(again, 2 * CLASSES, after)[here], w[fore] * SLOTS + CLASSES + before[fore]))
+                held.append(np.unique(key, return_counts=True))
                 if sum(len(x) for x, _ in held) > 2_000_000:
                     held = [merged()]
         if contexts and block is not None:
@@ -411,7 +435,7 @@ def _neighbours(core: np.ndarray, of: np.ndarray, n: int, contexts: bool):
 
 
 def _move_bucket(g2: np.ndarray):
-    """Places a bucket's words: answers for the blocks (kind 0), words in each class (1)."""
+    """Places a bucket's words: classes for the blocks (kind 0), words in each class (1)."""
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
         words_of = [np.frombuffer(x, np.uint64) for x in g.words]
@@ -424,10 +448,8 @@ def _move_bucket(g2: np.ndarray):
             at += len(w)
         place, at, rows = moves(g2, here, near), 0, []
         for block, w in zip(g.block, words_of):
-            e = np.empty(len(w), _PLACE)
-            e["h"], e["c"] = w, place[inv[at : at + len(w)]]
+            rows.append((0, int(block), int(g.bucket.iloc[0]), 0, place[inv[at : at + len(w)]].astype(np.int8).tobytes()))
             at += len(w)
-            rows.append((0, int(block), 0, 0, e.tobytes()))
         rows += [(1, 0, int(c), int(x), b"") for c, x in enumerate(np.bincount(place, minlength=CLASSES)) if x]
         return pd.DataFrame(rows, columns=["kind", "block", "key", "n", "data"])
 
@@ -441,37 +463,38 @@ def _bigrams(near: DataFrame) -> np.ndarray:
     return g2.reshape(CLASSES, CLASSES)
 
 
-def place(blocks: DataFrame, answers: DataFrame, core: np.ndarray, of: np.ndarray, rounds: int = ROUNDS) -> tuple[DataFrame, np.ndarray]:
+def place(read: DataFrame, answers: DataFrame, core: np.ndarray, of: np.ndarray, rounds: int = ROUNDS) -> tuple[DataFrame, np.ndarray]:
     """(classes of the placed words for each block, class bigrams), after some rounds.
 
     In a round all words move at once by the counts of the round before. The first round
     places them; what a later one moves is kept if the likelihood rose.
     """
-    n = partitions(blocks.sparkSession)
-    learnt = blocks.withColumn("text", F.when(F.col("learn"), F.col("text")))  # blocks of held-out texts alone have words, too
+    n = partitions(read.sparkSession)
     kept = places = None
     for k in range(rounds + 1):
-        near = _dealt(learnt, answers, places).mapInPandas(_neighbours(core, of, n, k < rounds), "block int, bucket int, key int, n long, words binary, here binary, data binary")
-        near = cut(near)
-        _let_go(blocks.sparkSession)
+        near = _told(read, answers, places).mapInPandas(_neighbours(core, of, n, k < rounds), "block int, bucket int, key int, n long, words binary, here binary, data binary")
+        near = written(near)
+        _let_go(read.sparkSession)
         g2 = _bigrams(near)
         if k > 1 and likelihood(g2) <= likelihood(kept[1]):
+            forget(near)
             break
         kept = places, g2
         if k < rounds:
-            places = cut(near.where("bucket >= 0").groupBy("bucket").applyInPandas(_move_bucket(g2), "kind int, block int, key long, n long, data binary"))
-            del near
-            _let_go(blocks.sparkSession)
+            places = written(near.where("bucket >= 0").groupBy("bucket").applyInPandas(_move_bucket(g2), "kind int, block int, key long, n long, data binary"))
+        forget(near)
+        _let_go(read.sparkSession)
     return kept
 
 
-def train(blocks: DataFrame, answers: DataFrame) -> tuple[Model, DataFrame]:
+def train(read: DataFrame, answers: DataFrame) -> tuple[Model, DataFrame]:
     """The model, and the classes of the placed words for each block."""
     stat = {(r.kind, r.key): r.n for r in answers.where("kind IN (1, 3, 4)").groupBy("kind", "key").agg(F.sum("n").alias("n")).collect()}
     types, tokens = stat.get((1, 0), 0), stat.get((1, 1), 0)
-    core, of, unit = _seeds(blocks, answers)
-    places, g2 = place(blocks, answers, core, of)
-    members = np.bincount(of, minlength=CLASSES).astype(float)
+    core, of, unit = _seeds(read, answers)
+    places, g2 = place(read, answers, core, of)
+    used = np.concatenate((np.arange(CORE) < len(core), np.ones(SHAPES + 1, bool)))  # a small vocabulary fills no core
+    members = np.bincount(of[used], minlength=CLASSES).astype(float)
     for r in places.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).collect():
         members[r.key] += r.n
     ending = np.array([stat.get((4, s), 0) for s in range(SHAPES)], float)
@@ -482,18 +505,15 @@ def train(blocks: DataFrame, answers: DataFrame) -> tuple[Model, DataFrame]:
     whole = size + 0.5 * members
     emit = (unit + 0.5) / whole[of]
     once = np.array([stat.get((3, s), 0) for s in range(SHAPES)], float)
-    unknown = (np.minimum(once, ending) + 1) / (ending + 2)
-    rest = np.log10((1 - unknown) / np.maximum(ending, 1))
+    unknown = np.where(ending > 0, (np.minimum(once, ending) + 1) / (ending + 2), 1.0)  # without a rare word all of it
+    rest = np.log10(np.maximum(1 - unknown, 1e-300) / np.maximum(ending, 1))
     return Model(core, of, np.log10(move), np.log10(emit), np.log10(whole), rest, np.log10(unknown), int(types), int(tokens)), places
 
 
-def _score(m: Model, texts: list, known: _Known) -> np.ndarray:
+def _score(m: Model, g: pd.DataFrame, known: _Known, unit: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Rows of n_tokens, n_known, base_score, score."""
-    out = np.zeros((len(texts), 4))
-    unit, place = known.classes(m.core, m.of)
-    for at, part in pieces(texts):
-        h, doc, _, _ = _tokens(part)
-        k = np.searchsorted(known.h, h)
+    out = np.zeros((len(g), 4))
+    for at, k, doc in _streams(g):
         u, cls, c = unit[k], place[k], known.n[k]
         own = (c >= LEAST) & (u >= CORE) & (u < UNITS - 1)
         p = m.move[np.concatenate(([m.of[UNITS - 1]], cls[:-1])), cls]
@@ -502,37 +522,51 @@ def _score(m: Model, texts: list, known: _Known) -> np.ndarray:
         e, cs = u[s] - CORE, c[s]
         p[s] += np.where(cs > 0, m.rest[e] + np.log10(np.maximum(cs, 1)), m.unknown[e])
         base = np.log10((c + 1) / (m.tokens + m.types + 1))
+        n = int(doc[-1]) + 1 if len(doc) else 0
         for j, x in enumerate((None, c > 0, base, p)):
-            out[at : at + len(part), j] = np.bincount(doc, x, len(part))
+            out[at : at + n, j] = np.bincount(doc, x, n)
     return out
 
 
+def read_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(texts as numbers with the words of their blocks, what the buckets answer the blocks)."""
+    spark = docs.sparkSession
+    n = partitions(spark)
+    blocks = _block(docs, doc_id, text, n).repartition(n, "block")
+    read = written(blocks.mapInPandas(_read(n), "block int, bucket int, doc_id string, learn boolean, data binary"))
+    answers = read.where("bucket >= 0").groupBy("bucket").applyInPandas(_count_bucket, "kind int, block int, key long, n long, data binary")
+    return read, written(answers)
+
+
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score (add-one unigram) and score (log10 probability of the class model).
 
-    A text is its words and one end. Null and empty texts are just an end. Rows with a
-    null id are scored but teach nothing and aren't held out. With nothing to learn from,
-    base_score is 0 and score is that of the smoothing alone.
+    A text is its words and one end. Null and empty texts are just an end; texts may be of
+    any length. Rows with a null id are scored but teach nothing and aren't held out.
+    Repeated rows are scored alike, and each teaches. With nothing to learn from, base_score
+    is 0 and score is that of the smoothing alone; an empty table gives an empty one. Ties
+    between classes go to the lower one. Other columns of docs, whatever their names, are
+    not returned.
     """
     spark = docs.sparkSession
     n = partitions(spark)
-    blocks = _block(docs, doc_id, text, n)
-    asked = blocks.repartition(n, "block").mapInPandas(_words_of_blocks(n), "block int, bucket int, data binary")
-    answers = cut(asked.groupBy("bucket").applyInPandas(_count_bucket, "kind int, block int, key long, n long, data binary"))
-    del asked
+    read, answers = read_texts(docs, doc_id, text)
     _let_go(spark)
-    model, places = train(blocks, answers)
+    model, places = train(read, answers)
     shared = spark.sparkContext.broadcast(model)
     _let_go(spark)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shared.value
-        for _, known, g in _by_block(batches):
-            rows = _score(m, text_list(g.text), known)
-            yield pd.DataFrame({"doc_id": g.doc_id, "n_tokens": rows[:, 0].astype(np.int64), "n_known": rows[:, 1].astype(np.int64), "base_score": rows[:, 2], "score": rows[:, 3]})
+        m, block = shared.value, None
+        for b, known, g in _by_block(batches, m.core, n):
+            if b != block:
+                block, (unit, place) = b, known.classes(m.core, m.of)
+            rows = _score(m, g, known, unit, place)
+            yield pd.DataFrame({"doc_id": g.doc_id.to_numpy(object), "n_tokens": rows[:, 0].astype(np.int64), "n_known": rows[:, 1].astype(np.int64), "base_score": rows[:, 2], "score": rows[:, 3]})
 
-    out = _dealt(blocks, answers, places).mapInPandas(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    out = _told(read, answers, places).mapInPandas(run, "doc_id string, n_tokens long, n_known long, base_score double, score double")
+    out = out.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
     held = F.coalesce(fold(F.col("doc_id"), 7) == 2, F.lit(False)).alias("held_out")
     tokens = F.lit(model.tokens).cast("long").alias("train_tokens")
     return out.select("doc_id", held, "n_tokens", "n_known", tokens, "base_score", "score")

@@ -1,77 +1,25 @@
-"""Shared helpers: reading tables, shared-folder checkpoints, text definitions."""
+"""Shared helpers: reading tables, intermediate tables, text definitions, hot keys."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import forget, place, remove, unused, written
+
+__all__ = ["LOWER", "SPACES", "UPPER", "ascii_lower", "fold", "forget", "hot_join", "partitions", "place", "remove", "table", "unused", "written"]
+
 #: White space of the word definition: blank, tab, newline, vertical tab, form feed, return.
 SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: A key is hot where it has more than this share of the rows; fewer than its inverse can be.
+HOT = 0.001
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate data: spark.checkpoint.dir.
-
-    Where it is unset a temporary folder serves a local master; on a cluster that is an
-    error, since executors don't see each other's folders.
-    """
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        path = spark.conf.get("spark.checkpoint.dir", None)
-        if not path and not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        sc.setCheckpointDir(path or tempfile.mkdtemp())
-    return sc._jsc.sc().getCheckpointDir().get()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: survives lost executors, cuts lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
-def written(df: DataFrame) -> DataFrame:
-    """df as a Parquet table in the shared folder: for rows that are many and read again.
-
-    Smaller than a checkpoint of the same rows; the folder goes when the session's JVM
-    ends, or before by forget().
-    """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.written_at = path
-    return out
-
-
-def forget(df: DataFrame) -> None:
-    """Delete what written() wrote, once nothing is left to read it."""
-    remove(df.sparkSession, df.written_at)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def unused(df: DataFrame, name: str) -> str:
-    """name, or name with underscores behind it until no column of df has it in any case."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def partitions(spark: SparkSession) -> int:
     """Shuffle width that the cluster was configured with; the only sizing knob used."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -85,3 +33,11 @@ def fold(doc_id: Column, k: int) -> Column:
     """crc32 of doc_id as text, modulo k; null for a null doc_id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % k
 
+
+def hot_join(rows: DataFrame, of: DataFrame, key: str, n: str, total: int) -> DataFrame:
+    """rows joined to `of`, which has each key once and with n at least the rows that rows has
+    of it, on key. Hot keys are joined by broadcast, so no task gets all rows of one: as their
+    n add up to total at most, there are fewer than 1 / HOT of them. The others are shuffled.
+    """
+    hot = F.broadcast(of.where(F.col(n) > HOT * total))
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(of.where(F.col(n) <= HOT * total), key))

@@ -5,7 +5,7 @@ so that a passage set into another paragraph is found. Each is the set of its fi
 shingles (fewer words: the whole). 27 minima in 9 bands of 3 find a pair of Jaccard 0.8
 with probability 0.998. Paragraphs that collide in a band are joined, verified by exact
 Jaccard, and clustered by connected components; of each cluster the first occurrence
-stays and the others are removed.
+stays and the others are removed, where neighbouring ones together make a passage.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import cut, partitions, table, written
-from .sets import LARGE, bounds, key_filter, large_components, linked, links_in_rounds, passes, runs
+from .common import hot_join, partitions, table, written
+from .sets import LARGE, bounds, buckets, key_filter, large_components, linked, links_by_prefix, passes, runs
 from .tokens import BLANKS, mix, pieces, text_list, words
 
 _U = np.uint64
@@ -117,10 +117,12 @@ def _distinct(u: Units) -> Units:
 
 
 def band_records(texts: list, s: Settings) -> np.ndarray:
+    """Records of the distinct units; a unit that the texts have more than once has them twice."""
     b, u = units(texts, s)
-    u = _distinct(u)
     if not len(u.key):
         return np.empty(0, _BAND)
+    _, k, often = np.unique(u.key, return_index=True, return_counts=True)
+    u = Units(*(x[k] for x in (u.doc, u.line, u.nth, u.part, u.first, u.past, u.key)))
     sh, begin = shingles(b.hashes(), u.first, u.past, s.shingle)
     rng = np.random.default_rng(7)
     a = rng.integers(1, 1 << 63, s.bands * s.rows, dtype=np.uint64) | _U(1)
@@ -132,12 +134,14 @@ def band_records(texts: list, s: Settings) -> np.ndarray:
             k = band * s.rows + r
             key = mix(key + np.minimum.reduceat(sh * a[k] + c[k], begin[:-1]))
         out[band]["band"], out[band]["key"] = key, u.key
-    return out.reshape(-1)
+    return np.concatenate((out.reshape(-1), out[0][often > 1]))
 
 
 def _collide(docs: DataFrame, text: str, s: Settings) -> DataFrame:
-    """Links that join the units of each band's bucket."""
-    n = partitions(docs.sparkSession)
+    """Links (src, dst) that join the units of each band's bucket, and (key, key) for units that
+    occur more than once. Buckets are as many as the texts' size asks for."""
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    n = buckets(docs.sparkSession, size * 1.2)  # records of a text take about as much as it does
 
     def deal(parts: list[np.ndarray]) -> pd.DataFrame:
         r = np.concatenate(parts)
@@ -167,79 +171,92 @@ def _collide(docs: DataFrame, text: str, s: Settings) -> DataFrame:
         band, key = band[order], key[order]
         at = bounds(band)
         least = np.repeat(key[at[:-1]], np.diff(at))
+        again = np.flatnonzero((key[1:] == key[:-1]) & (band[1:] == band[:-1]))
         i = np.flatnonzero(least != key)
-        return pd.DataFrame({"src": least[i], "dst": key[i]}).drop_duplicates()
+        return pd.DataFrame({"src": np.concatenate((least[i], key[again])), "dst": np.concatenate((key[i], key[again]))}).drop_duplicates()
 
     records = docs.select(text).mapInPandas(bands, "bucket int, data binary")
     return records.groupBy("bucket").applyInPandas(join, "src long, dst long")
 
 
-def clusters(docs: DataFrame, text: str = "text", s: Settings = Settings(), large: int = LARGE) -> DataFrame:
-    """(key, cluster): verified clusters of different units; cluster is the least key.
+_FOUND = "kind int, key long, id string, rk long, line int, nth int, part int, n int, sh binary"
 
-    Units that collide in any band are candidates; each is linked to the least key it
-    collides with, which joins the same components as all pairs would. Each candidate component is
-    verified on the shingle sets of its distinct units, shingles as 32-bit hashes.
-    """
+
+def _found(docs: DataFrame, doc_id: str | None, text: str, s: Settings, sets: DataFrame, occurrences: DataFrame | None) -> DataFrame:
+    """One more reading of the texts: shingles (kind 1) of the units that have their key in
+    sets, now and then one more, and the places (kind 0) of those in occurrences."""
     spark = docs.sparkSession
-    comp = cut(connected_components(cut(_collide(docs, text, s))).select(F.col("node").alias("key"), "component"))
-    shared = spark.sparkContext.broadcast(key_filter(comp.select("key")))
+    wanted = spark.sparkContext.broadcast(key_filter(sets))
+    placed = spark.sparkContext.broadcast(key_filter(occurrences) if occurrences is not None else None)
 
-    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
         for b in batches:
-            for _, part in pieces(text_list(b.iloc[:, 0])):
+            for at, part in pieces(text_list(b.t)):
                 w, u = units(part, s)
+                key = u.key.view(np.int64)
+                if placed.value is not None:
+                    k = np.flatnonzero(passes(placed.value, key))
+                    g = b.iloc[at : at + len(part)]
+                    yield pd.DataFrame({"kind": 0, "key": key[k], "id": g.id.to_numpy(object)[u.doc[k]], "rk": g.rk.to_numpy()[u.doc[k]], "line": u.line[k], "nth": u.nth[k], "part": u.part[k], "n": (u.past - u.first)[k], "sh": None})
                 u = _distinct(u)
-                keep = passes(shared.value, u.key.view(np.int64)) & ~np.isin(u.key.view(np.int64), np.fromiter(seen, np.int64, len(seen)))
-                u = Units(*(x[keep] for x in (u.doc, u.line, u.nth, u.part, u.first, u.past, u.key)))
-                if not len(u.key):
+                key = u.key.view(np.int64)
+                k = np.flatnonzero(passes(wanted.value, key) & ~np.isin(key, np.fromiter(seen, np.int64, len(seen))))
+                if not len(k):
                     continue
-                sh, begin = shingles(w.hashes(), u.first, u.past, s.shingle)
-                keys = u.key.view(np.int64).tolist()
-                seen.update(keys)
+                sh, begin = shingles(w.hashes(), u.first[k], u.past[k], s.shingle)
+                seen.update(key[k].tolist())
                 if len(seen) > 200_000:
                     seen.clear()
-                yield pd.DataFrame([(k, np.unique(sh[begin[i] : begin[i + 1]] >> _U(32)).astype(np.uint32).tobytes()) for i, k in enumerate(keys)], columns=["key", "sh"])
+                data = [np.unique(sh[begin[i] : begin[i + 1]]).tobytes() for i in range(len(k))]
+                yield pd.DataFrame({"kind": 1, "key": key[k], "id": None, "rk": 0, "line": 0, "nth": 0, "part": 0, "n": 0, "sh": data})
+
+    name = F.col(doc_id).cast("string") if doc_id else F.lit(None).cast("string")
+    return written(docs.select(name.alias("id"), F.xxhash64(text).alias("rk"), F.col(text).alias("t")).mapInPandas(run, _FOUND))
+
+
+def _verified(found: DataFrame, comp: DataFrame, s: Settings, large: int) -> DataFrame:
+    """(key, cluster) of the units whose exact Jaccard links them to others."""
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in runs(batches, "component"):
-            sets, key = [np.frombuffer(x, np.uint32) for x in g.sh], g.key.to_numpy()
+            sets, key = [np.frombuffer(x, np.uint64) for x in g.sh], g.key.to_numpy()
             ends, root = bounds(g.component.to_numpy()), np.empty(len(g), np.int64)
             for i, j in zip(ends[:-1].tolist(), ends[1:].tolist()):
                 root[i:j] = i + linked(sets[i:j], s.threshold)
             many = np.bincount(root, minlength=len(g))[root] > 1
             yield pd.DataFrame({"key": key[many], "cluster": key[root[many]]})
 
-    sets = docs.select(text).mapInPandas(fetch, "key long, sh binary").join(comp, "key")
+    sets = found.where("kind = 1").select("key", "sh").join(comp, "key")
     sets = sets.groupBy("key").agg(F.first("sh").alias("sh"), F.first("component").alias("component"))
     some = large_components(comp, large)
     apart = not some.isEmpty()
     near = sets.join(some, "component", "left_anti").select("key", "sh", "component") if apart else sets
-    near = near.repartition(partitions(spark), "component").sortWithinPartitions("component", "key")
+    near = near.repartition(partitions(comp.sparkSession), "component").sortWithinPartitions("component", "key")
     out = near.mapInPandas(verify, "key long, cluster long")
     if apart:
         far = sets.join(some, "component", "left_semi").select("component", "key", F.col("sh").alias("data"), F.col("key").alias("o"))
-        out = out.unionAll(connected_components(links_in_rounds(far, s.threshold, np.uint32, chain=True)))
+        links = links_by_prefix(far, s.threshold, np.uint64, lambda x: x, chain=True)
+        out = out.unionAll(connected_components(links))
     return out
 
 
-def _occurrences(docs: DataFrame, doc_id: str, text: str, s: Settings) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for at, part in pieces(text_list(b.t)):
-                g = b.iloc[at : at + len(part)].reset_index(drop=True)
-                _, u = units(part, s)
-                yield pd.DataFrame({
-                    "key": u.key.view(np.int64), "id": g.id.take(u.doc).to_numpy(), "rk": g.rk.to_numpy()[u.doc],
-                    "line": u.line, "nth": u.nth, "part": u.part, "n": u.past - u.first,
-                })
+def _components(links: DataFrame) -> DataFrame:
+    return written(connected_components(links.where("src <> dst")).select(F.col("node").alias("key"), "component"))
+
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(text).alias("rk"), F.col(text).alias("t"))
-    return rows.mapInPandas(run, "key long, id long, rk long, line int, nth int, part int, n int")
+def clusters(docs: DataFrame, text: str = "text", s: Settings = Settings(), large: int = LARGE) -> DataFrame:
+    """(key, cluster): verified clusters of different units; cluster is the least key.
+
+    Units that collide in any band are candidates; each is linked to the least key it
+    collides with, which joins the same components as all pairs would. Each candidate component is
+    verified on the sets of its distinct units' shingles, 64-bit hashes.
+    """
+    comp = _components(written(_collide(docs, text, s)))
+    return _verified(_found(docs, None, text, s, comp.select("key"), None), comp, s, large)
 
 
-def shared_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s: Settings = Settings()) -> DataFrame:
+def shared_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s: Settings = Settings(), large: int = LARGE) -> DataFrame:
     """One row for each unit whose cluster has units of several lines: id, rk, line, nth (the
     line's number among those that have words), part (-1: the line, else the sentence's number), n (words), first_id (least id that has the unit's
     cluster) and removed (an earlier occurrence exists). Sentences of a cluster's first
@@ -248,60 +265,75 @@ def shared_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Occurrences are ordered by (id, rk, line, part), null ids first. rk is xxhash64 of the
     text: repeated rows (same id and text) are one document. Null, empty and wordless
     texts have no units. Word case of A-Z and blanks between words make no difference.
+    Only units that occur more than once or collide with others are placed; they are
+    summed by key and by cluster, and hot ones met by broadcast, so none is one task's.
     """
-    of = clusters(docs, text, s)
-    occ = written(_occurrences(docs, doc_id, text, s).distinct())
-    named = occ.join(of, "key", "left").withColumn("c", F.coalesce("cluster", "key"))
+    links = written(_collide(docs, text, s))
+    comp = _components(links)
+    found = _found(docs, doc_id, text, s, comp.select("key"), links.select(F.explode(F.array("src", "dst"))).distinct())
+    of = _verified(found, comp, s, large)
+    kind = docs.schema[doc_id].dataType
+    occ = found.where("kind = 0").select("key", F.col("id").cast(kind).alias("id"), "rk", "line", "nth", "part", "n").distinct()
     at, line = F.struct("id", "rk", "line", "part"), F.struct("id", "rk", "line")
-    ends = named.groupBy("c").agg(F.min(at).alias("f"), F.max(line).alias("l"), F.min("id").alias("first_id"))
+    ends = (F.min(at).alias("f"), F.max(line).alias("l"), F.min("id").alias("first_id"))
+    keys = written(occ.groupBy("key").agg(*ends, F.count("*").alias("places")).join(of, "key", "left").withColumn("c", F.coalesce("cluster", "key")).drop("cluster"))
+    by = keys.groupBy("c").agg(F.min("f").alias("f"), F.max("l").alias("l"), F.min("first_id").alias("first_id"), F.count("*").alias("n_keys"))
     first_line = F.struct(F.col("f.id").alias("id"), F.col("f.rk").alias("rk"), F.col("f.line").alias("line"))
-    met = named.join(ends.where(~first_line.eqNullSafe(F.col("l"))), "c")
+    by = by.where(~first_line.eqNullSafe(F.col("l")))
+    total = keys.agg(F.count("*"), F.coalesce(F.sum("places"), F.lit(0))).first()
+    told = hot_join(keys.select("key", "c", "places"), by, "c", "n_keys", total[0]).select("key", "places", "f", "first_id")
+    met = hot_join(occ, told, "key", "places", total[1])
     met = met.where(~line.eqNullSafe(first_line) | at.eqNullSafe(F.col("f")) | (F.col("f.part") >= 0))
     return met.select("id", "rk", "line", "nth", "part", "n", "first_id", (~at.eqNullSafe(F.col("f"))).alias("removed"))
 
 
-def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s: Settings = Settings()) -> DataFrame:
-    """One row per row of docs: id, n_shared and n_removed (units that have their like
-    elsewhere, or earlier), removed_lines, first_ids (the least doc_id of each cluster of
-    a passage's units, distinct and sorted) and repeated: a run of neighbouring removed units
-    has at least passage_words words. A passage is a run of neighbouring shared units of as
-    many words; lines without words don't part neighbours.
+def _passages(u, s: Settings):
+    """Of some units of a text in order, those whose run has passage_words words or more. A run
+    goes on with the next sentence of a line, or the next line that has words; a line that
+    counts in whole doesn't count by sentence again."""
+    none = F.filter(u, lambda x: F.lit(False))
+    start = F.struct(F.lit(-9).alias("nth"), F.lit(-9).alias("part"), F.lit(0).alias("n"), none.alias("run"), none.alias("out"))
+
+    def step(a, x):
+        inside = (x["nth"] == a["nth"]) & (a["part"] == -1)
+        near = inside | ((x["nth"] == a["nth"]) & (x["part"] - a["part"] <= 3)) | ((x["nth"] == a["nth"] + 1) & (x["part"] <= 0))
+        n = F.when(near, a["n"]).otherwise(0) + F.when(inside, 0).otherwise(x["n"])
+        run = F.concat(F.when(near, a["run"]).otherwise(none), F.array(x))
+        enough = n >= s.passage_words  # the units of a run that is long enough wait no longer
+        return F.struct(
+            x["nth"].alias("nth"), F.when(inside, a["part"]).otherwise(x["part"]).alias("part"), n.alias("n"),
+            F.when(enough, none).otherwise(run).alias("run"), F.when(enough, F.concat(a["out"], run)).otherwise(a["out"]).alias("out"),
+        )
+
+    return F.aggregate(u, start, step, lambda a: a["out"])
+
+
+def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s: Settings = Settings(), large: int = LARGE) -> DataFrame:
+    """One row per row of docs: doc_id, n_shared and n_removed (units of passages that have
+    their like elsewhere, or earlier), removed_lines (numbers from 0), first_ids (the least
+    doc_id of each cluster of a passage's units, distinct and sorted) and repeated: whether
+    anything is removed.
+
+    A passage is a run of neighbouring shared units, or removed ones for what is removed, of
+    at least passage_words words together; shorter ones are left alone. Lines without words
+    don't part neighbours. Null, empty and wordless texts have zeros and empty arrays; so
+    has everything in an empty table. Repeated rows have equal results; of equal texts under
+    different ids the one with the least id comes first. Texts may be of any length, ids of
+    any type that has an order; other columns of docs are not returned.
     """
-    found = shared_passages(docs, doc_id, text, s)
-    rows = found.groupBy("id", "rk").agg(
-        F.count("*").alias("n_shared"),
-        F.count_if("removed").alias("n_removed"),
-        F.sort_array(F.collect_set(F.when(F.col("removed") & (F.col("part") == -1), F.col("line")))).alias("removed_lines"),
-        F.sort_array(F.collect_list(F.struct("nth", "part", "n", "first_id", "removed"))).alias("u"),
-    )
-    # a unit's run: one after the other sentence of a line, or line; a line that counts in whole doesn't count by sentence
-    ids = F.array().cast("array<bigint>")
-
-    def runs_of(u, out):
-        """Over the units u: the most words of a run, and the first ids of runs that reach passage_words."""
-        start = F.struct(F.lit(-9).alias("nth"), F.lit(-9).alias("part"), F.lit(0).alias("n"), F.lit(0).alias("most"), ids.alias("run"), ids.alias("ids"))
-
-        def step(a, x):
-            inside = (x["nth"] == a["nth"]) & (a["part"] == -1)
-            near = inside | ((x["nth"] == a["nth"]) & (x["part"] - a["part"] <= 3)) | ((x["nth"] == a["nth"] + 1) & (x["part"] <= 0))
-            n = F.when(near, a["n"]).otherwise(0) + F.when(inside, 0).otherwise(x["n"])
-            run = F.array_union(F.when(near, a["run"]).otherwise(ids), F.filter(F.array(x["first_id"]), lambda v: v.isNotNull()))
-            # the ids of a run that is long enough wait for no more words: they move on
-            enough = n >= s.passage_words
-            return F.struct(
-                x["nth"].alias("nth"), F.when(inside, a["part"]).otherwise(x["part"]).alias("part"), n.alias("n"), F.greatest(a["most"], n).alias("most"),
-                F.when(enough, ids).otherwise(run).alias("run"), F.when(enough, F.array_union(a["ids"], run)).otherwise(a["ids"]).alias("ids"),
-            )
-
-        return F.aggregate(u, start, step, lambda a: a[out])
-
-    most = runs_of(F.filter("u", lambda x: x["removed"]), "most")
-    rows = rows.select("id", "rk", "n_shared", "n_removed", "removed_lines", F.sort_array(runs_of(F.col("u"), "ids")).alias("first_ids"), (most >= s.passage_words).alias("repeated"))
-    mine = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("k"))
+    found = shared_units(docs, doc_id, text, s, large)
+    unit = F.struct("nth", "part", "n", "line", "first_id", "removed")
+    rows = found.groupBy("id", "rk").agg(F.sort_array(F.collect_list(unit)).alias("u"))
+    rows = rows.withColumn("gone", _passages(F.filter("u", lambda x: x["removed"]), s)).withColumn("u", _passages(F.col("u"), s))
+    lines = F.sort_array(F.array_distinct(F.transform(F.filter("gone", lambda x: x["part"] == -1), lambda x: x["line"])))
+    firsts = F.sort_array(F.array_distinct(F.filter(F.transform("u", lambda x: x["first_id"]), lambda v: v.isNotNull())))
+    rows = rows.select("id", "rk", F.size("u").cast("long").alias("n_shared"), F.size("gone").cast("long").alias("n_removed"), lines.alias("removed_lines"), firsts.alias("first_ids"), (F.size("gone") > 0).alias("repeated"))
+    mine = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("k"))
     met = mine.join(rows, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("k") == F.col("rk")), "left")
-    empty = lambda c, kind: F.coalesce(c, F.array().cast(f"array<{kind}>")).alias(c)
+    types = dict(rows.dtypes)
+    empty = lambda c: F.coalesce(c, F.array().cast(types[c])).alias(c)
     n = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return met.select("doc_id", n("n_shared"), n("n_removed"), empty("removed_lines", "int"), empty("first_ids", "bigint"), F.coalesce("repeated", F.lit(False)).alias("repeated"))
+    return met.select("doc_id", n("n_shared"), n("n_removed"), empty("removed_lines"), empty("first_ids"), F.coalesce("repeated", F.lit(False)).alias("repeated"))
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

@@ -2,53 +2,66 @@
 
 A unit is a distinct line or passage, named by the 64-bit hash of its text. Candidate
 links only span what may be similar; the connected components of the candidates are then
-verified exactly, each on the sets of its own units.
+verified exactly, each on the sets of its own units: in one task up to LARGE units, and
+pair by pair over the cluster beyond.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, written
+from ..operators.components import connected_components
+from .common import partitions, written
 
-#: Bits of the filter that finds candidates' texts again: 8 MB, whatever the input.
-FILTER_BITS = 26
+#: Bits of a filter for each of its keys, and, as powers of 2, the least and most of them: the
+#: largest filter has 64 MB. With more keys than it is made for, more others pass it.
+BITS_A_KEY, FEWEST, MOST = 16, 16, 29
 _CHUNKS = 64
-#: Distinct units of a component that one task verifies; larger ones are verified in rounds.
+#: Distinct units of a component that one task verifies; larger ones are verified by pairs.
 LARGE = 50_000
+#: Bytes of records that a bucket is meant to have, as estimated from the input.
+BUCKET = 16 << 20
 
 
-def _bits(keys: np.ndarray) -> list[np.ndarray]:
+def buckets(spark, size: float) -> int:
+    """Buckets for records of some bytes together: more for more data, so that one fits a task."""
+    return max(partitions(spark), int(size / BUCKET) + 1)
+
+
+def _bits(keys: np.ndarray, mask: int) -> list[np.ndarray]:
     u = keys.view(np.uint64)
-    return [((u >> np.uint64(s)) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64) for s in (0, 30)]
+    return [((u >> np.uint64(s)) & np.uint64(mask)).astype(np.int64) for s in (0, 30)]
 
 
 def key_filter(keys: DataFrame) -> np.ndarray:
-    """Bit array of a fixed size that has every key (a long) of the only column.
+    """Bit array that has every key (a long) of the only column, sized by their number.
 
-    Partitions' arrays are joined on the executors; the driver gets one of 8 MB. Where
-    keys are many, more others pass it, which costs time and changes no result.
+    Partitions' arrays are joined on the executors; the driver gets one of 64 MB at most.
+    What others pass it costs time and changes no result.
     """
-    size = (1 << FILTER_BITS) // 8 // _CHUNKS
+    power = min(MOST, max(FEWEST, int(keys.count() * BITS_A_KEY).bit_length()))
+    whole, mask = (1 << power) // 8, (1 << power) - 1
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+        bits = np.zeros(whole, np.uint8)
         for b in batches:
-            for k in _bits(b.iloc[:, 0].to_numpy(np.int64)):
+            for k in _bits(b.iloc[:, 0].to_numpy(np.int64), mask):
                 np.bitwise_or.at(bits, k >> 3, (1 << (k & 7)).astype(np.uint8))
-        yield pd.DataFrame([(k, x.tobytes()) for k, x in enumerate(bits.reshape(_CHUNKS, size)) if x.any()], columns=["chunk", "data"])
+        for k, x in enumerate(bits.reshape(_CHUNKS, -1)):
+            if x.any():
+                yield pd.DataFrame({"chunk": [k], "data": [x.tobytes()]})
 
     def join(g: pd.DataFrame) -> pd.DataFrame:
         data = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in g.data])
         return pd.DataFrame({"chunk": g.chunk[:1], "data": [data.tobytes()]})
 
     schema = "chunk int, data binary"
-    out = np.zeros((_CHUNKS, size), np.uint8)
+    out = np.zeros((_CHUNKS, whole // _CHUNKS), np.uint8)
     for r in keys.mapInPandas(mark, schema).groupBy("chunk").applyInPandas(join, schema).collect():
         out[r.chunk] = np.frombuffer(r.data, np.uint8)
     return out.reshape(-1)
@@ -56,7 +69,7 @@ def key_filter(keys: DataFrame) -> np.ndarray:
 
 def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     out = np.ones(len(keys), bool)
-    for k in _bits(keys):
+    for k in _bits(keys, 8 * len(bits) - 1):
         out &= (bits[k >> 3] >> (k & 7)) & 1 > 0
     return out
 
@@ -205,52 +218,78 @@ def large_components(members: DataFrame, large: int = LARGE) -> DataFrame:
     return members.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > large).select("component")
 
 
-def links_in_rounds(members: DataFrame, t: float, dtype, chain: bool, front: int = 1000) -> DataFrame:
-    """(src, dst) verified links of components too large for one task.
+def overlaps(xs: list[bytes], ys: list[bytes], dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sizes, sizes, common elements) of pairs of sets, each given as the bytes of its elements."""
+    one, two = np.frombuffer(b"".join(xs), dtype), np.frombuffer(b"".join(ys), dtype)
+    width = np.dtype(dtype).itemsize
+    n, m = (np.fromiter(map(len, z), np.int64, len(z)) // width for z in (xs, ys))
+    pair = np.concatenate((np.repeat(np.arange(len(xs)), n), np.repeat(np.arange(len(ys)), m)))
+    value = np.concatenate((one, two))
+    order = np.lexsort((value, pair))
+    pair, value = pair[order], value[order]
+    both = (pair[1:] == pair[:-1]) & (value[1:] == value[:-1])
+    return n, m, np.bincount(pair[1:][both], minlength=len(xs))
+
+
+def similar_pairs(pairs: DataFrame, sets: DataFrame, t: float, dtype) -> DataFrame:
+    """The pairs (a, b) whose sets, of (key, data), have a Jaccard of t or more; exact."""
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            n, m, common = overlaps(list(b.x), list(b.y), dtype)
+            yield b.loc[common * (1 + t) >= t * (n + m) - 1e-9, ["a", "b"]]
 
-    members: component, key, data (a set as bytes), o (the order). A round takes some units
-    of every component and compares them with its open units, spread over the cluster; what
-    is similar is closed. With chain the closed units are taken in turn, at most front a
-    round, before the first open unit of a component: the links then give its components, as
-    linked() does. Without, only first open units are taken, as in similar(), and all units
-    are compared. What a round broadcasts is bounded by front and by the number of large
-    components, at most units / LARGE.
+    of = lambda end, data: sets.select(F.col("key").alias(end), F.col("data").alias(data))
+    return pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "x", "y").mapInPandas(check, "a long, b long")
+
+
+def links_by_prefix(members: DataFrame, t: float, dtype, rank: Callable[[np.ndarray], np.ndarray], chain: bool, first: int = 4) -> DataFrame:
+    """Verified links (src, dst), src the earlier one, within components of any size.
+
+    members: component, key, data (a set as bytes), o (the order). Elements are ordered by
+    rank, then value; similar units share one of the first |x| - ceil(t |x|) + 1 of each. In
+    the run of an element, units stand by o, and each is compared with those just before it:
+    the nearest `first`, then four times as many, and so on up to the whole run. With chain,
+    only units of different components of the links so far are compared, so the links give
+    the components of all similar pairs; without, only units that nothing before them was
+    found similar to, so every unit with an earlier similar one is the dst of a link. A group
+    of copies is done after the first round; rounds go by the logarithm of the longest run.
     """
-    spark = members.sparkSession
     members = written(members.select("component", "key", "data", "o"))
-    open_ = members.select("component", "key", "o")
-    links = members.select(F.col("key").alias("src"), F.col("key").alias("dst")).limit(0)
-    waiting = open_.limit(0)
-    while True:
-        taken = waiting.orderBy("component", "o").limit(front) if chain else waiting
-        first = open_.groupBy("component").agg(F.min(F.struct("o", "key")).alias("m")).select("component", F.col("m.key").alias("key"), F.col("m.o").alias("o"))
-        if chain:  # a component is begun anew where none of its units waits
-            first = first.join(waiting.select("component").distinct(), "component", "left_anti")
-        taken = cut(taken.select("component", "key", "o").unionByName(first))
-        leads: dict[int, list] = {}
-        for r in members.join(taken.select("component", "key"), ["component", "key"]).select("component", "key", "data").collect():
-            leads.setdefault(r.component, []).append((r.key, np.frombuffer(r.data, dtype)))
-        if not leads:
-            return links
-        shared = spark.sparkContext.broadcast(leads)
-
-        def compare(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                rows = []
-                for c, k, x in zip(b.component, b.key, b.data):
-                    x = np.frombuffer(x, dtype)
-                    for lead, own in shared.value.get(c, ()):
-                        if lead != k and np.isin(x, own).sum() * (1 + t) >= t * (len(x) + len(own)) - 1e-9:
-                            rows.append((c, lead, k))
-                            if chain:
-                                break
-                yield pd.DataFrame(rows, columns=["component", "src", "dst"])
-
-        still = cut(open_.join(taken.select("component", "key"), ["component", "key"], "left_anti"))
-        among = members.join(still.select("component", "key"), ["component", "key"], "left_semi") if chain else members
-        found = cut(among.select("component", "key", "data").mapInPandas(compare, "component long, src long, dst long"))
-        links = links.unionAll(found.select("src", "dst"))
-        closed = found.select("component", F.col("dst").alias("key")).distinct()
-        if chain:
-            waiting = cut(waiting.join(taken.select("component", "key"), ["component", "key"], "left_anti").unionByName(still.join(closed, ["component", "key"], "left_semi")))
-        open_ = cut(still.join(closed, ["component", "key"], "left_anti"))
+    width = np.dtype(dtype).itemsize
+
+    def prefix(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            size = np.fromiter(map(len, b.data), np.int64, len(b)) // width
+            flat, unit = np.frombuffer(b"".join(b.data), dtype), np.repeat(np.arange(len(b)), size)
+            order = np.lexsort((flat, rank(flat), unit))
+            pos = np.arange(len(flat)) - (np.cumsum(size) - size)[unit]
+            k = np.flatnonzero(pos < (size - np.ceil(t * size - 1e-9) + 1)[unit])
+            tok, u = flat[order[k]].astype(np.uint64).view(np.int64), unit[k]
+            yield pd.DataFrame({"component": b.component.to_numpy()[u], "key": b.key.to_numpy()[u], "tok": tok, "pos": pos[k], "size": size[u]})
+
+    records = members.select("component", "key", "data").mapInPandas(prefix, "component long, key long, tok long, pos long, size long")
+    place = F.row_number().over(Window.partitionBy("component", "tok").orderBy("o", "key"))
+    runs = written(records.join(members.select("key", "o"), "key").withColumn("rn", place).drop("o"))
+    longest = runs.agg(F.max("rn")).first()[0] or 0
+    links, near, far = None, 1, first + 1
+    while near < longest:
+        open_ = others = runs.withColumn("label", F.col("key"))
+        if links is not None and chain:
+            label = connected_components(links).select(F.col("node").alias("key"), F.col("component").alias("label"))
+            told = runs.join(label, "key", "left").withColumn("label", F.coalesce("label", "key"))
+            mixed = told.groupBy("component", "tok").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("component", "tok")
+            open_ = others = written(told.join(mixed, ["component", "tok"], "left_semi"))
+        elif links is not None:
+            open_ = open_.join(links.select(F.col("dst").alias("key")).distinct(), "key", "left_anti")
+        steps = F.sequence(F.lit(near), F.least(F.lit(far - 1), F.col("rn") - 1))
+        later = open_.where(F.col("rn") > near).select("component", "tok", F.col("key").alias("b"), F.col("size").alias("m"), F.col("pos").alias("q"), F.col("label").alias("y"), "rn", F.explode(steps).alias("d"))
+        later = later.withColumn("rn", F.col("rn") - F.col("d"))
+        earlier = others.select("component", "tok", "rn", F.col("key").alias("a"), F.col("size").alias("n"), F.col("pos").alias("p"), F.col("label").alias("x"))
+        left = 1 + F.least(F.col("n") - F.col("p") - 1, F.col("m") - F.col("q") - 1)
+        fits = (F.least("n", "m") >= F.greatest("n", "m") * t - 1e-9) & (left >= F.ceil((F.col("n") + F.col("m")) * t / (1 + t) - 1e-9)) & (F.col("x") != F.col("y"))
+        met = later.join(earlier, ["component", "tok", "rn"]).where(fits).select("a", "b").distinct()
+        got = written(similar_pairs(met, members, t, dtype).select(F.col("a").alias("src"), F.col("b").alias("dst")))
+        links = got if links is None else links.unionByName(got)
+        near, far = far, 4 * far
+    return members.select(F.col("key").alias("src"), F.col("key").alias("dst")).limit(0) if links is None else links

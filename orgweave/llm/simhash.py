@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import cut, partitions
+from .common import partitions, written
 from .tokens import _LOWER
 
 LIMIT = 3
@@ -155,7 +155,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     and never is a component_id unless all of its component are null. Repeated rows stay.
     Exact copies collapse to one fingerprint before anything is replicated.
     """
-    fps = cut(fingerprints(docs, doc_id, text))
+    fps = written(fingerprints(docs, doc_id, text))
     least = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
     comp = connected_components(links(least.select("fp"), limit))
     of = least.join(comp, least.fp == comp.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("c"))

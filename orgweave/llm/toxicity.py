@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fold, table, unused
+from .common import fold, table, unused, written
 from .tokens import ALNUM, pieces, text_list, words
 
 #: Neutral identity terms by group, in four languages.
@@ -178,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     met = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).join(F.broadcast(few), "id")
     met = met.groupBy("id").agg(F.max("y").alias("y"), F.min_by("t", F.xxhash64("t")).alias("t"))
-    rows = cut(met.select("y", "t").mapInPandas(found, "y int, f array<long>, won array<long>, times double"))
+    rows = written(met.select("y", "t").mapInPandas(found, "y int, f array<long>, won array<long>, times double"))
     own = rows.where("y >= 0")
     n, pos = own.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     if not n or pos in (0, n):

@@ -4,11 +4,13 @@ import collections
 import math
 import random
 import re
+import time
 import zlib
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orgweave.llm import brown, decontaminate, lines, passages, pieces, quality, registry, sets, simhash, tokens, toxicity
 
@@ -84,13 +86,67 @@ def test_line_dedup_is_exact(corpus):
     assert got == want and len(got) > 20
 
 
-def test_large_components_in_rounds(corpus):
+def test_large_components_by_pairs(corpus):
     _, df = corpus
     rows = lambda d: sorted(map(tuple, d.collect()))
     assert rows(lines.removed_lines(df)) == rows(lines.removed_lines(df, large=2))
     assert rows(passages.clusters(df)) == rows(passages.clusters(df, large=2))
 
 
+@pytest.mark.parametrize("chain", [True, False])
+def test_links_by_prefix(spark, chain):
+    """Against all pairs: groups of copies, unlike sets, a chain, in the order of some numbers."""
+    r = random.Random(9)
+    pool = [sorted(r.sample(range(40), r.randrange(1, 12))) for _ in range(150)]
+    pool += [sorted(set(p) ^ {r.randrange(40)}) for p in pool[:60]] + [list(range(k, k + 30)) for k in range(100, 160, 3)]
+    base = list(range(500, 530))
+    pool = [p for p in [*pool, *(sorted({*base, 900 + k} - {500 + k % 30}) for k in range(80))] if p]
+    pool = [list(x) for x in {tuple(p) for p in pool}]
+    order = r.sample(range(1000), len(pool))
+    rows = [(i % 2 if len(p) < 20 else 2, i, bytearray(np.array(p, np.uint64).tobytes()), o) for i, (p, o) in enumerate(zip(pool, order))]
+    members = spark.createDataFrame(rows, "component long, key long, data binary, o int")
+    got = {tuple(x) for x in sets.links_by_prefix(members, 0.8, np.uint64, lambda x: x % np.uint64(7), chain).collect()}
+    like = lambda a, b: 5 * len(set(a) & set(b)) >= 4 * len(set(a) | set(b))
+    want = {(i, j) for c, i, _, o in rows for d, j, _, q in rows if c == d and o < q and like(pool[i], pool[j])}
+    assert got <= want and len(want) > len(got) > 100
+    if chain:
+        one, two = sets.Spans(len(rows)), sets.Spans(len(rows))
+        for spans, links in ((one, got), (two, want)):
+            spans.add(*(np.array(x) for x in zip(*sorted(links))))
+        assert (one.roots() == two.roots()).all()
+    else:
+        assert {b for _, b in got} == {b for _, b in want}
+
+
+def test_long_chain_of_unlike_units(spark):
+    """A component of 100,000 sets, each similar to its neighbours only, ends in a few rounds."""
+    n = 100_000
+    data = F.udf(lambda k: np.arange(k, k + 30, dtype=np.uint64).tobytes(), "binary")
+    members = spark.range(n).select(F.lit(1).cast("long").alias("component"), F.col("id").alias("key"), data("id").alias("data"), F.xxhash64("id").alias("o"))
+    links = sets.links_by_prefix(members, 0.8, np.uint64, lambda x: x, chain=True)
+    comp = passages.connected_components(links)
+    assert comp.count() == n and comp.select("component").distinct().count() == 1
+
+
+def test_runs_of_copies_end_early():
+    """A word that 20,000 near copies share is done long before all pairs are compared."""
+    line = " ".join(f"w{i}" for i in range(30))
+    texts = [line.replace(f"w{i % 30} ", f"v{i} ", 1) for i in range(20_000)]
+    rank = np.arange(1 << lines.RARITY_BITS, dtype=np.uint64)
+    r = lines.prefix_records(texts, rank, 0.8)
+    began = time.perf_counter()
+    a, b = lines.candidates(r, 0.8)
+    assert time.perf_counter() - began < 60
+    assert len(passages_components(a, b)) == 1
+
+
+def passages_components(a, b):
+    names = np.unique(np.concatenate((a, b)))
+    spans = sets.Spans(len(names))
+    spans.add(np.searchsorted(names, a), np.searchsorted(names, b))
+    return np.unique(spans.roots())
+
+
 def test_simhash_components(corpus):
     docs, df = corpus
     ids = sorted(docs)
@@ -179,7 +235,7 @@ def test_passages(corpus):
         of[c].append(k)
     many = [v for v in of.values() if len({k[:2] for k in v}) > 1]
     want = {k for v in many for k in v if k[:2] != v[0][:2] or k == v[0] or v[0][2] >= 0}
-    got = {(r.id, r.line, r.part): r.removed for r in passages.shared_passages(df).collect()}
+    got = {(r.id, r.line, r.part): r.removed for r in passages.shared_units(df).collect()}
     assert set(got) <= want and len(got) >= 0.99 * len(want)
     planted = [i for i in docs if i < 200 and (i % 17 == 0 or i % 19 == 0)]
     flagged = {r.doc_id for r in passages.report(df).where("repeated").collect()}
@@ -189,6 +245,70 @@ def test_passages(corpus):
     assert {(r.n_shared, r.n_removed, r.repeated) for r in clean.collect()} == {(0, 0, False)}
 
 
+def plain_units(t):
+    """Lines, and the longer sentences of lines that are more than these, as plain code has them."""
+    out, nth = [], 0
+    for k, line in enumerate(t.split("\n")):
+        w = words(line)
+        if not w:
+            continue
+        out.append((k, nth, -1, w))
+        parts, at = [], []
+        for x in w:
+            at.append(x)
+            if x[-1] in ".!?":
+                parts.append(at)
+                at = []
+        for j, p in enumerate([*parts, *([at] if at else [])]):
+            if len(p) >= 12 and len(p) - 4 < 0.9 * (len(w) - 4):
+                out.append((k, nth, j, p))
+        nth += 1
+    return out
+
+
+def test_passage_report_against_plain_code(corpus):
+    """Units, shingles, links, components and runs, all by themselves."""
+    docs, df = corpus
+    units = [(i, *u) for i in sorted(docs) for u in plain_units(docs[i])]
+    shingle = lambda w: frozenset(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4)))
+    by = {}
+    for u in units:
+        by.setdefault(" ".join(u[4]), []).append(u)
+    keys = list(by)
+    sh = [shingle(k.split(" ")) for k in keys]
+    spans = sets.Spans(len(keys))
+    for i in range(len(keys)):
+        for j in range(i):
+            if 5 * len(sh[i] & sh[j]) >= 4 * len(sh[i] | sh[j]):
+                spans.add(np.array([i]), np.array([j]))
+    groups = collections.defaultdict(list)
+    for k, c in zip(keys, spans.roots().tolist()):
+        groups[c] += by[k]
+    shared = collections.defaultdict(list)
+    for g in groups.values():
+        first = min(g, key=lambda u: (u[0], u[1], u[3]))
+        if len({u[:2] for u in g}) > 1:
+            for u in g:
+                if u[:2] != first[:2] or u is first or first[3] >= 0:
+                    shared[u[0]].append((u[2], u[3], len(u[4]), u[1], first[0], u is not first))
+
+    def runs(us):
+        out, run, n, nth, part = [], [], 0, -9, -9
+        for x in sorted(us):
+            inside = x[0] == nth and part == -1
+            near = inside or (x[0] == nth and x[1] - part <= 3) or (x[0] == nth + 1 and x[1] <= 0)
+            n, run = (n if near else 0) + (0 if inside else x[2]), (run if near else []) + [x]
+            nth, part = x[0], part if inside else x[1]
+            if n >= 25:
+                out, run = out + run, []
+        return out
+
+    for r in passages.report(df).collect():
+        us = shared.get(r.doc_id, [])
+        u, gone = runs(us), runs([x for x in us if x[5]])
+        assert (r.n_shared, r.n_removed, r.removed_lines, r.first_ids, r.repeated) == (len(u), len(gone), sorted({x[3] for x in gone if x[1] == -1}), sorted({x[4] for x in u}), bool(gone)), r.doc_id
+
+
 def test_brown_base_and_gain(spark):
     r = random.Random(8)
     docs = {i: " ".join(r.choice(VOCAB[:40]) if k % 2 else r.choice(VOCAB[40:]) for k in range(60)) for i in range(300)}
@@ -211,13 +331,37 @@ def test_brown_base_and_gain(spark):
     assert held > base * 0.97  # classes know that the halves of the vocabulary alternate
 
 
-def test_brown_probabilities_sum_to_one():
-    """Over all words of the model, given any class before."""
-    r = np.random.default_rng(2)
-    n = np.zeros((brown.UNITS, brown.UNITS))
-    n[:50, :50] = r.integers(0, 9, (50, 50))
-    of = brown.exchange(n, sweeps=2)
-    assert of.min() >= 0 and of.max() < brown.CLASSES and len(of) == brown.UNITS
+def test_brown_probabilities_sum_to_one(spark):
+    """Scores of a next word, over all words of the corpus and one unknown word of each ending,
+    add up to one after any word, and the score of a text is that of its words."""
+    r = random.Random(3)
+    docs = [(i, " ".join(r.choice(VOCAB[:60]) for _ in range(40))) for i in range(60)]
+    seen = {w for i, t in docs if zlib.crc32(str(i).encode()) % 7 != 2 for w in words(t)}
+    endings = {}
+    for a in "abcdefghijklmnopqrstuvwxyz":
+        for b in "abcdefghijklmnopqrstuvwxyz":
+            w = f"zq{a}{b}"
+            endings.setdefault(int(brown._shapes(brown.words([w]))[0]), w)
+    assert len(endings) == brown.SHAPES
+    ids = [i for i in range(1000, 3000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    first = sorted(seen)[0]
+    asked = [first] + [f"{first} {w}" for w in sorted(seen)] + [f"{first} {w}" for w in endings.values()]
+    rows = docs + list(zip(ids, asked))
+    got = {x.doc_id: x.score for x in brown.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # both texts end, so what the class of the last word does to the end is taken out by its own scores
+    read, answers = brown.read_texts(spark.createDataFrame(rows, "doc_id long, text string"))
+    m, places = brown.train(read, answers)
+    end = m.of[brown.UNITS - 1]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    of = {}
+    for _, g in brown._told(read, answers, places).toPandas().groupby("block"):
+        for _, known, _ in brown._by_block(iter([g.sort_values("kind")]), m.core, n):
+            of.update(zip(known.h.tolist(), known.classes(m.core, m.of)[1].tolist()))
+    cls = lambda w: of[int(brown.words([w]).hashes()[0])]
+    to_end = lambda w: m.move[cls(w), end] + m.emit[brown.UNITS - 1]
+    alone = got[ids[0]] - to_end(first)
+    total = sum(10 ** (got[i] - to_end(t.split()[1]) - alone) for i, t in list(zip(ids, asked))[1:])
+    assert abs(total + 10 ** to_end(first) - 1) < 1e-6
 
 
 def test_passages_of_short_units(spark):
@@ -264,13 +408,14 @@ def test_brown_classes_of_words_beyond_the_core(spark):
     kind = [[f"{k}{i}xyz" for i in range(700)] for k in "pq"]
     docs = [(i, " ".join(r.choice(kind[k % 2]) for k in range(80))) for i in range(400)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    blocks = brown._block(df, "doc_id", "text", 4)
-    asked = blocks.repartition(4, "block").mapInPandas(brown._words_of_blocks(4), "block int, bucket int, data binary")
-    answers = asked.groupBy("bucket").applyInPandas(brown._count_bucket, "kind int, block int, key long, n long, data binary").cache()
-    m, places = brown.train(blocks, answers)
+    read, answers = brown.read_texts(df)
+    m, places = brown.train(read, answers)
     of = {}
-    for row in places.where("kind = 0").collect():
-        of.update(np.frombuffer(row.data, brown._PLACE).tolist())
+    told = [r for r in brown._told(read, answers, places).toPandas().groupby("block")]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for _, g in told:
+        for _, known, _ in brown._by_block(iter([g.sort_values("kind")]), m.core, n):
+            of.update({int(h): int(c) for h, c in zip(known.h, known.c) if c >= 0})
     count = collections.Counter(w for i, t in docs if zlib.crc32(str(i).encode()) % 7 != 2 for w in words(t))
     hashes = dict(zip(count, brown.words(list(count)).hashes().tolist()))
     core = set(m.core.tolist())
@@ -278,7 +423,8 @@ def test_brown_classes_of_words_beyond_the_core(spark):
     by = [collections.Counter(of[hashes[w]] for w in count if w[0] == k and hashes[w] in of) for k in "pq"]
     assert sum(min(by[0][c], by[1][c]) for c in range(brown.CLASSES)) < 0.02 * len(of)
     assert abs((10 ** m.move).sum(1) - 1).max() < 1e-9
-    total = np.bincount(m.of, 10**m.emit, brown.CLASSES)
+    used = np.concatenate((np.arange(brown.CORE) < len(m.core), np.ones(brown.SHAPES + 1, bool)))
+    total = np.bincount(m.of[used], (10**m.emit)[used], brown.CLASSES)
     for w, n in count.items():
         if hashes[w] in of:
             total[of[hashes[w]]] += 10 ** (np.log10(n + 0.5) - m.whole[of[hashes[w]]])
