@@ -17,7 +17,6 @@ grows is broadcast.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, forget, partitions, table, written
+from .common import fold, forget, let_go, partitions, place as scratch, remove, table, written
 from .tokens import BLANKS, Batch, pieces, text_list, words
 
 END = np.uint64(0x5851F42D4C957F2D)
@@ -35,8 +34,12 @@ CORE, SHAPES, CLASSES, SWEEPS = 512, 64, 48, 12
 #: Training count from which a word has a class of its own, and rounds that place words.
 LEAST, ROUNDS = 3, 2
 UNITS = CORE + SHAPES + 1
-#: A word of a block: its hash, training count and ending, and the block's number for it.
-_WORD = np.dtype([("h", "<u8"), ("n", "<i8"), ("id", "<u4"), ("shape", "u1")])
+#: A word as a block asks for it: its hash, training count and ending, and the block's number
+#: for it; and as a bucket answers. Of words seen less than LEAST times, which are most, only
+#: number and ending and count are told.
+_WORD = np.dtype([("h", "<u8"), ("n", "<u4"), ("id", "<u4"), ("shape", "u1")])
+_TOLD = np.dtype([("h", "<u8"), ("n", "<i8"), ("id", "<u4"), ("shape", "u1")])
+_RARE = np.dtype([("id", "<u4"), ("shape", "u1")])
 #: Slots of a word's neighbours: classes after it, classes before it, itself.
 SLOTS = 2 * CLASSES + 1
 _MANY = np.dtype([("at", "<u4"), ("n", "<u4")])
@@ -122,10 +125,13 @@ def _count_bucket(g: pd.DataFrame) -> pd.DataFrame:
     shape = a["shape"][first].astype(np.int64)
     rows, at = [], 0
     for block, p in zip(g.block, parts):
-        r = p.copy()
-        r["n"] = total[inv[at : at + len(p)]]
+        n = total[inv[at : at + len(p)]]
         at += len(p)
-        rows.append((0, int(block), 0, 0, r.tobytes()))
+        few = (n < LEAST) & (p["h"] != END)
+        r, q = np.empty(int((~few).sum()), _TOLD), np.empty(int(few.sum()), _RARE)
+        r["h"], r["n"], r["id"], r["shape"] = p["h"][~few], n[~few], p["id"][~few], p["shape"][~few]
+        q["id"], q["shape"] = p["id"][few], p["shape"][few] + SHAPES * n[few]
+        rows += [(0, int(block), 0, 0, r.tobytes()), (0, int(block), 1, 0, q[np.argsort(q["id"])].tobytes())]
     known = total > 0
     rows += [(1, 0, 0, int(known.sum()), b""), (1, 0, 1, int(total.sum()), b"")]
     top = np.lexsort((h, -total))[:CORE]
@@ -263,6 +269,18 @@ class _Known:
     shape: np.ndarray
     c: np.ndarray
 
+    @classmethod
+    def of(cls, counts: list[np.ndarray]) -> _Known:
+        """From the buckets' answers; rare words have no hash here, and need none."""
+        size = max((int(x["id"].max()) + 1 for x in counts if len(x)), default=0)
+        out = cls(np.zeros(size, np.uint64), np.zeros(size, np.int64), np.zeros(size, np.int64), np.full(size, -1))
+        for x in counts:
+            if x.dtype == _RARE:
+                out.n[x["id"]], out.shape[x["id"]] = x["shape"] // SHAPES, x["shape"] % SHAPES
+            else:
+                out.h[x["id"]], out.n[x["id"]], out.shape[x["id"]] = x["h"], x["n"], x["shape"]
+        return out
+
     def classes(self, core: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(unit, class) of each word."""
         u = _units(core, self.h, self.shape)
@@ -297,16 +315,15 @@ def _by_block(batches: Iterator[pd.DataFrame], core: np.ndarray, n: int) -> Iter
         for k, g in b.groupby("block", sort=True):
             if k != block:
                 block, counts, classes, known = k, [], [], None
-            counts += [np.frombuffer(x, _WORD) for x in g.data[g.kind == 0]]
+            told = g[g.kind == 0]
+            counts += [np.frombuffer(x, _RARE if rare else _TOLD) for rare, x in zip(told.bucket, told.data)]
             told = g[g.kind == 1]
             classes += [(at, np.frombuffer(x, np.int8)) for at, x in zip(told.bucket, told.data)]
             g = g[g.kind == 2]
             if not len(g):
                 continue
             if known is None:
-                a = np.concatenate(counts or [np.empty(0, _WORD)])
-                a = a[np.argsort(a["id"])]
-                known = _Known(a["h"].copy(), a["n"].copy(), a["shape"].astype(np.int64), np.full(len(a), -1))
+                known = _Known.of(counts)
                 if classes:
                     own, ends = known.placed(core, n)
                     for at, c in classes:
@@ -370,12 +387,6 @@ def _unpacked(data: bytes, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return w, s, n
 
 
-def _let_go(spark) -> None:
-    """Spark deletes the shuffle files and checkpoints of past steps once their plans are collected."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def _neighbours(core: np.ndarray, of: np.ndarray, n: int, contexts: bool):
     """Class bigrams (bucket -1), and for each block and bucket the block's words that are
     to be placed and, of its training texts, their neighbours by class."""
@@ -474,7 +485,7 @@ def place(read: DataFrame, answers: DataFrame, core: np.ndarray, of: np.ndarray,
     for k in range(rounds + 1):
         near = _told(read, answers, places).mapInPandas(_neighbours(core, of, n, k < rounds), "block int, bucket int, key int, n long, words binary, here binary, data binary")
         near = written(near)
-        _let_go(read.sparkSession)
+        let_go(read.sparkSession)
         g2 = _bigrams(near)
         if k > 1 and likelihood(g2) <= likelihood(kept[1]):
             forget(near)
@@ -483,7 +494,7 @@ def place(read: DataFrame, answers: DataFrame, core: np.ndarray, of: np.ndarray,
         if k < rounds:
             places = written(near.where("bucket >= 0").groupBy("bucket").applyInPandas(_move_bucket(g2), "kind int, block int, key long, n long, data binary"))
         forget(near)
-        _let_go(read.sparkSession)
+        let_go(read.sparkSession)
     return kept
 
 
@@ -529,13 +540,20 @@ def _score(m: Model, g: pd.DataFrame, known: _Known, unit: np.ndarray, place: np
 
 
 def read_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(texts as numbers with the words of their blocks, what the buckets answer the blocks)."""
+    """(texts as numbers, what the buckets answer the blocks about their words)."""
     spark = docs.sparkSession
     n = partitions(spark)
     blocks = _block(docs, doc_id, text, n).repartition(n, "block")
-    read = written(blocks.mapInPandas(_read(n), "block int, bucket int, doc_id string, learn boolean, data binary"))
-    answers = read.where("bucket >= 0").groupBy("bucket").applyInPandas(_count_bucket, "kind int, block int, key long, n long, data binary")
-    return read, written(answers)
+    path = scratch(spark, "read")
+    rows = blocks.mapInPandas(_read(n), "block int, bucket int, doc_id string, learn boolean, data binary")
+    rows.withColumn("asks", (F.col("bucket") >= 0).cast("int")).write.partitionBy("asks").parquet(path)
+    of = lambda asks: spark.read.schema(rows.schema).parquet(f"{path}/asks={asks}") if asks in there else spark.createDataFrame([], rows.schema)
+    there = {r.asks for r in spark.read.schema("asks int").parquet(path).select("asks").distinct().collect()}
+    let_go(spark)
+    answers = of(1).groupBy("bucket").applyInPandas(_count_bucket, "kind int, block int, key long, n long, data binary")
+    answers = written(answers)
+    remove(spark, f"{path}/asks=1")
+    return of(0), answers
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -552,10 +570,10 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     spark = docs.sparkSession
     n = partitions(spark)
     read, answers = read_texts(docs, doc_id, text)
-    _let_go(spark)
+    let_go(spark)
     model, places = train(read, answers)
     shared = spark.sparkContext.broadcast(model)
-    _let_go(spark)
+    let_go(spark)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m, block = shared.value, None

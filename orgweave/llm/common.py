@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..scratch import forget, place, remove, unused, written
 
-__all__ = ["LOWER", "SPACES", "UPPER", "ascii_lower", "fold", "forget", "hot_join", "partitions", "place", "remove", "table", "unused", "written"]
+__all__ = ["LOWER", "SPACES", "UPPER", "ascii_lower", "fold", "forget", "hot_join", "let_go", "partitions", "place", "remove", "table", "unused", "written"]
 
 #: White space of the word definition: blank, tab, newline, vertical tab, form feed, return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -25,6 +27,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def let_go(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of past steps once their plans are collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import hot_join, partitions, table, written
+from .common import forget, hot_join, let_go, partitions, table, written
 from .sets import LARGE, bounds, buckets, key_filter, large_components, linked, links_by_prefix, passes, runs
 from .tokens import BLANKS, mix, pieces, text_list, words
 
@@ -117,24 +117,36 @@ def _distinct(u: Units) -> Units:
 
 
 def band_records(texts: list, s: Settings) -> np.ndarray:
-    """Records of the distinct units; a unit that the texts have more than once has them twice."""
+    """Records of the distinct units; a unit that the texts have more than once has one more.
+
+    Units of so few shingles that similar ones must be equal have one band, of their key.
+    The lowest bit of a band's hash tells the first band, which every unit has.
+    """
     b, u = units(texts, s)
     if not len(u.key):
         return np.empty(0, _BAND)
     _, k, often = np.unique(u.key, return_index=True, return_counts=True)
     u = Units(*(x[k] for x in (u.doc, u.line, u.nth, u.part, u.first, u.past, u.key)))
-    sh, begin = shingles(b.hashes(), u.first, u.past, s.shingle)
+    least = int(np.floor(s.threshold / (1 - s.threshold) + 1e-9)) if s.threshold < 1 else 1 << 30
+    long = np.flatnonzero(u.past - u.first - s.shingle + 1 >= least)  # one less shingle is least / (least + 1)
+    sh, begin = shingles(b.hashes(), u.first[long], u.past[long], s.shingle)
     rng = np.random.default_rng(7)
     a = rng.integers(1, 1 << 63, s.bands * s.rows, dtype=np.uint64) | _U(1)
     c = rng.integers(0, 1 << 63, s.bands * s.rows, dtype=np.uint64)
-    out = np.empty((s.bands, len(u.key)), _BAND)
-    for band in range(s.bands):
-        key = np.full(len(u.key), band + 1, _U)
+    first = np.empty(len(u.key), _BAND)
+    first["band"], first["key"] = mix(u.key), u.key
+    out = np.empty((s.bands - 1, len(long)), _BAND)
+    for band in range(s.bands if len(long) else 0):
+        key = np.full(len(long), band + 1, _U)
         for r in range(s.rows):
             k = band * s.rows + r
             key = mix(key + np.minimum.reduceat(sh * a[k] + c[k], begin[:-1]))
-        out[band]["band"], out[band]["key"] = key, u.key
-    return np.concatenate((out.reshape(-1), out[0][often > 1]))
+        if band:
+            out[band - 1]["band"], out[band - 1]["key"] = key & ~_U(1 << 32), u.key[long]
+        else:
+            first["band"][long] = key
+    first["band"] |= _U(1 << 32)
+    return np.concatenate((first, out.reshape(-1), first[often > 1]))
 
 
 def _collide(docs: DataFrame, text: str, s: Settings) -> DataFrame:
@@ -171,7 +183,7 @@ def _collide(docs: DataFrame, text: str, s: Settings) -> DataFrame:
         band, key = band[order], key[order]
         at = bounds(band)
         least = np.repeat(key[at[:-1]], np.diff(at))
-        again = np.flatnonzero((key[1:] == key[:-1]) & (band[1:] == band[:-1]))
+        again = np.flatnonzero((key[1:] == key[:-1]) & (band[1:] == band[:-1]) & (band[1:] & 1 > 0))
         i = np.flatnonzero(least != key)
         return pd.DataFrame({"src": np.concatenate((least[i], key[again])), "dst": np.concatenate((key[i], key[again]))}).drop_duplicates()
 
@@ -201,14 +213,21 @@ def _found(docs: DataFrame, doc_id: str | None, text: str, s: Settings, sets: Da
                     yield pd.DataFrame({"kind": 0, "key": key[k], "id": g.id.to_numpy(object)[u.doc[k]], "rk": g.rk.to_numpy()[u.doc[k]], "line": u.line[k], "nth": u.nth[k], "part": u.part[k], "n": (u.past - u.first)[k], "sh": None})
                 u = _distinct(u)
                 key = u.key.view(np.int64)
-                k = np.flatnonzero(passes(wanted.value, key) & ~np.isin(key, np.fromiter(seen, np.int64, len(seen))))
+                k = np.flatnonzero(passes(wanted.value, key))
+                k = k[[x not in seen for x in key[k].tolist()]] if len(k) else k
                 if not len(k):
                     continue
                 sh, begin = shingles(w.hashes(), u.first[k], u.past[k], s.shingle)
                 seen.update(key[k].tolist())
                 if len(seen) > 200_000:
                     seen.clear()
-                data = [np.unique(sh[begin[i] : begin[i + 1]]).tobytes() for i in range(len(k))]
+                of = np.repeat(np.arange(len(k)), np.diff(begin))
+                order = np.lexsort((sh, of))
+                sh, of = sh[order], of[order]
+                new = np.concatenate(([True], (sh[1:] != sh[:-1]) | (of[1:] != of[:-1])))
+                ends = (8 * np.searchsorted(of[new], np.arange(len(k) + 1))).tolist()
+                whole = sh[new].tobytes()
+                data = [whole[i:j] for i, j in zip(ends[:-1], ends[1:])]
                 yield pd.DataFrame({"kind": 1, "key": key[k], "id": None, "rk": 0, "line": 0, "nth": 0, "part": 0, "n": 0, "sh": data})
 
     name = F.col(doc_id).cast("string") if doc_id else F.lit(None).cast("string")
@@ -269,9 +288,13 @@ def shared_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s:
     summed by key and by cluster, and hot ones met by broadcast, so none is one task's.
     """
     links = written(_collide(docs, text, s))
+    let_go(docs.sparkSession)
     comp = _components(links)
+    let_go(docs.sparkSession)
     found = _found(docs, doc_id, text, s, comp.select("key"), links.select(F.explode(F.array("src", "dst"))).distinct())
-    of = _verified(found, comp, s, large)
+    of = written(_verified(found, comp, s, large))
+    forget(links)
+    let_go(docs.sparkSession)
     kind = docs.schema[doc_id].dataType
     occ = found.where("kind = 0").select("key", F.col("id").cast(kind).alias("id"), "rk", "line", "nth", "part", "n").distinct()
     at, line = F.struct("id", "rk", "line", "part"), F.struct("id", "rk", "line")

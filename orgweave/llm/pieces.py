@@ -44,8 +44,9 @@ BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, MERGES = 1, 2
 START, WORD, GAP = 0, 1, 2
-#: Memories of a worker: chunks with their ids, and weights of pairs. Full ones begin anew.
-CHUNKS, PAIRS = 300_000, 1_000_000
+#: Memories of a worker: chunks with their ids (as many of the time before), and, as a power
+#: of 2, weights of pairs. What is forgotten is worked out again.
+CHUNKS, PAIRS = 200_000, 20
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -136,6 +137,7 @@ class Normaliser:
             }
         else:
             self.arcs = {(START, True): (WORD, first + BLANK, False), (START, False): (WORD, first, True), (WORD, True): (WORD, BLANK, False), (WORD, False): (WORD, "", True)}
+        self.copies = {k: self.arcs.get((k, False)) == (k, "", True) for k in (START, WORD, GAP)}
         self.trie: dict[tuple[int, str], int] = {}
         self.out: dict[int, str] = {}
         for key, value in spec["maps"].items():
@@ -160,11 +162,20 @@ class Normaliser:
         return "".join(parts)
 
     def run(self, chunk: str, state: int) -> tuple[str, int]:
-        """(output, state) of a chunk read from a state; every state is final."""
-        out = []
-        for c in chunk:
+        """(output, state) of a chunk read from a state; every state is final.
+
+        Where the arc of characters but blanks copies them and stays, a run is copied whole.
+        """
+        out, i, n = [], 0, len(chunk)
+        while i < n:
+            c = chunk[i]
             state, before, own = self.arcs[state, c == " "]
             out.append(before + c if own else before)
+            i += 1
+            if i < n and self.copies[state]:
+                end = chunk.find(" ", i)
+                out.append(chunk[i:] if end < 0 else chunk[i:end])
+                i = n if end < 0 else end
         return "".join(out), state
 
 
@@ -190,13 +201,13 @@ class _Halves(dict):
         return self[piece]
 
 
-class Pairs(dict):
-    """The pair machine of a merge model: (piece before * many + piece) -> whether the pair
-    holds, worked out when first met. Memory is bounded by PAIRS."""
+class Pairs:
+    """The pair machine of a merge model. A pair is (piece before * many + piece); whether it
+    holds is worked out when first met and kept in a table with one place for each hash."""
 
     def __init__(self, names: list[str | None], score: list[float]):
-        super().__init__()
         self.names, self.many = names, len(names) + 1
+        self.keys, self.good = np.full(1 << PAIRS, -1), np.zeros(1 << PAIRS, bool)
         # merges by order: of a better score first; equal scores aren't ordered
         rank = {x: i for i, x in enumerate(sorted({score[k] for k, p in enumerate(names) if p}, reverse=True))}
         self.order = {p: rank[score[k]] for k, p in enumerate(names) if p}
@@ -240,14 +251,20 @@ class Pairs(dict):
             else:
                 return True
 
-    def __missing__(self, pair: int) -> bool:
+    def _worked_out(self, pair: int) -> bool:
         a, b = divmod(pair, self.many)
         names = self.names
         # no piece has the character of a byte arc, so it merges with none
-        out = b >= len(names) or self.holds((names[a] or "") if a < len(names) else "", names[b])
-        if len(self) >= PAIRS:
-            self.clear()
-        self[pair] = out
+        return b >= len(names) or self.holds((names[a] or "") if a < len(names) else "", names[b])
+
+    def hold(self, pair: np.ndarray) -> np.ndarray:
+        """Whether each of some pairs holds."""
+        slot = (pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - PAIRS)
+        out, new = self.good[slot], np.flatnonzero(self.keys[slot] != pair)
+        if len(new):
+            u, at = np.unique(pair[new], return_inverse=True)
+            out[new] = np.fromiter(map(self._worked_out, u.tolist()), bool, len(u))[at]
+            self.keys[slot[new]], self.good[slot[new]] = pair[new], out[new]
         return out
 
 
@@ -273,6 +290,7 @@ class Transducer:
         some = f"[ {BLANK}]*\n|" if line else ""
         self.chunk = re.compile("(?s).+" if whole else f"{some}[ {BLANK}]+[^ {BLANK}{line}]*|[^ {BLANK}{line}]+")
         self.memory: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _compile(self, named: list[tuple[str, int]]) -> None:
         """States and arcs of the pieces: symbol of a code point (0: none), the state after a
@@ -351,8 +369,7 @@ class Transducer:
             c = cost[u[i:j]] + self.weight[piece[i:j]]
             go = np.flatnonzero(c < cost[v[i:j]])
             if self.pairs is not None and len(go):
-                pair = before[u[i + go]] * self.pairs.many + piece[i + go]
-                go = go[np.fromiter(map(self.pairs.__getitem__, pair.tolist()), bool, len(go))]
+                go = go[self.pairs.hold(before[u[i + go]] * self.pairs.many + piece[i + go])]
             to = v[i + go]
             cost[to], back[to], before[to] = c[go], i + go, piece[i + go]
         state, k = first + size, np.arange(len(texts))
@@ -409,17 +426,19 @@ class Transducer:
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; null and empty texts have none."""
         parts = [self.chunk.findall(self.normaliser.rewritten(t or "")) for t in texts]
-        heads = list(self._compose((p[0], START) for p in parts if p))
+        heads = self._compose((p[0], START) for p in parts if p)
         if len(self.memory) > CHUNKS:
-            self.memory.clear()
-        new = list({c for p in parts for c in p[1:]} - self.memory.keys())
-        found = dict(zip(new, self._compose(zip(new, repeat(WORD)))))
-        long = {c: x for c, x in found.items() if len(c) > 64}
-        self.memory.update(found)
-        get, head = self.memory.__getitem__, iter(heads)
-        out = [np.frombuffer(b"".join([next(head), *map(get, p[1:])]) if p else b"", "<i4") for p in parts]
-        for c in long:
-            del self.memory[c]
+            self.memory, self.older = {}, self.memory
+        new = {c for p in parts for c in p[1:]} - self.memory.keys()
+        again = new & self.older.keys()
+        self.memory.update({c: self.older[c] for c in again})
+        new = list(new - again)
+        self.memory.update(zip(new, self._compose(zip(new, repeat(WORD)))))
+        get = self.memory.__getitem__
+        out = [np.frombuffer(b"".join([next(heads), *map(get, p[1:])]) if p else b"", "<i4") for p in parts]
+        for c in new:
+            if len(c) > 64:
+                del self.memory[c]
         return out
 
     def decode(self, ids) -> str:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import partitions, written
+from .common import hot_join, partitions, written
 from .tokens import _LOWER
 
 LIMIT = 3
@@ -43,15 +43,16 @@ def fingerprint(text: str | None, size: int = 3) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs' (doc_id, rk, fp): rk is xxhash64 of the text, fp the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """docs' (doc_id, rk, fp, *keep): rk is xxhash64 of the text, fp the fingerprint as a signed
+    long; null and empty texts have 0. Whole texts, however long, are read."""
 
     @F.pandas_udf("long")
     def fp(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             yield pd.Series(np.array([fingerprint(t) for t in s], np.uint64).view(np.int64))
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("rk"), fp(F.col(text)).alias("fp"))
+    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("rk"), fp(F.col(text)).alias("fp"), *keep)
 
 
 def _syndrome(x: np.ndarray) -> np.ndarray:
@@ -110,8 +111,11 @@ def _near(key: np.ndarray, fp: np.ndarray, home: np.ndarray, limit: int) -> tupl
 def links(fps: DataFrame, limit: int = LIMIT) -> DataFrame:
     """Links (src, dst) between distinct fingerprints, enough to join all that are linked.
 
-    fps: one column fp of distinct signed longs. Within an anchor the links that are given
-    span what is linked there; the others would join nothing further.
+    fps: one column fp of distinct signed longs, none null; an empty table has no links. Each
+    is replicated to 16 anchors a half on average, among 2**26 a half: beyond some 10**10
+    fingerprints an anchor has many, and comparing them grows with their square. Within an
+    anchor the links that are given span what is linked there; the others would join nothing
+    further.
     """
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -145,23 +149,26 @@ def links(fps: DataFrame, limit: int = LIMIT) -> DataFrame:
     return met.sortWithinPartitions("anchor").mapInPandas(compare, "src long, dst long")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = LIMIT) -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = LIMIT, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of docs: doc_id, rk (xxhash64 of the text), fp (signed long),
-    component (a fingerprint that names the group) and component_id.
+    component (a fingerprint that names the group), component_id and the columns of keep.
 
     component_id is the smallest doc_id that the row can reach by links of at most limit
     differing bits, its own included. Equal fingerprints are linked; null, empty and blank
     texts have fingerprint 0 and are linked like any other. A null doc_id keeps its row
     and never is a component_id unless all of its component are null. Repeated rows stay.
-    Exact copies collapse to one fingerprint before anything is replicated.
+    Texts may be of any length, ids of any type that has an order; an empty table gives an
+    empty one. Other columns, whatever their names, are not returned. Exact copies collapse
+    to one fingerprint before anything is replicated; a fingerprint that many rows share is
+    met by broadcast.
     """
-    fps = written(fingerprints(docs, doc_id, text))
-    least = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    fps = written(fingerprints(docs, doc_id, text, keep))
+    least = fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows"))
     comp = connected_components(links(least.select("fp"), limit))
-    of = least.join(comp, least.fp == comp.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("c"))
+    of = least.join(comp, least.fp == comp.node, "left").select("fp", "first", "rows", F.coalesce("component", "fp").alias("c"))
     smallest = of.groupBy("c").agg(F.min("first").alias("component_id"))
-    named = of.join(smallest, "c").select("fp", F.col("c").alias("component"), "component_id")
-    return fps.join(named, "fp").select("doc_id", "rk", "fp", "component", "component_id")
+    named = written(of.join(smallest, "c").select("fp", "rows", F.col("c").alias("component"), "component_id"))
+    return hot_join(fps, named, "fp", "rows", fps.count()).select("doc_id", "rk", "fp", "component", "component_id", *keep)
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

@@ -1,7 +1,10 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import math
+import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,6 +55,34 @@ def test_every_row_has_a_result(spark, docs, name):
     assert OPERATORS[name](docs, spark).count() == len(ROWS)
 
 
+def test_clashing_columns_keep_their_values(spark, docs):
+    """Columns of the input that an operator makes are replaced; all others stay as they were."""
+    made = {
+        "quality": {"score": None, "n_words": "made", "kept": "made", "fail_bits": "made"}, "toxicity": {"score": "made"}, "licenses": {"licenses": "made"}, "decontaminate": {"leak": "made"}, "pieces": {}, "lines": {"removed_lines": "made"}, "pii": {"email": "made", "other": "made"},
+    }
+    for name, own in made.items():
+        out = OPERATORS[name](docs, spark)
+        assert set(docs.columns) <= set(out.columns), name
+        row = out.where("doc_id = 7").first()
+        for c in CLASH:
+            assert (row[c] == "clash") == (own.get(c) is None), (name, c)
+
+
+def test_ids_of_any_type(spark, docs):
+    """Ids that are strings give what numbers give."""
+    named = docs.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    for name, pick in {"passages": ["doc_id", "n_shared", "removed_lines"], "simhash": ["doc_id", "fp", "component_id"], "brown": ["doc_id", "n_tokens"], "lines": ["doc_id", "removed_lines"]}.items():
+        def rows(d):
+            ids = [c for c in pick if c.endswith("id")]
+            got = OPERATORS_OF_IDS[name](d).select(*pick).withColumns({c: F.regexp_replace(F.col(c).cast("string"), "^d", "") for c in ids})  # noqa: B023
+            return sorted(map(repr, got.collect()))
+
+        assert rows(docs) == rows(named), name
+
+
+OPERATORS_OF_IDS = {"passages": passages.report, "simhash": simhash.near_duplicates, "brown": brown.score, "lines": lines.mark}
+
+
 @pytest.mark.parametrize("name", OPERATORS)
 def test_empty_table(spark, none, name):
     assert OPERATORS[name](none, spark).collect() == []
@@ -116,21 +147,41 @@ def test_license_paragraphs(spark):
     assert all(0 <= x.probability <= 1 for x in r.licenses)
 
 
-def test_license_texts_without_an_anchor(spark):
-    """Every template, the usual texts, and lines that hold just enough of a template."""
-    known = {
-        "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction",
-        "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
-        "Public-Domain": "This is free and unencumbered software released into the public domain.",
-    }
-    lines = [(f, t) for f, ts in licenses.TEMPLATES.items() if f != licenses.UNKNOWN for t in ts] + list(known.items())
-    text = "\n".join(t for _, t in lines) + "\nDedicated to the public domain under CC0 1.0"
+LICENSES = [
+    ("EPL", "Licensed under the Eclipse Public License 2.0"), ("unknown", "Licensed under the Foo Public License 2.0"), ("unknown", "Licensed under the Open Data Commons Database License"),
+    ("Public-Domain", "Dedicated to the public domain under CC0 1.0"), ("MIT", 'of this software and associated documentation files (the "Software"), to deal'), ("MIT", "in the Software without restriction, including without limitation the rights"),
+    ("BSD", "* Redistributions of source code must retain the above copyright notice, this"), ("GPL", "the Free Software Foundation, either version 3 of the License, or (at your option)"), ("unknown", "license the under apache version licensed 2.0"),
+    ("CC-BY-SA", "© 2021 by X. This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."), ("Proprietary", "Copyright (c) 2019 Foo Inc. All rights reserved."),
+    ("unknown", "The license was granted to the company by the public office in version two of the terms."), ("unknown", "Our guide to the city is free for all who travel without a plan."),
+]
+
+
+def test_license_texts(spark):
+    """Every template and negative, notices that differ from them, pieces of wrapped texts, word salads."""
+    want = [(f, t) for f, ts in licenses.TEMPLATES.items() for t in ts] + LICENSES
+    text = "\n".join(t for _, t in want)
     got = {x.line: x for x in licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().licenses}
-    assert [got[k].family for k in range(len(lines) + 1)] == [f for f, _ in lines] + ["Public-Domain"]
-    may = re.compile(licenses._may_confirm())
-    for _, t in lines[: -len(known)]:
-        w = sorted(set(licenses.words_of(t)), key=lambda x: (len(x), x))  # the commonest words first
-        assert may.search(" ".join(w[: licenses._needed(len(w))]))
+    assert [(got[k].family if k in got else licenses.UNKNOWN) for k in range(len(want))] == [f for f, _ in want]
+
+
+def test_license_guard_loses_nothing():
+    """Whatever is left of a template without the guard words can't confirm it as a notice."""
+    guard = set(licenses.guards())
+    for s in licenses.shapes():
+        assert sum(not guard & set(p.split(" ")) for p in s["p"]) < licenses.needed(len(s["p"]))
+
+
+def test_license_scores_against_numpy(spark):
+    """Predictions of the model, by its weights and plain code."""
+    families, weights, bias = licenses.model()
+    texts = [t for _, t in LICENSES] + [t for ts in licenses.TEMPLATES.values() for t in ts]
+    got = {x.line: x.probability for x in licenses.scan(spark.createDataFrame([(1, "\n".join(texts))], "doc_id long, text string")).first().licenses}
+    assert len(got) > 60
+    for k, p in got.items():
+        g = licenses.grams_of(licenses.words_of(texts[k]))
+        z = [b + sum(weights[x][i] for x in g if x in weights) / max(len(g), 1) ** 0.5 for i, b in enumerate(bias)]
+        assert abs(p - 1 / sum(math.exp(v - max(z)) for v in z)) < 2e-6
+    assert len(families) == len(licenses.TEMPLATES)
 
 
 def test_pii_matches_plain_patterns(spark):
@@ -163,6 +214,74 @@ def test_pii_adds_secrets(spark):
     assert not any(got[i] for i, _ in plain)
 
 
+def planted(seed):
+    """Texts with personal data and what looks like it: (texts, spans of the first, of the second)."""
+    r = random.Random(seed)
+    digits = lambda n, of="0123456789": "".join(r.choice(of) for _ in range(n))
+
+    def iban():
+        n = digits(18)
+        return f"DE{98 - int(n + '131400') % 97:02d}{n}"
+
+    personal = [
+        lambda: ('token = "%s"', digits(40, "0123456789abcdef")), lambda: ("password=%s", digits(12, "0123456789abcdef") + "X9k"), lambda: ("SSN %s", f"{digits(3)}-{digits(2)}-{digits(4)}"), lambda: ("account %s", iban()),
+        lambda: ("%s", f"{r.choice(pii.GIVEN)} {r.choice(['Meier', 'López', 'Dubois', 'Smith'])}"), lambda: ("%s", f"{r.choice(['Dr', 'Frau', 'Mr'])}. {r.choice(['Kunze', 'Stone'])}"), lambda: ("%s", digits(32, "0123456789abcdef")), lambda: ("api_key: %s", "sk-" + digits(24, "0123456789abcdef")),
+    ]
+    plain = [
+        lambda: ("version %s", f"release2024-{digits(2)}"), lambda: ("on %s", f"2024-0{r.randrange(1, 9)}-1{r.randrange(9)}"), lambda: ("item %s", f"item-{r.randrange(1000, 99999)}a"), lambda: ("order %s", "1" + digits(8)),
+        lambda: ("in %s", r.choice(["New York", "Los Angeles", "Bad Homburg", "Grand Central"])), lambda: ("then %s", "Ende. Neues kam"),
+    ]
+    texts, spans = {}, ([], [])
+    for i in range(400):
+        text = "Thea läuft heen. Oft is dann"
+        for kind, of in [(0, f) for f in r.sample(personal, 2)] + [(1, f) for f in r.sample(plain, 2)]:
+            form, value = of()
+            text += " and "
+            at = len(text) + form.index("%s")
+            text += form % value + " came"
+            spans[kind].append((i, at, at + len(value)))
+        texts[i] = text
+    return texts, spans
+
+
+def test_pii_recall_and_precision_of_spans(spark):
+    texts, (personal, plain) = planted(4)
+    rows = pii.find(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    got = {r.doc_id: [(x.s, x.e) for k in (*pii.KINDS, "other") for x in r[k]] for r in rows}
+    inside = lambda i, s, e: any(a <= s and e <= b for a, b in got[i])
+    touched = lambda i, s, e: any(a < e and s < b for a, b in got[i])
+    assert sum(inside(*x) for x in personal) >= 0.98 * len(personal) and sum(touched(*x) for x in plain) <= 0.02 * len(plain)
+    assert sum(map(len, got.values())) <= 1.02 * len(personal)
+
+
+def test_pii_estimates_against_plain_code():
+    """Expectation-maximisation with arrays over single candidates; and the regression's gradient is zero."""
+    r = np.random.default_rng(5)
+    truth = r.random(4000) < 0.3
+    good, bad = [0.9, 0.7, 0.8, 0.6, 0.85, 0.75], [0.1, 0.2, 0.05, 0.3, 0.15, 0.1]
+    votes = np.array([np.where(r.random(4000) < 0.4, 2, r.random(4000) < np.where(truth, a, b)) for a, b in zip(good, bad)]).T.astype(int)
+    bits = (truth * r.integers(0, 8, 4000) + 8 * r.integers(0, 2, 4000)).astype(int)
+    code = votes @ 3 ** np.arange(pii.LABELERS)
+    patterns = {}
+    for c, b in zip(code.tolist(), bits.tolist()):
+        patterns[c, b] = patterns.get((c, b), 0) + 1
+    prior, rate, p = pii.reliabilities(patterns)
+    said, yes = votes < 2, votes == 1
+    q = ((yes.sum(1)) + 0.3) / (said.sum(1) + 1)
+    for _ in range(50):
+        pi = (q.sum() + 1) / (len(q) + 2)
+        low = ((1 - q) @ yes + 1) / ((1 - q) @ said + 4)
+        high = (q @ yes + 3) / (q @ said + 4)
+        z = np.log(pi / (1 - pi)) + (yes * np.log(high / low)).sum(1) + ((said & ~yes) * np.log((1 - high) / (1 - low))).sum(1)
+        q = 1 / (1 + np.exp(-z.clip(-30, 30)))
+    assert abs(prior - pi) < 1e-9 and np.allclose(rate, np.array([low, high]).T) and np.allclose([p[c] for c in code.tolist()], q)
+    assert ((q > 0.5) == truth).mean() > 0.95 and np.allclose(high, good, atol=0.05)
+    w = np.array(pii.classifier(patterns, p, steps=20_000))
+    x = np.column_stack([*((bits >> k) & 1 for k in range(pii.FEATURES)), np.ones(len(bits), int)])
+    e = 1 / (1 + np.exp(-(x @ w))) - q
+    assert np.abs(x.T @ e / len(q) + 1e-3 * np.append(w[:-1], 0)).max() < 1e-5
+
+
 def test_pii_long_secrets(spark):
     long = {i: f"{i:0{n}x}" for i, n in ((1, 128), (2, 129), (3, 512), (4, 50_000))}
     secret = [(i, f'then token = "{i:040x}" came, password=b7db7aa4a5fcc{i:05x} and v{i}-2024 too') for i in range(10, 60)]
