@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, forget, let_go, partitions, place as scratch, remove, table, written
+from .common import fold, forget, let_go, partitions, place as scratch, remove, small_batches, table, written
 from .tokens import BLANKS, Batch, pieces, text_list, words
 
 END = np.uint64(0x5851F42D4C957F2D)
@@ -87,6 +87,11 @@ class _Numbers:
         return of[inv]
 
 
+def _planes(ids: np.ndarray) -> bytes:
+    """Numbers by the places of their bytes, so that the high ones, mostly equal, compress."""
+    return ids.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
 def _read(n: int):
     """Texts as numbers (bucket -1), and the words of each block, a blob for each hash bucket."""
 
@@ -100,7 +105,7 @@ def _read(n: int):
                     h, doc, words_, ends = _tokens(part)
                     ids = numbers.add(h, np.insert(_shapes(words_), ends, 0), learn[at : at + len(part)][doc]).astype("<u4")
                     cut = np.searchsorted(doc, np.arange(len(part) + 1))
-                    data = [ids[i:j].tobytes() for i, j in zip(cut[:-1].tolist(), cut[1:].tolist())]
+                    data = [_planes(ids[i:j]) for i, j in zip(cut[:-1].tolist(), cut[1:].tolist())]
                     rows = g.iloc[at : at + len(part)]
                     yield pd.DataFrame({"block": int(block), "bucket": -1, "doc_id": rows.doc_id.to_numpy(object), "learn": rows.learn.to_numpy(bool), "data": data})
         for block, numbers in held.items():
@@ -338,7 +343,7 @@ def _streams(g: pd.DataFrame, most: int = 1_000_000) -> Iterator[tuple[int, np.n
     at = 0
     while at < len(g):
         past = max(at + 1, int(np.searchsorted(np.cumsum(sizes[at:]), most)) + at)
-        ids = np.frombuffer(b"".join(g.data.iloc[at:past]), "<u4").astype(np.int64)
+        ids = np.concatenate([np.frombuffer(x, np.uint8).reshape(4, -1).T.copy().view("<u4").reshape(-1) for x in g.data.iloc[at:past]]).astype(np.int64)
         yield at, ids, np.repeat(np.arange(past - at), sizes[at:past])
         at = past
 
@@ -503,6 +508,7 @@ def train(read: DataFrame, answers: DataFrame) -> tuple[Model, DataFrame]:
     stat = {(r.kind, r.key): r.n for r in answers.where("kind IN (1, 3, 4)").groupBy("kind", "key").agg(F.sum("n").alias("n")).collect()}
     types, tokens = stat.get((1, 0), 0), stat.get((1, 1), 0)
     core, of, unit = _seeds(read, answers)
+    let_go(read.sparkSession)
     places, g2 = place(read, answers, core, of)
     used = np.concatenate((np.arange(CORE) < len(core), np.ones(SHAPES + 1, bool)))  # a small vocabulary fills no core
     members = np.bincount(of[used], minlength=CLASSES).astype(float)
@@ -569,9 +575,10 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     """
     spark = docs.sparkSession
     n = partitions(spark)
-    read, answers = read_texts(docs, doc_id, text)
-    let_go(spark)
-    model, places = train(read, answers)
+    with small_batches(spark):
+        read, answers = read_texts(docs, doc_id, text)
+        let_go(spark)
+        model, places = train(read, answers)
     shared = spark.sparkContext.broadcast(model)
     let_go(spark)
 

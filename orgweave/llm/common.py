@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..scratch import forget, place, remove, unused, written
 
-__all__ = ["LOWER", "SPACES", "UPPER", "ascii_lower", "fold", "forget", "hot_join", "let_go", "partitions", "place", "remove", "table", "unused", "written"]
+__all__ = ["LOWER", "SPACES", "UPPER", "ascii_lower", "fold", "forget", "hot_join", "let_go", "partitions", "place", "remove", "small_batches", "table", "unused", "written"]
 
 #: White space of the word definition: blank, tab, newline, vertical tab, form feed, return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -33,6 +35,19 @@ def let_go(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "4m") -> Iterator[None]:
+    """Smaller Arrow batches for the jobs inside, so that workers that hold more than a batch
+    stay small; the session's setting comes back after them."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
