@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import forget, hot_join, let_go, partitions, table, written
+from .common import forget, hot_join, let_go, partitions, place, remove, small_batches, table, written
 from .sets import LARGE, bounds, buckets, key_filter, large_components, linked, links_by_prefix, passes, runs
 from .tokens import BLANKS, mix, pieces, text_list, words
 
@@ -191,12 +191,27 @@ def _collide(docs: DataFrame, text: str, s: Settings) -> DataFrame:
     return records.groupBy("bucket").applyInPandas(join, "src long, dst long")
 
 
+#: Bytes of a shingle's hash as it is sent. Two sets of 100 shingles have a false one in
+#: common once in 10**10 pairs.
+WIDTH = 6
+
+
+def narrow(h: np.ndarray) -> bytes:
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WIDTH].tobytes()
+
+
+def wide(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // WIDTH, 8), np.uint8)
+    out[:, :WIDTH] = np.frombuffer(data, np.uint8).reshape(-1, WIDTH)
+    return out.view("<u8").reshape(-1)
+
+
 _FOUND = "kind int, key long, id string, rk long, line int, nth int, part int, n int, sh binary"
 
 
-def _found(docs: DataFrame, doc_id: str | None, text: str, s: Settings, sets: DataFrame, occurrences: DataFrame | None) -> DataFrame:
-    """One more reading of the texts: shingles (kind 1) of the units that have their key in
-    sets, now and then one more, and the places (kind 0) of those in occurrences."""
+def _found(docs: DataFrame, doc_id: str | None, text: str, s: Settings, sets: DataFrame, occurrences: DataFrame | None) -> str:
+    """Where one more reading of the texts is written: shingles (kind 1) of the units that have
+    their key in sets, now and then one more, and the places (kind 0) of those in occurrences."""
     spark = docs.sparkSession
     wanted = spark.sparkContext.broadcast(key_filter(sets))
     placed = spark.sparkContext.broadcast(key_filter(occurrences) if occurrences is not None else None)
@@ -225,28 +240,46 @@ def _found(docs: DataFrame, doc_id: str | None, text: str, s: Settings, sets: Da
                 order = np.lexsort((sh, of))
                 sh, of = sh[order], of[order]
                 new = np.concatenate(([True], (sh[1:] != sh[:-1]) | (of[1:] != of[:-1])))
-                ends = (8 * np.searchsorted(of[new], np.arange(len(k) + 1))).tolist()
-                whole = sh[new].tobytes()
+                ends = (WIDTH * np.searchsorted(of[new], np.arange(len(k) + 1))).tolist()
+                whole = narrow(sh[new])
                 data = [whole[i:j] for i, j in zip(ends[:-1], ends[1:])]
                 yield pd.DataFrame({"kind": 1, "key": key[k], "id": None, "rk": 0, "line": 0, "nth": 0, "part": 0, "n": 0, "sh": data})
 
     name = F.col(doc_id).cast("string") if doc_id else F.lit(None).cast("string")
-    return written(docs.select(name.alias("id"), F.xxhash64(text).alias("rk"), F.col(text).alias("t")).mapInPandas(run, _FOUND))
+    rows = docs.select(name.alias("id"), F.xxhash64(text).alias("rk"), F.col(text).alias("t")).mapInPandas(run, _FOUND)
+    path = place(spark, "found")
+    rows.write.partitionBy("kind").parquet(path)
+    spark.createDataFrame([(0,), (1,)], "kind int").coalesce(1).withColumn("key", F.lit(None).cast("long")).write.mode("append").partitionBy("kind").parquet(path)  # both are there
+    return path
 
 
-def _verified(found: DataFrame, comp: DataFrame, s: Settings, large: int) -> DataFrame:
+def widened(sh):
+    """A column of sets with their hashes' bytes filled up to eight."""
+    
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: wide(x).tobytes())
+
+    return F.pandas_udf(run, "binary")(sh)
+
+
+def _of_kind(spark, found: str, kind: int) -> DataFrame:
+    schema = ", ".join(c for c in _FOUND.split(", ") if not c.startswith("kind"))
+    return spark.read.schema(schema).parquet(f"{found}/kind={kind}").where("key IS NOT NULL")
+
+
+def _verified(found: str, comp: DataFrame, s: Settings, large: int) -> DataFrame:
     """(key, cluster) of the units whose exact Jaccard links them to others."""
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in runs(batches, "component"):
-            sets, key = [np.frombuffer(x, np.uint64) for x in g.sh], g.key.to_numpy()
+            sets, key = [wide(x) for x in g.sh], g.key.to_numpy()
             ends, root = bounds(g.component.to_numpy()), np.empty(len(g), np.int64)
             for i, j in zip(ends[:-1].tolist(), ends[1:].tolist()):
                 root[i:j] = i + linked(sets[i:j], s.threshold)
             many = np.bincount(root, minlength=len(g))[root] > 1
             yield pd.DataFrame({"key": key[many], "cluster": key[root[many]]})
 
-    sets = found.where("kind = 1").select("key", "sh").join(comp, "key")
+    sets = _of_kind(comp.sparkSession, found, 1).select("key", "sh").join(comp, "key")
     sets = sets.groupBy("key").agg(F.first("sh").alias("sh"), F.first("component").alias("component"))
     some = large_components(comp, large)
     apart = not some.isEmpty()
@@ -254,7 +287,7 @@ def _verified(found: DataFrame, comp: DataFrame, s: Settings, large: int) -> Dat
     near = near.repartition(partitions(comp.sparkSession), "component").sortWithinPartitions("component", "key")
     out = near.mapInPandas(verify, "key long, cluster long")
     if apart:
-        far = sets.join(some, "component", "left_semi").select("component", "key", F.col("sh").alias("data"), F.col("key").alias("o"))
+        far = sets.join(some, "component", "left_semi").select("component", "key", widened(F.col("sh")).alias("data"), F.col("key").alias("o"))
         links = links_by_prefix(far, s.threshold, np.uint64, lambda x: x, chain=True)
         out = out.unionAll(connected_components(links))
     return out
@@ -269,7 +302,7 @@ def clusters(docs: DataFrame, text: str = "text", s: Settings = Settings(), larg
 
     Units that collide in any band are candidates; each is linked to the least key it
     collides with, which joins the same components as all pairs would. Each candidate component is
-    verified on the sets of its distinct units' shingles, 64-bit hashes.
+    verified on the sets of its distinct units' shingles, as hashes of 48 bits.
     """
     comp = _components(written(_collide(docs, text, s)))
     return _verified(_found(docs, None, text, s, comp.select("key"), None), comp, s, large)
@@ -287,16 +320,19 @@ def shared_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s:
     Only units that occur more than once or collide with others are placed; they are
     summed by key and by cluster, and hot ones met by broadcast, so none is one task's.
     """
-    links = written(_collide(docs, text, s))
-    let_go(docs.sparkSession)
-    comp = _components(links)
-    let_go(docs.sparkSession)
-    found = _found(docs, doc_id, text, s, comp.select("key"), links.select(F.explode(F.array("src", "dst"))).distinct())
-    of = written(_verified(found, comp, s, large))
+    spark = docs.sparkSession
+    with small_batches(spark):
+        links = written(_collide(docs, text, s))
+        let_go(spark)
+        comp = _components(links)
+        let_go(spark)
+        found = _found(docs, doc_id, text, s, comp.select("key"), links.select(F.explode(F.array("src", "dst"))).distinct())
+        of = written(_verified(found, comp, s, large))
     forget(links)
-    let_go(docs.sparkSession)
+    remove(spark, f"{found}/kind=1")
+    let_go(spark)
     kind = docs.schema[doc_id].dataType
-    occ = found.where("kind = 0").select("key", F.col("id").cast(kind).alias("id"), "rk", "line", "nth", "part", "n").distinct()
+    occ = _of_kind(spark, found, 0).select("key", F.col("id").cast(kind).alias("id"), "rk", "line", "nth", "part", "n").distinct()
     at, line = F.struct("id", "rk", "line", "part"), F.struct("id", "rk", "line")
     ends = (F.min(at).alias("f"), F.max(line).alias("l"), F.min("id").alias("first_id"))
     keys = written(occ.groupBy("key").agg(*ends, F.count("*").alias("places")).join(of, "key", "left").withColumn("c", F.coalesce("cluster", "key")).drop("cluster"))
