@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import table, unused, written
 from .tokens import _LOWER
 
 WINDOW = 10
@@ -127,8 +127,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", size:
     original, end exclusive, one for each run of hit words) and words (the runs by number).
 
     Null, empty and wordless texts have 0, 0 and empty arrays. Without benchmark items
-    nothing is hit. Other columns, repeated rows and their order stay as they are. A
-    benchmark of more than block windows is scanned for in as many passes.
+    nothing is hit. Texts may be of any length; windows that overlap or occur in several
+    items count once a word. Repeated rows have equal results; a column of the input called
+    as out is replaced, others stay. A benchmark of more than block windows is scanned for
+    in as many passes, and the rows are written between them.
     """
     blocks = benchmark_windows(benchmark, text="text", size=size, block=block)
     docs = _pass(docs, next(blocks, {}), text, out, False)
@@ -138,8 +140,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", size:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """Rows of docs without a hit word."""
-    return find_leaks(docs, benchmark, text, out="__leak").where("__leak.n_hit = 0").drop("__leak")
+    """Rows of docs without a hit word, with their columns. Null, empty and wordless texts stay."""
+    leak = unused(docs, "leak")
+    return find_leaks(docs, benchmark, text, out=leak).where(F.col(leak)["n_hit"] == 0).drop(leak)
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

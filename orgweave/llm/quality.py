@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, table
+from .common import SPACES, table, unused
 
 SYMBOLS = "#*$%&|<>"
 
@@ -59,48 +59,54 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     n_repeat_words counts the words inside five-word windows that occur twice or more in
     the text. Windows are compared by 64-bit hash. Only texts that repeat a window have
     them sorted; sorting is n log n, so a very long text costs no more a word than others.
+    Repeated rows measure alike; an empty table stays one. Columns of the input with the
+    names of measurements are replaced, others stay, whatever their names.
     """
     import string
 
     t = F.coalesce(F.col(text), F.lit(""))
-    gone = "__words", "__lines", "__grams", "__sorted", "__at", "__text"
-    d = docs.withColumn("__text", t)
-    d = d.withColumn("__words", F.filter(F.split(F.translate("__text", SPACES, " " * len(SPACES)), " "), lambda w: w != ""))
-    d = d.withColumn("__lines", F.filter(F.split("__text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    n = F.size("__words")
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(n - 4, F.lit(1))), lambda i: F.xxhash64(F.slice("__words", i, 5)))
-    d = d.withColumn("__grams", F.when(n >= 5, grams).otherwise(F.array().cast("array<bigint>")))
-    again = F.size(F.array_distinct("__grams")) < F.size("__grams")
-    pairs = F.sort_array(F.transform("__grams", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    d = d.withColumn("__sorted", F.when(again, pairs))
-    same = lambda x, i, by: F.coalesce(F.get("__sorted", i + by)["h"] == x["h"], F.lit(False))
-    dup = F.filter("__sorted", lambda x, i: ((i > 0) & same(x, i, -1)) | same(x, i, 1))
-    d = d.withColumn("__at", F.sort_array(F.transform(dup, lambda x: x["i"])))
+    q = {k: unused(docs, f"text_{k}") for k in ("text", "words", "lines", "grams", "sorted", "at")}
+    d = docs.withColumn(q["text"], t)
+    d = d.withColumn(q["words"], F.filter(F.split(F.translate(q["text"], SPACES, " " * len(SPACES)), " "), lambda w: w != ""))
+    d = d.withColumn(q["lines"], F.filter(F.split(q["text"], "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
+    n = F.size(q["words"])
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(n - 4, F.lit(1))), lambda i: F.xxhash64(F.slice(q["words"], i, 5)))
+    d = d.withColumn(q["grams"], F.when(n >= 5, grams).otherwise(F.array().cast("array<bigint>")))
+    again = F.size(F.array_distinct(q["grams"])) < F.size(q["grams"])
+    pairs = F.sort_array(F.transform(q["grams"], lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    d = d.withColumn(q["sorted"], F.when(again, pairs))
+    same = lambda x, i, by: F.coalesce(F.get(q["sorted"], i + by)["h"] == x["h"], F.lit(False))
+    dup = F.filter(q["sorted"], lambda x, i: ((i > 0) & same(x, i, -1)) | same(x, i, 1))
+    d = d.withColumn(q["at"], F.sort_array(F.transform(dup, lambda x: x["i"])))
     start = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
-    covered = F.aggregate("__at", start, lambda a, p: F.struct((p + 5).alias("end"), (a["n"] + p + 5 - F.greatest(a["end"], p)).alias("n")), lambda a: a["n"])
-    text_chars = F.char_length("__text")
+    covered = F.aggregate(q["at"], start, lambda a, p: F.struct((p + 5).alias("end"), (a["n"] + p + 5 - F.greatest(a["end"], p)).alias("n")), lambda a: a["n"])
+    text_chars = F.char_length(q["text"])
     made = {
         "n_words": n,
-        "word_chars": text_chars - _count(F.col("__text"), SPACES),
-        "n_symbols": _count(F.col("__text"), SYMBOLS),
-        "n_lines": F.size("__lines"),
-        "n_dup_lines": F.size("__lines") - F.size(F.array_distinct("__lines")),
+        "word_chars": text_chars - _count(F.col(q["text"]), SPACES),
+        "n_symbols": _count(F.col(q["text"]), SYMBOLS),
+        "n_lines": F.size(q["lines"]),
+        "n_dup_lines": F.size(q["lines"]) - F.size(F.array_distinct(q["lines"])),
         "n_repeat_words": F.coalesce(covered, F.lit(0)),
-        "n_marks": _count(F.col("__text"), "!?"),
-        "n_capitals": _count(F.col("__text"), string.ascii_uppercase),
-        "n_digits": _count(F.col("__text"), string.digits),
+        "n_marks": _count(F.col(q["text"]), "!?"),
+        "n_capitals": _count(F.col(q["text"]), string.ascii_uppercase),
+        "n_digits": _count(F.col(q["text"]), string.digits),
     }
-    return d.withColumns({k: v.cast("long") for k, v in made.items()}).drop(*gone)
+    return d.withColumns({k: v.cast("long") for k, v in made.items()}).drop(*q.values())
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with measurements and fail_bits (long): bit k is set where rule k failed."""
+    """docs with measurements and fail_bits (long): bit k is set where rule k failed.
+
+    Null and empty texts have the bits of a text without words. A measurement that ties with
+    a rule's bound doesn't fail. Otherwise see measure()."""
     bits = [F.when(F.expr(rule), F.lit(1 << k)).otherwise(0) for k, (_, rule) in enumerate(RULES)]
     return measure(docs, text).withColumn("fail_bits", reduce(lambda a, b: a.bitwiseOR(b), bits).cast("long"))
 
 
 def apply_policy(entries: DataFrame, policy: Policy = DEFAULT, kept: str = "kept") -> DataFrame:
-    """A ledger with a boolean that holds where no rule of the policy failed."""
+    """A ledger with a boolean that holds where no rule of the policy failed. A column of the
+    ledger called as kept is replaced; rows stay, repeated and empty ones too."""
     return entries.withColumn(kept, F.col("fail_bits").bitwiseAND(policy.mask) == 0)
 
 

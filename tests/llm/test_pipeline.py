@@ -9,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from orgweave.llm import decontaminate, pieces, simhash, toxicity
@@ -117,6 +118,29 @@ def test_stages(spark, tables, tmp_path):
     assert sorted(map(repr, whole.collect())) == sorted(map(repr, after.collect()))
 
 
+def test_odd_rows(spark, tables, tmp_path):
+    """Nulls, a very long text, ties, rows that differ in other columns only, and columns that stages make."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    long = " ".join(f"w{i % 7000}" for i in range(60_000))
+    extra = [(300, long, "en", "a", 5), (301, long, "de", "b", 5), (302, "tie of a few words here and there", "en", "z", 1), (302, "tie of a few words here and there", "de", "y", 1), (303, None, None, None, None), (304, " \n ", "en", "s", 3)]
+    clash = ["removed_lines", "gone", "leak", "score", "component", "component_id", "row", "rk", "fp", "n_hit", "text_", "encoded"]
+    odd = docs.unionByName(spark.createDataFrame(extra, docs.schema)).withColumns({c: F.lit(f"own {c}") for c in clash})
+    odd.write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{tables}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    now = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, f in corpus_pipeline.STAGES[:-1]:
+        f(spark, now, str(tmp_path)).write.parquet(str(tmp_path / name))
+        now = spark.read.parquet(str(tmp_path / name))
+        assert now.columns == odd.columns
+        assert all(r[c] == f"own {c}" for r in now.select(*clash).distinct().collect() for c in clash)
+    left = {r.doc_id: r for r in now.collect()}
+    assert left[300].text == long and 301 not in left and now.where("doc_id = 302").count() == 1
+    again = corpus_pipeline.near_dedup(spark, spark.read.parquet(str(tmp_path / "line_dedup")).repartition(5), str(tmp_path))
+    assert sorted(map(repr, again.select(*odd.columns).collect())) == sorted(map(repr, spark.read.parquet(str(tmp_path / "simhash_near_dedup")).collect()))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == now.count()
+
+
 def test_empty_tables(spark, tables, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{tables}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
