@@ -9,12 +9,13 @@ from ..functions.text import ratio_bound, sequence_ratio
 from ..scratch import unused, written
 
 
-def bigrams(s: Column) -> Column:
-    """Hashes of a string's neighbouring pairs of characters, the k-th of equal ones apart."""
+def with_bigrams(df: DataFrame, s: str, out: str) -> DataFrame:
+    """df with hashes of a string's neighbouring pairs of characters, the k-th of equal ones apart."""
     n = F.greatest(F.char_length(s) - 1, F.lit(0))
     two = F.transform(F.slice(F.sequence(F.lit(0), F.greatest(n, F.lit(1))), F.lit(2), n), lambda i: F.substring(s, i, F.lit(2)))
-    ordered = F.array_sort(two)
-    return F.transform(ordered, lambda x, i: F.xxhash64(x, i - F.array_position(ordered, x)))
+    # sorted in a column of its own, as what a lambda names is worked out for each element
+    d = df.withColumn(out, F.sort_array(two))
+    return d.withColumn(out, F.transform(out, lambda x, i: F.xxhash64(x, i - F.array_position(out, x))))
 
 
 def needed(chars: Column, least: float) -> Column:
@@ -40,7 +41,7 @@ def candidates(left: DataFrame, right: DataFrame, least: float, block: tuple[str
 
     def tokens(df: DataFrame, c: str, p: str) -> DataFrame:
         grams = unused(df, "grams")
-        return df.withColumn(grams, bigrams(F.col(c))).select(F.col(c).alias(p), *block, F.explode(grams).alias("t"))
+        return with_bigrams(df, c, grams).select(F.col(c).alias(p), *block, F.explode(grams).alias("t"))
 
     l, r = tokens(left, "k", "k"), tokens(right, "n", "n")
     often = r.groupBy("t").agg(F.count("*").alias("df"))
@@ -65,5 +66,6 @@ def candidates(left: DataFrame, right: DataFrame, least: float, block: tuple[str
 
 
 def scored(pairs: DataFrame, least: float, a: str = "k", b: str = "n") -> DataFrame:
-    """pairs whose ratio of a against b, which isn't symmetric, is at least `least`."""
-    return pairs.withColumn("ratio", F.when(F.col(a) == F.col(b), 1.0).otherwise(sequence_ratio(F.col(a), F.col(b)))).where(F.col("ratio") >= least)
+    """pairs whose ratio of a against b, which isn't symmetric, is at least `least`. They are
+    written first, as the ratio would else be worked out before the joins that thin them out."""
+    return written(pairs).withColumn("ratio", F.when(F.col(a) == F.col(b), 1.0).otherwise(sequence_ratio(F.col(a), F.col(b)))).where(F.col("ratio") >= least)

@@ -16,14 +16,14 @@ def least_common(n: Column, m: Column, least: float) -> Column:
 def classes(sets: DataFrame, key: str, words: str, block: tuple[str, ...] = ()) -> DataFrame:
     """(rep, n_members, w, *block): one row for each distinct set of a block, named by its
     least key. Sets are told apart by sha256 of their sorted words; empty sets are left out."""
-    d = sets.select(F.col(key).alias("k"), F.array_sort(words).alias("w"), *block).where(F.size("w") > 0)
+    d = sets.select(F.col(key).alias("k"), F.sort_array(words).alias("w"), *block).where(F.size("w") > 0)
     same = F.sha2(F.to_json("w"), 256)
     return d.groupBy(*block, same.alias("set")).agg(F.min("k").alias("rep"), F.count("*").alias("n_members"), F.first("w").alias("w")).drop("set")
 
 
 def members(sets: DataFrame, key: str, words: str, block: tuple[str, ...] = ()) -> DataFrame:
     """(key, rep): every key with the least key that has the same set in its block."""
-    d = sets.select(F.col(key).alias("key"), F.sha2(F.to_json(F.array_sort(words)), 256).alias("set"), *block)
+    d = sets.select(F.col(key).alias("key"), F.sha2(F.to_json(F.sort_array(words)), 256).alias("set"), *block)
     least = d.groupBy(*block, "set").agg(F.min("key").alias("rep"))
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*block, "set")]
     on = same[0]

@@ -6,13 +6,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import unused
+
 
 def match(df: DataFrame, text: str, keywords: list[tuple[str, str]]) -> DataFrame:
     """df with `activities`: distinct activities, in the keywords' order, whose keyword the
-    lower-cased text contains. The keywords are literals of the plan, so nothing is joined."""
-    pairs = F.array(*(F.struct(F.lit(k).alias("k"), F.lit(a).alias("a")) for k, a in keywords))
-    low = F.lower(F.coalesce(F.col(text), F.lit("")))
-    return df.withColumn("activities", F.array_distinct(F.transform(F.filter(pairs, lambda p: low.contains(p["k"])), lambda p: p["a"])))
+    lower-cased text contains. The keywords are literals of the plan, so nothing is joined,
+    and each is searched for by compiled code."""
+    name = unused(df, "low")
+    d = df.withColumn(name, F.lower(F.coalesce(F.col(text), F.lit(""))))
+    found = F.array(*(F.when(F.col(name).contains(k), F.lit(a)) for k, a in keywords))
+    return d.withColumn("activities", F.array_distinct(F.filter(found, lambda x: x.isNotNull()))).drop(name)
 
 
 def assign(activity: Column, taxonomy: list[str], keywords: list[tuple[str, str]]) -> Column:
