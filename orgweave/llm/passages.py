@@ -168,9 +168,9 @@ def _collide(docs: DataFrame, text: str, s: Settings) -> DataFrame:
     def bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] = []
         for b in batches:
-            for _, part in pieces(text_list(b.iloc[:, 0])):
+            for _, part in pieces(text_list(b.iloc[:, 0]), PIECE):
                 held.append(band_records(part, s))
-            if sum(map(len, held)) > 1_000_000:
+            if sum(map(len, held)) > 400_000:
                 yield deal(held)
                 held = []
         if held:
@@ -191,6 +191,8 @@ def _collide(docs: DataFrame, text: str, s: Settings) -> DataFrame:
     return records.groupBy("bucket").applyInPandas(join, "src long, dst long")
 
 
+#: Characters that a worker reads at once; a longer text is read as one.
+PIECE = 300_000
 #: Bytes of a shingle's hash as it is sent. Two sets of 100 shingles have a false one in
 #: common once in 10**10 pairs.
 WIDTH = 6
@@ -219,7 +221,7 @@ def _found(docs: DataFrame, doc_id: str | None, text: str, s: Settings, sets: Da
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
         for b in batches:
-            for at, part in pieces(text_list(b.t)):
+            for at, part in pieces(text_list(b.t), PIECE):
                 w, u = units(part, s)
                 key = u.key.view(np.int64)
                 if placed.value is not None:
@@ -234,7 +236,7 @@ def _found(docs: DataFrame, doc_id: str | None, text: str, s: Settings, sets: Da
                     continue
                 sh, begin = shingles(w.hashes(), u.first[k], u.past[k], s.shingle)
                 seen.update(key[k].tolist())
-                if len(seen) > 200_000:
+                if len(seen) > 100_000:
                     seen.clear()
                 of = np.repeat(np.arange(len(k)), np.diff(begin))
                 order = np.lexsort((sh, of))
