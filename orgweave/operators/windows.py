@@ -6,15 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..scratch import unused, written
+from .scan import scan
 
 
 def carry_forward(value: Column, group: list, order: list) -> Column:
-    """The last value that isn't null, up to the row."""
+    """The last value that isn't null, up to the row; for groups that fit a task, see scan()."""
     return F.last(value, ignorenulls=True).over(Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
 
 
 def run_id(flag: Column, group: list, order: list) -> Column:
-    """Number of flagged rows up to the row: the id of the group that a flag begins."""
+    """Number of flagged rows up to the row: the id of the group that a flag begins; for groups
+    that fit a task, see scan()."""
     return F.sum(flag.cast("int")).over(Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
 
 
@@ -47,10 +49,9 @@ def misaligned(df: DataFrame, name: str, site: str, group: str, order: str, samp
     """Groups whose sites stand one row too early: in the first min(sample, rows - 1) rows a
     word of four letters and digits or more of the next row's name occurs in this row's site,
     in at least max(5, half) of them. (group, hits, checked, misaligned)"""
-    w = Window.partitionBy(group).orderBy(order)
-    words = F.filter(F.regexp_extract_all(F.lower(F.col("__next")), F.lit("[a-z0-9]+"), F.lit(0)), lambda t: F.char_length(t) >= 4)
-    rows = df.withColumn("__next", F.lead(name).over(w)).withColumn("__n", F.row_number().over(w))
-    rows = rows.where((F.col("__n") <= sample) & F.col("__next").isNotNull())
+    rows = scan(df, [group], [order], total={"__n": F.lit(1)}, after={"__next": F.col(name)})
+    words = F.filter(F.regexp_extract_all(F.lower(F.col("__next.v")), F.lit("[a-z0-9]+"), F.lit(0)), lambda t: F.char_length(t) >= 4)
+    rows = rows.where((F.col("__n") <= sample) & F.col("__next.v").isNotNull())
     hit = F.exists(words, lambda t: F.lower(F.coalesce(site, F.lit(""))).contains(t))
     sums = rows.groupBy(group).agg(F.count_if(hit).alias("hits"), F.count("*").alias("checked"))
     return sums.withColumn("misaligned", F.col("hits") >= F.greatest(F.lit(5), F.floor(F.col("checked") * 0.5)))
@@ -58,15 +59,14 @@ def misaligned(df: DataFrame, name: str, site: str, group: str, order: str, samp
 
 def shifted(df: DataFrame, column: str, group: str, order: str) -> DataFrame:
     """column of the row before, '' for the first."""
-    return df.withColumn(column, F.lag(column, 1, "").over(Window.partitionBy(group).orderBy(order)))
+    d = scan(df, [group], [order], before={"__before": F.col(column)})
+    return d.withColumn(column, F.when(F.col("__before").isNull(), "").otherwise(F.col("__before.v"))).drop("__before")
 
 
 def next_within(df: DataFrame, header: Column, wanted: Column, value: str, group: str, order: str, ahead: int = 5) -> DataFrame:
     """For each header row the value of the first wanted row at most `ahead` rows on, before
     the next header. (group, header_at, value)"""
-    d = df.withColumn("__h", run_id(header, [group], [order])).where("__h > 0")
-    at = F.min(F.when(header, F.col(order))).over(Window.partitionBy(group, "__h"))
-    d = d.withColumn("header_at", at)
+    d = scan(df, [group], [order], last={"header_at": F.when(header, F.col(order))}).where("header_at IS NOT NULL")
     ok = wanted & (F.col(order) - F.col("header_at") <= ahead)
     return d.groupBy(group, "header_at").agg(F.min_by(F.when(ok, F.col(value)), F.when(ok, F.col(order))).alias(value))
 
@@ -79,9 +79,8 @@ def most_in(df: DataFrame, key: str, at: str, seconds: int) -> DataFrame:
 
 def quota(df: DataFrame, key: str, cost: Column, order: list, limit: float) -> DataFrame:
     """Running cost of a key and its level: ok, 80%, 90% or over."""
-    used = F.sum(cost).over(Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     level = F.when(F.col("used") > limit, "over").when(F.col("used") >= 0.9 * limit, "90%").when(F.col("used") >= 0.8 * limit, "80%").otherwise("ok")
-    return df.withColumn("used", used).withColumn("level", level)
+    return scan(df, [key], order, total={"used": cost}).withColumn("level", level)
 
 
 def early_exit(df: DataFrame, key: str, score: str, order: str, top: int = 5, enough: float = 70) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from .. import activities, search_terms
 from ..functions import text, urls
 from ..operators import cluster, collab, generate, graph, link, taxonomy
-from ..sources import markup
+from ..sources import markup, office
 from ..streaming import rates, sessions
 from .base import query, read
 from .relations import _EDGES, _edges
@@ -330,18 +331,32 @@ def link_points(spark, sf_dir):
 SELECT doc, part, row, section, CASE k % 3 WHEN 0 THEN n WHEN 1 THEN s || ' and a longer remark' ELSE CASE WHEN k % 2 = 0 THEN CASE WHEN length('Prof. X ' || k) >= length('www.org' || k || '.net') THEN 'Prof. X ' || k ELSE 'www.org' || k || '.net' END ELSE 'www.org' || k || '.net' END END AS organization, CASE WHEN k % 2 = 0 THEN 'Prof. X ' || k ELSE '' END AS contact_person,
 CASE k % 3 WHEN 0 THEN 'https://a' || k || '.example.com/&q=1' WHEN 1 THEN 'https://b' || k || '.example.com' ELSE 'https://www.org' || k || '.net' END AS website_url FROM r""")
 def document_tables(spark, sf_dir):
-    """Tables of documents: a title row, headers in two languages, rows that lack a name."""
+    """Tables of documents, read from their bytes: a title row, headers in two languages, rows that
+    lack a name."""
     d = read(spark, sf_dir, "customer").selectExpr("c_custkey div 40 AS doc", "(c_custkey div 10) % 4 AS part", "'Part ' || ((c_custkey div 10) % 4) AS section", "2 + c_custkey % 10 AS row", "c_custkey AS k", "c_name", "lower(c_mktsegment) AS s")
     cells = [
         "CASE WHEN k % 3 = 0 THEN c_name ELSE '' END", "CASE WHEN k % 2 = 0 THEN 'Prof. X ' || k ELSE '' END",
         "CASE k % 3 WHEN 0 THEN 'see https://a' || k || '.example.com/?utm_source=x&q=1), ' WHEN 1 THEN '' ELSE 'www.org' || k || '.net' END",
         "CASE WHEN k % 3 = 1 THEN s || ' and a longer remark' ELSE '' END", "CASE WHEN k % 3 = 1 THEN 'b' || k || '.example.com' ELSE '' END",
     ]
-    at = ["doc", "part", "section"]
-    rows = d.select(*at, "row", F.posexplode(F.expr(f"array({', '.join(cells)})")).alias("cell", "text"))
-    heads = d.select(*at).distinct()
-    line = lambda n, texts: heads.select(*at, F.lit(n).cast("bigint").alias("row"), F.posexplode(F.array(*map(F.lit, texts))).alias("cell", "text"))
-    return markup.table_entities(rows.unionByName(line(0, ["Members", "", "", "", ""])).unionByName(line(1, ["Organisation:", "Ansprechpartner", "Web", "Notes", "More"])))
+    rows = d.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("part", "section", "row", F.expr(f"array({', '.join(cells)})").alias("cells")))).alias("rows"))
+
+    def content(s: pd.Series) -> pd.Series:
+        def one(rows) -> bytes:
+            blocks = []
+            for r in rows:
+                if not blocks or blocks[-2] != (1, r["section"]):
+                    blocks += [(1, r["section"]), [["Members", "", "", "", ""], ["Organisation:", "Ansprechpartner", "Web", "Notes", "More"]]]
+                table = blocks[-1]
+                table += [[""] * 5] * (r["row"] - len(table)) + [list(r["cells"])]
+            return office.document_bytes(blocks)
+
+        return s.map(one)
+
+    files = rows.select(F.col("doc").cast("string").alias("path"), F.pandas_udf(content, "binary")("rows").alias("content"))
+    found = markup.table_entities(office.table_cells(office.documents(files)))
+    return found.withColumns({"doc": F.col("doc").cast("bigint"), "part": F.col("part").cast("bigint"), "row": F.col("row").cast("bigint")})
+
 
 
 _BLOCK = "CASE turn % 3 WHEN 0 THEN 'web page: https://www.org' || conv_id || '.example.com, http://b' || turn || '.org/x' WHEN 1 THEN 'Web Page  c' || turn || '.net and again c' || turn || '.net' ELSE 'address org.example.com' END"

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import dedupe, profiles
 from ..regions import REGIONS
-from ..sources import markup
+from ..sources import markup, office
 from .base import query, read
 from .expressions import _SPLIT
 
@@ -152,7 +152,11 @@ def appended_cache(spark, sf_dir):
 
 @query("SELECT conv_id, count(*) FILTER (turn % 3 = 0) AS item, 'Org ' || min(turn) || ' Umwelt' || CASE WHEN count(*) > 1 THEN 'werk' ELSE '-' END || CASE WHEN count(*) > 2 THEN ' GmbH' ELSE '' END AS text FROM (SELECT conv_id, turn, sum((turn % 3 = 0)::INT) OVER (PARTITION BY conv_id ORDER BY turn) AS g FROM conversations) GROUP BY conv_id, g HAVING min(turn) % 3 = 0", ints=("item",))
 def wrapped_bullets(spark, sf_dir):
+    """Each conversation's turns as the lines of a page description, read back from its bytes."""
     line = F.expr("CASE turn % 3 WHEN 0 THEN '• Org ' || turn || ' Umwelt-' WHEN 1 THEN 'werk' ELSE 'GmbH' END")
-    lines = read(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("ord"), line.alias("line"))
-    got = markup.bullets(lines, "conv_id")
+    lines = read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("turn", line.alias("line")))), lambda x: x["line"]).alias("lines"))
+    content = F.pandas_udf(lambda s: s.map(lambda x: office.page_bytes([list(x)[:40], list(x)[40:]])), "binary")
+    files = lines.select(F.col("conv_id").cast("string").alias("path"), content("lines").alias("content"))
+    found = office.page_lines(files).select(F.col("path").cast("bigint").alias("conv_id"), F.struct("page", "line").alias("ord"), F.col("text").alias("line"))
+    got = markup.bullets(found, "conv_id")
     return got.select("conv_id", F.lit(1).cast("bigint").alias("item"), "text")

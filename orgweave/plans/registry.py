@@ -1,6 +1,6 @@
 """All queries of the library and their oracle SQL."""
 
-from . import domain, expressions, records, relations  # noqa: F401  they register themselves
+from . import domain, expressions, files, records, relations  # noqa: F401  they register themselves
 from .base import QUERIES, SQL
 
 FLAGSHIP = "partner_link_exact"

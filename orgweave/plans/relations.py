@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, text, urls
 from ..operators import dedupe, link, merge, setjoin, windows
+from ..operators.scan import scan
 from ..regions import REGIONS
 from .base import query, read
 from .expressions import _KM, _LAT, _LON, _SPLIT
@@ -318,7 +319,7 @@ def lag_shift(spark, sf_dir):
 @query("""SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS section, sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS run FROM conversations""", ints=("run",))
 def carry_forward(spark, sf_dir):
     c, head = read(spark, sf_dir, "conversations"), F.col("role") == "user"
-    return c.select("conv_id", "turn", windows.carry_forward(F.when(head, F.col("text")), ["conv_id"], ["turn"]).alias("section"), windows.run_id(head, ["conv_id"], ["turn"]).alias("run"))
+    return scan(c, ["conv_id"], ["turn"], last={"section": F.when(head, F.col("text"))}, total={"run": head.cast("int")}).select("conv_id", "turn", "section", "run")
 
 
 @query("""WITH w AS (SELECT conv_id, text, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS nx, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls
 from ..operators.dedupe import keep
-from ..operators.windows import carry_forward
+from ..operators.scan import scan
 
 
 def page_text(html: Column, limit: int = 15_000, url: Column | None = None) -> Column:
@@ -245,7 +245,7 @@ def last_url(text: Column) -> Column:
 def markdown_entities(lines: DataFrame, key: str = "doc", order: str = "ord", line: str = "line") -> DataFrame:
     """Bullets with a URL under their `##` heading: (key, ord, section, organisation, url)."""
     head = F.regexp_extract(line, r"^##+\s*(.+?)\s*$", 1)
-    d = lines.withColumn("section", carry_forward(F.nullif(head, F.lit("")), [key], [order]))
+    d = scan(lines, [key], [order], last={"section": F.nullif(head, F.lit(""))})
     url = F.regexp_extract(line, r"https?://[^\s)>\]]+", 0)
     name = F.regexp_extract(line, r"^\s*[-*]\s*\**(.+?)\**\s*(?:[:(\[–-]|https?://)", 1)
     d = d.withColumn("url", url).withColumn("organisation", F.trim(name))
@@ -345,9 +345,7 @@ def parsed_files(files: DataFrame, parse: Callable[[bytes], list[tuple[int, int,
 def bullets(lines: DataFrame, key: str, order: str = "ord", line: str = "line") -> DataFrame:
     """Wrapped bullet lines joined again: (key, item, text). A hyphen at a line's end joins
     without a blank."""
-    from ..operators.windows import run_id
-
-    d = lines.withColumn("item", run_id(F.col(line).rlike(r"^\s*[•▪*-]\s"), [key], [order])).where("item > 0")
+    d = scan(lines, [key], [order], total={"item": F.col(line).rlike(r"^\s*[•▪*-]\s").cast("int")}).where("item > 0")
     part = F.struct(F.col(order).alias("o"), F.trim(F.regexp_replace(F.col(line), r"^\s*[•▪*-]\s+", "")).alias("t"))
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(part)), lambda x: x["t"]), " ")
     return d.groupBy(key, "item").agg(F.regexp_replace(joined, r"(?<=\p{L})-\s(?=\p{Ll})", "").alias("text"))

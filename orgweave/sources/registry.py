@@ -44,25 +44,86 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def broken(spark: SparkSession, path: str) -> DataFrame:
+    """(path, reason) of compressed files that can't be read to their end; rows that read_csv has
+    of such a file are only those before the fault. Files that aren't compressed can't break."""
+    import bz2
+    import zlib
+    from collections.abc import Iterator
+
+    import pyarrow as pa
+
+    kinds = {".gz": (lambda: zlib.decompressobj(31), zlib.error), ".bz2": (bz2.BZ2Decompressor, OSError)}
+
+    def fault(path: str, data) -> str | None:
+        make, error = kinds[path[path.rindex(".") :].lower()]
+        reader, at = make(), 0
+        try:
+            while at < len(data):
+                reader.decompress(data[at : at + 65536])
+                at += 65536
+                if reader.eof:
+                    at = at - len(reader.unused_data) if reader.unused_data else at
+                    reader = make() if at < len(data) else reader
+            return None if not len(data) or reader.eof else "ends too early"
+        except error as e:
+            return str(e)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for p, data in zip(b.column(0).to_pylist(), b.column(1)):
+                why = fault(p, memoryview(data.as_buffer()))
+                if why:
+                    yield pa.RecordBatch.from_pydict({"path": [p], "reason": [why]})
+
+    files = spark.read.format("binaryFile").load(path).where(F.lower("path").rlike(r"\.(gz|bz2)$"))
+    return files.select("path", "content").mapInArrow(run, "path string, reason string")
+
+
+#: Broken files of a source that scan() names.
+NAMED = 100
+
+
+def _sheet(spark: SparkSession, s: Source) -> tuple[DataFrame, Column, DataFrame]:
+    """The wanted columns of the first sheets of a source's workbooks, their order, and what
+    couldn't be read."""
+    from ..scratch import written
+    from . import workbook
+
+    rows = written(workbook.read(spark, s.path, "first"))
+    there = rows.where("sheet >= 0").select(F.explode(F.map_keys("fields")).alias("c")).where(F.col("c").isin([c for c in (s.url, s.name, s.custom) if c])).distinct()
+    names = [r.c for r in there.collect()]  # three at most
+    df = rows.where("sheet >= 0").select("source_file", "row", *(F.try_element_at("fields", F.lit(c)).alias(c) for c in names))
+    order = F.struct(F.col("source_file").alias("file"), F.lit(0).cast("bigint").alias("block"), F.col("row").alias("row"))
+    return df, order, rows.where("sheet < 0").select(F.col("source_file").alias("path"), F.try_element_at("fields", F.lit("error")).alias("reason"))
+
+
 def scan(spark: SparkSession, sources: list[Source]) -> tuple[DataFrame | None, list[str]]:
-    """(url, name, category, src, ord) of all sources, and why sources were skipped.
+    """(url, name, category, src, ord) of all sources, and why sources or files were skipped.
 
-    A missing file or column skips its source. ord is the place in the source: files by
-    path, then lines as they stand (see in_order).
+    A missing file or column skips its source; of a file that breaks off the rows before the
+    fault count, and it is told. ord is the place in the source: files by path, then lines
+    as they stand (see in_order). Of workbooks the first sheet counts.
     """
     frames, skipped = [], []
     for k, s in enumerate(sources):
         if not exists(spark, s.path):
             skipped.append(f"{s.path}: no such file")
             continue
-        df = read_csv(spark, s.path, s.multiline)
+        if s.path.lower().endswith((".xlsx", ".xlsm")):
+            df, order, faults = _sheet(spark, s)
+        else:
+            df = read_csv(spark, s.path, s.multiline)
+            order, faults = in_order(df), broken(spark, s.path)
+        faults = [f"{r.path}: {r.reason}" for r in faults.orderBy("path").limit(NAMED + 1).collect()]
+        skipped += faults if len(faults) <= NAMED else [*faults[:NAMED], f"{s.path}: more files like that"]
         if s.url not in df.columns:
             skipped.append(f"{s.path}: no column {s.url}")
             continue
         name = F.col(f"`{s.name}`") if s.name in df.columns else F.lit("")
         custom = F.col(f"`{s.custom}`") if s.custom and s.custom in df.columns else F.lit(None).cast("string")
         url = urls.normalize(F.col(f"`{s.url}`"), s.add_protocol)
-        frames.append(df.select(url.alias("url"), F.trim(F.coalesce(name, F.lit(""))).alias("name"), text.source_category(F.lit(s.category), custom).alias("category"), F.lit(k).alias("src"), in_order(df).alias("ord")))
+        frames.append(df.select(url.alias("url"), F.trim(F.coalesce(name, F.lit(""))).alias("name"), text.source_category(F.lit(s.category), custom).alias("category"), F.lit(k).alias("src"), order.alias("ord")))
     out = None
     for f in frames:
         out = f if out is None else out.unionByName(f, allowMissingColumns=True)

@@ -5,10 +5,11 @@ import json
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from orgweave.functions import text
-from orgweave.operators import cluster, collab, dedupe, fuzzy, generate, graph, link, merge, profiles, setjoin, taxonomy, windows
+from orgweave.operators import cluster, collab, dedupe, fuzzy, generate, graph, link, merge, profiles, scan, setjoin, taxonomy, windows
 from orgweave.operators.components import connected_components
 from orgweave.sources import markup, registry, sinks
 from orgweave.streaming import new_only, read_upserted, upsert_batches
@@ -458,3 +459,27 @@ def test_place_row(spark):
 def test_clusters_by_id(spark):
     d = spark.createDataFrame([(1, "c", ["a"]), (0, "c", ["x", "y"]), (2, "d", [])], "ord int, cluster_id string, entities array<string>")
     assert sorted(r.entity for r in cluster.entities_of(d, "c").collect()) == ["x", "y"] and cluster.entities_of(d, "none").count() == 0
+
+
+def test_scan_equals_windows(spark):
+    """Values that come in from earlier ranges, for one long list, short ones, null groups and ties."""
+    r = random.Random(2)
+    rows = [(r.choice(["a"] * 6 + ["b", None]), i // 2 if i < 40 else i, r.choice([None, None, str(i)]), r.choice([None, 1, 2])) for i in range(700)]
+    r.shuffle(rows)
+    d = spark.createDataFrame(rows, "g string, o int, s string, n int").repartition(5)
+    v = F.struct(F.col("s").alias("v"))
+    got = scan.scan(d, ["g"], ["o"], last={"l": F.col("s")}, total={"t": F.col("n")}, before={"b": F.col("s")}, after={"a": F.col("s")})
+    w = Window.partitionBy("g").orderBy("o", F.xxhash64("g", "o", "s", "n"))
+    up = w.rowsBetween(Window.unboundedPreceding, 0)
+    want = d.select("g", "o", "s", "n", F.last("s", True).over(up).alias("l"), F.sum("n").over(up).alias("t"), F.lag(v).over(w).alias("b"), F.lead(v).over(w).alias("a"))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert scan.scan(d.limit(0), ["g"], ["o"], total={"t": F.lit(1)}).count() == 0
+    again = scan.scan(d.withColumn("range", F.lit("own")), ["g"], ["o"], last={"s": F.col("s")})
+    assert again.columns == ["g", "o", "n", "range", "s"] and again.where("range = 'own'").count() == 700
+
+
+def test_scan_spreads_one_list(spark):
+    d = spark.range(40_000).select(F.lit("g").alias("g"), "id", F.when(F.col("id") % 1000 == 0, F.col("id")).alias("head"))
+    got = scan.scan(d, ["g"], ["id"], last={"at": F.col("head")}, total={"n": F.lit(1)})
+    assert got.where("at <> id - id % 1000 OR n <> id + 1").count() == 0
+    assert got.groupBy(F.spark_partition_id()).count().count() > 1
