@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text, urls
@@ -56,17 +56,35 @@ def _profiles(orgs: DataFrame) -> DataFrame:
     ).where("host <> ''")
 
 
+def _two(x: Column) -> Column:
+    return F.format_string("%.2f", x)
+
+
+def _shared(p: Column, q: Column) -> Column:
+    """The least phone number that two sets share."""
+    return F.array_min(F.array_intersect(p, q))
+
+
+def _rare_words(words: DataFrame, by: list[str]) -> DataFrame:
+    """Of each set of words (by, size, word) the rarest: as many as may be missing from a larger
+    set that has 0.7 of them, and one more."""
+    ranked = words.join(words.groupBy("word").agg(F.count("*").alias("df")), "word").groupBy(*by, "size").agg(F.sort_array(F.collect_list(F.struct("df", "word"))).alias("o"))
+    few = ranked.select(*by, "size", F.explode(F.slice("o", F.lit(1), (F.col("size") - F.ceil(F.col("size") * 0.7 - 1e-9) + 1).cast("int"))).alias("x"))
+    return few.select(*by, "size", F.col("x.word").alias("word"))
+
+
 def duplicate_pairs(orgs: DataFrame, least: float = 0.7) -> DataFrame:
-    """Pairs i < j of orgs (id, name, url, address, phones) that score at least `least`.
+    """Pairs i < j of orgs (id, name, url, address, phones) that score at least `least`:
+    (i, j, score, host, ratio, overlap, phone).
 
     Same host 0.4, name ratio of 0.85 or more times 0.3, address words overlapping by 0.7
-    of the smaller set 0.2, a shared phone 0.1, summed in that order. Above 0.6 a pair needs
-    the host and two of the other three, or, up to 0.7, a like name alone. So pairs meet by
-    host and like names with a phone or a rare address word, or by host, phone and a rare
-    address word, never by host alone; names meet as distinct strings. Orgs with the same
-    host and name are all alike up to 0.7: there the least id is paired with each of the
-    others, which links the same groups as all pairs would. At or below 0.6 the host isn't
-    needed; that is refused.
+    of the smaller set 0.2, a shared phone 0.1, summed in that order. ratio, overlap and phone
+    (the least shared number) are null where they don't count. Above 0.6 a pair needs the
+    host and two of the other three, or, up to 0.7, a like name alone. So pairs meet by host
+    and like names with a phone or a rare address word, or by host, phone and a rare address
+    word, never by host alone; names meet as distinct strings. Orgs with the same host and
+    name are all alike up to 0.7: those pairs are left to namesakes(), which counts them. At
+    or below 0.6 the host isn't needed; that is refused.
     """
     if least <= 0.6:
         raise ValueError("thresholds up to 0.6 don't need a shared host and would compare all pairs")
@@ -82,17 +100,16 @@ def duplicate_pairs(orgs: DataFrame, least: float = 0.7) -> DataFrame:
     size = F.size("w")
     words = a.where(size >= 3).select("host", "n", "id", size.alias("size"), F.explode(F.transform("w", lambda x: F.xxhash64(x))).alias("word"))
     words2 = words.select("host", F.col("n").alias("n2"), F.col("id").alias("id2"), "word", F.col("size").alias("size2"))
-    # of the smaller address's words, the rarest: as many as may be missing from the other and one more
-    ranked = words.join(words.groupBy("word").agg(F.count("*").alias("df")), "word").groupBy("host", "n", "id", "size").agg(F.sort_array(F.collect_list(F.struct("df", "word"))).alias("o"))
-    few = ranked.select("host", "n", "id", "size", F.explode(F.slice("o", F.lit(1), (F.col("size") - F.ceil(F.col("size") * 0.7 - 1e-9) + 1).cast("int"))).alias("x"))
-    few = few.select("host", "n", "id", "size", F.col("x.word").alias("word"))
+    few = _rare_words(words, ["host", "n", "id"])
 
     met = [
         phones.join(like, ["host", "n"]).join(phones2, ["host", "n2", "phone"]),
         few.join(like, ["host", "n"]).join(words2, ["host", "n2", "word"]).where("size <= size2"),
         few.join(phones.select("id", "phone"), "id").join(words2.join(phones2.select("id2", "phone"), "id2"), ["host", "phone", "word"]).where("size <= size2"),
     ]
-    if least < 0.4 + 0.3:
+    if alike:
+        met[2] = met[2].where("n <> n2 OR n = ''")
+    if least <= 0.4 + 0.3:
         met.append(a.select("host", "n", "id").join(like, ["host", "n"]).join(a.select("host", F.col("n").alias("n2"), F.col("id").alias("id2")), ["host", "n2"]))
     pairs = None
     for d in met:
@@ -100,33 +117,93 @@ def duplicate_pairs(orgs: DataFrame, least: float = 0.7) -> DataFrame:
         pairs = d if pairs is None else pairs.unionByName(d)
     one = a.select(F.col("id").alias("i"), "host", "n", "w", "p")
     two = a.select(F.col("id").alias("j"), F.col("n").alias("n2"), F.col("w").alias("w2"), F.col("p").alias("p2"))
-    met = pairs.distinct().join(one, "i").join(two, "j")
-    if alike:
-        first = a.where("n <> ''").groupBy("host", "n").agg(F.min("id").alias("i"))
-        copies = a.select("id", "host", "n").join(first, ["host", "n"]).where("id <> i").select("i", F.col("id").alias("j"))
-        met = met.where("n <> n2 OR n = ''").unionByName(copies.join(one, "i").join(two, "j"))
-    met = met.join(near, ["host", "n", "n2"], "left")
-    r = F.when((F.col("n") == F.col("n2")) & (F.col("n") != ""), 1.0).otherwise(F.coalesce("ratio", F.lit(0.0)))
-    address = (F.size("w") >= 3) & (F.size("w2") >= 3) & (text.overlap(F.col("w"), F.col("w2")) >= 0.7)
-    phone = F.arrays_overlap("p", "p2")
-    score = F.lit(0.4) + F.when(r >= 0.85, r * 0.3).otherwise(0.0) + F.when(address, 0.2).otherwise(0.0) + F.when(phone, 0.1).otherwise(0.0)
-    return met.select("i", "j", score.alias("score"), address.alias("address"), phone.alias("phone")).where(F.col("score") >= least)
+    met = pairs.distinct().join(one, "i").join(two, "j").join(near, ["host", "n", "n2"], "left")
+    r = F.when((F.col("n") == F.col("n2")) & (F.col("n") != ""), 1.0).otherwise(F.col("ratio"))
+    overlap = F.when((F.size("w") >= 3) & (F.size("w2") >= 3), text.overlap(F.col("w"), F.col("w2")))
+    d = met.select("i", "j", "host", F.when(r >= 0.85, r).alias("ratio"), F.when(overlap >= 0.7, overlap).alias("overlap"), _shared(F.col("p"), F.col("p2")).alias("phone"))
+    score = F.lit(0.4) + F.coalesce(F.col("ratio") * 0.3, F.lit(0.0)) + F.when(F.col("overlap").isNotNull(), 0.2).otherwise(0.0) + F.when(F.col("phone").isNotNull(), 0.1).otherwise(0.0)
+    return d.select("i", "j", score.alias("score"), "host", "ratio", "overlap", "phone").where(F.col("score") >= least)
+
 
+def signals(host: Column, ratio: Column, overlap: Column, phone: Column) -> Column:
+    """What a pair shares, as texts."""
+    parts = [F.concat(F.lit("domain_match:"), host), F.concat(F.lit("name_similarity:"), _two(ratio)), F.concat(F.lit("address_match:"), _two(overlap)), F.concat(F.lit("phone_match:"), phone)]
+    given = [host, ratio, overlap, phone]
+    return F.filter(F.array(*(F.when(g.isNotNull(), t) for g, t in zip(given, parts))), lambda x: x.isNotNull())
 
-def duplicate_groups(pairs: DataFrame, orgs: DataFrame) -> DataFrame:
-    """(group_id, members, canonical_name, confidence, signals) of the components of the pairs.
+
+def namesakes(orgs: DataFrame) -> DataFrame:
+    """All pairs of orgs with the same host and name, summed up by host and name:
+    (first, host, name, members, n_pairs, n_address, n_phone, n_both, score, signals).
+
+    first is the least id; score the sum of the pairs' scores, 0.7 each, 0.2 more for those
+    with like addresses (n_address), 0.1 for those with a shared phone (n_phone); n_both
+    have both. No pair is listed: equal sets of address words and of phones are classes with
+    counts, and only different classes that share a rare word or a phone meet.
+    """
+    a = _profiles(orgs).where("n <> ''").select("id", "host", "n", F.sort_array("w").alias("w"), F.sort_array("p").alias("p"))
+    at = ["host", "n"]
+    groups = a.groupBy(*at).agg(F.count("*").alias("members"), F.min("id").alias("first")).where("members > 1")
+    kinds = written(a.join(groups.select(*at), at, "left_semi").groupBy(*at, "w", "p").agg(F.count("*").alias("c")))
+    half = lambda c: (c * (c - 1) / 2).cast("bigint")
+    of = lambda d, *s: d.select(*at, *(F.col(c).alias(f"{c}2") for c in s))
+
+    address = kinds.where(F.size("w") >= 3).groupBy(*at, "w").agg(F.sum("c").alias("c"))
+    words = address.select(*at, "w", F.size("w").alias("size"), F.explode(F.transform("w", lambda x: F.xxhash64(x))).alias("word"))
+    other = words.select(*at, F.col("w").alias("w2"), F.col("size").alias("size2"), "word")
+    met = _rare_words(words, [*at, "w"]).join(other, [*at, "word"]).where("w <> w2 AND size <= size2").select(*at, F.least("w", "w2").alias("w"), F.greatest("w", "w2").alias("w2")).distinct()
+    near = written(met.withColumn("overlap", text.overlap(F.col("w"), F.col("w2"))).where("overlap >= 0.7"))
+    by_address = near.join(address, [*at, "w"]).join(of(address, "w", "c"), [*at, "w2"]).select(*at, (F.col("c") * F.col("c2")).alias("k"), "overlap")
+    by_address = by_address.unionByName(address.where("c > 1").select(*at, half(F.col("c")).alias("k"), F.lit(1.0).alias("overlap")))
+    by_address = by_address.groupBy(*at).agg(F.sum("k").alias("n_address"), F.collect_set(F.concat(F.lit("address_match:"), _two(F.col("overlap")))).alias("s_address"))
+
+    phone = kinds.where(F.size("p") > 0).groupBy(*at, "p").agg(F.sum("c").alias("c"))
+    each = phone.select(*at, "p", F.explode("p").alias("phone"))
+    met = each.join(of(each, "p").withColumn("phone", F.explode("p2")), [*at, "phone"]).where("p < p2").select(*at, "p", "p2").distinct()
+    by_phone = met.join(phone, [*at, "p"]).join(of(phone, "p", "c"), [*at, "p2"]).select(*at, (F.col("c") * F.col("c2")).alias("k"), _shared(F.col("p"), F.col("p2")).alias("phone"))
+    by_phone = by_phone.unionByName(phone.where("c > 1").select(*at, half(F.col("c")).alias("k"), F.array_min("p").alias("phone")))
+    by_phone = by_phone.groupBy(*at).agg(F.sum("k").alias("n_phone"), F.collect_set(F.concat(F.lit("phone_match:"), F.col("phone"))).alias("s_phone"))
+
+    full = kinds.where((F.size("w") >= 3) & (F.size("p") > 0))
+    each = full.select(*at, "w", "p", "c", F.explode("p").alias("phone"))
+    other = each.select(*at, F.col("w").alias("w2"), F.col("p").alias("p2"), F.col("c").alias("c2"), "phone")
+    same = each.join(other.withColumnRenamed("w2", "w"), [*at, "w", "phone"]).where("p < p2").select(*at, "w", F.col("w").alias("w2"), "p", "p2", "c", "c2")
+    cross = each.join(near.select(*at, "w", "w2"), [*at, "w"]).join(other, [*at, "w2", "phone"]).select(*at, "w", "w2", "p", "p2", "c", "c2")
+    both = same.unionByName(cross).distinct().select(*at, (F.col("c") * F.col("c2")).alias("k")).unionByName(full.where("c > 1").select(*at, half(F.col("c")).alias("k")))
+    both = both.groupBy(*at).agg(F.sum("k").alias("n_both"))
+
+    d = groups.join(by_address, at, "left").join(by_phone, at, "left").join(both, at, "left")
+    d = d.withColumn("n_pairs", half(F.col("members"))).fillna(0, ["n_address", "n_phone", "n_both"])
+    none = F.array().cast("array<string>")
+    told = F.sort_array(F.concat(F.array(F.concat(F.lit("domain_match:"), F.col("host")), F.lit("name_similarity:1.00")), F.coalesce("s_address", none), F.coalesce("s_phone", none)))
+    score = (F.lit(0.4) + 0.3) * F.col("n_pairs") + 0.2 * F.col("n_address") + 0.1 * F.col("n_phone")
+    return d.select("first", "host", F.col("n").alias("name"), "members", "n_pairs", "n_address", "n_phone", "n_both", score.alias("score"), told.alias("signals"))
+
+
+def duplicate_groups(orgs: DataFrame, least: float = 0.7) -> DataFrame:
+    """(group_id, members, canonical_name, confidence, signals) of the components of the pairs that
+    score at least `least`.
 
     The longest name of a group is canonical, of equally long ones that of the least id;
-    confidence is the mean score of the pairs given; signals has what any of them share.
+    confidence is the mean score of all its pairs, namesakes included; signals has what any
+    of them share, sorted. group_id is the least id.
     """
-    pairs = written(pairs)
-    comp = connected_components(pairs, "i", "j")
-    signals = F.concat(F.array(F.lit("domain")), F.when(F.bool_or("address"), F.array(F.lit("address"))).otherwise(F.array()), F.when(F.bool_or("phone"), F.array(F.lit("phone"))).otherwise(F.array()))
-    score = pairs.join(comp, F.col("i") == F.col("node")).groupBy("component").agg(F.avg("score").alias("confidence"), signals.alias("signals"))
+    pairs = written(duplicate_pairs(orgs, least))
+    edges = pairs.select("i", "j")
+    told = pairs.select("i", "score", F.lit(1).cast("bigint").alias("n"), signals(*map(F.col, ("host", "ratio", "overlap", "phone"))).alias("signals"))
+    if least <= 0.4 + 0.3:
+        same = written(namesakes(orgs))
+        ids = _profiles(orgs).select("id", "host", F.col("n").alias("name")).join(same.select("first", "host", "name"), ["host", "name"]).where("id <> first")
+        edges = edges.unionByName(ids.select(F.col("first").alias("i"), F.col("id").alias("j")))
+        told = told.unionByName(same.select(F.col("first").alias("i"), "score", F.col("n_pairs").alias("n"), "signals"))
+    comp = connected_components(edges, "i", "j")
+    met = told.join(comp, F.col("i") == F.col("node"))
+    score = met.groupBy("component").agg((F.sum("score") / F.sum("n")).alias("confidence"))
+    every = met.select("component", F.explode("signals").alias("s")).distinct().groupBy("component").agg(F.sort_array(F.collect_list("s")).alias("signals"))
     named = comp.join(orgs.select(F.col("id").alias("node"), "name"), "node")
-    longest = F.struct(F.char_length("name").alias("l"), (-F.col("node")).alias("n"))
+    longest = F.struct(F.char_length(F.coalesce("name", F.lit(""))).alias("l"), (-F.col("node")).alias("n"))
     groups = named.groupBy("component").agg(F.sort_array(F.collect_list("node")).alias("members"), F.max_by("name", longest).alias("canonical_name"))
-    return groups.join(score, "component").withColumnRenamed("component", "group_id")
+    return groups.join(score, "component").join(every, "component").withColumnRenamed("component", "group_id")
 
 
 def mark_bidirectional(edges: DataFrame, source: str = "source", target: str = "target") -> DataFrame:

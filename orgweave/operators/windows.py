@@ -83,10 +83,17 @@ def quota(df: DataFrame, key: str, cost: Column, order: list, limit: float) -> D
     return scan(df, [key], order, total={"used": cost}).withColumn("level", level)
 
 
-def early_exit(df: DataFrame, key: str, score: str, order: str, top: int = 5, enough: float = 70) -> DataFrame:
-    """The candidate chosen by going down the top scores until one has enough, else the best."""
-    w = Window.partitionBy(key).orderBy(F.desc("prior"), order)
+def early_exit(df: DataFrame, key: str, prior: str, bonus: str, order: str, top: int = 5, enough: float = 70) -> DataFrame:
+    """The candidate chosen by going down the `top` highest priors of a key until a total has
+    enough, else the first with the best total; with `total`.
+
+    A total is prior and bonus. Where the bonus is null, as its page couldn't be fetched, that
+    of the candidate before it still stands, 0 at the start.
+    """
+    w = Window.partitionBy(key).orderBy(F.desc(prior), order)
     d = df.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= top)
-    stop = F.min(F.when(F.col(score) >= enough, F.col("__n"))).over(Window.partitionBy(key))
+    stands = F.last(bonus, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    d = d.withColumn("total", F.col(prior) + F.coalesce(stands, F.lit(0)))
+    stop = F.min(F.when(F.col("total") >= enough, F.col("__n"))).over(Window.partitionBy(key))
     d = d.withColumn("__s", F.coalesce(stop, F.lit(top))).where("__n <= __s").drop("__s")
-    return d.withColumn("__r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(score), "__n"))).where("__r = 1").drop("__r", "__n")
+    return d.withColumn("__r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("total"), "__n"))).where("__r = 1").drop("__r", "__n")

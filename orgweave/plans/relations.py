@@ -188,42 +188,44 @@ def partner_link_fuzzy(spark, sf_dir):
     return link.link(m, o.withColumn("org_url", F.lit(""))).withColumn("confidence", F.round(F.col("confidence").cast("double"), 6))
 
 
-_K = "c_custkey"
-_PEOPLE = f"""{_K} AS id, CASE {_K} % 4 WHEN 0 THEN 'Green Works GmbH' WHEN 1 THEN 'Blue Haus e.V.' WHEN 2 THEN 'Alpha Recycling Verein' ELSE '' END AS name, 'https://www.org' || ({_K} * 7 % 61) || '.example.com/' || {_K} AS url,
-'Street ' || ({_K} % 3) || ' Town ' || ({_K} % 5) || ' Hall ' || ({_K} % 2) AS address, '+49 40 ' || ({_K} % 11) AS phone"""
+# names like each other but for a letter, which makes their ratio n / (n + 1) with n letters in common
+_LETTER = "substr('abcdefg', CAST(c_custkey % 7 + 1 AS int), 1)"
+_NAME = f"CASE c_custkey % 4 WHEN 0 THEN 'Green Works GmbH' WHEN 1 THEN 'Blue Haus ' || {_LETTER} WHEN 2 THEN 'Alpha Recycling ' || {_LETTER} || ' e.V.' ELSE '' END AS name"
+_URL = "'https://www.org' || (c_custkey {div} 40) || '.example.com/' || c_custkey AS url"
+_ADDRESS = "'Street ' || (c_custkey % 3) || ' Town ' || (c_custkey % 5) || ' Hall ' || (c_custkey % 2) AS address"
 
 
 def _people(spark, sf_dir):
-    from pyspark.sql.functions import array, expr
-
-    c = read(spark, sf_dir, "customer")
-    k = F.col("c_custkey")
-    name = F.when(k % 4 == 0, "Green Works GmbH").when(k % 4 == 1, "Blue Haus e.V.").when(k % 4 == 2, "Alpha Recycling Verein").otherwise("")
-    return c.select(
-        k.alias("id"), name.alias("name"), expr("'https://www.org' || (c_custkey * 7 % 61) || '.example.com/' || c_custkey").alias("url"),
-        expr("'Street ' || (c_custkey % 3) || ' Town ' || (c_custkey % 5) || ' Hall ' || (c_custkey % 2)").alias("address"), array(expr("'+49 40 ' || (c_custkey % 11)")).alias("phones"),
-    )
+    return read(spark, sf_dir, "customer").selectExpr("c_custkey AS id", _NAME, _URL.format(div="div"), _ADDRESS, "array('+49 40 ' || (c_custkey % 11)) AS phones")
 
 
-_PAIRS = f"""c AS (SELECT {_PEOPLE} FROM customer), x AS (SELECT id, regexp_extract(url, '://www.([^/]*)', 1) AS host, trim(replace(replace(lower(name), ' gmbh', ''), ' e.v.', '')) AS n, list_distinct(string_split(lower(address), ' ')) AS w, phone FROM c),
-s AS (SELECT *, min(id) OVER (PARTITION BY host, n) AS first FROM x),
-p AS (SELECT a.id AS i, b.id AS j, a.n = b.n AND a.n <> '' AS same, a.first AS first, len(list_intersect(a.w, b.w)) / least(len(a.w), len(b.w)) >= 0.7 AS near, a.phone = b.phone AS call FROM s a JOIN s b ON a.host = b.host AND a.id < b.id),
-q AS (SELECT i, j, 0.4::DOUBLE + CASE WHEN same THEN 0.3::DOUBLE ELSE 0 END + CASE WHEN near THEN 0.2::DOUBLE ELSE 0 END + CASE WHEN call THEN 0.1::DOUBLE ELSE 0 END AS score, same, first, near, call FROM p),
-d AS (SELECT i, j, score, near, call FROM q WHERE score >= 0.7 AND (NOT same OR i = first))"""
+# all pairs of a host, scored one by one
+_PAIRS = f"""c AS (SELECT c_custkey AS id, {_NAME}, {_URL.format(div="//")}, {_ADDRESS}, '40' || (c_custkey % 11) AS phone FROM customer), x AS (SELECT id, regexp_extract(url, '://www.([^/]*)', 1) AS host, trim(replace(replace(lower(name), ' gmbh', ''), ' e.v.', '')) AS n, list_distinct(string_split(lower(address), ' ')) AS w, phone FROM c),
+p AS (SELECT a.id AS i, b.id AS j, a.host, CASE WHEN a.n = b.n AND a.n <> '' THEN 1.0::DOUBLE WHEN a.n <> '' AND b.n <> '' AND a.n[:-2] = b.n[:-2] THEN (length(a.n) - 1)::DOUBLE / length(a.n) END AS ratio, len(list_intersect(a.w, b.w)) / least(len(a.w), len(b.w)) AS o, CASE WHEN a.phone = b.phone THEN a.phone END AS phone FROM x a JOIN x b ON a.host = b.host AND a.id < b.id),
+q AS (SELECT *, CASE WHEN o >= 0.7 THEN o END AS overlap, 0.4::DOUBLE + coalesce(ratio * 0.3::DOUBLE, 0) + CASE WHEN o >= 0.7 THEN 0.2::DOUBLE ELSE 0 END + CASE WHEN phone IS NOT NULL THEN 0.1::DOUBLE ELSE 0 END AS score FROM p),
+d AS (SELECT i, j, host, score, ratio, overlap, phone, list_filter(['domain_match:' || host, 'name_similarity:' || printf('%.2f', ratio), 'address_match:' || printf('%.2f', overlap), 'phone_match:' || phone], lambda s: s IS NOT NULL) AS signals FROM q WHERE score >= 0.7)"""
 
 
-@query(f"WITH {_PAIRS} SELECT i, j, round(score, 6) AS score, near AS address, call AS phone FROM d")
+@query(f"WITH {_PAIRS} SELECT i, j, round(score, 6) AS score, signals FROM d WHERE ratio IS NULL OR ratio < 1", lists=("signals",))
 def dedup_pairs(spark, sf_dir):
-    return link.duplicate_pairs(_people(spark, sf_dir)).withColumn("score", F.round(F.col("score").cast("double"), 6))
+    """Pairs with different names or none; dedup_namesakes sums up the others."""
+    d = link.duplicate_pairs(_people(spark, sf_dir))
+    return d.select("i", "j", F.round("score", 6).alias("score"), link.signals(*map(F.col, ("host", "ratio", "overlap", "phone"))).alias("signals"))
+
+
+@query(f"""WITH {_PAIRS}, e AS (SELECT d.*, x.n FROM d JOIN x ON d.i = x.id WHERE ratio = 1)
+SELECT min(i) AS first, host, n AS name, count(*) AS n_pairs, count(overlap) AS n_address, count(phone) AS n_phone, count(*) FILTER (overlap IS NOT NULL AND phone IS NOT NULL) AS n_both, round(sum(score), 4) AS score, list_sort(list_distinct(flatten(list(signals)))) AS signals FROM e GROUP BY host, n""", lists=("signals",))
+def dedup_namesakes(spark, sf_dir):
+    return link.namesakes(_people(spark, sf_dir)).withColumn("score", F.round("score", 4)).drop("members")
 
 
 @query(f"""WITH RECURSIVE {_PAIRS}, u AS (SELECT i AS a, j AS b FROM d UNION SELECT j, i FROM d), r AS (SELECT DISTINCT a AS node, a AS seen FROM u UNION SELECT r.node, u.b FROM r JOIN u ON r.seen = u.a), g AS (SELECT node, min(seen) AS group_id FROM r GROUP BY node),
 m AS (SELECT group_id, list(node ORDER BY node) AS members, max_by(name, length(name) * 10000000 - node) AS canonical_name FROM g JOIN c ON c.id = node GROUP BY 1),
-t AS (SELECT group_id, avg(score) AS confidence, ['domain'] || CASE WHEN bool_or(near) THEN ['address'] ELSE [] END || CASE WHEN bool_or(call) THEN ['phone'] ELSE [] END AS signals FROM d JOIN g ON d.i = g.node GROUP BY 1)
+t AS (SELECT group_id, avg(score) AS confidence, list_sort(list_distinct(flatten(list(signals)))) AS signals FROM d JOIN g ON d.i = g.node GROUP BY 1)
 SELECT group_id, members, canonical_name, round(confidence, 6) AS confidence, signals FROM m JOIN t USING (group_id)""", lists=("members", "signals"))
 def dedup_groups(spark, sf_dir):
-    c = _people(spark, sf_dir)
-    return link.duplicate_groups(link.duplicate_pairs(c), c).withColumn("confidence", F.round(F.col("confidence").cast("double"), 6))
+    """Groups with the mean score of all their pairs and all that these share."""
+    return link.duplicate_groups(_people(spark, sf_dir)).withColumn("confidence", F.round("confidence", 6))
 
 
 _EDGES = "SELECT DISTINCT o_custkey AS source, l_suppkey AS target FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey <> l_suppkey"
@@ -361,11 +363,12 @@ def opportunity_sort(spark, sf_dir):
     return o.orderBy(F.desc("impact"), F.desc("o_totalprice"), "o_orderkey").limit(100).select("o_orderkey", "impact")
 
 
-@query("""WITH r AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS n, (event_id * 13) % 100 AS total FROM events), t AS (SELECT *, min(CASE WHEN total >= 70 THEN n END) OVER (PARTITION BY user_id) AS stop FROM r WHERE n <= 5)
+@query("""WITH r AS (SELECT user_id, event_id, (event_id * 7) % 41 AS prior, CASE WHEN event_id % 3 > 0 THEN (event_id * 13) % 50 END AS bonus FROM events), n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY prior DESC, event_id) AS n FROM r),
+c AS (SELECT *, prior + coalesce(bonus, (SELECT arg_max(b.bonus, b.n) FROM n b WHERE b.user_id = n.user_id AND b.n < n.n AND b.bonus IS NOT NULL), 0) AS total FROM n WHERE n <= 5), t AS (SELECT *, min(CASE WHEN total >= 70 THEN n END) OVER (PARTITION BY user_id) AS stop FROM c)
 SELECT user_id, event_id, total FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY total DESC, n) AS k FROM t WHERE n <= coalesce(stop, 5)) WHERE k = 1""")
 def early_exit_argmax(spark, sf_dir):
-    e = read(spark, sf_dir, "events").select("user_id", "event_id", F.col("value").alias("prior"), ((F.col("event_id") * 13) % 100).alias("total"))
-    return windows.early_exit(e, "user_id", "total", "event_id").select("user_id", "event_id", "total")
+    e = read(spark, sf_dir, "events").selectExpr("user_id", "event_id", "(event_id * 7) % 41 AS prior", "CASE WHEN event_id % 3 > 0 THEN (event_id * 13) % 50 END AS bonus")
+    return windows.early_exit(e, "user_id", "prior", "bonus", "event_id").select("user_id", "event_id", "total")
 
 
 @query("SELECT c_custkey AS id, 'c' AS kind FROM customer UNION ALL SELECT s_suppkey, 's' FROM supplier")

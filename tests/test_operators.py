@@ -49,17 +49,22 @@ def test_duplicates(spark):
         org(4, "Blue", "https://b.de", "Am Kai 1 Hamburg", ["+49 40 77"]), org(5, "Totally Other", "https://b.de/x", "am kai 1 hamburg", ["040 9", "(49) 4077"]), org(6, "Green Wrks", "https://g.de"),
     ]
     orgs = spark.createDataFrame(rows, "id long, name string, url string, address string, phones array<string>")
-    pairs = link.duplicate_pairs(orgs)
-    got = {(r.i, r.j): round(r.score, 4) for r in pairs.collect()}
-    assert got == {(1, 2): 0.7, (4, 5): 0.7}
-    groups = {r.group_id: (r.members, r.canonical_name, round(r.confidence, 4)) for r in link.duplicate_groups(pairs, orgs).collect()}
-    assert groups == {1: ([1, 2], "Green Works GmbH", 0.7), 4: ([4, 5], "Totally Other", 0.7)}
+    got = {(r.i, r.j): (round(r.score, 4), r.ratio, r.overlap, r.phone) for r in link.duplicate_pairs(orgs).collect()}
+    assert got == {(4, 5): (0.7, None, 1.0, "4077")}
+    groups = {r.group_id: (r.members, r.canonical_name, round(r.confidence, 4), r.signals) for r in link.duplicate_groups(orgs).collect()}
+    assert groups == {1: ([1, 2], "Green Works GmbH", 0.7, ["domain_match:g.de", "name_similarity:1.00"]), 4: ([4, 5], "Totally Other", 0.7, ["address_match:1.00", "domain_match:b.de", "phone_match:4077"])}
     with pytest.raises(ValueError):
         link.duplicate_pairs(orgs, 0.6)
+    thea = [org(1, "Thea", "https://t.de"), org(2, "Thea", "https://t.de/b", "Am Kai 1", ["040 7"]), org(3, "thea GmbH", "https://t.de/c", "am kai 1", ["040 7"])]
+    one = link.duplicate_groups(spark.createDataFrame(thea, orgs.schema)).first()
+    assert (one.members, round(one.confidence, 6)) == ([1, 2, 3], 0.8)
+    assert one.signals == ["address_match:1.00", "domain_match:t.de", "name_similarity:1.00", "phone_match:0407"]
+    assert link.duplicate_groups(orgs.limit(0)).count() == 0
 
 
 @pytest.mark.parametrize("least", [0.62, 0.7, 0.8])
 def test_duplicates_against_all_pairs(spark, least):
+    """Pairs, namesakes and groups against a loop over all pairs."""
     r = random.Random(7)
     rows = []
     for i in range(90):
@@ -68,23 +73,42 @@ def test_duplicates_against_all_pairs(spark, least):
         rows.append(org(i, name, f"https://www.h{r.randrange(4)}.de/{i}", address, [f"+49 40 {r.randrange(6)}" for _ in range(r.randrange(3))]))
     d = spark.createDataFrame(rows, "id long, name string, url string, address string, phones array<string>")
     legal = {x.name: x.n for x in d.select("name", text.legal_name(F.col("name")).alias("n")).collect()}
-    want, first = {}, {}
-    for i, n, u, _, _ in rows:
-        first.setdefault((u.split("/")[2], legal[n]), i)
+    want, same, root = {}, {}, {i: i for i in range(90)}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
     for a in rows:
         for b in rows:
-            host = a[2].split("/")[2]
-            if a[0] < b[0] and host == b[2].split("/")[2]:
+            host = a[2].split("/")[2].removeprefix("www.")
+            if a[0] < b[0] and host == b[2].split("/")[2].removeprefix("www."):
                 x, y = legal[a[1]], legal[b[1]]
                 ratio = difflib.SequenceMatcher(None, x, y).ratio() if x and y else 0.0
                 w, v = set(a[3].split()), set(b[3].split())
+                overlap = len(w & v) / min(len(w), len(v)) if len(w) >= 3 and len(v) >= 3 else 0.0
+                phones = sorted({p.replace("+49 40 ", "40") for p in a[4]} & {p.replace("+49 40 ", "40") for p in b[4]})
                 s = 0.4 + (ratio * 0.3 if ratio >= 0.85 else 0.0)
-                s += 0.2 if len(w) >= 3 and len(v) >= 3 and len(w & v) / min(len(w), len(v)) >= 0.7 else 0.0
-                s += 0.1 if set(a[4]) & set(b[4]) else 0.0
-                if s >= least and not (least <= 0.4 + 0.3 and x == y != "" and first[host, x] != a[0]):
-                    want[a[0], b[0]] = round(s, 6)
-    got = {(x.i, x.j): round(x.score, 6) for x in link.duplicate_pairs(d, least).collect()}
-    assert got == want and want
+                s += 0.2 if overlap >= 0.7 else 0.0
+                s += 0.1 if phones else 0.0
+                if s >= least:
+                    told = [f"domain_match:{host}"] + [f"name_similarity:{ratio:.2f}"] * (ratio >= 0.85) + [f"address_match:{overlap:.2f}"] * (overlap >= 0.7) + [f"phone_match:{p}" for p in phones[:1]]
+                    (same if x == y != "" and least <= 0.4 + 0.3 else want)[a[0], b[0]] = (round(s, 6), told, (host, x), overlap >= 0.7, bool(phones))
+                    root[max(find(a[0]), find(b[0]))] = min(find(a[0]), find(b[0]))
+    pairs = link.duplicate_pairs(d, least).select("i", "j", "score", link.signals(*map(F.col, ("host", "ratio", "overlap", "phone"))).alias("signals"))
+    assert {(x.i, x.j): (round(x.score, 6), x.signals) for x in pairs.collect()} == {k: v[:2] for k, v in want.items()} and want
+    if same:
+        kinds = {}
+        for (i, _), v in same.items():
+            kinds.setdefault(v[2], []).append((i, *v))
+        got = {(x.host, x["name"]): (x.first, x.n_pairs, x.n_address, x.n_phone, x.n_both, round(x.score, 6), x.signals) for x in link.namesakes(d).collect()}
+        assert got == {k: (min(x[0] for x in of), len(of), sum(x[4] for x in of), sum(x[5] for x in of), sum(x[4] and x[5] for x in of), round(sum(x[1] for x in of), 6), sorted({s for x in of for s in x[2]})) for k, of in kinds.items()}
+    groups = {}
+    for (i, _), v in [*want.items(), *same.items()]:
+        groups.setdefault(find(i), []).append(v)
+    got = {x.group_id: (x.members, round(x.confidence, 6), x.signals) for x in link.duplicate_groups(d, least).collect()}
+    assert got == {g: ([i for i in range(90) if find(i) == g], round(sum(v[0] for v in of) / len(of), 6), sorted({s for v in of for s in v[1]})) for g, of in groups.items()}
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -483,3 +507,21 @@ def test_scan_spreads_one_list(spark):
     got = scan.scan(d, ["g"], ["id"], last={"at": F.col("head")}, total={"n": F.lit(1)})
     assert got.where("at <> id - id % 1000 OR n <> id + 1").count() == 0
     assert got.groupBy(F.spark_partition_id()).count().count() > 1
+
+
+def test_early_exit_carries_bonuses(spark):
+    """Against the loop: a page that can't be fetched leaves the bonus of the one before."""
+    r = random.Random(8)
+    rows = [(k, i, r.randrange(60), r.choice([None, 0, 10, 40])) for k in range(40) for i in range(r.randrange(1, 9))]
+    want = {}
+    for k in {x[0] for x in rows}:
+        bonus, best = 0, (None, -999)
+        for _, i, p, b in sorted((x for x in rows if x[0] == k), key=lambda x: (-x[2], x[1]))[:5]:
+            bonus = bonus if b is None else b
+            if p + bonus > best[1]:
+                best = (i, p + bonus)
+            if p + bonus >= 70:
+                break
+        want[k] = best
+    got = windows.early_exit(spark.createDataFrame(rows, "k int, i int, p int, b int"), "k", "p", "b", "i")
+    assert {x.k: (x.i, x.total) for x in got.collect()} == want
