@@ -6,17 +6,50 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..scratch import unused
+
+def _pattern(words: list[str]) -> str:
+    """A pattern of compiled code for the longest of some words that begins at a place: the words
+    as a tree of their characters, so that a place is left at the first that doesn't fit."""
+    tree: dict = {}
+    for w in words:
+        node = tree
+        for c in w:
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def of(node: dict) -> str:
+        ends = "" in node
+        parts = [(c if c.isalnum() else f"\\{c}") + of(n) for c, n in sorted(node.items()) if c]
+        if not parts:
+            return ""
+        if len(parts) == 1 and not ends:
+            return parts[0]
+        return f"(?:{'|'.join(parts)}){'?' if ends else ''}"
+
+    return of(tree)
 
 
 def match(df: DataFrame, text: str, keywords: list[tuple[str, str]]) -> DataFrame:
     """df with `activities`: distinct activities, in the keywords' order, whose keyword the
-    lower-cased text contains. The keywords are literals of the plan, so nothing is joined,
-    and each is searched for by compiled code."""
-    name = unused(df, "low")
-    d = df.withColumn(name, F.lower(F.coalesce(F.col(text), F.lit(""))))
-    found = F.array(*(F.when(F.col(name).contains(k), F.lit(a)) for k, a in keywords))
-    return d.withColumn("activities", F.array_distinct(F.filter(found, lambda x: x.isNotNull()))).drop(name)
+    lower-cased text contains.
+
+    A text is read once, by one pattern for all keywords that finds the longest at each
+    place; a keyword is there where one of these begins with it. An empty keyword is in
+    every text.
+    """
+    none = F.array().cast("array<string>")
+    if not keywords:
+        return df.withColumn("activities", none)
+    words = sorted({k for k, _ in keywords if k})
+    always = [i for i, (k, _) in enumerate(keywords) if not k]
+    # rules by the word that is found: those whose keyword it begins with
+    rules = F.create_map(*(x for w in words for x in (F.lit(w), F.array(*(F.lit(i) for i, (k, _) in enumerate(keywords) if w.startswith(k))))))
+    low = F.lower(F.coalesce(F.col(text), F.lit("")))
+    found = F.array_distinct(F.regexp_extract_all(low, F.lit(f"(?=({_pattern(words)}))"), F.lit(1))) if words else none
+    given = F.flatten(F.transform(found, lambda w: F.element_at(rules, w))) if words else F.array().cast("array<int>")
+    order = F.array_sort(F.array_distinct(F.concat(given, F.array(*map(F.lit, always)).cast("array<int>"))))
+    names = F.array(*(F.lit(a) for _, a in keywords))
+    return df.withColumn("activities", F.array_distinct(F.transform(order, lambda i: F.element_at(names, i + 1))))
 
 
 def assign(activity: Column, taxonomy: list[str], keywords: list[tuple[str, str]]) -> Column:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from .. import activities, search_terms
 from ..functions import text, urls
-from ..operators import cluster, collab, generate, graph, link, taxonomy
+from ..operators import cluster, collab, generate, graph, link, near, sketches, taxonomy
+from ..scratch import written
 from ..sources import markup, office
 from ..streaming import rates, sessions
 from .base import query, read
@@ -234,6 +235,47 @@ def discovery_depth(spark, sf_dir):
     return graph.reachable(e, spark.range(1).select(F.col("id").alias("node")), 2)
 
 
+@query(f"""WITH RECURSIVE e AS ({_EDGES}), s AS (SELECT DISTINCT c_custkey AS node FROM customer WHERE c_custkey % 50 = 7),
+r AS (SELECT node, 0 AS depth FROM s UNION SELECT e.target, r.depth + 1 FROM r JOIN e ON r.node = e.source WHERE r.depth < 3), m AS (SELECT node, min(depth) AS depth FROM r GROUP BY node),
+p AS (SELECT m.node, m.depth, (SELECT min(e.source) FROM e JOIN m b ON b.node = e.source WHERE e.target = m.node AND b.depth = m.depth - 1) AS parent FROM m),
+c AS (SELECT node, depth, parent, node::VARCHAR AS chain FROM p WHERE depth = 0 UNION ALL SELECT p.node, p.depth, p.parent, c.chain || ' -> ' || p.node FROM p JOIN c ON p.parent = c.node AND p.depth = c.depth + 1) SELECT * FROM c""", ints=("depth",))
+def discovery_paths(spark, sf_dir):
+    """Suppliers found from customers, then what orders of the same number lead to: shortest ways."""
+    e = _edges(spark, sf_dir).withColumnRenamed("source", "src").withColumnRenamed("target", "dst")
+    seeds = read(spark, sf_dir, "customer").where("c_custkey % 50 = 7").select(F.col("c_custkey").alias("node"))
+    return graph.discovery_paths(e, seeds)
+
+
+_POINT = "CASE c_custkey % 7 WHEN 0 THEN 90.0 - c_custkey % 30 / 20.0 WHEN 1 THEN -89.5 + c_custkey % 11 / 20.0 ELSE (c_custkey * 7919) % 1801 / 10.0 - 90.0 END AS lat, CASE c_custkey % 5 WHEN 0 THEN 179.9 WHEN 1 THEN -179.7 + c_custkey % 9 / 10.0 ELSE (c_custkey * 104729) % 3601 / 10.0 - 180.0 END AS lon"
+
+
+@query(f"""WITH p AS (SELECT c_custkey AS id, lat::DOUBLE AS lat, lon::DOUBLE AS lon FROM (SELECT c_custkey, {_POINT} FROM customer)), k AS (SELECT min(id) AS rep, count(*) AS n, lat, CASE WHEN abs(lat) = 90 THEN 0 WHEN lon = 180 THEN -180 ELSE lon END AS lon FROM p GROUP BY 3, 4),
+d AS (SELECT a.rep AS a, b.rep AS b, a.n AS n_a, b.n AS n_b, 2 * 6371.0 * asin(sqrt(least(1.0, sin(radians(b.lat - a.lat) / 2) ** 2 + cos(radians(a.lat)) * cos(radians(b.lat)) * sin(radians(b.lon - a.lon) / 2) ** 2))) AS km FROM k a JOIN k b ON a.rep < b.rep) SELECT a, b, n_a, n_b, round(km, 3) AS km FROM d WHERE km <= 150.5""")
+def near_places(spark, sf_dir):
+    """Pairs of places within 150.5 km, also over the date line and the poles."""
+    p = read(spark, sf_dir, "customer").selectExpr("c_custkey AS id", f"struct({_POINT}) AS p").selectExpr("id", "CAST(p.lat AS double) AS lat", "CAST(p.lon AS double) AS lon")
+    classes = near.place_classes(p)
+    n = classes.select("rep", "n")
+    pairs = near.near_pairs(written(classes), 150.5)
+    return pairs.join(n.select(F.col("rep").alias("a"), F.col("n").alias("n_a")), "a").join(n.select(F.col("rep").alias("b"), F.col("n").alias("n_b")), "b").select("a", "b", "n_a", "n_b", F.round("km", 3).alias("km"))
+
+
+@query("""WITH e AS (SELECT event_type AS source, (event_id * 7919 % 30011)::VARCHAR AS item FROM events UNION ALL SELECT event_type, 'often' FROM events WHERE event_id % 4 = 0)
+SELECT source, count(*) AS n, true AS close, true AS same, 'often' AS most, max(often) AS often FROM e JOIN (SELECT event_type AS source, count(*) FILTER (event_id % 4 = 0) AS often FROM events GROUP BY 1) USING (source) GROUP BY source""")
+def sketched_counts(spark, sf_dir):
+    """Distinct and frequent values from sketches by source and day: whether their union is within
+    three standard errors of the exact count, and equals the sketch of all rows at once."""
+    e = read(spark, sf_dir, "events").selectExpr("event_type AS source", "CAST(ts AS date) AS day", "CAST(event_id * 7919 % 30011 AS string) AS item", "event_id")
+    e = e.unionByName(e.where("event_id % 4 = 0").withColumn("item", F.lit("often")))
+    exact = e.groupBy("source").agg(F.count_distinct("item").alias("exact"))
+    days = written(sketches.summarise(e, ["source", "day"], "item"))
+    got = sketches.estimates(sketches.united(days, ["source"]), ["source"], 1)
+    whole = sketches.estimates(sketches.summarise(e, ["source"], "item"), ["source"], 1).select("source", F.col("n_distinct").alias("at_once"))
+    met = got.join(exact, "source").join(whole, "source")
+    close = lambda c: F.abs(F.col(c) - F.col("exact")) <= 3 * 1.04 / 2 ** (sketches.REGISTERS / 2) * F.col("exact")
+    return met.select("source", "n", close("n_distinct").alias("close"), (F.abs(F.col("n_distinct") - F.col("at_once")) <= 0.02 * F.col("exact")).alias("same"), F.col("top")[0]["item"].alias("most"), F.col("top")[0]["count"].alias("often"))
+
+
 _TERMS = [(r, t) for r, own in search_terms.ROLE_TERMS.items() for t in [*own, *search_terms.LOCAL_TERMS[r]]]
 _TYPES = [(r, t) for r, own in search_terms.PLACE_TYPES.items() for t in own]
 
