@@ -1,30 +1,33 @@
-"""Pairs of strings whose matching-blocks ratio may reach a bound, met on rare bigrams."""
+"""Pairs of strings whose matching-blocks ratio may reach a bound, met on rare runs of characters."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import ratio_bound, sequence_ratio
-from ..scratch import unused, written
+from ..scratch import forget, unused, written
 
 
-def with_bigrams(df: DataFrame, s: str, out: str) -> DataFrame:
-    """df with hashes of a string's neighbouring pairs of characters, the k-th of equal ones apart."""
-    n = F.greatest(F.char_length(s) - 1, F.lit(0))
-    two = F.transform(F.slice(F.sequence(F.lit(0), F.greatest(n, F.lit(1))), F.lit(2), n), lambda i: F.substring(s, i, F.lit(2)))
+def with_grams(df: DataFrame, s: str, out: str, q: Column) -> DataFrame:
+    """df with hashes of a string's runs of q characters, the k-th of equal ones apart."""
+    n = F.greatest(F.char_length(s) - q + 1, F.lit(0))
+    runs = F.transform(F.slice(F.sequence(F.lit(0), F.greatest(n, F.lit(1))), F.lit(2), n), lambda i: F.substring(s, i, q))
     # sorted in a column of its own, as what a lambda names is worked out for each element
-    d = df.withColumn(out, F.sort_array(two))
+    d = df.withColumn(out, F.sort_array(runs))
     return d.withColumn(out, F.transform(out, lambda x, i: F.xxhash64(x, i - F.array_position(out, x))))
 
 
-def needed(chars: Column, least: float) -> Column:
-    """Bigrams that two strings of so many characters together share if their ratio is least.
+def needed(chars: Column, least: float, q: Column) -> Column:
+    """Runs of q characters that two strings of so many characters together share if their ratio
+    is least.
 
-    M matched characters in k blocks share M - k bigrams; each of the U = chars - 2 M others
-    stands between two blocks at most, so k <= U + 1, and M >= least * chars / 2.
+    M matched characters in k blocks share M - (q - 1) k of them; each of the U = chars - 2 M
+    others stands between two blocks at most, so k <= U + 1, and M >= least * chars / 2.
     """
-    return F.greatest(F.lit(1), F.ceil((1.5 * least - 1) * chars - 1 - 1e-9))
+    return F.greatest(F.lit(1), F.ceil((least / 2 - (q - 1) * (1 - least)) * chars - (q - 1) - 1e-9))
 
 
 def candidates(left: DataFrame, right: DataFrame, least: float, block: tuple[str, ...] = ()) -> DataFrame:
@@ -32,37 +35,48 @@ def candidates(left: DataFrame, right: DataFrame, least: float, block: tuple[str
     among which are all with a ratio of least or more. Both sides hold distinct strings.
 
     Equal strings meet by an equi-join. Others, which above 0.8 have four characters together
-    or more, share a bigram among the rarest of either,
-    as many as may be missing and one more, where lengths and positions still fit, and then
-    must share as many as needed.
+    or more, share a run among the rarest of either, as many as may be missing and one more,
+    where lengths and positions still fit, and then must share as many as needed. Runs have
+    three characters where both strings are so long that they must share one, else two.
     """
     if least <= 0.8:
         raise ValueError("up to a ratio of 0.8 different strings need not share a bigram")
-
-    def tokens(df: DataFrame, c: str, p: str) -> DataFrame:
-        grams = unused(df, "grams")
-        return with_bigrams(df, c, grams).select(F.col(c).alias(p), *block, F.explode(grams).alias("t"))
-
-    l, r = tokens(left, "k", "k"), tokens(right, "n", "n")
+    # strings from this length on share a run of three with all of that length that are like them
+    long = math.ceil(3 / (2.5 * least - 2) * (2 - least) / 2)
+    longest = math.floor((long - 1) * (2 - least) / least + 1e-9)  # of those like a shorter one
+    width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    q = F.col("q")
+
+    def tokens(df: DataFrame, c: str) -> DataFrame:
+        grams, size = unused(df, "grams"), F.char_length(c)
+        kinds = F.filter(F.array(F.when(size >= long, 3), F.when(size <= longest, 2)), lambda x: x.isNotNull())
+        d = df.select(c, *block).repartition(width, c).withColumn("q", F.explode(kinds))
+        return written(with_grams(d, c, grams, q).select(c, *block, "q", F.explode(grams).alias("t")))
+
+    l, r = tokens(left, "k"), tokens(right, "n")
     often = r.groupBy("t").agg(F.count("*").alias("df"))
 
     def ranked(t: DataFrame, p: str) -> DataFrame:
-        t = t.join(often, "t", "left").groupBy(p, *block).agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "t"))).alias("o"))
-        return written(t.select(p, *block, F.size("o").alias(f"{p}_size"), F.transform("o", lambda x: x["t"]).alias(f"{p}_all")))
+        t = t.join(often, "t", "left").groupBy(p, *block, "q").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "t"))).alias("o"))
+        return written(t.select(p, *block, "q", F.size("o").alias(f"{p}_size"), F.transform("o", lambda x: x["t"]).alias(f"{p}_all")))
 
     def prefixes(t: DataFrame, p: str) -> DataFrame:
         size = F.col(f"{p}_size")
-        first = size - needed(F.char_length(p) * (2 / (2 - least)), least).cast("int") + 1
-        return t.select(p, *block, size, F.posexplode(F.slice(f"{p}_all", F.lit(1), F.greatest(first, F.lit(0)))).alias(f"{p}_at", "t"))
+        first = size - needed(F.char_length(p) * (2 / (2 - least)), least, q).cast("int") + 1
+        return t.select(p, *block, "q", size, F.posexplode(F.slice(f"{p}_all", F.lit(1), F.greatest(first, F.lit(0)))).alias(f"{p}_at", "t"))
 
+    tables = [l, r]
     l, r = ranked(l, "k"), ranked(r, "n")
-    met = prefixes(l, "k").join(prefixes(r, "n"), ["t", *block])
+    forget(*tables)
+    met = prefixes(l, "k").join(prefixes(r, "n"), ["t", "q", *block])
     both = F.char_length("k") + F.char_length("n")
     left_over = 1 + F.least(F.col("k_size") - F.col("k_at") - 1, F.col("n_size") - F.col("n_at") - 1)
-    met = met.where((ratio_bound(F.col("k"), F.col("n")) >= least) & (left_over >= needed(both, least))).select("k", "n", *block).distinct()
-    met = met.join(l.drop("k_size"), ["k", *block]).join(r.drop("n_size"), ["n", *block]).where(F.size(F.array_intersect("k_all", "n_all")) >= needed(both, least))
+    fit = (ratio_bound(F.col("k"), F.col("n")) >= least) & (left_over >= needed(both, least, q)) & ((q == 3) | (F.least(F.char_length("k"), F.char_length("n")) < long))
+    met = met.where(fit).select("k", "n", "q", *block).distinct()
+    met = met.join(l.drop("k_size"), ["k", "q", *block]).join(r.drop("n_size"), ["n", "q", *block])
+    met = met.where(F.size(F.array_intersect("k_all", "n_all")) >= needed(both, least, q)).select("k", "n", *block)
     same = left.select("k", *block).join(right.select(F.col("n").alias("k"), "n", *block), ["k", *block])
-    return met.select("k", "n", *block).unionByName(same.select("k", "n", *block)).distinct()
+    return met.unionByName(same.select("k", "n", *block)).distinct()
 
 
 def scored(pairs: DataFrame, least: float, a: str = "k", b: str = "n") -> DataFrame:
