@@ -27,7 +27,7 @@ CHAR, UNIT, MARK = 1, 2, 4
 LANES, STEPS = 8192, 256
 _NEWLINE = 0x0A
 #: Bytes of texts that are scanned at once.
-BATCH = 4_000_000
+BATCH = 2_000_000
 
 
 class Scanner:
@@ -159,9 +159,10 @@ def rebuilt(raw: list[bytes], form: list[str | None], scanner: Scanner) -> list[
     return out
 
 
-def _runs(size: list[int]) -> Iterator[slice]:
+def _runs(texts: pa.Array) -> Iterator[slice]:
     """Neighbouring texts of about BATCH bytes; a batch without texts is one run."""
     at, held = 0, 0
+    size = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     for k, n in enumerate(size):
         held += n
         if held >= BATCH:
@@ -195,12 +196,10 @@ def transform(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", out:
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, h1, h2, w in batches:
-            raw, low, high, forms = _bytes(texts), h1.to_numpy(zero_copy_only=False), h2.to_numpy(zero_copy_only=False), w.to_pylist()
-            parts = []
-            for k in _runs([len(t) for t in raw]):
-                n, form, a, b, made = transformed(raw[k], low[k], high[k], forms[k], scanner, names)
-                parts.append(pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(form, pa.string()), pa.array(a, pa.int64(), mask=a < 0), pa.array(b, pa.int64(), mask=b < 0), pa.array(made, pa.binary()).cast(pa.string())], ["n", "form", "prefix_chars", "middle_chars", "output"]))
-            yield pa.concat_arrays(parts)
+            low, high, forms = h1.to_numpy(zero_copy_only=False), h2.to_numpy(zero_copy_only=False), w.to_pylist()
+            for k in _runs(texts):
+                n, form, a, b, made = transformed(_bytes(texts[k]), low[k], high[k], forms[k], scanner, names)
+                yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(form, pa.string()), pa.array(a, pa.int64(), mask=a < 0), pa.array(b, pa.int64(), mask=b < 0), pa.array(made, pa.binary()).cast(pa.string())], ["n", "form", "prefix_chars", "middle_chars", "output"])
 
     return docs.withColumn(out, F.arrow_udf(run, _MADE).asNondeterministic()(F.col(text).cast("binary"), number(1), number(2), wanted))
 
@@ -215,11 +214,10 @@ def restore(docs: DataFrame, output: str | Column = "output", form: str | Column
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for made, forms in batches:
-            raw, gone = _bytes(made), made.is_null()
-            f = pc.if_else(gone, "plain", forms).to_pylist()
-            parts = [pa.array(rebuilt(raw[k], f[k], scanner), pa.binary()) for k in _runs([len(t) for t in raw])]
-            whole = pa.concat_arrays(parts).cast(pa.string())
-            yield pc.if_else(gone, pa.scalar(None, pa.string()), whole) if made.null_count else whole
+            f = pc.if_else(made.is_null(), "plain", forms)
+            for k in _runs(made):
+                whole = pa.array(rebuilt(_bytes(made[k]), f[k].to_pylist(), scanner), pa.binary()).cast(pa.string())
+                yield pc.if_else(made[k].is_null(), pa.scalar(None, pa.string()), whole)
 
     column = lambda c: F.col(c) if isinstance(c, str) else c
     return docs.withColumn(out, F.arrow_udf(run, "string").asNondeterministic()(column(output).cast("binary"), column(form)))

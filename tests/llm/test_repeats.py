@@ -130,6 +130,9 @@ def test_infill_against_plain_code(spark, rate, spm):
     got = infill.restore(infill.transform(df, rate=rate, spm=spm).select("text", "doc_id", "infill.*")).collect()
     assert sorted(repr((r.n, r.form, r.prefix_chars, r.middle_chars, r.output)) for r in got) == sorted(repr(plain_infill(i, t, 7, rate, spm)) for i, t in rows)
     assert all(r.restored == (r.text or "") for r in got)
+    big = spark.range(3000).selectExpr("id AS doc_id", "repeat(concat('line ', id, '\n'), 200) AS text").coalesce(1)  # more than is scanned at once
+    got = infill.restore(infill.transform(big).select("text", "doc_id", "infill.*"))
+    assert got.where("restored <> text OR n <> 200").count() == 0 and got.count() == 3000
 
 
 def test_lanes_don_t_show():
