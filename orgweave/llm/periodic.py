@@ -274,15 +274,17 @@ def collapsed(words: list, runs: list[tuple[int, int, int]]) -> list:
     return [words[k] for k in np.flatnonzero(np.cumsum(edge[:-1]) == 0).tolist()]
 
 
-def _batches(raw: list[bytes]) -> Iterator[list[bytes]]:
+def _batches(texts: pa.Array) -> Iterator[list[bytes]]:
+    """Neighbouring texts of about BATCH bytes, null as empty; at least one run."""
     held, size = [], 0
-    for t in raw:
+    for x in texts:
+        t = x.as_py() or b""
         held.append(t)
         size += len(t)
         if size >= BATCH:
             yield held
             held, size = [], 0
-    if held or not raw:
+    if held or not len(texts):
         yield held
 
 
@@ -301,16 +303,14 @@ def find_runs(docs: DataFrame, text: str | Column = "text", out: str = "periodic
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for s in batches:
-            parts = []
-            for raw in _batches([x or b"" for x in s.to_pylist()]):
+            for raw in _batches(s):
                 words = [t.split() for t in raw]
                 found = runs_of(words, least)
                 flat = np.array([(i, j - i, p) for of in found for i, j, p in of], np.int64).reshape(-1, 3)
                 at = np.concatenate(([0], np.cumsum([len(of) for of in found]))).astype(np.int32)
                 each = pa.StructArray.from_arrays([pa.array(flat[:, k]) for k in range(3)], ["start", "length", "period"])
                 left = pa.array([b" ".join(collapsed(w, of)) for w, of in zip(words, found)], pa.binary()).cast(pa.string())
-                parts.append(pa.StructArray.from_arrays([pa.array([len(w) for w in words], pa.int64()), pa.ListArray.from_arrays(pa.array(at), each), left], ["n_words", "runs", "collapsed"]))
-            yield pa.concat_arrays(parts)
+                yield pa.StructArray.from_arrays([pa.array([len(w) for w in words], pa.int64()), pa.ListArray.from_arrays(pa.array(at), each), left], ["n_words", "runs", "collapsed"])
 
     column = F.col(text) if isinstance(text, str) else text
     return docs.withColumn(out, F.arrow_udf(run, _FOUND).asNondeterministic()(column.cast("binary")))
