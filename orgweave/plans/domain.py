@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import activities, search_terms
 from ..functions import text, urls
-from ..operators import cluster, collab, generate, graph, link, near, sketches, taxonomy
+from ..operators import cluster, collab, generate, graph, increments, link, near, sketches, taxonomy
 from ..scratch import written
 from ..sources import markup, office
 from ..streaming import rates, sessions
@@ -246,6 +246,21 @@ def discovery_paths(spark, sf_dir):
     return graph.discovery_paths(e, seeds)
 
 
+@query("""WITH c AS (SELECT c_custkey AS id, c_custkey // 30 AS g, c_custkey % 30 AS k FROM customer) SELECT id AS node, min(id) OVER (PARTITION BY g) AS component, min(id) OVER (PARTITION BY g) <> min(id) OVER (PARTITION BY g, (k + g) % 2) AS was_apart FROM c WHERE g IN (SELECT g FROM c GROUP BY g HAVING count(*) > 4)""")
+def groups_by_batches(spark, sf_dir):
+    """Groups of thirty, whose odd and even members are linked first, and to each other in a second
+    batch: the groups after both, and which of the first batch were merged into others."""
+    c = read(spark, sf_dir, "customer").selectExpr("c_custkey AS id", "c_custkey div 30 AS g", "c_custkey % 30 AS k")
+    c = c.join(c.groupBy("g").count().where("count > 4").select("g"), "g")
+    first = c.groupBy("g", F.expr("(k + g) % 2").alias("half")).agg(F.min("id").alias("src"))
+    links = c.withColumn("half", F.expr("(k + g) % 2")).join(first, ["g", "half"])
+    one, _ = increments.merge_edges(None, links.select("src", F.col("id").alias("dst")))
+    bridge = first.groupBy("g").agg(F.min("src").alias("src"), F.max("src").alias("dst"))
+    two, merged = increments.merge_edges(one, bridge)
+    before = one.join(merged.select("component", F.lit(True).alias("was_apart")), "component", "left").select("node", "was_apart")
+    return two.join(before, "node").select("node", "component", F.coalesce("was_apart", F.lit(False)).alias("was_apart"))
+
+
 _POINT = "CASE c_custkey % 7 WHEN 0 THEN 90.0 - c_custkey % 30 / 20.0 WHEN 1 THEN -89.5 + c_custkey % 11 / 20.0 ELSE (c_custkey * 7919) % 1801 / 10.0 - 90.0 END AS lat, CASE c_custkey % 5 WHEN 0 THEN 179.9 WHEN 1 THEN -179.7 + c_custkey % 9 / 10.0 ELSE (c_custkey * 104729) % 3601 / 10.0 - 180.0 END AS lon"
 
 
@@ -285,9 +300,11 @@ def _values(rows: list[tuple[str, ...]]) -> str:
 
 
 @query(f"""WITH t AS (SELECT * FROM {_values(_TERMS)} t(role, term)), k AS (SELECT * FROM {_values([(x,) for x in search_terms.KEYWORDS['novi_sad']])} k(k)), y AS (SELECT * FROM {_values(_TYPES)} y(role, type))
-SELECT role, term || ' Novi Sad' AS query, 'broad' AS kind FROM t UNION ALL SELECT role, k || ' ' || term || ' Novi Sad', 'specific' FROM t, k UNION ALL SELECT role, type || ' Novi Sad', 'type' FROM y""")
+SELECT n_name AS city, role, term || ' ' || n_name AS query, 'broad' AS kind FROM t, nation UNION ALL SELECT n_name, role, k || ' ' || term || ' ' || n_name, 'specific' FROM t, k, nation UNION ALL SELECT n_name, role, type || ' ' || n_name, 'type' FROM y, nation""")
 def query_generator_cross(spark, sf_dir):
-    return generate.queries(search_terms.terms(spark), search_terms.keywords(spark, "novi_sad"), search_terms.types(spark), "Novi Sad")
+    """All search queries of every nation as a city."""
+    cities = read(spark, sf_dir, "nation").select(F.col("n_name").alias("city"))
+    return generate.queries(search_terms.terms(spark), search_terms.keywords(spark, "novi_sad"), search_terms.types(spark), cities)
 
 
 @query("SELECT count(*) AS n, round(count(*) * 0.032, 6)::DOUBLE AS usd, round(count(*) * 0.032 * 0.92, 6)::DOUBLE AS eur FROM nation")

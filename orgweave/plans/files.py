@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from ..scratch import place, written
-from ..sources import elements, records, workbook
+from ..sources import elements, records, registry, sinks, workbook
 from .base import query, read
 
 
@@ -80,3 +80,54 @@ def nested_cards(spark, sf_dir):
     e = elements.elements(written(pages), "page")
     found = elements.card_links(e, "page", elements.has_class("card"), "own.example")
     return found.select("page", "section", "name", "href", F.col("href").contains("//c").alias("inner"))
+
+
+@query("""SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, row_number() OVER (ORDER BY c_acctbal, c_custkey) = 1 AS is_first, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey DESC) = 1 AS is_last FROM customer""")
+def json_document_parts(spark, sf_dir):
+    """Customers as one JSON array over many files, read back line by line."""
+    path = place(spark, "json")
+    sinks.json_parts(read(spark, sf_dir, "customer").selectExpr("c_custkey AS id", "c_name AS name", "c_acctbal AS balance"), ["balance", "id"], path)
+    line = F.col("value")
+    row = F.from_json(F.regexp_replace(line, r"^[\[,]|\]$", ""), "id bigint, name string, balance double")
+    return spark.read.text(path).select(row.alias("r"), line.startswith("[").alias("is_first"), line.endswith("]").alias("is_last")).select("r.*", "is_first", "is_last")
+
+
+@query("SELECT s_suppkey AS k, s_name AS before, CASE WHEN s_suppkey % 3 <> 0 THEN upper(s_name) END AS now, 2 AS n_versions FROM supplier", ints=("n_versions",))
+def table_versions(spark, sf_dir):
+    """A table written three times: the version before the last one, the last one, and how many stay."""
+    path = place(spark, "versions")
+    s = read(spark, sf_dir, "supplier").selectExpr("s_suppkey AS k", "s_name AS name")
+    for v in (s.limit(0), s, s.where("k % 3 <> 0").withColumn("name", F.upper("name"))):
+        sinks.write_version(v, path)
+    kept = sinks.versions(spark, path)
+    now = sinks.read_version(spark, path).withColumnRenamed("name", "now")
+    return sinks.read_version(spark, path, kept[0]).withColumnRenamed("name", "before").join(now, "k", "left").withColumn("n_versions", F.lit(len(kept)).cast("bigint"))
+
+
+@query("SELECT page_id, substr(sha256(url), 1, 16) AS url_hash, length(html) AS n FROM pages", ints=("n",))
+def raw_page_store(spark, sf_dir):
+    """Pages stored under the first digits of their address's hash, each found in its part."""
+    path = place(spark, "raw")
+    p = read(spark, sf_dir, "pages")
+    sinks.raw_pages(p, path)
+    kept = spark.read.option("basePath", path).schema(f"{', '.join(f'{n} {t}' for n, t in p.dtypes)}, url_hash string, part string").parquet(path)
+    return kept.where(F.col("part") == F.substring("url_hash", 1, 2)).select("page_id", "url_hash", F.char_length("html").cast("bigint").alias("n"))
+
+
+@query("SELECT event_id AS id, event_type AS kind, value, event_id % 2 AS batch FROM events", ints=("batch",))
+def json_lines_appended(spark, sf_dir):
+    path = place(spark, "lines")
+    e = read(spark, sf_dir, "events").selectExpr("event_id AS id", "event_type AS kind", "value", "event_id % 2 AS batch")
+    for k in (0, 1):
+        sinks.json_lines(e.where(f"batch = {k}"), path)
+    return spark.read.schema("id bigint, kind string, value double, batch bigint").json(path)
+
+
+@query("SELECT s_name AS name, s_suppkey::VARCHAR AS idno, 'Denumirea organizației' AS name_column FROM supplier")
+def header_repair(spark, sf_dir):
+    """A table whose header stands in its first row, and which of its columns has names."""
+    s = read(spark, sf_dir, "supplier").selectExpr("s_suppkey AS ord", "s_name AS `Unnamed: 0`", "CAST(s_suppkey AS string) AS `Unnamed: 1`", "'x' AS `_c2`")
+    head = spark.createDataFrame([(-1, "Denumirea organizației", "IDNO", "Adresa juridică")], s.schema)
+    d = registry.promote_header(head.unionByName(s), "ord")
+    name = registry.name_column(d.drop("ord"))
+    return d.select(F.col(f"`{name}`").alias("name"), F.col("IDNO").alias("idno"), F.lit(name).alias("name_column"))

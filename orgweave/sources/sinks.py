@@ -6,9 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def csv_file(df: DataFrame, path: str) -> None:
-    """One CSV with a header, replaced: for results of a report's size."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+#: Rows of a file that one task writes.
+FILE_ROWS = 1_000_000
+
+
+def csv_file(df: DataFrame, path: str, rows: int = FILE_ROWS) -> int:
+    """One CSV with a header, replaced, for results of a report's size; the number of files. More
+    than `rows` rows are written by several tasks as several files, in order by name."""
+    files = max(1, -(-df.count() // rows))
+    df.coalesce(files).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    return files
 
 
 def json_lines(df: DataFrame, path: str, append: bool = True) -> None:
@@ -27,16 +34,36 @@ def json_document(df: DataFrame, order: list[str], write) -> int:
     return n
 
 
+def json_parts(df: DataFrame, order: list[str], path: str) -> None:
+    """The rows as one JSON array over text files that all tasks write: the files one after the
+    other, by name, are the document, a row a line. For documents that are too large for
+    json_document(). Of rows that are equal by order any may be first."""
+    from ..operators.windows import numbered
+    from ..scratch import forget, unused, written
+
+    at = unused(df, "number")
+    json = F.to_json(F.struct(*df.columns))
+    rows = written(numbered(df, [], order, at).select(at, json.alias("json")))
+    n = rows.count()
+    if n:
+        line = F.concat(F.when(F.col(at) == 0, "[").otherwise(","), "json", F.when(F.col(at) == n - 1, "]").otherwise(""))
+        rows.orderBy(at).select(line.alias("value")).write.mode("overwrite").text(path)
+    else:
+        df.sparkSession.createDataFrame([("[]",)], "value string").write.mode("overwrite").text(path)
+    forget(rows)
+
+
 def append_rows(df: DataFrame, path: str) -> None:
-    """Rows appended to a table; readers that want the last row of a key use last_of()."""
-    df.withColumn("written_at", F.current_timestamp()).write.mode("append").parquet(path)
+    """Rows appended to a table; readers that want the last row of a key use last_of(). Of a
+    batch's rows those that stand later in df are later."""
+    df.withColumns({"written_at": F.current_timestamp(), "written_as": F.monotonically_increasing_id()}).write.mode("append").parquet(path)
 
 
 def last_of(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """The last appended row of each key: how an appended cache is read."""
     d = spark.read.parquet(path)
-    rest = [c for c in d.columns if c not in keys and c != "written_at"]
-    got = d.groupBy(*keys).agg(F.max_by(F.struct(*rest), "written_at").alias("r"))
+    rest = [c for c in d.columns if c not in keys and c not in ("written_at", "written_as")]
+    got = d.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("written_at", "written_as")).alias("r"))
     return got.select(*keys, "r.*")
 
 

@@ -525,3 +525,18 @@ def test_early_exit_carries_bonuses(spark):
         want[k] = best
     got = windows.early_exit(spark.createDataFrame(rows, "k int, i int, p int, b int"), "k", "p", "b", "i")
     assert {x.k: (x.i, x.total) for x in got.collect()} == want
+
+
+def test_sinks_of_several_files(spark, tmp_path):
+    df = spark.range(0, 2500, 1, 6).selectExpr("id", "CASE WHEN id % 3 = 0 THEN NULL ELSE concat('ü\"', id) END AS t")
+    assert sinks.csv_file(df, str(tmp_path / "one")) == 1 and len(list((tmp_path / "one").glob("part-*"))) == 1
+    assert sinks.csv_file(df, str(tmp_path / "more"), 1000) == 3
+    parts = sorted((tmp_path / "more").glob("part-*"))
+    assert len(parts) == 3 and [x.split(",")[0] for p in parts for x in p.read_text().splitlines()[1:]] == [str(i) for i in range(2500)]
+    for name, rows, order in (("j", df, ["id"]), ("none", df.limit(0), ["id"]), ("lone", df.limit(1), ["id"])):
+        sinks.json_parts(rows, order, str(tmp_path / name))
+        text = "".join(p.read_text() for p in sorted((tmp_path / name).glob("part-*")))
+        assert json.loads(text) == [{k: v for k, v in x.asDict().items() if v is not None} for x in rows.collect()]
+    twice = spark.createDataFrame([(1, "a"), (2, "x"), (1, "b")], "k int, v string").coalesce(1)
+    sinks.append_rows(twice, str(tmp_path / "cache"))
+    assert sorted(map(tuple, sinks.last_of(spark, str(tmp_path / "cache"), ["k"]).collect())) == [(1, "b"), (2, "x")]
