@@ -17,7 +17,7 @@ def folder(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         path = spark.conf.get("spark.checkpoint.dir", None)
-        if not path and not sc.master.startswith("local"):
+        if not path and not (sc.master == "local" or sc.master.startswith("local[")):  # local-cluster has executors of its own
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(path or tempfile.mkdtemp())
     return sc._jsc.sc().getCheckpointDir().get()
