@@ -82,6 +82,19 @@ def nested_cards(spark, sf_dir):
     return found.select("page", "section", "name", "href", F.col("href").contains("//c").alias("inner"))
 
 
+@query("""SELECT c_custkey // 20 AS page, c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN 'https://m' || c_custkey || '.example.com/a' WHEN c_custkey % 3 = 1 THEN 'https://t' || c_custkey || '.example.org' ELSE '' END AS website FROM customer""")
+def button_cards(spark, sf_dir):
+    """Member tiles with a button before their name; the website is a link in the tile, an address
+    in its text, or missing. A name that comes twice keeps the tile with a website."""
+    tile = """concat('<div class="tile big"><p>Member<a href="https://chamber.example.md/', c_custkey, '">profile</a>',
+        CASE c_custkey % 3 WHEN 0 THEN concat('<a href="/in">x</a><a href="https://m', c_custkey, '.example.com/a"><img alt=a></a><a href="https://second.example.com">y</a>') WHEN 1 THEN concat('<!-- https://no.example --><p>see https://t', c_custkey, '.example.org now') ELSE '' END,
+        '<a class=b href="/member"><span> Read </span>More</a></div><h4>', c_name, '</h4>', CASE WHEN c_custkey % 3 = 0 THEN concat('<div class=tile><a>read more</a></div><strong>', c_name, '</strong>') ELSE '' END)"""
+    c = read(spark, sf_dir, "customer").selectExpr("c_custkey div 20 AS page", "c_custkey AS k", f"{tile} AS html")
+    pages = c.groupBy("page").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", "html"))), lambda x: x["html"]), "").alias("html"))
+    e = elements.elements(pages, "page")
+    return elements.button_cards(e, "page", F.col("label") == "read more", elements.has_class("tile"), "chamber.example.md").select("page", "name", "website")
+
+
 @query("""SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, row_number() OVER (ORDER BY c_acctbal, c_custkey) = 1 AS is_first, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey DESC) = 1 AS is_last FROM customer""")
 def json_document_parts(spark, sf_dir):
     """Customers as one JSON array over many files, read back line by line."""

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import urls
+from ..operators.dedupe import keep
 from ..scratch import written
 from .markup import card_link_points, fallback_name
 
@@ -197,6 +198,39 @@ def card_links(e: DataFrame, key: str, card: Column, own: str = "", headings: tu
     return best.join(placed, [key, "card"]).select(key, "card", "section", "name", "href", "score")
 
 
+def button_cards(e: DataFrame, key: str, says: Column, card: Column, own: str, name_tags: tuple[str, ...] = ("h3", "h4", "h5", "h6", "strong")) -> DataFrame:
+    """(key, button, card, name, website) of pages whose tiles have a button and the name behind it:
+    one row for each anchor whose lower-cased label fulfils `says` (a condition on `label`).
+
+    The tile is the nearest element around the button that fulfils card. The website is the
+    first link to another host in it, else the first address in its text; '' without one. The
+    name is the next heading after the button, wherever it stands. Buttons without a tile or a
+    name have no row; of rows with the same name on a page the first with a website counts,
+    else the first.
+    """
+    found = links(e, key)
+    buttons = found.withColumn("label", F.lower(F.trim("label"))).where(says).select(key, "pre", "ancestors")
+    tiles = inside(buttons, e.where(card), key).select(key, F.col("pre").alias("button"), F.col("within").alias("card"))
+    cards = tiles.select(key, F.col("card").alias("pre")).distinct()
+
+    host = urls.domain(F.col("href"), "strip")
+    other = (host != "") & ~host.contains(own) & F.lower("href").startswith("http")
+    linked = inside(found.where(other), cards, key, nearest=False)
+    linked = linked.select(key, F.col("within").alias("card"), "pre", F.trim("href").alias("site")).join(tiles, [key, "card"]).where("pre <> button")
+    linked = linked.groupBy(key, "button").agg(F.min_by("site", "pre").alias("linked"))
+    text = inner_text(e, cards, key).select(key, F.col("pre").alias("card"), urls.first_url(F.col("text")).alias("told"))
+    text = text.withColumn("told", F.when(F.lower("told").contains(own), "").otherwise(F.col("told")))
+
+    heads = e.where(F.col("tag").isin(*name_tags))
+    titles = inner_text(e, heads, key).select(key, "pre", F.col("text").alias("name"), F.lit(False).alias("is_button"))
+    places = titles.unionByName(buttons.select(key, "pre", F.lit(None).cast("string").alias("name"), F.lit(True).alias("is_button")))
+    after = F.first("name", ignorenulls=True).over(Window.partitionBy(key).orderBy("pre").rowsBetween(1, Window.unboundedFollowing))
+    named = places.withColumn("name", after).where("is_button AND name <> ''").select(key, F.col("pre").alias("button"), "name")
+    d = tiles.join(named, [key, "button"]).join(linked, [key, "button"], "left").join(text, [key, "card"], "left")
+    d = d.withColumn("website", F.coalesce("linked", "told", F.lit("")))
+    return keep(d, [key, "name"], [F.col("website") == "", "button"]).select(key, "button", "card", "name", "website")
+
+
 def _best(named: DataFrame, key: str, points: Column) -> DataFrame:
     d = named.withColumn("score", points).where("score >= 0")
     best = d.groupBy(key, "card").agg(F.max_by(F.struct("href", "name"), F.struct("score", (-F.col("pre")).alias("o"))).alias("b"), F.max("score").alias("score"))
