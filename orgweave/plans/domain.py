@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from .. import activities, search_terms
 from ..functions import text, urls
 from ..operators import cluster, collab, generate, graph, increments, link, near, sketches, taxonomy
-from ..scratch import written
+from ..scratch import place, written
 from ..sources import markup, office
-from ..streaming import rates, sessions
+from ..streaming import limits, rates, sessions
 from .base import query, read
 from .relations import _EDGES, _edges
 
@@ -291,6 +291,22 @@ def sketched_counts(spark, sf_dir):
     return met.select("source", "n", close("n_distinct").alias("close"), (F.abs(F.col("n_distinct") - F.col("at_once")) <= 0.02 * F.col("exact")).alias("same"), F.col("top")[0]["item"].alias("most"), F.col("top")[0]["count"].alias("often"))
 
 
+@query("""SELECT user_id, event_id, used, CASE used WHEN 48 THEN '80%' WHEN 54 THEN '90%' ELSE 'over' END AS level FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS used FROM events) WHERE used IN (48, 54, 61)""", ints=("used",))
+def quota_warnings(spark, sf_dir):
+    """Events as a stream: each user's warnings at 80 and 90 % of sixty events and beyond, once."""
+    key, path = "spark.sql.streaming.stateStore.providerClass", place(spark, "quota")
+    before = spark.conf.get(key)
+    spark.conf.set(key, limits.STORE)
+    try:
+        events = f"{sf_dir}/events.parquet"
+        stream = spark.readStream.schema(spark.read.parquet(events).schema).parquet(f"{sf_dir}/event[s].parquet")  # a pattern may name one file
+        told = limits.quota_warnings(stream, "user_id", "ts", "event_id", F.lit(1), 60.0)
+        told.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.parquet(f"{path}/out").select(F.col("key").alias("user_id"), F.col("id").alias("event_id"), F.col("used").cast("bigint").alias("used"), "level")
+
+
 _TERMS = [(r, t) for r, own in search_terms.ROLE_TERMS.items() for t in [*own, *search_terms.LOCAL_TERMS[r]]]
 _TYPES = [(r, t) for r, own in search_terms.PLACE_TYPES.items() for t in own]
 
