@@ -3,7 +3,10 @@
 P(w | previous) = P(class of w | class of previous) * P(unit of w | class) * P(w | unit).
 Every word that training has LEAST times is clustered; rarer and unknown words belong to
 the unit of their ending, so that all words have a class. Counts are taken over all
-training documents. Exchange clustering of the most frequent words and the endings seeds
+training documents. An unknown word has its share of the unit's words never seen, times
+the probability of its spelling among all words of that ending: a chain of bytes, each
+given the one before, counted over all training words. So all unknown words of an ending
+add up to that share, however many there are. Exchange clustering of the most frequent words and the endings seeds
 the classes. Every other clustered word is then placed in rounds over the cluster: its
 neighbours are counted by class, and it moves to the class that raises the likelihood of
 the class bigrams most.
@@ -26,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold, forget, let_go, partitions, place as scratch, remove, small_batches, table, written
-from .tokens import BLANKS, Batch, pieces, text_list, words
+from .tokens import _BASE, _TABLE, BLANKS, U, Batch, mix, pieces, text_list, words
 
 END = np.uint64(0x5851F42D4C957F2D)
 #: Words that seed the classes, units of endings, classes, sweeps of the exchange.
@@ -40,6 +43,8 @@ UNITS = CORE + SHAPES + 1
 _WORD = np.dtype([("h", "<u8"), ("n", "<u4"), ("id", "<u4"), ("shape", "u1")])
 _TOLD = np.dtype([("h", "<u8"), ("n", "<i8"), ("id", "<u4"), ("shape", "u1")])
 _RARE = np.dtype([("id", "<u4"), ("shape", "u1")])
+#: A word that its block doesn't teach, and log10 of its spelling's probability.
+_SPELLED = np.dtype([("id", "<u4"), ("p", "<f4")])
 #: Slots of a word's neighbours: classes after it, classes before it, itself.
 SLOTS = 2 * CLASSES + 1
 _MANY = np.dtype([("at", "<u4"), ("n", "<u4")])
@@ -51,6 +56,52 @@ def _shapes(b: Batch) -> np.ndarray:
     return (b.hashes(start, b.end) >> np.uint64(20)).astype(np.int64) % SHAPES
 
 
+def _pairs_of(b: Batch) -> np.ndarray:
+    """For each byte of the batch: the one before and itself, blanks as 0x20."""
+    s = np.where(BLANKS[b.buf], 32, b.buf).astype(np.int64)
+    return np.concatenate(([32], s[:-1])) * 256 + s
+
+
+def spelling(docs: DataFrame, text: str = "text") -> np.ndarray:
+    """log10 P(byte | byte before) over the words of docs, one added to each count; 0x20 is
+    before a word's first byte and after its last one. What is collected are 65,536 counts."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = np.zeros(1 << 16, np.int64)
+        for g in batches:
+            for _, part in pieces(text_list(g.text)):
+                n += np.bincount(_pairs_of(words(part, BLANKS)), minlength=1 << 16)
+        k = np.flatnonzero(n)
+        yield pd.DataFrame({"pair": k, "n": n[k]})
+
+    got = docs.select(F.col(text).alias("text")).mapInPandas(count, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    n = np.zeros(1 << 16)
+    n[got.pair.to_numpy(np.int64)] = got.n.to_numpy(float)
+    n = n.reshape(256, 256) + 1
+    other = BLANKS & (np.arange(256) != 32)
+    n[other], n[:, other], n[32, 32] = 0, 0, 0
+    with np.errstate(divide="ignore"):
+        p = np.log10(n / np.maximum(n.sum(1, keepdims=True), 1))
+    p[32, 32] = 0  # between blanks nothing is spelled
+    return p
+
+
+def endings(spelled: np.ndarray) -> np.ndarray:
+    """log10 of the share of all spellings that belongs to each unit of endings, exactly:
+    words of one byte, of two, and the last three bytes of all others."""
+    b = np.flatnonzero(~BLANKS)
+    step, first, last = 10 ** spelled[np.ix_(b, b)], 10 ** spelled[32, b], 10 ** spelled[b, 32]
+    visits = np.linalg.solve(np.eye(len(b)) - step.T, first)
+    h, base = _TABLE[b], U(_BASE)
+    of = lambda x: (mix(x) >> U(20)).astype(np.int64) % SHAPES
+    share = np.bincount(of(h), first * last, SHAPES)
+    share += np.bincount(of(h[:, None] + h * base).ravel(), (first[:, None] * step * last).ravel(), SHAPES)
+    two, end = h[:, None] * base + h * base * base, step * last
+    for k in range(len(b)):
+        share += np.bincount(of(h[k] + two).ravel(), (visits[k] * step[k][:, None] * end).ravel(), SHAPES)
+    return np.log10(share)
+
+
 def _tokens(texts: list) -> tuple[np.ndarray, np.ndarray, Batch, np.ndarray]:
     """(hash, text) of every token: words, then one end for each text; words, where ends go in."""
     b = words(texts, BLANKS)
@@ -66,13 +117,13 @@ def _block(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
 
 
 class _Numbers:
-    """The words of a block in the order of their numbers: hashes, training counts, endings."""
+    """The words of a block in the order of their numbers: hashes, training counts, endings, spellings."""
 
     def __init__(self):
         self.h, self.n, self.shape = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint8)
-        self.sorted, self.ids = self.h, np.empty(0, np.int64)
+        self.sorted, self.ids, self.spelled = self.h, np.empty(0, np.int64), np.empty(0, np.float32)
 
-    def add(self, h: np.ndarray, shape: np.ndarray, learn: np.ndarray) -> np.ndarray:
+    def add(self, h: np.ndarray, shape: np.ndarray, learn: np.ndarray, spelled: np.ndarray) -> np.ndarray:
         """Numbers of some tokens."""
         u, first, inv = np.unique(h, return_index=True, return_inverse=True)
         at = np.searchsorted(self.sorted, u)
@@ -82,6 +133,7 @@ class _Numbers:
         of[old], new = self.ids[at[old]], np.flatnonzero(~old)
         of[new] = np.arange(len(self.h), len(self.h) + len(new))
         self.h, self.shape, self.n = np.append(self.h, u[new]), np.append(self.shape, shape[first[new]].astype(np.uint8)), np.append(self.n, np.zeros(len(new), np.int64))
+        self.spelled = np.append(self.spelled, spelled[first[new]].astype(np.float32))
         self.sorted, self.ids = np.insert(self.sorted, at[new], u[new]), np.insert(self.ids, at[new], of[new])
         self.n[of] += np.bincount(inv, learn, len(u)).astype(np.int64)
         return of[inv]
@@ -92,8 +144,14 @@ def _planes(ids: np.ndarray) -> bytes:
     return ids.view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
-def _read(n: int):
-    """Texts as numbers (bucket -1), and the words of each block, a blob for each hash bucket."""
+def _read(n: int, spelled: np.ndarray):
+    """Texts as numbers (bucket -1), the words of each block, a blob for each hash bucket, and
+    the probability of the spellings of those that the block doesn't teach (bucket -2)."""
+    flat = spelled.reshape(-1)
+
+    def spell(b: Batch, ends: np.ndarray) -> np.ndarray:
+        sums = np.concatenate(([0.0], np.cumsum(flat[_pairs_of(b)])))
+        return np.insert(sums[b.end + 1] - sums[b.start], ends, 0.0)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, _Numbers] = {}
@@ -103,7 +161,7 @@ def _read(n: int):
                 learn = g.learn.to_numpy(bool)
                 for at, part in pieces(text_list(g.text)):
                     h, doc, words_, ends = _tokens(part)
-                    ids = numbers.add(h, np.insert(_shapes(words_), ends, 0), learn[at : at + len(part)][doc]).astype("<u4")
+                    ids = numbers.add(h, np.insert(_shapes(words_), ends, 0), learn[at : at + len(part)][doc], spell(words_, ends)).astype("<u4")
                     cut = np.searchsorted(doc, np.arange(len(part) + 1))
                     data = [_planes(ids[i:j]) for i, j in zip(cut[:-1].tolist(), cut[1:].tolist())]
                     rows = g.iloc[at : at + len(part)]
@@ -116,6 +174,10 @@ def _read(n: int):
             ends = np.searchsorted(bucket[order], np.arange(n + 1))
             full = np.flatnonzero(np.diff(ends))
             yield pd.DataFrame({"block": block, "bucket": full, "doc_id": None, "learn": False, "data": [e[order[ends[k] : ends[k + 1]]].tobytes() for k in full]})
+            new = np.flatnonzero((numbers.n == 0) & (numbers.h != END))
+            told = np.empty(len(new), _SPELLED)
+            told["id"], told["p"] = new, numbers.spelled[new]
+            yield pd.DataFrame({"block": block, "bucket": [-2], "doc_id": None, "learn": False, "data": [told.tobytes()]})
 
     return run
 
@@ -154,7 +216,8 @@ class Model:
     """core: sorted hashes of the words that are units; of: class of each unit; move:
     log10 P(class | class); emit: log10 P(unit | class of the unit); whole: log10 of each
     class's tokens, smoothed, by which a placed word's count is divided; rest: log10 of
-    (1 - unknown share) / tokens of each ending's unit; unknown: log10 of that share."""
+    (1 - unknown share) / tokens of each ending's unit; unknown: log10 of that share over the
+    share of all spellings that the ending has."""
 
     core: np.ndarray
     of: np.ndarray
@@ -267,20 +330,24 @@ def moves(g: np.ndarray, here: np.ndarray, near: np.ndarray, chunk: int = 20_000
 @dataclass
 class _Known:
     """What the buckets told a block, by its numbers: hashes of all its words, their training
-    counts, endings, and the classes of placed words (-1: none yet, or not placed)."""
+    counts, endings, the classes of placed words (-1: none yet, or not placed), and log10 P of
+    the spellings of words that may be unknown."""
 
     h: np.ndarray
     n: np.ndarray
     shape: np.ndarray
     c: np.ndarray
+    spelled: np.ndarray
 
     @classmethod
     def of(cls, counts: list[np.ndarray]) -> _Known:
         """From the buckets' answers; rare words have no hash here, and need none."""
         size = max((int(x["id"].max()) + 1 for x in counts if len(x)), default=0)
-        out = cls(np.zeros(size, np.uint64), np.zeros(size, np.int64), np.zeros(size, np.int64), np.full(size, -1))
+        out = cls(np.zeros(size, np.uint64), np.zeros(size, np.int64), np.zeros(size, np.int64), np.full(size, -1), np.zeros(size, np.float32))
         for x in counts:
-            if x.dtype == _RARE:
+            if x.dtype == _SPELLED:
+                out.spelled[x["id"]] = x["p"]
+            elif x.dtype == _RARE:
                 out.n[x["id"]], out.shape[x["id"]] = x["shape"] // SHAPES, x["shape"] % SHAPES
             else:
                 out.h[x["id"]], out.n[x["id"]], out.shape[x["id"]] = x["h"], x["n"], x["shape"]
@@ -307,7 +374,8 @@ def _told(read: DataFrame, answers: DataFrame, places: DataFrame | None) -> Data
     def told(d: DataFrame, kind: int) -> DataFrame:
         return d.where("kind = 0").select("block", F.lit(kind).alias("kind"), F.col("key").cast("int").alias("bucket"), "data", none.cast("string").alias("doc_id"), none.cast("boolean").alias("learn"))
 
-    both = told(answers, 0).unionByName(read.where("bucket < 0").select("block", F.lit(2).alias("kind"), "bucket", "data", "doc_id", "learn"))
+    kind = F.when(F.col("bucket") == -2, 0).otherwise(2).alias("kind")
+    both = told(answers, 0).unionByName(read.where("bucket < 0").select("block", kind, "bucket", "data", "doc_id", "learn"))
     if places is not None:
         both = both.unionByName(told(places, 1))
     return both.repartition(partitions(read.sparkSession), "block").sortWithinPartitions("block", "kind")
@@ -321,7 +389,7 @@ def _by_block(batches: Iterator[pd.DataFrame], core: np.ndarray, n: int) -> Iter
             if k != block:
                 block, counts, classes, known = k, [], [], None
             told = g[g.kind == 0]
-            counts += [np.frombuffer(x, _RARE if rare else _TOLD) for rare, x in zip(told.bucket, told.data)]
+            counts += [np.frombuffer(x, {-2: _SPELLED, 1: _RARE, 0: _TOLD}[at]) for at, x in zip(told.bucket, told.data)]
             told = g[g.kind == 1]
             classes += [(at, np.frombuffer(x, np.int8)) for at, x in zip(told.bucket, told.data)]
             g = g[g.kind == 2]
@@ -503,7 +571,7 @@ def place(read: DataFrame, answers: DataFrame, core: np.ndarray, of: np.ndarray,
     return kept
 
 
-def train(read: DataFrame, answers: DataFrame) -> tuple[Model, DataFrame]:
+def train(read: DataFrame, answers: DataFrame, spelled: np.ndarray) -> tuple[Model, DataFrame]:
     """The model, and the classes of the placed words for each block."""
     stat = {(r.kind, r.key): r.n for r in answers.where("kind IN (1, 3, 4)").groupBy("kind", "key").agg(F.sum("n").alias("n")).collect()}
     types, tokens = stat.get((1, 0), 0), stat.get((1, 1), 0)
@@ -524,12 +592,12 @@ def train(read: DataFrame, answers: DataFrame) -> tuple[Model, DataFrame]:
     once = np.array([stat.get((3, s), 0) for s in range(SHAPES)], float)
     unknown = np.where(ending > 0, (np.minimum(once, ending) + 1) / (ending + 2), 1.0)  # without a rare word all of it
     rest = np.log10(np.maximum(1 - unknown, 1e-300) / np.maximum(ending, 1))
-    return Model(core, of, np.log10(move), np.log10(emit), np.log10(whole), rest, np.log10(unknown), int(types), int(tokens)), places
+    return Model(core, of, np.log10(move), np.log10(emit), np.log10(whole), rest, np.log10(unknown) - endings(spelled), int(types), int(tokens)), places
 
 
 def _score(m: Model, g: pd.DataFrame, known: _Known, unit: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Rows of n_tokens, n_known, base_score, score."""
-    out = np.zeros((len(g), 4))
+    """Rows of n_tokens, n_known, base_score, score, known_score."""
+    out = np.zeros((len(g), 5))
     for at, k, doc in _streams(g):
         u, cls, c = unit[k], place[k], known.n[k]
         own = (c >= LEAST) & (u >= CORE) & (u < UNITS - 1)
@@ -537,21 +605,23 @@ def _score(m: Model, g: pd.DataFrame, known: _Known, unit: np.ndarray, place: np
         p += np.where(own, np.log10(c + 0.5) - m.whole[cls], m.emit[u])
         s = np.flatnonzero((u >= CORE) & (u < UNITS - 1) & ~own)
         e, cs = u[s] - CORE, c[s]
-        p[s] += np.where(cs > 0, m.rest[e] + np.log10(np.maximum(cs, 1)), m.unknown[e])
+        p[s] += np.where(cs > 0, m.rest[e] + np.log10(np.maximum(cs, 1)), m.unknown[e] + known.spelled[k[s]])
         base = np.log10((c + 1) / (m.tokens + m.types + 1))
         n = int(doc[-1]) + 1 if len(doc) else 0
-        for j, x in enumerate((None, c > 0, base, p)):
+        for j, x in enumerate((None, c > 0, base, p, np.where(c > 0, p, 0.0))):
             out[at : at + n, j] = np.bincount(doc, x, n)
     return out
 
 
-def read_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(texts as numbers, what the buckets answer the blocks about their words)."""
+def read_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """(texts as numbers, what the buckets answer the blocks about their words, spelling)."""
     spark = docs.sparkSession
     n = partitions(spark)
     blocks = _block(docs, doc_id, text, n).repartition(n, "block")
+    spelled = spelling(docs.where(F.coalesce(fold(F.col(doc_id), 7) != 2, F.lit(False))), text)
+    shared = spark.sparkContext.broadcast(spelled)
     path = scratch(spark, "read")
-    rows = blocks.mapInPandas(_read(n), "block int, bucket int, doc_id string, learn boolean, data binary")
+    rows = blocks.mapInPandas(lambda batches: _read(n, shared.value)(batches), "block int, bucket int, doc_id string, learn boolean, data binary")
     rows.withColumn("asks", (F.col("bucket") >= 0).cast("int")).write.partitionBy("asks").parquet(path)
     of = lambda asks: spark.read.schema(rows.schema).parquet(f"{path}/asks={asks}") if asks in there else spark.createDataFrame([], rows.schema)
     there = {r.asks for r in spark.read.schema("asks int").parquet(path).select("asks").distinct().collect()}
@@ -559,12 +629,15 @@ def read_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> t
     answers = of(1).groupBy("bucket").applyInPandas(_count_bucket, "kind int, block int, key long, n long, data binary")
     answers = written(answers)
     remove(spark, f"{path}/asks=1")
-    return of(0), answers
+    return of(0), answers, spelled
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, held_out, n_tokens, n_known, train_tokens,
-    base_score (add-one unigram) and score (log10 probability of the class model).
+    base_score (add-one unigram), score (log10 probability of the class model) and
+    known_score (the part of score that known tokens have). base_score charges each unknown
+    word as if there were but one, score charges its spelling, so that the two compare over
+    known tokens only.
 
     A text is its words and one end. Null and empty texts are just an end; texts may be of
     any length. Rows with a null id are scored but teach nothing and aren't held out.
@@ -576,9 +649,9 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     spark = docs.sparkSession
     n = partitions(spark)
     with small_batches(spark):
-        read, answers = read_texts(docs, doc_id, text)
+        read, answers, spelled = read_texts(docs, doc_id, text)
         let_go(spark)
-        model, places = train(read, answers)
+        model, places = train(read, answers, spelled)
     shared = spark.sparkContext.broadcast(model)
     let_go(spark)
 
@@ -588,13 +661,13 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
             if b != block:
                 block, (unit, place) = b, known.classes(m.core, m.of)
             rows = _score(m, g, known, unit, place)
-            yield pd.DataFrame({"doc_id": g.doc_id.to_numpy(object), "n_tokens": rows[:, 0].astype(np.int64), "n_known": rows[:, 1].astype(np.int64), "base_score": rows[:, 2], "score": rows[:, 3]})
+            yield pd.DataFrame({"doc_id": g.doc_id.to_numpy(object), "n_tokens": rows[:, 0].astype(np.int64), "n_known": rows[:, 1].astype(np.int64), "base_score": rows[:, 2], "score": rows[:, 3], "known_score": rows[:, 4]})
 
-    out = _told(read, answers, places).mapInPandas(run, "doc_id string, n_tokens long, n_known long, base_score double, score double")
+    out = _told(read, answers, places).mapInPandas(run, "doc_id string, n_tokens long, n_known long, base_score double, score double, known_score double")
     out = out.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
     held = F.coalesce(fold(F.col("doc_id"), 7) == 2, F.lit(False)).alias("held_out")
     tokens = F.lit(model.tokens).cast("long").alias("train_tokens")
-    return out.select("doc_id", held, "n_tokens", "n_known", tokens, "base_score", "score")
+    return out.select("doc_id", held, "n_tokens", "n_known", tokens, "base_score", "score", "known_score")
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

@@ -331,9 +331,44 @@ def test_brown_base_and_gain(spark):
     assert held > base * 0.97  # classes know that the halves of the vocabulary alternate
 
 
+def spelled_alone(w, p):
+    b = b" " + w.encode() + b" "
+    return sum(p[x, y] for x, y in zip(b, b[1:]))
+
+
+def test_brown_spelling(spark):
+    """The chain of bytes against plain counts; shares of the endings against words drawn from
+    it; any number of unknown words of one ending have less than the ending's unknown words."""
+    docs = [(1, "ab ab\tba"), (2, "  a "), (3, None), (4, "")]
+    log = brown.spelling(spark.createDataFrame(docs, "doc_id long, text string"))
+    p = 10**log
+    b = [k for k in range(256) if not brown.BLANKS[k]]
+    assert math.isclose(p[32, 97], 4 / 254) and math.isclose(p[97, 98], 3 / 255) and math.isclose(p[97, 32], 3 / 255) and math.isclose(p[98, 32], 3 / 254)
+    assert np.allclose(p[np.ix_(b, b)].sum(1) + p[b, 32], 1) and math.isclose(p[32, b].sum(), 1)
+    assert math.isclose((10 ** brown.endings(log)).sum(), 1, rel_tol=1e-9)
+    words_, r = [sentence(400, random.Random(k)) for k in range(6)], random.Random(4)
+    log = brown.spelling(spark.createDataFrame([(k, t) for k, t in enumerate(words_)], "doc_id long, text string"))
+    q, drawn = 10**log, []
+    while len(drawn) < 20_000:
+        w, at = [], 32
+        while not w or at != 32:
+            at = r.choices(range(256), q[at] * (np.arange(256) != 32 if not w else 1))[0]
+            w.append(at)
+        drawn.append(bytes(w[:-1]))
+    share = np.bincount(brown._shapes(brown.words(drawn, brown.BLANKS, False)), minlength=brown.SHAPES) / len(drawn)
+    assert np.abs(share - 10 ** brown.endings(log)).max() < 0.01
+
+    ids = [i for i in range(1000, 9000) if zlib.crc32(str(i).encode()) % 7 == 2][:400]
+    new = {"".join(r.choice("abcdefgh") for _ in range(r.randrange(2, 6))) + "zed" for _ in range(800)}
+    rows = list(enumerate(words_)) + list(zip(ids, sorted(new)))
+    got = {x.doc_id: x.score for x in brown.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    asked = [got[i] for i, _ in zip(ids, sorted(new))]
+    assert len(asked) > 300 and sum(10**x for x in asked) < 1 / brown.SHAPES and len({round(x, 4) for x in asked}) > 200
+
+
 def test_brown_probabilities_sum_to_one(spark):
-    """Scores of a next word, over all words of the corpus and one unknown word of each ending,
-    add up to one after any word, and the score of a text is that of its words."""
+    """Scores of a next word, over all words of the corpus and each ending's unknown words, add
+    up to one after any word, and the score of a text is that of its words."""
     r = random.Random(3)
     docs = [(i, " ".join(r.choice(VOCAB[:60]) for _ in range(40))) for i in range(60)]
     seen = {w for i, t in docs if zlib.crc32(str(i).encode()) % 7 != 2 for w in words(t)}
@@ -349,8 +384,8 @@ def test_brown_probabilities_sum_to_one(spark):
     rows = docs + list(zip(ids, asked))
     got = {x.doc_id: x.score for x in brown.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     # both texts end, so what the class of the last word does to the end is taken out by its own scores
-    read, answers = brown.read_texts(spark.createDataFrame(rows, "doc_id long, text string"))
-    m, places = brown.train(read, answers)
+    read, answers, spelled = brown.read_texts(spark.createDataFrame(rows, "doc_id long, text string"))
+    m, places = brown.train(read, answers, spelled)
     end = m.of[brown.UNITS - 1]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     of = {}
@@ -360,7 +395,9 @@ def test_brown_probabilities_sum_to_one(spark):
     cls = lambda w: of.get(int(brown.words([w]).hashes()[0]), m.of[brown.CORE + brown._shapes(brown.words([w]))[0]])
     to_end = lambda w: m.move[cls(w), end] + m.emit[brown.UNITS - 1]
     alone = got[ids[0]] - to_end(first)
-    total = sum(10 ** (got[i] - to_end(t.split()[1]) - alone) for i, t in list(zip(ids, asked))[1:])
+    share = brown.endings(spelled)
+    part = lambda w: spelled_alone(w, spelled) - share[brown._shapes(brown.words([w]))[0]] if w not in seen else 0.0
+    total = sum(10 ** (got[i] - to_end(w) - alone - part(w)) for i, w in [(i, t.split()[1]) for i, t in list(zip(ids, asked))[1:]])
     assert abs(total + 10 ** to_end(first) - 1) < 1e-6
 
 
@@ -408,8 +445,8 @@ def test_brown_classes_of_words_beyond_the_core(spark):
     kind = [[f"{k}{i}xyz" for i in range(700)] for k in "pq"]
     docs = [(i, " ".join(r.choice(kind[k % 2]) for k in range(80))) for i in range(400)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    read, answers = brown.read_texts(df)
-    m, places = brown.train(read, answers)
+    read, answers, spelled = brown.read_texts(df)
+    m, places = brown.train(read, answers, spelled)
     of = {}
     told = [r for r in brown._told(read, answers, places).toPandas().groupby("block")]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
