@@ -144,6 +144,20 @@ def _planes(ids: np.ndarray) -> bytes:
     return ids.view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
+def _packed_spelling(new: np.ndarray, p: np.ndarray) -> bytes:
+    """Number of words, a bit for each that tells the new ones, and what their spellings have."""
+    return np.uint32(len(new)).tobytes() + np.packbits(new).tobytes() + _planes(p[new])
+
+
+def _unpacked_spelling(data: bytes) -> np.ndarray:
+    size = int(np.frombuffer(data, "<u4", 1)[0])
+    past = 4 + (size + 7) // 8
+    ids = np.flatnonzero(np.unpackbits(np.frombuffer(data[4:past], np.uint8), count=size))
+    out = np.empty(len(ids), _SPELLED)
+    out["id"], out["p"] = ids, np.frombuffer(data[past:], np.uint8).reshape(4, -1).T.copy().view("<f4").reshape(-1)
+    return out
+
+
 def _read(n: int, spelled: np.ndarray):
     """Texts as numbers (bucket -1), the words of each block, a blob for each hash bucket, and
     the probability of the spellings of those that the block doesn't teach (bucket -2)."""
@@ -174,10 +188,7 @@ def _read(n: int, spelled: np.ndarray):
             ends = np.searchsorted(bucket[order], np.arange(n + 1))
             full = np.flatnonzero(np.diff(ends))
             yield pd.DataFrame({"block": block, "bucket": full, "doc_id": None, "learn": False, "data": [e[order[ends[k] : ends[k + 1]]].tobytes() for k in full]})
-            new = np.flatnonzero((numbers.n == 0) & (numbers.h != END))
-            told = np.empty(len(new), _SPELLED)
-            told["id"], told["p"] = new, numbers.spelled[new]
-            yield pd.DataFrame({"block": block, "bucket": [-2], "doc_id": None, "learn": False, "data": [told.tobytes()]})
+            yield pd.DataFrame({"block": block, "bucket": [-2], "doc_id": None, "learn": False, "data": [_packed_spelling(numbers.n == 0, numbers.spelled)]})
 
     return run
 
@@ -367,15 +378,16 @@ class _Known:
         return own[order], np.searchsorted(bucket[order], np.arange(n + 1))
 
 
-def _told(read: DataFrame, answers: DataFrame, places: DataFrame | None) -> DataFrame:
-    """What the buckets told each block (kinds 0 and 1), followed by its texts (2)."""
+def _told(read: DataFrame, answers: DataFrame, places: DataFrame | None, spelled: bool = False) -> DataFrame:
+    """What the buckets told each block (kinds 0 and 1), followed by its texts (2); spellings
+    only where they are asked for."""
     none = F.lit(None)
 
     def told(d: DataFrame, kind: int) -> DataFrame:
         return d.where("kind = 0").select("block", F.lit(kind).alias("kind"), F.col("key").cast("int").alias("bucket"), "data", none.cast("string").alias("doc_id"), none.cast("boolean").alias("learn"))
 
     kind = F.when(F.col("bucket") == -2, 0).otherwise(2).alias("kind")
-    both = told(answers, 0).unionByName(read.where("bucket < 0").select("block", kind, "bucket", "data", "doc_id", "learn"))
+    both = told(answers, 0).unionByName(read.where(F.col("bucket").isin([-2, -1] if spelled else [-1])).select("block", kind, "bucket", "data", "doc_id", "learn"))
     if places is not None:
         both = both.unionByName(told(places, 1))
     return both.repartition(partitions(read.sparkSession), "block").sortWithinPartitions("block", "kind")
@@ -389,7 +401,7 @@ def _by_block(batches: Iterator[pd.DataFrame], core: np.ndarray, n: int) -> Iter
             if k != block:
                 block, counts, classes, known = k, [], [], None
             told = g[g.kind == 0]
-            counts += [np.frombuffer(x, {-2: _SPELLED, 1: _RARE, 0: _TOLD}[at]) for at, x in zip(told.bucket, told.data)]
+            counts += [_unpacked_spelling(x) if at == -2 else np.frombuffer(x, _RARE if at else _TOLD) for at, x in zip(told.bucket, told.data)]
             told = g[g.kind == 1]
             classes += [(at, np.frombuffer(x, np.int8)) for at, x in zip(told.bucket, told.data)]
             g = g[g.kind == 2]
@@ -663,7 +675,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
             rows = _score(m, g, known, unit, place)
             yield pd.DataFrame({"doc_id": g.doc_id.to_numpy(object), "n_tokens": rows[:, 0].astype(np.int64), "n_known": rows[:, 1].astype(np.int64), "base_score": rows[:, 2], "score": rows[:, 3], "known_score": rows[:, 4]})
 
-    out = _told(read, answers, places).mapInPandas(run, "doc_id string, n_tokens long, n_known long, base_score double, score double, known_score double")
+    out = _told(read, answers, places, True).mapInPandas(run, "doc_id string, n_tokens long, n_known long, base_score double, score double, known_score double")
     out = out.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
     held = F.coalesce(fold(F.col("doc_id"), 7) == 2, F.lit(False)).alias("held_out")
     tokens = F.lit(model.tokens).cast("long").alias("train_tokens")
