@@ -105,30 +105,31 @@ def nearby(addresses: DataFrame, n: int = 3, share: float = 0.3, words: int = 2,
     `share` of the larger set's; that share is the score.
 
     Equal sets of words are one; a set's first partners are those of its members, so each
-    set stands with its n + 1 least. Sets meet on rare words, at the highest level first:
-    what has n partners there is done, and only the others go down to lower ones.
+    set stands with its n + 1 least. Sets meet on their first two common words, the rarest
+    (on one where one word is enough), at the highest level first: what has n partners there
+    is done, and only the others go down to lower ones.
     """
     a = addresses.where(F.coalesce("address", F.lit("")) != "").select("entity", F.array_distinct(blank_words(F.col("address"))).alias("w"))
     reps = setjoin.classes(a, "entity", "w")
     of = written(setjoin.members(a.where(F.size("w") > 0), "entity", "w"))
     sets = written(setjoin.by_rarity(reps, "rep", "w", "n_members").withColumn("m", F.size("o")))
     few = written(keep(of.withColumnRenamed("key", "partner"), ["rep"], ["partner"], n + 1))
-    open_, found, held = sets.select("rep"), None, []
+    open_, found, held, both = sets.select("rep"), None, [], min(words, 2)
     for level in (*(x for x in levels if x > share), share):
         need = F.greatest(F.lit(words), F.ceil(F.col("m") * level - 1e-9))
-        p = sets.select("rep", "m", "n_members", F.posexplode(F.slice("o", F.lit(1), F.greatest(F.col("m") - need + 1, F.lit(0)).cast("int"))).alias("pos", "t"))
-        one = p.join(open_, "rep").select(F.col("rep").alias("a"), F.col("m").alias("am"), F.col("pos").alias("ap"), "t")
-        two = p.select(F.col("rep").alias("b"), F.col("m").alias("bm"), F.col("pos").alias("bp"), "t", "n_members")
+        first = F.slice("o", F.lit(1), F.greatest(F.col("m") - need + both, F.lit(0)).cast("int"))
+        p = sets.select("rep", "m", "n_members", F.inline(setjoin.keys_of(first, both)))
+        one = p.join(open_, "rep").select(F.col("rep").alias("a"), F.col("m").alias("am"), F.col("pos").alias("ap"), "t", "u")
+        two = p.select(F.col("rep").alias("b"), F.col("m").alias("bm"), F.col("pos").alias("bp"), "t", "u", "n_members")
         most = F.greatest("am", "bm")
         enough = F.greatest(F.lit(words), F.ceil(most * level - 1e-9))
-        left = 1 + F.least(F.col("am") - F.col("ap") - 1, F.col("bm") - F.col("bp") - 1)
-        met = one.join(two, "t").where((F.least("am", "bm") >= enough) & (left >= enough)).select("a", "b", "am", "bm", "n_members").distinct()
+        left = both + F.least(F.col("am") - F.col("ap") - 1, F.col("bm") - F.col("bp") - 1)
+        met = one.join(two, ["t", "u"]).where((F.least("am", "bm") >= enough) & (left >= enough)).select("a", "b", "am", "bm", "n_members").distinct()
         met = met.join(sets.select(F.col("rep").alias("a"), F.col("o").alias("ao")), "a").join(sets.select(F.col("rep").alias("b"), F.col("o").alias("bo")), "b")
         common = F.size(F.array_intersect("ao", "bo"))
         met = met.withColumn("c", common).where(F.col("c") >= enough).withColumn("score", F.col("c") / most)
-        # of a set's links only those to the best n + 1 members, itself included, matter
-        before = F.coalesce(F.expr("sum(n_members) OVER (PARTITION BY a ORDER BY score DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - sum(n_members) OVER (PARTITION BY a, score)"), F.lit(0))
-        got = written(met.withColumn("before", before).where(F.col("before") < n + 1).select("a", "b", "score", "n_members"))
+        # every class of a higher score, or of as high a one and a smaller least member, has a partner before
+        got = written(keep(met.select("a", "b", "score", "n_members"), ["a"], [F.desc("score"), "b"], n + 1))
         held.append(got)
         full = got.groupBy(F.col("a").alias("rep")).agg(F.sum("n_members").alias("k")).where(F.col("k") > n).select("rep")
         done = got if level == share else got.join(full.withColumnRenamed("rep", "a"), "a", "left_semi")
@@ -136,6 +137,8 @@ def nearby(addresses: DataFrame, n: int = 3, share: float = 0.3, words: int = 2,
         if level != share:
             open_ = written(open_.join(full, "rep", "left_anti"))
             held.append(open_)
+            if open_.isEmpty():
+                break
     links = found.join(few.withColumnRenamed("rep", "b"), "b").select("a", "partner", "score")
     first = keep(links, ["a"], [F.desc("score"), "partner"], n + 1)
     met = of.join(first, of.rep == first.a).where("key <> partner")

@@ -41,6 +41,18 @@ def by_rarity(sets: DataFrame, key: str, words: str, *also: str) -> DataFrame:
     return o.select(key, *also, F.transform("o", lambda x: x["t"]).alias("o"))
 
 
+def keys_of(first: Column, both: int) -> Column:
+    """array<struct<t, u, pos>> of what sets meet on: the words t of first (u is 0), or with
+    both = 2 its pairs t, u in order; pos counts from 0 and is that of the last word.
+
+    Sets that share k words share both of them among the first n - k + both of each.
+    """
+    if both == 1:
+        return F.transform(first, lambda x, i: F.struct(x.alias("t"), F.lit(0).cast("bigint").alias("u"), i.alias("pos")))
+    pair = lambda x, i: F.transform(F.slice(first, i + 2, F.size(first)), lambda y, j: F.struct(x.alias("t"), y.alias("u"), (i + j + 1).alias("pos")))
+    return F.flatten(F.transform(first, pair))
+
+
 def similar_sets(sets: DataFrame, key: str, words: str, least: float, block: tuple[str, ...] = ()) -> DataFrame:
     """(a, b, jaccard, n_a, n_b): the pairs a < b of different sets of a block with Jaccard of
     at least `least`, each set named by its least key; n_a and n_b are their members.
