@@ -14,6 +14,7 @@ from ..functions.text import blank_words
 from ..scratch import forget, written
 from . import setjoin
 from .dedupe import keep
+from .hot import join_counted
 from .taxonomy import VALUE_CHAIN
 
 
@@ -111,8 +112,9 @@ def nearby(addresses: DataFrame, n: int = 3, share: float = 0.3, words: int = 2,
     """
     a = addresses.where(F.coalesce("address", F.lit("")) != "").select("entity", F.array_distinct(blank_words(F.col("address"))).alias("w"))
     reps = setjoin.classes(a, "entity", "w")
-    of = written(setjoin.members(a.where(F.size("w") > 0), "entity", "w"))
-    sets = written(setjoin.by_rarity(reps, "rep", "w", "n_members").withColumn("m", F.size("o")))
+    of = setjoin.members(a.where(F.size("w") > 0), "entity", "w")
+    ordered = setjoin.by_rarity(reps, "rep", "w", "n_members")
+    sets = ordered.withColumnRenamed("n", "m")
     few = written(keep(of.withColumnRenamed("key", "partner"), ["rep"], ["partner"], n + 1))
     open_, found, held, both = sets.select("rep"), None, [], min(words, 2)
     for level in (*(x for x in levels if x > share), share):
@@ -140,10 +142,11 @@ def nearby(addresses: DataFrame, n: int = 3, share: float = 0.3, words: int = 2,
             if open_.isEmpty():
                 break
     links = found.join(few.withColumnRenamed("rep", "b"), "b").select("a", "partner", "score")
-    first = keep(links, ["a"], [F.desc("score"), "partner"], n + 1)
-    met = of.join(first, of.rep == first.a).where("key <> partner")
+    first = keep(links, ["a"], [F.desc("score"), "partner"], n + 1).withColumnRenamed("a", "rep")
+    first = written(first.join(sets.select("rep", "n_members"), "rep"))
+    met = join_counted(of, first, "rep", "n_members", of.count()).where("key <> partner")
     out = written(keep(met, ["key"], [F.desc("score"), "partner"], n).select(F.col("key").alias("entity"), "partner", "score"))
-    forget(of, sets, few, *held)
+    forget(of, ordered, few, first, *held)
     return out
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..scratch import written
+from ..scratch import forget, written
+from .hot import join_counted
 
 
 def least_common(n: Column, m: Column, least: float) -> Column:
@@ -16,29 +17,34 @@ def least_common(n: Column, m: Column, least: float) -> Column:
 def classes(sets: DataFrame, key: str, words: str, block: tuple[str, ...] = ()) -> DataFrame:
     """(rep, n_members, w, *block): one row for each distinct set of a block, named by its
     least key. Sets are told apart by sha256 of their sorted words; empty sets are left out."""
-    d = sets.select(F.col(key).alias("k"), F.sort_array(words).alias("w"), *block).where(F.size("w") > 0)
+    d = sets.select(F.col(key).alias("k"), F.sort_array(words).alias("w"), *block)
     same = F.sha2(F.to_json("w"), 256)
-    return d.groupBy(*block, same.alias("set")).agg(F.min("k").alias("rep"), F.count("*").alias("n_members"), F.first("w").alias("w")).drop("set")
+    # empty sets go last: a filter before would be put below the words and work them out twice
+    return d.groupBy(*block, same.alias("set")).agg(F.min("k").alias("rep"), F.count("*").alias("n_members"), F.first("w").alias("w")).drop("set").where(F.size("w") > 0)
 
 
 def members(sets: DataFrame, key: str, words: str, block: tuple[str, ...] = ()) -> DataFrame:
-    """(key, rep): every key with the least key that has the same set in its block."""
-    d = sets.select(F.col(key).alias("key"), F.sha2(F.to_json(F.sort_array(words)), 256).alias("set"), *block)
-    least = d.groupBy(*block, "set").agg(F.min("key").alias("rep"))
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*block, "set")]
-    on = same[0]
-    for c in same[1:]:
-        on = on & c
-    return d.alias("a").join(least.alias("b"), on).select("key", "rep")
+    """(key, rep): every key with the least key that has the same set in its block, written."""
+    alike = F.to_json(F.struct(*block, F.sort_array(words).alias("words of the set")), {"ignoreNullFields": "false"})
+    d = written(sets.select(F.col(key).alias("key"), F.unhex(F.sha2(alike, 256)).alias("set")))
+    least = written(d.groupBy("set").agg(F.min("key").alias("rep"), F.count("*").alias("n")))
+    out = written(join_counted(d, least, "set", "n", d.count()).select("key", "rep"))
+    forget(d, least)
+    return out
 
 
 def by_rarity(sets: DataFrame, key: str, words: str, *also: str) -> DataFrame:
-    """(key, o, *also): words as 64-bit hashes, the rarest first, ties by hash; the order is
-    the same for all sets. Frequencies are counted over all of them."""
-    t = sets.select(key, *also, F.explode(F.transform(words, lambda x: F.xxhash64(x))).alias("t"))
-    t = t.join(t.groupBy("t").agg(F.count("*").alias("df")), "t")
-    o = t.groupBy(key, *also).agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("o"))
-    return o.select(key, *also, F.transform("o", lambda x: x["t"]).alias("o"))
+    """(key, o, n, *also), written: words as 64-bit hashes, the rarest first, ties by hash, and
+    their number; the order is the same for all sets. Frequencies are counted over all of
+    them, and a word that most sets have is joined where they stand."""
+    d = written(sets.select(key, *also, F.transform(words, lambda x: F.xxhash64(x)).alias("h")))
+    t = d.select(key, *also, F.explode("h").alias("t"))
+    often = written(t.groupBy("t").agg(F.count("*").alias("df")))
+    total = often.agg(F.sum("df")).first()[0] or 0
+    o = join_counted(t, often, "t", "df", total).groupBy(key, *also).agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("o"))
+    out = written(o.select(key, *also, F.transform("o", lambda x: x["t"]).alias("o"), F.size("o").alias("n")))
+    forget(d, often)
+    return out
 
 
 def keys_of(first: Column, both: int) -> Column:
@@ -64,7 +70,7 @@ def similar_sets(sets: DataFrame, key: str, words: str, least: float, block: tup
     what is left, as 64-bit hashes.
     """
     reps = classes(sets, key, words, block)
-    d = written(by_rarity(reps, "rep", "w", "n_members", *block).withColumn("n", F.size("o")))
+    d = by_rarity(reps, "rep", "w", "n_members", *block)
     p = d.select("rep", "n", *block, F.posexplode(F.slice("o", F.lit(1), (F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).cast("int"))).alias("pos", "t"))
     a = p.select(F.col("rep").alias("a"), F.col("n").alias("an"), F.col("pos").alias("ap"), "t", *block)
     b = p.select(F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("pos").alias("bp"), "t", *block)
