@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import activities, search_terms
 from ..functions import text, urls
-from ..operators import cluster, collab, generate, graph, increments, link, near, sketches, taxonomy
+from ..operators import cluster, collab, generate, graph, increments, link, near, sketches, synergy, taxonomy
 from ..scratch import place, written
 from ..sources import markup, office
 from ..streaming import limits, rates, sessions
@@ -85,6 +85,36 @@ def cluster_capability_need(spark, sf_dir):
     return link.cluster_synergies(caps, needs).select("source", "target", F.col("confidence").cast("double").alias("confidence"))
 
 
+#: Parts as organisations: what they offer by type and by size, and what they need by brand.
+_CLUSTERS = """o AS (SELECT p_partkey AS e, p_type AS id, lower(p_type) || ' goods' AS name, 0.6 + 0.1 * (length(p_type) % 3) AS c FROM part
+UNION ALL SELECT p_partkey, 'size ' || p_size // 5, CASE WHEN p_size >= 45 THEN 'LARGE parts' ELSE 'parts' END, 0.9 FROM part),
+d AS (SELECT p_partkey AS e, p_brand AS id, CASE WHEN p_brand LIKE '%1%' THEN 'small need' WHEN p_brand LIKE '%2%' THEN 'large  promo need' ELSE 'economy' END AS name, CASE WHEN p_brand LIKE '%4' THEN 0.7 ELSE 0.8 END AS c FROM part WHERE p_size % 3 > 0),
+k AS (SELECT DISTINCT oc.id AS cid, dc.id AS nid, least(oc.c, dc.c)::DOUBLE AS c FROM (SELECT DISTINCT id, c, unnest(string_split(lower(name), ' ')) AS w FROM o) oc JOIN (SELECT DISTINCT id, c, unnest(string_split(lower(name), ' ')) AS w FROM d) dc ON oc.w = dc.w AND oc.w <> ''),
+y AS (SELECT o.e AS entity, d.e AS partner, max(k.c) AS confidence FROM o JOIN k ON k.cid = o.id JOIN d ON d.id = k.nid WHERE o.e <> d.e GROUP BY 1, 2)"""
+
+
+def _clusters(spark, sf_dir):
+    """(capabilities, needs, offering, needing)."""
+    p = read(spark, sf_dir, "part")
+    kind = p.selectExpr("p_partkey AS entity", "p_type AS cluster_id", "concat(lower(p_type), ' goods') AS cluster_name", "CAST(round(0.6 + 0.1 * (length(p_type) % 3), 1) AS double) AS confidence")
+    size = p.selectExpr("p_partkey AS entity", "concat('size ', p_size div 5) AS cluster_id", "CASE WHEN p_size >= 45 THEN 'LARGE parts' ELSE 'parts' END AS cluster_name", "0.9D AS confidence")
+    name = "CASE WHEN p_brand LIKE '%1%' THEN 'small need' WHEN p_brand LIKE '%2%' THEN 'large  promo need' ELSE 'economy' END AS cluster_name"
+    need = p.where("p_size % 3 > 0").selectExpr("p_partkey AS entity", "p_brand AS cluster_id", name, "CASE WHEN p_brand LIKE '%4' THEN 0.7D ELSE 0.8D END AS confidence")
+    offer = kind.unionByName(size)
+    told = lambda d: d.select("cluster_id", "cluster_name", "confidence").distinct()
+    return told(offer), told(need), offer.select("cluster_id", "entity"), need.select("cluster_id", "entity")
+
+
+@query(f"WITH {_CLUSTERS} SELECT entity, count(*) AS n_partners, round(max(confidence), 6) AS best FROM y GROUP BY 1")
+def synergy_counts(spark, sf_dir):
+    return synergy.synergy_counts(*_clusters(spark, sf_dir)).withColumn("best", F.round("best", 6))
+
+
+@query(f"WITH {_CLUSTERS} SELECT entity, partner, round(confidence, 6) AS confidence FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY confidence DESC, partner) AS n FROM y) WHERE n <= 5")
+def first_synergies(spark, sf_dir):
+    return synergy.first_synergies(*_clusters(spark, sf_dir)).withColumn("confidence", F.round("confidence", 6))
+
+
 #: Needs and offers of parts: what small and what large ones are made for.
 _NEED = "p_size <= 25"
 

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from orgweave.functions import text
-from orgweave.operators import cluster, collab, dedupe, fuzzy, generate, graph, link, merge, profiles, scan, setjoin, taxonomy, windows
+from orgweave.operators import cluster, collab, dedupe, fuzzy, generate, graph, link, merge, profiles, scan, setjoin, synergy, taxonomy, windows
 from orgweave.operators.components import connected_components
 from orgweave.sources import markup, registry, sinks
 from orgweave.streaming import new_only, read_upserted, upsert_batches
@@ -270,6 +270,33 @@ def test_nearby(spark, seed, least):
     assert got == want and len(want) > 60
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_synergies(spark, seed):
+    r = random.Random(seed)
+    names = ["Recycling Hub", "repair hub", "glass", "RECYCLING", None, "", "wood  glass"]
+    caps = [(f"c{i}", r.choice(names), r.choice([0.5, 0.7, 0.9])) for i in range(5)]
+    needs = [(f"n{i}", r.choice(names), r.choice([0.6, 0.8])) for i in range(5)]
+    offering = [(r.choice(caps)[0], e) for e in range(25) for _ in range(r.randrange(3))] + [("c0", e) for e in range(100, 140)] + [("c1", None), (None, 7)]
+    needing = [(r.choice(needs)[0], e) for e in range(25) for _ in range(r.randrange(3))] + [("n0", e) for e in range(120, 125)] + [("gone", 3)]
+    want = {}
+    for c, cn, cc in caps:
+        for n, nn, nc in needs:
+            if set((cn or "").lower().split()) & set((nn or "").lower().split()):
+                for s in {e for i, e in offering if i == c and e is not None}:
+                    for t in {e for i, e in needing if i == n} - {s}:
+                        want[s, t] = max(want.get((s, t), 0), min(cc, nc))
+    own = {}
+    for (s, t), c in want.items():
+        own.setdefault(s, []).append((-c, t))
+    cluster_rows = "cluster_id string, cluster_name string, confidence double"
+    args = [spark.createDataFrame(caps, cluster_rows), spark.createDataFrame(needs, cluster_rows), *(spark.createDataFrame(m, "cluster_id string, entity int") for m in (offering, needing))]
+    assert {x.entity: (x.n_partners, x.best) for x in synergy.synergy_counts(*args).collect()} == {s: (len(v), -min(v)[0]) for s, v in own.items()}
+    got = {(x.entity, x.partner): x.confidence for x in synergy.first_synergies(*args, n=3).collect()}
+    assert got == {(s, t): -c for s, v in own.items() for c, t in sorted(v)[:3]} and got
+    none = [a.limit(0) for a in args]
+    assert synergy.synergy_counts(*none).count() == 0 and synergy.first_synergies(*none).count() == 0
+
+
 @pytest.mark.parametrize("least", [0.5, 0.8, 1.0])
 def test_similar_sets(spark, least):
     r = random.Random(3)
