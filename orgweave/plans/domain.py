@@ -184,16 +184,22 @@ def collaboration_opportunities(spark, sf_dir):
     return got.withColumn("score", F.round(F.col("score").cast("double"), 6))
 
 
-@query("""WITH p AS (SELECT p_type, p_name, min(p_partkey) AS ord, list(DISTINCT p_brand ORDER BY p_brand) AS e FROM part GROUP BY 1, 2), s AS (SELECT *, split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS b FROM p),
-d AS (SELECT *, CASE WHEN ord % 5 = 0 THEN a || 's' ELSE a END AS a2 FROM s), g AS (SELECT *, CASE WHEN ord % 2 = 0 THEN a2 || ' ' || b ELSE b || '  ' || a2 END AS cluster_name, min(ord) OVER (PARTITION BY p_type, a2, b) AS seed FROM d)
-SELECT p_type AS cluster_type, seed::VARCHAR AS cluster_id, max_by(cluster_name, length(cluster_name) * 100000 - ord) AS cluster_name, list_sort(list_distinct(flatten(list(e)))) AS entities, list(p_name ORDER BY ord) AS items, count(*)::BIGINT AS source_count FROM g GROUP BY p_type, seed""", lists=("entities", "items"))
+@query("""WITH RECURSIVE p AS (SELECT p_type, p_name, p_size % 6 AS v, min(p_partkey)::BIGINT AS ord, list(DISTINCT p_brand ORDER BY p_brand) AS e FROM part GROUP BY ALL),
+s AS (SELECT *, split_part(p_name, ' ', 1) || CASE WHEN ord % 5 = 0 THEN 's' ELSE '' END AS a, split_part(p_name, ' ', 2) AS b, ' For Industry' || CASE WHEN v % 3 > 0 THEN ' use' ELSE '' END || CASE WHEN v % 3 = 2 THEN ' today' ELSE '' END AS r FROM p),
+g AS (SELECT *, CASE WHEN ord % 2 = 0 THEN a || ' ' || b || r ELSE b || '  ' || a || r END AS cluster_name FROM s),
+l AS (SELECT *, list_distinct(list_filter(string_split(lower(cluster_name), ' '), lambda x: x <> '')) AS w FROM g),
+st AS (SELECT p_type, list({'o': ord, 'w': w} ORDER BY ord) AS q, NULL::BIGINT AS seed, []::BIGINT[] AS got FROM l GROUP BY p_type
+UNION ALL SELECT p_type, list_filter(q, lambda x: len(list_intersect(x.w, q[1].w)) < 0.8 * len(list_distinct(x.w || q[1].w))), q[1].o, list_transform(list_filter(q, lambda x: len(list_intersect(x.w, q[1].w)) >= 0.8 * len(list_distinct(x.w || q[1].w))), lambda x: x.o) FROM st WHERE len(q) > 0),
+m AS (SELECT p_type, seed, unnest(got) AS ord FROM st WHERE seed IS NOT NULL)
+SELECT p_type AS cluster_type, seed::VARCHAR AS cluster_id, max_by(cluster_name, length(cluster_name) * 100000 - ord) AS cluster_name, list_sort(list_distinct(flatten(list(e)))) AS entities, list(p_name ORDER BY ord) AS items, count(*)::BIGINT AS source_count FROM m JOIN l USING (p_type, ord) GROUP BY p_type, seed""", lists=("entities", "items"))
 def cluster_merge_greedy(spark, sf_dir):
-    """Clusters of parts by name; the words of some names are turned round, or in the plural."""
-    p = read(spark, sf_dir, "part").groupBy("p_type", "p_name").agg(F.min("p_partkey").alias("ord"), F.sort_array(F.collect_set("p_brand")).alias("entities"))
-    p = p.unionByName(p.withColumn("ord", F.col("ord") + 1_000_000).where("ord < 0"))
+    """Clusters of parts by name and size; the words of some names are turned round, or in the
+    plural, and of a name's four, five and six words each is like the next only."""
+    p = read(spark, sf_dir, "part").groupBy("p_type", "p_name", (F.col("p_size") % 6).alias("v")).agg(F.min("p_partkey").alias("ord"), F.sort_array(F.collect_set("p_brand")).alias("entities"))
     one, two = F.split_part("p_name", F.lit(" "), F.lit(1)), F.split_part("p_name", F.lit(" "), F.lit(2))
     one = F.when(F.col("ord") % 5 == 0, F.concat(one, F.lit("s"))).otherwise(one)
-    name = F.when(F.col("ord") % 2 == 0, F.concat_ws(" ", one, two)).otherwise(F.concat_ws("  ", two, one))
+    rest = F.concat(F.lit(" For Industry"), F.when(F.col("v") % 3 > 0, " use").otherwise(""), F.when(F.col("v") % 3 == 2, " today").otherwise(""))
+    name = F.concat(F.when(F.col("ord") % 2 == 0, F.concat_ws(" ", one, two)).otherwise(F.concat_ws("  ", two, one)), rest)
     c = p.select(F.col("p_type").alias("cluster_type"), "ord", F.col("ord").cast("string").alias("cluster_id"), name.alias("cluster_name"), F.col("p_name").alias("description"), "entities", F.array("p_name").alias("items"), F.lit(0.8).alias("confidence"))
     return cluster.merge_clusters(c).select("cluster_type", "cluster_id", "cluster_name", "entities", "items", "source_count")
 
