@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import blank_words
 from ..scratch import forget, written
 from . import setjoin
+from .dedupe import keep
 
 
 def seeds(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -89,6 +90,32 @@ def preview(items: Column, n: int = 5) -> Column:
     return F.when(more > 0, F.concat(head, F.lit(", ... (+"), more.cast("string"), F.lit(" more)"))).otherwise(head)
 
 
+def category_members(items: DataFrame, kind: str, category) -> DataFrame:
+    """items (entity, item) as rows (cluster_id, cluster_name, entity, item) of by_category()'s
+    clusters, for tables where a cluster is too large for one row."""
+    named = items.select("entity", "item", category.alias("cluster_name"))
+    return named.select(F.concat_ws("_", F.lit(kind), F.lower("cluster_name")).alias("cluster_id"), "cluster_name", "entity", "item")
+
+
+def overview(members: DataFrame, n: int = 5) -> DataFrame:
+    """(cluster_id, cluster_name, n_entities, n_items, preview) of category_members(): the first n
+    items and how many more there are, as preview() says it, without a list of all.
+
+    Entities are counted once; null entities and items not at all. A cluster whose items are
+    all null has an empty preview. Counts are made before the shuffle, and of a cluster no
+    task passes on more than n items.
+    """
+    at = ["cluster_id", "cluster_name"]
+    once = members.groupBy(*at, "entity").agg(F.count("item").alias("k"))
+    sums = once.groupBy(*at).agg(F.count("entity").alias("n_entities"), F.sum("k").alias("n_items"))
+    few = keep(members.where("item IS NOT NULL").select(*at, "item"), at, ["item"], n)
+    heads = few.groupBy(*at).agg(F.array_join(F.sort_array(F.collect_list("item")), ", ").alias("head"))
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"h.{c}")) for c in at]
+    met = sums.alias("s").join(heads.alias("h"), same[0] & same[1], "left")
+    more = F.when(F.col("n_items") > n, F.concat(F.lit(", ... (+"), (F.col("n_items") - n).cast("string"), F.lit(" more)"))).otherwise("")
+    return met.select("s.cluster_id", "s.cluster_name", "n_entities", "n_items", F.concat(F.coalesce("head", F.lit("")), more).alias("preview"))
+
+
 def gaps(needs: DataFrame, capabilities: DataFrame) -> DataFrame:
     """Need clusters without a word in common with any capability cluster."""
     word = lambda df: df.select("cluster_id", F.explode(F.array_distinct(blank_words(F.col("cluster_name")))).alias("word"))

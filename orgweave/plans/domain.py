@@ -208,14 +208,14 @@ def cluster_merge_greedy(spark, sf_dir):
 SELECT 'capability_' || lower(cluster_name) AS cluster_id, cluster_name, len(entities) AS n, array_to_string(items[1:5], ', ') || CASE WHEN len(items) > 5 THEN ', ... (+' || (len(items) - 5) || ' more)' ELSE '' END AS preview FROM c""")
 def rule_clusters(spark, sf_dir):
     items = read(spark, sf_dir, "part").select(F.col("p_size").alias("entity"), F.col("p_name").alias("item"), "p_type")
-    c = cluster.by_category(items, "capability", F.col("p_type"))
-    return c.select("cluster_id", "cluster_name", F.size("entities").alias("n"), cluster.preview(F.col("items")).alias("preview"))
+    c = cluster.overview(cluster.category_members(items, "capability", F.col("p_type")))
+    return c.select("cluster_id", "cluster_name", F.col("n_entities").alias("n"), "preview")
 
 
 @query("SELECT DISTINCT p_size AS entity FROM part WHERE p_type = 'PROMO'", ints=("entity",))
 def cluster_lookup(spark, sf_dir):
     items = read(spark, sf_dir, "part").select(F.col("p_size").alias("entity"), F.col("p_name").alias("item"), "p_type")
-    return cluster.entities_of(cluster.by_category(items, "capability", F.col("p_type")), "capability_promo", "cluster_id")
+    return cluster.category_members(items, "capability", F.col("p_type")).where("cluster_id = 'capability_promo'").select("entity").distinct()
 
 
 @query("""SELECT p_brand AS cluster_id FROM part GROUP BY 1 HAVING lower(p_brand) NOT IN (SELECT lower(p_brand) FROM part WHERE p_size > 48)""")

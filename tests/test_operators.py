@@ -270,6 +270,19 @@ def test_nearby(spark, seed, least):
     assert got == want and len(want) > 60
 
 
+def test_cluster_overview(spark):
+    r = random.Random(2)
+    rows = [(r.randrange(6), r.choice(["Glass", "glass", None, "Wood"]), r.choice([*"abcdefgh", None])) for _ in range(60)] + [(1, "Empty", None), (None, "Empty", None)]
+    d = spark.createDataFrame(rows, "entity int, kind string, item string")
+    by = cluster.by_category(d.select("entity", "item", "kind"), "need", F.col("kind"))
+    want = {(x.cluster_id, x.cluster_name): (len(x.entities), len(x["items"]), x.preview) for x in by.withColumn("preview", cluster.preview(F.col("items"), 3)).collect()}
+    members = cluster.category_members(d, "need", F.col("kind"))
+    assert {(x.cluster_id, x.cluster_name): (x.n_entities, x.n_items, x.preview) for x in cluster.overview(members, 3).collect()} == want and len(want) == 5
+    first = by.where("cluster_name = 'Wood'")
+    assert {x.entity for x in cluster.entities_of(first, "need_wood", "cluster_id").collect()} == {x.entity for x in members.where("cluster_id = 'need_wood'").collect()}
+    assert cluster.overview(members.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_synergies(spark, seed):
     r = random.Random(seed)
