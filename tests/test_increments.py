@@ -76,6 +76,13 @@ def test_sketches_add_up(spark):
     assert sketches.summarise(rows.limit(0), ["day"], "v").count() == 0
 
 
+def test_places_keep_their_coordinates(spark):
+    """Longitudes that differ in the last bits are different; only other turns are made one."""
+    places = [(1, 5.0, 0.1), (2, 5.0, 0.1 + 180.0 - 180.0), (3, 5.0, 360.1), (4, 5.0, -179.7), (5, 5.0, 180.0), (6, 5.0, -180.0)]
+    got = {x.rep: (x.lon, x.n) for x in near.place_classes(spark.createDataFrame(places, "id long, lat double, lon double")).collect()}
+    assert places[0][2] != places[1][2] and got[1] == (0.1, 1) and got[4] == (-179.7, 1) and got[5] == (-180.0, 2)
+
+
 def far(a, b):
     p, q = math.radians(a[0]), math.radians(b[0])
     h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
