@@ -29,3 +29,15 @@ def estimates(sketches: DataFrame, by: list[str], top: int = 10) -> DataFrame:
     """(*by, n, n_distinct, top): the estimated number of distinct values and the most frequent
     ones, as structs (item, count), of sketches."""
     return sketches.select(*by, "n", F.hll_sketch_estimate("distinct").alias("n_distinct"), F.expr(f"approx_top_k_estimate(frequent, {int(top)})").alias("top"))
+
+
+def most_frequent(rows: DataFrame, found: DataFrame, by: list[str], value: str) -> DataFrame:
+    """(*by, item, count): the most frequent value of each group, of ties the least, with its
+    exact count. found is estimates() of the rows: a value with more than rows / COUNTERS rows is
+    in the sketch, and of what the sketch tells the rows are counted again, as its counts are
+    estimates once it had more values than counters.
+    """
+    told = found.select(*by, F.explode("top").alias("x")).select(*by, F.col("x.item").alias("item")).distinct()
+    counted = rows.withColumn("item", F.col(value).cast("string")).join(F.broadcast(told), [*by, "item"]).groupBy(*by, "item").agg(F.count("*").alias("count"))
+    first = F.struct((-F.col("count")).alias("n"), "item")
+    return counted.groupBy(*by).agg(F.min(first).alias("m")).select(*by, F.col("m.item").alias("item"), (-F.col("m.n")).alias("count"))

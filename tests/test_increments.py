@@ -76,6 +76,14 @@ def test_sketches_add_up(spark):
     assert sketches.summarise(rows.limit(0), ["day"], "v").count() == 0
 
 
+def test_most_frequent_values_are_counted_exactly(spark):
+    """Thirty times more values than counters."""
+    rows = spark.range(120_000).selectExpr("CAST(id % 2 AS int) AS g", "CAST(id % 30 AS int) AS day", "CASE WHEN id >= 75000 THEN 'often' ELSE CAST(id * 7919 % 30011 AS string) END AS v")
+    found = sketches.estimates(sketches.united(sketches.summarise(rows, ["g", "day"], "v"), ["g"]), ["g"])
+    assert [x.top[0]["count"] for x in found.orderBy("g").collect()] != [22_500, 22_500]
+    assert sorted(map(tuple, sketches.most_frequent(rows, found, ["g"], "v").collect())) == [(0, "often", 22_500), (1, "often", 22_500)]
+
+
 def test_places_keep_their_coordinates(spark):
     """Longitudes that differ in the last bits are different; only other turns are made one."""
     places = [(1, 5.0, 0.1), (2, 5.0, 0.1 + 180.0 - 180.0), (3, 5.0, 360.1), (4, 5.0, -179.7), (5, 5.0, 180.0), (6, 5.0, -180.0)]
