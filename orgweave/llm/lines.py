@@ -125,14 +125,17 @@ def candidates(r: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
     tok, size, pos, b0, b1 = (r[x] for x in ("tok", "size", "pos", "b0", "b1"))
     size, pos = size.astype(np.int64), pos.astype(np.int64)
     spans, i, d = Spans(len(r)), np.arange(len(r)), 0
+    j = i + 1
     while True:
         d += 1
-        i = i[i + d < len(r)]
-        if d & (d - 1) == 0 and d > 1 and len(i):  # what is joined with all that follow in its run is done
+        go = j < len(r)
+        i, j = i[go], j[go]
+        if d & (d - 1) == 0 and d > 1 and len(i):  # rows that a row is joined with are passed over, up to the next one that it isn't
             root = spans.roots()
             last = np.flatnonzero(np.append((tok[1:] != tok[:-1]) | (root[1:] != root[:-1]), True))
-            i = i[last[np.searchsorted(last, i)] < i + d]
-        j = i + d
+            j = np.where((tok[i] == tok[j]) & (root[i] == root[j]), last[np.searchsorted(last, j)] + 1, j)
+            go = j < len(r)
+            i, j = i[go], j[go]
         go = (tok[i] == tok[j]) & (size[i] >= _least(size[j], t))  # sizes rise within a word
         i, j = i[go], j[go]
         if not len(i):
@@ -143,6 +146,7 @@ def candidates(r: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
         apart = np.bitwise_count(b0[x] ^ b0[y]).astype(np.int64) + np.bitwise_count(b1[x] ^ b1[y])
         ok = (size[x] + size[y] - apart) // 2 >= need[ok]
         spans.add(x[ok], y[ok])
+        j = j + 1
     line, root = r["line"].astype(np.uint64).view(np.int64), spans.roots()
     least = line.copy()
     np.minimum.at(least, root, line)

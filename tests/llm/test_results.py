@@ -140,6 +140,32 @@ def test_runs_of_copies_end_early():
     assert len(passages_components(a, b)) == 1
 
 
+def test_rows_past_a_joined_run_are_compared():
+    """Lines that are joined with their neighbours in a word's run, but similar to one behind them."""
+    r, texts = np.random.default_rng(3), []
+    for f in range(300):
+        base = [f"f{f}x{i}" for i in range(20)]
+        texts.append(" ".join(base))
+        for k in range(8):  # each like the first only, or like the one before
+            base = base if k % 2 else [f"f{f}x{i}" for i in range(20)]
+            base = [w if i != at else f"n{f}k{k}" for at in [int(r.integers(20))] for i, w in enumerate(base)]
+            texts.append(" ".join(base))
+    rank = np.arange(1 << lines.RARITY_BITS, dtype=np.uint64)
+    a, b = lines.candidates(lines.prefix_records(texts, rank, 0.9), 0.9)
+    names = np.unique(np.array([lines._key(t.encode()) for t in texts], np.uint64)).view(np.int64)
+    names.sort()
+    spans = sets.Spans(len(names))
+    spans.add(np.searchsorted(names, a), np.searchsorted(names, b))
+    root = dict(zip(names.tolist(), spans.roots().tolist()))
+    key = [root[int(np.uint64(lines._key(t.encode())).astype(np.int64))] for t in texts]
+    for f in range(0, len(texts), 9):
+        own = [set(t.split()) for t in texts[f : f + 9]]
+        for i in range(9):
+            for j in range(i):
+                if len(own[i] & own[j]) >= 0.9 * len(own[i] | own[j]):
+                    assert key[f + i] == key[f + j]
+
+
 def passages_components(a, b):
     names = np.unique(np.concatenate((a, b)))
     spans = sets.Spans(len(names))
