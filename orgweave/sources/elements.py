@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls
 from ..operators.dedupe import keep
+from ..operators.hot import by_shuffle
 from ..scratch import written
 from .markup import card_link_points, fallback_name
 
@@ -122,10 +123,10 @@ def inside(inner: DataFrame, outer: DataFrame, key: str, nearest: bool = True) -
     """inner's rows with `within`, the pre of the element of outer that they are in: the nearest
     one, or a row for each."""
     each = inner.select(key, "pre", F.explode("ancestors").alias("within"))
-    met = each.join(outer.select(key, F.col("pre").alias("within")), [key, "within"])
+    met = each.join(by_shuffle(outer.select(key, F.col("pre").alias("within"))), [key, "within"])
     if nearest:
         met = met.groupBy(key, "pre").agg(F.max("within").alias("within"))
-    return inner.join(met, [key, "pre"])
+    return inner.join(by_shuffle(met), [key, "pre"])
 
 
 def inner_text(e: DataFrame, of: DataFrame, key: str) -> DataFrame:
@@ -137,7 +138,7 @@ def inner_text(e: DataFrame, of: DataFrame, key: str) -> DataFrame:
     met = inside(part, of, key, nearest=False)
     words = F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("i").isNull(), F.col("t")))), lambda t: t["text"]), " ")
     found = met.groupBy(key, F.col("within").alias("pre")).agg(words.alias("text"), F.min("i").alias("i"))
-    every = of.select(key, "pre").join(found, [key, "pre"], "left")
+    every = of.select(key, "pre").join(by_shuffle(found), [key, "pre"], "left")
     return every.select(key, "pre", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("i.alt", F.lit("")).alias("alt"), F.col("i").isNotNull().alias("has_image"))
 
 
@@ -156,7 +157,7 @@ def links(e: DataFrame, key: str, levels: tuple[str, ...] = HEADINGS) -> DataFra
     a = e.where("tag = 'a'")
     head = e.where(F.col("tag").isin(*levels))
     text = inner_text(e, a.select(key, "pre").unionByName(head.select(key, "pre")), key)
-    d = e.where((F.col("tag") == "a") | F.col("tag").isin(*levels)).drop("text").join(text, [key, "pre"])
+    d = e.where((F.col("tag") == "a") | F.col("tag").isin(*levels)).drop("text").join(by_shuffle(text), [key, "pre"])
     before = F.last(F.when(F.col("tag") != "a", F.col("text")), ignorenulls=True).over(Window.partitionBy(key).orderBy("pre").rowsBetween(Window.unboundedPreceding, 0))
     d = d.withColumn("heading", F.coalesce(before, F.lit(""))).where("tag = 'a'")
     return d.select(key, "pre", "ancestors", _attr("href").alias("href"), F.col("text").alias("label"), _attr("title").alias("title"), _attr("aria-label").alias("aria"), "alt", "has_image", _attr("target").alias("target"), _attr("rel").alias("rel"), "heading")
@@ -187,15 +188,15 @@ def card_links(e: DataFrame, key: str, card: Column, own: str = "", headings: tu
     found = inside(links(e, key), cards, key).withColumnRenamed("within", "card")
     titles = inside(e.where(F.col("tag").isin(*headings)), cards, key).select(key, "pre", F.col("within").alias("card"))
     text = inner_text(e, e.where(F.col("tag").isin(*headings)), key).select(key, "pre", "text")
-    first = titles.join(text, [key, "pre"]).where("text <> ''").groupBy(key, "card").agg(F.min_by("text", "pre").alias("titled"))
-    named = link_names(found, ("label", "title", "aria", "alt")).join(first, [key, "card"], "left").withColumn("name", F.coalesce("titled", "name"))
+    first = titles.join(by_shuffle(text), [key, "pre"]).where("text <> ''").groupBy(key, "card").agg(F.min_by("text", "pre").alias("titled"))
+    named = link_names(found, ("label", "title", "aria", "alt")).join(by_shuffle(first), [key, "card"], "left").withColumn("name", F.coalesce("titled", "name"))
     points = card_link_points(F.col("href"), F.col("label"), F.col("rel"), F.col("target"), F.col("name"), own or "\0")
     best = _best(named, key, points)
-    heads = e.where(F.col("tag").isin(*sections)).select(key, "pre").join(text, [key, "pre"])
+    heads = e.where(F.col("tag").isin(*sections)).select(key, "pre").join(by_shuffle(text), [key, "pre"])
     places = heads.select(key, "pre", "text", F.lit(False).alias("is_card")).unionByName(best.select(key, F.col("card").alias("pre"), F.lit(None).cast("string").alias("text"), F.lit(True).alias("is_card")))
     section = F.last("text", ignorenulls=True).over(Window.partitionBy(key).orderBy("pre").rowsBetween(Window.unboundedPreceding, 0))
     placed = places.withColumn("section", section).where("is_card").select(key, F.col("pre").alias("card"), F.coalesce("section", F.lit("")).alias("section"))
-    return best.join(placed, [key, "card"]).select(key, "card", "section", "name", "href", "score")
+    return best.join(by_shuffle(placed), [key, "card"]).select(key, "card", "section", "name", "href", "score")
 
 
 def button_cards(e: DataFrame, key: str, says: Column, card: Column, own: str, name_tags: tuple[str, ...] = ("h3", "h4", "h5", "h6", "strong")) -> DataFrame:
@@ -216,7 +217,7 @@ def button_cards(e: DataFrame, key: str, says: Column, card: Column, own: str, n
     host = urls.domain(F.col("href"), "strip")
     other = (host != "") & ~host.contains(own) & F.lower("href").startswith("http")
     linked = inside(found.where(other), cards, key, nearest=False)
-    linked = linked.select(key, F.col("within").alias("card"), "pre", F.trim("href").alias("site")).join(tiles, [key, "card"]).where("pre <> button")
+    linked = linked.select(key, F.col("within").alias("card"), "pre", F.trim("href").alias("site")).join(by_shuffle(tiles), [key, "card"]).where("pre <> button")
     linked = linked.groupBy(key, "button").agg(F.min_by("site", "pre").alias("linked"))
     text = inner_text(e, cards, key).select(key, F.col("pre").alias("card"), urls.first_url(F.col("text")).alias("told"))
     text = text.withColumn("told", F.when(F.lower("told").contains(own), "").otherwise(F.col("told")))
@@ -226,7 +227,7 @@ def button_cards(e: DataFrame, key: str, says: Column, card: Column, own: str, n
     places = titles.unionByName(buttons.select(key, "pre", F.lit(None).cast("string").alias("name"), F.lit(True).alias("is_button")))
     after = F.first("name", ignorenulls=True).over(Window.partitionBy(key).orderBy("pre").rowsBetween(1, Window.unboundedFollowing))
     named = places.withColumn("name", after).where("is_button AND name <> ''").select(key, F.col("pre").alias("button"), "name")
-    d = tiles.join(named, [key, "button"]).join(linked, [key, "button"], "left").join(text, [key, "card"], "left")
+    d = tiles.join(by_shuffle(named), [key, "button"]).join(by_shuffle(linked), [key, "button"], "left").join(by_shuffle(text), [key, "card"], "left")
     d = d.withColumn("website", F.coalesce("linked", "told", F.lit("")))
     return keep(d, [key, "name"], [F.col("website") == "", "button"]).select(key, "button", "card", "name", "website")
 

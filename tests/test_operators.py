@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from orgweave.functions import text
 from orgweave.operators import cluster, collab, dedupe, fuzzy, generate, graph, link, merge, profiles, scan, setjoin, synergy, taxonomy, windows
 from orgweave.operators.components import connected_components
-from orgweave.sources import markup, registry, sinks
+from orgweave.sources import elements, markup, registry, sinks
 from orgweave.streaming import new_only, read_upserted, upsert_batches
 
 
@@ -581,3 +581,12 @@ def test_sinks_of_several_files(spark, tmp_path):
     twice = spark.createDataFrame([(1, "a"), (2, "x"), (1, "b")], "k int, v string").coalesce(1)
     sinks.append_rows(twice, str(tmp_path / "cache"))
     assert sorted(map(tuple, sinks.last_of(spark, str(tmp_path / "cache"), ["k"]).collect())) == [(1, "b"), (2, "x")]
+
+
+def test_joins_of_many_short_rows_are_not_broadcast(spark):
+    """The plan of a page's cards sends no table through the driver."""
+    e = elements.elements(spark.createDataFrame([(1, "<div class=card><h3>A</h3><a href=https://b.example>x</a></div>")], "page int, html string"), "page")
+    tile = elements.has_class("card")
+    for out in (elements.card_links(e, "page", tile), elements.button_cards(e, "page", F.col("label") == "x", tile, "own")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
