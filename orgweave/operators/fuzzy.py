@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import ratio_bound, sequence_ratio
 from ..scratch import forget, unused, written
+from .hot import by_shuffle
 
 
 def with_grams(df: DataFrame, s: str, out: str, q: Column) -> DataFrame:
@@ -57,7 +58,7 @@ def candidates(left: DataFrame, right: DataFrame, least: float, block: tuple[str
     often = r.groupBy("t").agg(F.count("*").alias("df"))
 
     def ranked(t: DataFrame, p: str) -> DataFrame:
-        t = t.join(often, "t", "left").groupBy(p, *block, "q").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "t"))).alias("o"))
+        t = t.join(by_shuffle(often), "t", "left").groupBy(p, *block, "q").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "t"))).alias("o"))
         return written(t.select(p, *block, "q", F.size("o").alias(f"{p}_size"), F.transform("o", lambda x: x["t"]).alias(f"{p}_all")))
 
     def prefixes(t: DataFrame, p: str) -> DataFrame:
@@ -68,14 +69,14 @@ def candidates(left: DataFrame, right: DataFrame, least: float, block: tuple[str
     tables = [l, r]
     l, r = ranked(l, "k"), ranked(r, "n")
     forget(*tables)
-    met = prefixes(l, "k").join(prefixes(r, "n"), ["t", "q", *block])
+    met = prefixes(l, "k").join(by_shuffle(prefixes(r, "n")), ["t", "q", *block])
     both = F.char_length("k") + F.char_length("n")
     left_over = 1 + F.least(F.col("k_size") - F.col("k_at") - 1, F.col("n_size") - F.col("n_at") - 1)
     fit = (ratio_bound(F.col("k"), F.col("n")) >= least) & (left_over >= needed(both, least, q)) & ((q == 3) | (F.least(F.char_length("k"), F.char_length("n")) < long))
     met = met.where(fit).select("k", "n", "q", *block).distinct()
-    met = met.join(l.drop("k_size"), ["k", "q", *block]).join(r.drop("n_size"), ["n", "q", *block])
+    met = met.join(by_shuffle(l.drop("k_size")), ["k", "q", *block]).join(by_shuffle(r.drop("n_size")), ["n", "q", *block])
     met = met.where(F.size(F.array_intersect("k_all", "n_all")) >= needed(both, least, q)).select("k", "n", *block)
-    same = left.select("k", *block).join(right.select(F.col("n").alias("k"), "n", *block), ["k", *block])
+    same = left.select("k", *block).join(by_shuffle(right.select(F.col("n").alias("k"), "n", *block)), ["k", *block])
     return met.unionByName(same.select("k", "n", *block)).distinct()
 
 

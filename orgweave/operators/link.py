@@ -10,6 +10,7 @@ from ..scratch import written
 from . import fuzzy
 from .components import connected_components
 from .dedupe import keep
+from .hot import by_shuffle
 
 
 def link_exact(mentions: DataFrame, orgs: DataFrame) -> DataFrame:
@@ -68,12 +69,12 @@ def _shared(p: Column, q: Column) -> Column:
 def _rare_words(words: DataFrame, by: list[str]) -> DataFrame:
     """Of each set of words (by, size, word) the rarest: as many as may be missing from a larger
     set that has 0.7 of them, and one more."""
-    ranked = words.join(words.groupBy("word").agg(F.count("*").alias("df")), "word").groupBy(*by, "size").agg(F.sort_array(F.collect_list(F.struct("df", "word"))).alias("o"))
+    ranked = words.join(by_shuffle(words.groupBy("word").agg(F.count("*").alias("df"))), "word").groupBy(*by, "size").agg(F.sort_array(F.collect_list(F.struct("df", "word"))).alias("o"))
     few = ranked.select(*by, "size", F.explode(F.slice("o", F.lit(1), (F.col("size") - F.ceil(F.col("size") * 0.7 - 1e-9) + 1).cast("int"))).alias("x"))
     return few.select(*by, "size", F.col("x.word").alias("word"))
 
 
-def duplicate_pairs(orgs: DataFrame, least: float = 0.7) -> DataFrame:
+def duplicate_pairs(orgs: DataFrame, least: float = 0.7, every: bool = False) -> DataFrame:
     """Pairs i < j of orgs (id, name, url, address, phones) that score at least `least`:
     (i, j, score, host, ratio, overlap, phone).
 
@@ -83,8 +84,9 @@ def duplicate_pairs(orgs: DataFrame, least: float = 0.7) -> DataFrame:
     host and two of the other three, or, up to 0.7, a like name alone. So pairs meet by host
     and like names with a phone or a rare address word, or by host, phone and a rare address
     word, never by host alone; names meet as distinct strings. Orgs with the same host and
-    name are all alike up to 0.7: those pairs are left to namesakes(), which counts them. At
-    or below 0.6 the host isn't needed; that is refused.
+    name are all alike up to 0.7: those pairs are left to namesakes(), which counts them, or
+    listed with the others if every is true. At or below 0.6 the host isn't needed; that is
+    refused.
     """
     if least <= 0.6:
         raise ValueError("thresholds up to 0.6 don't need a shared host and would compare all pairs")
@@ -103,21 +105,24 @@ def duplicate_pairs(orgs: DataFrame, least: float = 0.7) -> DataFrame:
     few = _rare_words(words, ["host", "n", "id"])
 
     met = [
-        phones.join(like, ["host", "n"]).join(phones2, ["host", "n2", "phone"]),
-        few.join(like, ["host", "n"]).join(words2, ["host", "n2", "word"]).where("size <= size2"),
-        few.join(phones.select("id", "phone"), "id").join(words2.join(phones2.select("id2", "phone"), "id2"), ["host", "phone", "word"]).where("size <= size2"),
+        phones.join(by_shuffle(like), ["host", "n"]).join(by_shuffle(phones2), ["host", "n2", "phone"]),
+        few.join(by_shuffle(like), ["host", "n"]).join(by_shuffle(words2), ["host", "n2", "word"]).where("size <= size2"),
+        few.join(by_shuffle(phones.select("id", "phone")), "id").join(by_shuffle(words2.join(by_shuffle(phones2.select("id2", "phone")), "id2")), ["host", "phone", "word"]).where("size <= size2"),
     ]
     if alike:
         met[2] = met[2].where("n <> n2 OR n = ''")
     if least <= 0.4 + 0.3:
-        met.append(a.select("host", "n", "id").join(like, ["host", "n"]).join(a.select("host", F.col("n").alias("n2"), F.col("id").alias("id2")), ["host", "n2"]))
+        met.append(a.select("host", "n", "id").join(by_shuffle(like), ["host", "n"]).join(by_shuffle(a.select("host", F.col("n").alias("n2"), F.col("id").alias("id2"))), ["host", "n2"]))
+    if alike and every:
+        named = a.where("n <> ''")
+        met.append(named.select("host", "n", "id").join(by_shuffle(named.select("host", "n", F.col("id").alias("id2"))), ["host", "n"]))
     pairs = None
     for d in met:
         d = d.where("id <> id2").select(F.least("id", "id2").alias("i"), F.greatest("id", "id2").alias("j"))
         pairs = d if pairs is None else pairs.unionByName(d)
     one = a.select(F.col("id").alias("i"), "host", "n", "w", "p")
     two = a.select(F.col("id").alias("j"), F.col("n").alias("n2"), F.col("w").alias("w2"), F.col("p").alias("p2"))
-    met = pairs.distinct().join(one, "i").join(two, "j").join(near, ["host", "n", "n2"], "left")
+    met = pairs.distinct().join(by_shuffle(one), "i").join(by_shuffle(two), "j").join(by_shuffle(near), ["host", "n", "n2"], "left")
     r = F.when((F.col("n") == F.col("n2")) & (F.col("n") != ""), 1.0).otherwise(F.col("ratio"))
     overlap = F.when((F.size("w") >= 3) & (F.size("w2") >= 3), text.overlap(F.col("w"), F.col("w2")))
     d = met.select("i", "j", "host", F.when(r >= 0.85, r).alias("ratio"), F.when(overlap >= 0.7, overlap).alias("overlap"), _shared(F.col("p"), F.col("p2")).alias("phone"))
@@ -144,35 +149,35 @@ def namesakes(orgs: DataFrame) -> DataFrame:
     a = _profiles(orgs).where("n <> ''").select("id", "host", "n", F.sort_array("w").alias("w"), F.sort_array("p").alias("p"))
     at = ["host", "n"]
     groups = a.groupBy(*at).agg(F.count("*").alias("members"), F.min("id").alias("first")).where("members > 1")
-    kinds = written(a.join(groups.select(*at), at, "left_semi").groupBy(*at, "w", "p").agg(F.count("*").alias("c")))
+    kinds = written(a.join(by_shuffle(groups.select(*at)), at, "left_semi").groupBy(*at, "w", "p").agg(F.count("*").alias("c")))
     half = lambda c: (c * (c - 1) / 2).cast("bigint")
     of = lambda d, *s: d.select(*at, *(F.col(c).alias(f"{c}2") for c in s))
 
     address = kinds.where(F.size("w") >= 3).groupBy(*at, "w").agg(F.sum("c").alias("c"))
     words = address.select(*at, "w", F.size("w").alias("size"), F.explode(F.transform("w", lambda x: F.xxhash64(x))).alias("word"))
     other = words.select(*at, F.col("w").alias("w2"), F.col("size").alias("size2"), "word")
-    met = _rare_words(words, [*at, "w"]).join(other, [*at, "word"]).where("w <> w2 AND size <= size2").select(*at, F.least("w", "w2").alias("w"), F.greatest("w", "w2").alias("w2")).distinct()
+    met = _rare_words(words, [*at, "w"]).join(by_shuffle(other), [*at, "word"]).where("w <> w2 AND size <= size2").select(*at, F.least("w", "w2").alias("w"), F.greatest("w", "w2").alias("w2")).distinct()
     near = written(met.withColumn("overlap", text.overlap(F.col("w"), F.col("w2"))).where("overlap >= 0.7"))
-    by_address = near.join(address, [*at, "w"]).join(of(address, "w", "c"), [*at, "w2"]).select(*at, (F.col("c") * F.col("c2")).alias("k"), "overlap")
+    by_address = near.join(by_shuffle(address), [*at, "w"]).join(by_shuffle(of(address, "w", "c")), [*at, "w2"]).select(*at, (F.col("c") * F.col("c2")).alias("k"), "overlap")
     by_address = by_address.unionByName(address.where("c > 1").select(*at, half(F.col("c")).alias("k"), F.lit(1.0).alias("overlap")))
     by_address = by_address.groupBy(*at).agg(F.sum("k").alias("n_address"), F.collect_set(F.concat(F.lit("address_match:"), _two(F.col("overlap")))).alias("s_address"))
 
     phone = kinds.where(F.size("p") > 0).groupBy(*at, "p").agg(F.sum("c").alias("c"))
     each = phone.select(*at, "p", F.explode("p").alias("phone"))
-    met = each.join(of(each, "p").withColumn("phone", F.explode("p2")), [*at, "phone"]).where("p < p2").select(*at, "p", "p2").distinct()
-    by_phone = met.join(phone, [*at, "p"]).join(of(phone, "p", "c"), [*at, "p2"]).select(*at, (F.col("c") * F.col("c2")).alias("k"), _shared(F.col("p"), F.col("p2")).alias("phone"))
+    met = each.join(by_shuffle(of(each, "p").withColumn("phone", F.explode("p2"))), [*at, "phone"]).where("p < p2").select(*at, "p", "p2").distinct()
+    by_phone = met.join(by_shuffle(phone), [*at, "p"]).join(by_shuffle(of(phone, "p", "c")), [*at, "p2"]).select(*at, (F.col("c") * F.col("c2")).alias("k"), _shared(F.col("p"), F.col("p2")).alias("phone"))
     by_phone = by_phone.unionByName(phone.where("c > 1").select(*at, half(F.col("c")).alias("k"), F.array_min("p").alias("phone")))
     by_phone = by_phone.groupBy(*at).agg(F.sum("k").alias("n_phone"), F.collect_set(F.concat(F.lit("phone_match:"), F.col("phone"))).alias("s_phone"))
 
     full = kinds.where((F.size("w") >= 3) & (F.size("p") > 0))
     each = full.select(*at, "w", "p", "c", F.explode("p").alias("phone"))
     other = each.select(*at, F.col("w").alias("w2"), F.col("p").alias("p2"), F.col("c").alias("c2"), "phone")
-    same = each.join(other.withColumnRenamed("w2", "w"), [*at, "w", "phone"]).where("p < p2").select(*at, "w", F.col("w").alias("w2"), "p", "p2", "c", "c2")
-    cross = each.join(near.select(*at, "w", "w2"), [*at, "w"]).join(other, [*at, "w2", "phone"]).select(*at, "w", "w2", "p", "p2", "c", "c2")
+    same = each.join(by_shuffle(other.withColumnRenamed("w2", "w")), [*at, "w", "phone"]).where("p < p2").select(*at, "w", F.col("w").alias("w2"), "p", "p2", "c", "c2")
+    cross = each.join(by_shuffle(near.select(*at, "w", "w2")), [*at, "w"]).join(by_shuffle(other), [*at, "w2", "phone"]).select(*at, "w", "w2", "p", "p2", "c", "c2")
     both = same.unionByName(cross).distinct().select(*at, (F.col("c") * F.col("c2")).alias("k")).unionByName(full.where("c > 1").select(*at, half(F.col("c")).alias("k")))
     both = both.groupBy(*at).agg(F.sum("k").alias("n_both"))
 
-    d = groups.join(by_address, at, "left").join(by_phone, at, "left").join(both, at, "left")
+    d = groups.join(by_shuffle(by_address), at, "left").join(by_shuffle(by_phone), at, "left").join(by_shuffle(both), at, "left")
     d = d.withColumn("n_pairs", half(F.col("members"))).fillna(0, ["n_address", "n_phone", "n_both"])
     none = F.array().cast("array<string>")
     told = F.sort_array(F.concat(F.array(F.concat(F.lit("domain_match:"), F.col("host")), F.lit("name_similarity:1.00")), F.coalesce("s_address", none), F.coalesce("s_phone", none)))
@@ -193,17 +198,17 @@ def duplicate_groups(orgs: DataFrame, least: float = 0.7) -> DataFrame:
     told = pairs.select("i", "score", F.lit(1).cast("bigint").alias("n"), signals(*map(F.col, ("host", "ratio", "overlap", "phone"))).alias("signals"))
     if least <= 0.4 + 0.3:
         same = written(namesakes(orgs))
-        ids = _profiles(orgs).select("id", "host", F.col("n").alias("name")).join(same.select("first", "host", "name"), ["host", "name"]).where("id <> first")
+        ids = _profiles(orgs).select("id", "host", F.col("n").alias("name")).join(by_shuffle(same.select("first", "host", "name")), ["host", "name"]).where("id <> first")
         edges = edges.unionByName(ids.select(F.col("first").alias("i"), F.col("id").alias("j")))
         told = told.unionByName(same.select(F.col("first").alias("i"), "score", F.col("n_pairs").alias("n"), "signals"))
     comp = connected_components(edges, "i", "j")
-    met = told.join(comp, F.col("i") == F.col("node"))
+    met = told.join(by_shuffle(comp), F.col("i") == F.col("node"))
     score = met.groupBy("component").agg((F.sum("score") / F.sum("n")).alias("confidence"))
     every = met.select("component", F.explode("signals").alias("s")).distinct().groupBy("component").agg(F.sort_array(F.collect_list("s")).alias("signals"))
-    named = comp.join(orgs.select(F.col("id").alias("node"), "name"), "node")
+    named = comp.join(by_shuffle(orgs.select(F.col("id").alias("node"), "name")), "node")
     longest = F.struct(F.char_length(F.coalesce("name", F.lit(""))).alias("l"), (-F.col("node")).alias("n"))
     groups = named.groupBy("component").agg(F.sort_array(F.collect_list("node")).alias("members"), F.max_by("name", longest).alias("canonical_name"))
-    return groups.join(score, "component").join(every, "component").withColumnRenamed("component", "group_id")
+    return groups.join(by_shuffle(score), "component").join(by_shuffle(every), "component").withColumnRenamed("component", "group_id")
 
 
 def mark_bidirectional(edges: DataFrame, source: str = "source", target: str = "target") -> DataFrame:

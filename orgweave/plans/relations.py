@@ -206,10 +206,10 @@ q AS (SELECT *, CASE WHEN o >= 0.7 THEN o END AS overlap, 0.4::DOUBLE + coalesce
 d AS (SELECT i, j, host, score, ratio, overlap, phone, list_filter(['domain_match:' || host, 'name_similarity:' || printf('%.2f', ratio), 'address_match:' || printf('%.2f', overlap), 'phone_match:' || phone], lambda s: s IS NOT NULL) AS signals FROM q WHERE score >= 0.7)"""
 
 
-@query(f"WITH {_PAIRS} SELECT i, j, round(score, 6) AS score, signals FROM d WHERE ratio IS NULL OR ratio < 1", lists=("signals",))
+@query(f"WITH {_PAIRS} SELECT i, j, round(score, 6) AS score, signals FROM d", lists=("signals",))
 def dedup_pairs(spark, sf_dir):
-    """Pairs with different names or none; dedup_namesakes sums up the others."""
-    d = link.duplicate_pairs(_people(spark, sf_dir))
+    """All pairs, those with the same name as well, which dedup_namesakes sums up."""
+    d = link.duplicate_pairs(_people(spark, sf_dir), every=True)
     return d.select("i", "j", F.round("score", 6).alias("score"), link.signals(*map(F.col, ("host", "ratio", "overlap", "phone"))).alias("signals"))
 
 

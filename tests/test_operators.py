@@ -583,10 +583,21 @@ def test_sinks_of_several_files(spark, tmp_path):
     assert sorted(map(tuple, sinks.last_of(spark, str(tmp_path / "cache"), ["k"]).collect())) == [(1, "b"), (2, "x")]
 
 
+def test_namesakes_are_listed_with_every(spark):
+    """Three orgs of one name and one of another at a host: pairs of the same name come with every."""
+    rows = [(i, "Green Works", "https://a.example", None, None) for i in (1, 2, 3)] + [(4, "Green Workz", "https://a.example", None, None), (5, "Green Works", "https://b.example", None, None), (6, "", "https://b.example", None, None)]
+    d = spark.createDataFrame(rows, "id long, name string, url string, address string, phones array<string>")
+    got = {(x.i, x.j): round(x.score, 6) for x in link.duplicate_pairs(d, 0.66, every=True).collect()}
+    assert {k for k, v in got.items() if v == 0.7} == {(1, 2), (1, 3), (2, 3)} and got.keys() - {(1, 4), (2, 4), (3, 4)} == {(1, 2), (1, 3), (2, 3)} and len(got) == 6
+    assert {(x.i, x.j) for x in link.duplicate_pairs(d, 0.66).collect()} == {(1, 4), (2, 4), (3, 4)}
+
+
 def test_joins_of_many_short_rows_are_not_broadcast(spark):
-    """The plan of a page's cards sends no table through the driver."""
+    """Neither the plan of pairs nor that of a page's cards sends a table through the driver."""
+    rows = [(i, f"Green Works {i % 3}", "https://a.example", "A B C", ["+49 40 1"]) for i in range(9)]
+    d = spark.createDataFrame(rows, "id long, name string, url string, address string, phones array<string>")
     e = elements.elements(spark.createDataFrame([(1, "<div class=card><h3>A</h3><a href=https://b.example>x</a></div>")], "page int, html string"), "page")
     tile = elements.has_class("card")
-    for out in (elements.card_links(e, "page", tile), elements.button_cards(e, "page", F.col("label") == "x", tile, "own")):
+    for out in (link.duplicate_pairs(d, every=True), link.namesakes(d), elements.card_links(e, "page", tile), elements.button_cards(e, "page", F.col("label") == "x", tile, "own")):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
