@@ -10,10 +10,9 @@ prediction counts when a template of its family confirms it, in the order of its
 - as a piece of a longer text: six words or more, 80 % of whose pairs the template has, and
   one of them or its words is its family's own.
 
-Only paragraphs with a guard word can be confirmed: the guard words are chosen so that
-without them all, too few pairs are left of any template to confirm it as a notice; a piece
-has to have one by definition. So the other paragraphs, which would be unknown whatever
-their prediction, are found by searching for those words and need no score.
+The guard words are chosen so that without them all, too few pairs are left of any template
+to confirm it as a notice. So the paragraphs without one, and without the words and pairs
+of a piece, would be unknown whatever their prediction, and need no score.
 """
 
 from __future__ import annotations
@@ -279,6 +278,16 @@ def guards() -> list[str]:
     return out
 
 
+@cache
+def marks() -> list[str]:
+    """Words of which every n-gram that is a family's own has one: the own words, and of the own
+    pairs without such a word the longer one. A line without them is no piece."""
+    own = {g for s in shapes() for g in s["o"]}
+    out = {g for g in own if " " not in g}
+    out |= {max(g.split(" "), key=lambda w: (len(w), w)) for g in own if not out & set(g.split(" "))}
+    return sorted(out)
+
+
 def _words(line: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(line), F.lit(r"[a-z0-9](?:[a-z0-9.-]*[a-z0-9])?"), F.lit(0))
 
@@ -290,7 +299,7 @@ def _pairs(w: Column) -> Column:
 
 def scan(docs: DataFrame, text: str = "text", out: str = "licenses") -> DataFrame:
     """docs with array<struct<line, family, probability, confirmed>>, one for each line with a
-    guard word: line counts from 0, family is the calibrated prediction, or 'unknown' where
+    guard word or the pairs of a piece: line counts from 0, family is the calibrated prediction, or 'unknown' where
     it isn't certain or no template confirms it. Of classes that tie the first one counts.
 
     Null and empty texts have none; an empty table gives an empty one. Very long lines are
@@ -302,11 +311,9 @@ def scan(docs: DataFrame, text: str = "text", out: str = "licenses") -> DataFram
     templates = F.from_json(F.lit(json.dumps(shapes())), "array<struct<f:string,p:array<string>,o:array<string>>>")
     names = F.array(*map(F.lit, families))
     start = F.array(*(F.lit(v) for v in bias))
-    guard = F.array(*map(F.lit, guards()))
 
     def told(x: Column) -> Column:
-        w = _words(x["text"])
-        return F.struct(x["line"].alias("line"), w.alias("w"), _pairs(w).alias("p"))
+        return F.struct(x["line"].alias("line"), x["w"].alias("w"), _pairs(x["w"]).alias("p"))
 
     def grams(x: Column) -> Column:
         g = F.array_distinct(F.concat(x["w"], x["p"]))
@@ -333,11 +340,19 @@ def scan(docs: DataFrame, text: str = "text", out: str = "licenses") -> DataFram
         return F.struct(x["line"].alias("line"), F.when(good, x["f"]).otherwise(UNKNOWN).alias("family"), F.round(x["sure"], 6).alias("probability"), good.alias("confirmed"))
 
     l = unused(docs, "lines")
-    may = rf"(?<![a-z0-9])(?:{'|'.join(map(re.escape, guards()))})(?![a-z0-9])"
-    lines = F.transform(F.split(F.col(text), "\n"), lambda t, i: F.struct(i.alias("line"), t.alias("text")))
-    none = F.array().cast("array<struct<line:int,text:string>>")
-    d = docs.withColumn(l, F.when(ascii_lower(F.coalesce(F.col(text), F.lit(""))).rlike(may), lines).otherwise(none))
-    d = d.withColumn(l, F.filter(F.transform(l, told), lambda x: F.arrays_overlap(x["w"], guard)))
+    known = sorted({p for t in shapes() for p in t["p"]})
+
+    def may(x: Column) -> Column:  # a line's words are looked up before its pairs are made
+        marked = (F.size(x["w"]) >= PIECE_WORDS) & F.exists(x["w"], lambda w: w.isin(marks()))
+        return F.exists(x["w"], lambda w: w.isin(guards())) | marked
+
+    def kept(x: Column) -> Column:
+        piece = F.size(F.filter(x["p"], lambda p: p.isin(known))) >= PIECE * F.size(x["p"])
+        return F.exists(x["w"], lambda w: w.isin(guards())) | piece
+
+    lines = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda t, i: F.struct(i.alias("line"), _words(t).alias("w")))
+    d = docs.withColumn(l, F.filter(lines, may))
+    d = d.withColumn(l, F.filter(F.transform(l, told), kept))
     for f in (grams, logits, best, confirmed):
         d = d.withColumn(l, F.transform(l, f))
     return d.withColumn(out, F.col(l)).drop(l)

@@ -289,3 +289,23 @@ def test_pii_long_secrets(spark):
     texts = {**dict(secret + plain), **{i: f'then token = "{t}" came' for i, t in long.items()}}
     got = {r.doc_id: r.other for r in pii.find(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
     assert all(t in [texts[i][x.s : x.e] for x in got[i]] for i, t in long.items())
+
+
+def test_license_pieces_without_guard_words(spark):
+    """Pieces of templates that have none of the guard words are candidates, and some are confirmed."""
+    guard, rows = set(licenses.guards()), []
+    known = [(f, t) for f, ts in licenses.TEMPLATES.items() if f != licenses.UNKNOWN for t in ts]
+    for s, (family, text) in zip(licenses.shapes(), known):
+        piece: list[str] = []
+        for w in [*licenses.words_of(text), None]:
+            if w is not None and w not in guard:
+                piece.append(w)
+                continue
+            if len(piece) >= licenses.PIECE_WORDS and set(licenses.grams_of(piece)) & set(s["o"]):
+                rows.append((len(rows), family, " ".join(piece)))
+            piece = []
+    got = licenses.scan(spark.createDataFrame(rows, "id int, f string, text string")).collect()
+    assert len(rows) > 20 and all(len(x.licenses) == 1 for x in got)
+    assert any(x.licenses[0].confirmed and x.licenses[0].family == x.f for x in got)
+    other = spark.createDataFrame([("of course to any person he met",), ("a a a a a a a",), (None,), ("",)], "text string")
+    assert all(x.licenses == [] for x in licenses.scan(other).collect())
