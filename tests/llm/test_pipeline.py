@@ -157,3 +157,22 @@ def test_library_without_this_subpackage(tmp_path):
     (tmp_path / "__spark_entry__.py").write_text((root / "__spark_entry__.py").read_text())
     code = "import __spark_entry__ as e; n = e.queries(); assert n and not any(k.startswith('op1_') or k == 'pipeline' for k in n); assert set(e.oracle_sql()) <= set(n)"
     subprocess.run([sys.executable, "-c", textwrap.dedent(code)], cwd=tmp_path, env={"PATH": "/usr/bin", "PYTHONPATH": f"{tmp_path}:{':'.join(p for p in sys.path if 'site-packages' in p)}"}, check=True)
+
+
+def test_line_dedup_compares_past_joined_lines(spark):
+    """Families of lines that are like the first or the one before: a later line goes if any earlier one is similar."""
+    import random
+
+    r, rows = random.Random(3), []
+    for f in range(120):
+        first = base = [f"f{f}x{i}" for i in range(9)]
+        rows.append(base)
+        for k in range(8):
+            base = list(base if k % 2 else first)
+            base[r.randrange(9)] = f"n{f}k{k}"
+            rows.append(base)
+    docs = spark.createDataFrame([(i, " ".join(x), 0) for i, x in enumerate(rows)], "doc_id long, text string, n_chars long")
+    kept = {x.doc_id for x in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    own = [set(x) for x in rows]
+    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    assert kept == {i for i in range(len(own)) if not any(alike(own[i], own[j]) for j in range(i - i % 9, i))}
