@@ -389,7 +389,7 @@ SELECT a.id AS a, b.id AS b, round(len(list_intersect(a.w, b.w)) / len(list_dist
 def jaccard_pairs(spark, sf_dir):
     """Pairs of different sets of words, named by their first documents, with their members."""
     d = read(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.array_distinct(text.blank_words(F.col("text"))).alias("w"))
-    return setjoin.similar_sets(d, "doc_id", "w", 0.5, ("lang", "source")).withColumn("jaccard", F.round("jaccard", 6))
+    return setjoin.similar_long_sets(d, "doc_id", "w", 0.5, ("lang", "source")).withColumn("jaccard", F.round("jaccard", 6))
 
 
 @query("SELECT count(*) AS total, count(toxic) AS completed, count(*) FILTER (toxic = 1) AS failed, count(*) - count(toxic) AS remaining, round(100.0 * count(toxic) / count(*), 2)::DOUBLE AS percent, round(avg(toxic), 6) AS mean FROM documents LEFT JOIN labels USING (doc_id)")

@@ -322,6 +322,20 @@ def test_similar_sets(spark, least):
     own = [(i, set(w), g) for i, w, g in rows if rep[i] == i and w]
     want = {(a, b): (round(len(x & y) / len(x | y), 9), size[a], size[b]) for a, x, g in own for b, y, h in own if a < b and g == h and len(x & y) / len(x | y) >= least}
     assert got == want and (want or least > 0.5)
+    for most in (setjoin.TILE, 300):
+        long = setjoin.similar_long_sets(d, "i", "w", least, ("g",), most)
+        assert {(x.a, x.b): (round(x.jaccard, 9), x.n_a, x.n_b) for x in long.collect()} == want and long.count() == len(want)
+
+
+def test_long_sets_send_no_candidates(spark, sf):
+    """Words of whole texts are sent once and what meets is compared where it is: candidates took the disk."""
+    from orgweave.plans.registry import QUERIES
+
+    plan = QUERIES["jaccard_pairs"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsIn" in plan and "posexplode" not in plan and "array_intersect" not in plan
+    blocks = spark.createDataFrame([(1, ["a", "b"], None), (2, ["a", "b", "c"], None), (3, ["a", "b"], 1)], "i int, w array<string>, g int")
+    assert setjoin.similar_long_sets(blocks, "i", "w", 0.5, ("g",)).count() == 0  # no block, no pair
+    assert [tuple(x) for x in setjoin.similar_long_sets(blocks, "i", "w", 0.5).collect()] == [(1, 2, 2 / 3, 2, 1)]
 
 
 def test_numbered(spark):
