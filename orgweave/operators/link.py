@@ -10,7 +10,7 @@ from ..scratch import written
 from . import fuzzy
 from .components import connected_components
 from .dedupe import keep
-from .hot import by_shuffle
+from .hot import by_shuffle, dealt
 
 
 def link_exact(mentions: DataFrame, orgs: DataFrame) -> DataFrame:
@@ -218,6 +218,21 @@ def mark_bidirectional(edges: DataFrame, source: str = "source", target: str = "
     return met.withColumn("bidirectional", F.coalesce("__b", F.lit(False))).drop("__s", "__t", "__b")
 
 
+def distinct_edges(edges: DataFrame, rows: int) -> DataFrame:
+    """(source, target, bidirectional): edges, of about so many rows, once each, and whether the
+    opposite one exists. Edges without an end, or from a node to itself, are left out.
+
+    Both directions of a pair meet in one aggregation over its lesser and greater end; the
+    edges aren't joined with themselves.
+    """
+    up = F.col("source") < F.col("target")
+    way = edges.where("source <> target").select(F.least("source", "target").alias("lo"), F.greatest("source", "target").alias("hi"), F.when(up, 1).otherwise(2).alias("way"))
+    pairs = dealt(way, rows, "lo", "hi").groupBy("lo", "hi").agg(F.bit_or("way").alias("ways"))
+    d = pairs.withColumn("way", F.explode(F.when(F.col("ways") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array("ways"))))
+    up = F.col("way") == 1
+    return d.select(F.when(up, F.col("lo")).otherwise(F.col("hi")).alias("source"), F.when(up, F.col("hi")).otherwise(F.col("lo")).alias("target"), (F.col("ways") == 3).alias("bidirectional"))
+
+
 def cluster_synergies(capabilities: DataFrame, needs: DataFrame) -> DataFrame:
     """Entities of capability clusters and need clusters that share a word.
 

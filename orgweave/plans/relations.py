@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geo, text, urls
-from ..operators import dedupe, link, merge, setjoin, windows
+from ..operators import dedupe, hot, link, merge, setjoin, windows
 from ..operators.scan import scan
 from ..regions import REGIONS
 from .base import query, read
@@ -231,6 +231,16 @@ def dedup_groups(spark, sf_dir):
 _EDGES = "SELECT DISTINCT o_custkey AS source, l_suppkey AS target FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey <> l_suppkey"
 
 
+def _marked(spark, sf_dir):
+    """Edges with their opposite ones marked. Orders and their lines meet in tasks that have as many
+    rows in a large table as in a small one."""
+    o = read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("source"))
+    l = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("target"))
+    rows = l.count()
+    met = hot.dealt(o, rows, "o_orderkey").join(hot.by_shuffle(hot.dealt(l, rows, "o_orderkey")), "o_orderkey")
+    return link.distinct_edges(met.select("source", "target"), rows)
+
+
 def _edges(spark, sf_dir):
     met = read(spark, sf_dir, "orders").join(read(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
     return met.select(F.col("o_custkey").alias("source"), F.col("l_suppkey").alias("target")).where("source <> target").distinct()
@@ -238,7 +248,7 @@ def _edges(spark, sf_dir):
 
 @query(f"WITH e AS ({_EDGES}) SELECT e.source, e.target, f.source IS NOT NULL AS bidirectional FROM e LEFT JOIN e f ON f.source = e.target AND f.target = e.source")
 def bidirectional_edges(spark, sf_dir):
-    return link.mark_bidirectional(_edges(spark, sf_dir))
+    return _marked(spark, sf_dir)
 
 
 @query("""WITH e AS (SELECT DISTINCT o_custkey AS a FROM orders WHERE o_custkey IS NOT NULL), i AS (SELECT a, a - row_number() OVER (ORDER BY a) AS g FROM e), c AS (SELECT a, min(a) OVER (PARTITION BY g) AS component FROM i)

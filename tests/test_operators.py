@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from orgweave.functions import text
-from orgweave.operators import cluster, collab, dedupe, fuzzy, generate, graph, link, merge, profiles, scan, setjoin, synergy, taxonomy, windows
+from orgweave.operators import cluster, collab, dedupe, fuzzy, generate, graph, hot, link, merge, profiles, scan, setjoin, synergy, taxonomy, windows
 from orgweave.operators.components import connected_components
 from orgweave.sources import elements, markup, registry, sinks
 from orgweave.streaming import new_only, read_upserted, upsert_batches
@@ -615,3 +615,16 @@ def test_joins_of_many_short_rows_are_not_broadcast(spark):
     for out in (link.duplicate_pairs(d, every=True), link.namesakes(d), elements.card_links(e, "page", tile), elements.button_cards(e, "page", F.col("label") == "x", tile, "own")):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_distinct_edges(spark):
+    """Each edge once, marked without a join; tasks are as many as the rows ask for."""
+    r = random.Random(5)
+    rows = [(r.randrange(12), r.randrange(12)) for _ in range(90)] + [(None, 1), (1, None), (3, 3), (100, 2)]
+    e = spark.createDataFrame(rows, "source long, target long")
+    own = {x for x in rows if None not in x and x[0] != x[1]}
+    got = [tuple(x) for x in link.distinct_edges(e, len(rows)).collect()]
+    assert sorted(got) == sorted((a, b, (b, a) in own) for a, b in own) and {x[2] for x in got} == {True, False}
+    plan = link.distinct_edges(e, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    assert hot.dealt(e, 40 * hot.ROWS, "source").rdd.getNumPartitions() == 41
