@@ -126,9 +126,13 @@ def items_match(query: Column, items: Column, name: str = "name", description: s
     """Struct of score, the best of an array of items (0 for none), and matched, the names of
     the items that score above 0, in order."""
     scored = F.transform(items, lambda x: F.struct(x[name].alias("name"), item_match(query, x[name], x[description], least).alias("score")))
-    best = F.coalesce(F.array_max(F.transform(scored, lambda x: x["score"])), F.lit(0.0))
-    matched = F.transform(F.filter(scored, lambda x: x["score"] > 0), lambda x: x["name"])
-    return F.struct(best.alias("score"), F.coalesce(matched, F.array().cast("array<string>")).alias("matched"))
+
+    def told(every: Column) -> Column:
+        best = F.coalesce(F.array_max(F.transform(every, lambda x: x["score"])), F.lit(0.0))
+        matched = F.transform(F.filter(every, lambda x: x["score"] > 0), lambda x: x["name"])
+        return F.struct(best.alias("score"), F.coalesce(matched, F.array().cast("array<string>")).alias("matched"))
+
+    return F.transform(F.array(scored), told)[0]  # a lambda's argument is worked out once, a column where it is named
 
 
 def recommendation(priority: Column, action: Column) -> tuple[Column, Column]:

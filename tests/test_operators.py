@@ -628,3 +628,9 @@ def test_distinct_edges(spark):
     plan = link.distinct_edges(e, 1)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
     assert hot.dealt(e, 40 * hot.ROWS, "source").rdd.getNumPartitions() == 41
+
+
+def test_rows_of_a_small_file_are_dealt(spark, sf):
+    from orgweave.plans.registry import QUERIES
+
+    assert QUERIES["capability_search"](spark, sf).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
