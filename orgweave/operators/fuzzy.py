@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import ratio_bound, sequence_ratio
+from ..functions.text import sequence_ratio
 from ..scratch import forget, unused, written
 from .hot import by_shuffle
 
@@ -39,6 +39,11 @@ def candidates(left: DataFrame, right: DataFrame, least: float, block: tuple[str
     or more, share a run among the rarest of either, as many as may be missing and one more,
     where lengths and positions still fit, and then must share as many as needed. Runs have
     three characters where both strings are so long that they must share one, else two.
+
+    Strings go by numbers until the few that are alike enough are known. Each rare run brings
+    its string's length and which of 256 hashes its pairs of neighbours have in odd number: the
+    bits that two strings differ in are pairs of which one has more, and too many of them end
+    a meeting before it is written.
     """
     if least <= 0.8:
         raise ValueError("up to a ratio of 0.8 different strings need not share a bigram")
@@ -48,33 +53,49 @@ def candidates(left: DataFrame, right: DataFrame, least: float, block: tuple[str
     width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     q = F.col("q")
 
+    def numbered(df: DataFrame, c: str) -> DataFrame:
+        return written(df.select(c, *block).repartition(width, c).withColumn(f"{c}_id", F.monotonically_increasing_id()))
+
     def tokens(df: DataFrame, c: str) -> DataFrame:
         grams, size = unused(df, "grams"), F.char_length(c)
         kinds = F.filter(F.array(F.when(size >= long, 3), F.when(size <= longest, 2)), lambda x: x.isNotNull())
-        d = df.select(c, *block).repartition(width, c).withColumn("q", F.explode(kinds))
-        return written(with_grams(d, c, grams, q).select(c, *block, "q", F.explode(grams).alias("t")))
+        d = df.withColumn("q", F.explode(kinds))
+        return written(with_grams(d, c, grams, q).select(f"{c}_id", *block, "q", F.explode(grams).alias("t")))
+
+    def bits(df: DataFrame, c: str) -> DataFrame:
+        pairs = unused(df, "pairs")
+        part = lambda x, k: F.when(F.pmod(x, F.lit(4)) == k, F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.shiftright(x, 2), F.lit(64)).cast("int"))).otherwise(0)
+        odd = lambda k: F.aggregate(pairs, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseXOR(part(x, k))).alias(f"{c}_{k}")
+        return with_grams(df, c, pairs, F.lit(2)).select(f"{c}_id", F.char_length(c).alias(f"{c}_len"), *map(odd, range(4)))
 
-    l, r = tokens(left, "k"), tokens(right, "n")
+    left_names, right_names = numbered(left, "k"), numbered(right, "n")
+    l, r = tokens(left_names, "k"), tokens(right_names, "n")
     often = r.groupBy("t").agg(F.count("*").alias("df"))
 
-    def ranked(t: DataFrame, p: str) -> DataFrame:
-        t = t.join(by_shuffle(often), "t", "left").groupBy(p, *block, "q").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "t"))).alias("o"))
-        return written(t.select(p, *block, "q", F.size("o").alias(f"{p}_size"), F.transform("o", lambda x: x["t"]).alias(f"{p}_all")))
+    def ranked(t: DataFrame, p: str, names: DataFrame) -> DataFrame:
+        t = t.join(by_shuffle(often), "t", "left").groupBy(f"{p}_id", *block, "q").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "t"))).alias("o"))
+        t = t.select(f"{p}_id", *block, "q", F.size("o").alias(f"{p}_size"), F.transform("o", lambda x: x["t"]).alias(f"{p}_all"))
+        return written(t.join(by_shuffle(bits(names, p)), f"{p}_id"))
 
     def prefixes(t: DataFrame, p: str) -> DataFrame:
         size = F.col(f"{p}_size")
-        first = size - needed(F.char_length(p) * (2 / (2 - least)), least, q).cast("int") + 1
-        return t.select(p, *block, "q", size, F.posexplode(F.slice(f"{p}_all", F.lit(1), F.greatest(first, F.lit(0)))).alias(f"{p}_at", "t"))
+        first = size - needed(F.col(f"{p}_len") * (2 / (2 - least)), least, q).cast("int") + 1
+        told = [c for c in t.columns if c != f"{p}_all"]
+        return t.select(*told, F.posexplode(F.slice(f"{p}_all", F.lit(1), F.greatest(first, F.lit(0)))).alias(f"{p}_at", "t"))
 
     tables = [l, r]
-    l, r = ranked(l, "k"), ranked(r, "n")
+    l, r = ranked(l, "k", left_names), ranked(r, "n", right_names)
     forget(*tables)
     met = prefixes(l, "k").join(by_shuffle(prefixes(r, "n")), ["t", "q", *block])
-    both = F.char_length("k") + F.char_length("n")
+    x, y = F.col("k_len"), F.col("n_len")
     left_over = 1 + F.least(F.col("k_size") - F.col("k_at") - 1, F.col("n_size") - F.col("n_at") - 1)
-    fit = (ratio_bound(F.col("k"), F.col("n")) >= least) & (left_over >= needed(both, least, q)) & ((q == 3) | (F.least(F.char_length("k"), F.char_length("n")) < long))
-    met = met.where(fit).select("k", "n", "q", *block).distinct()
-    met = met.join(by_shuffle(l.drop("k_size")), ["k", "q", *block]).join(by_shuffle(r.drop("n_size")), ["n", "q", *block])
+    fit = ((q == 3) | (F.least(x, y) < long)) & (2 * F.least(x, y) / (x + y) >= least) & (left_over >= needed(x + y, least, q))
+    apart = sum((F.bit_count(F.col(f"k_{k}").bitwiseXOR(F.col(f"n_{k}"))) for k in range(1, 4)), F.bit_count(F.col("k_0").bitwiseXOR(F.col("n_0"))))
+    pairs = F.greatest(x - 1, F.lit(0)) + F.greatest(y - 1, F.lit(0))
+    met = met.where(fit & (apart <= pairs - 2 * needed(x + y, least, F.lit(2)))).select("k_id", "n_id", "q").distinct()
+    met = met.join(by_shuffle(l.select("k_id", "q", "k_all")), ["k_id", "q"]).join(by_shuffle(r.select("n_id", "q", "n_all")), ["n_id", "q"])
+    met = met.join(by_shuffle(left_names), "k_id").join(by_shuffle(right_names.drop(*block)), "n_id").withColumn("both", F.char_length("k") + F.char_length("n"))
+    both = F.col("both")
     met = met.where(F.size(F.array_intersect("k_all", "n_all")) >= needed(both, least, q)).select("k", "n", *block)
     same = left.select("k", *block).join(by_shuffle(right.select(F.col("n").alias("k"), "n", *block)), ["k", *block])
     return met.unionByName(same.select("k", "n", *block)).distinct()

@@ -634,3 +634,13 @@ def test_rows_of_a_small_file_are_dealt(spark, sf):
     from orgweave.plans.registry import QUERIES
 
     assert QUERIES["capability_search"](spark, sf).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_unlike_names_end_at_their_meeting(spark):
+    """Names go by number and their bits are compared where two meet, before pairs are shuffled."""
+    r = random.Random(9)
+    names = ["".join(r.choice("0123456789abcdef ") for _ in range(18)) for _ in range(60)]
+    left = spark.createDataFrame([(n[:5] + n[6:],) for n in names], "k string")
+    got = fuzzy.candidates(left, spark.createDataFrame([(n,) for n in names], "n string"), 0.85)
+    assert "bit_count" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert {tuple(x) for x in got.collect()} >= {(n[:5] + n[6:], n) for n in names}
