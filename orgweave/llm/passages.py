@@ -6,6 +6,10 @@ shingles (fewer words: the whole). 27 minima in 9 bands of 3 find a pair of Jacc
 with probability 0.998. Paragraphs that collide in a band are joined, verified by exact
 Jaccard, and clustered by connected components; of each cluster the first occurrence
 stays and the others are removed, where neighbouring ones together make a passage.
+
+With sure_words, passages that begin and end anywhere are met by windows: with 50, of every 26 windows of 25 words in
+a row the one with the least hash is a unit of one band, its key. So any 50 words that two
+documents have in common, inside sentences or over the ends of lines, give both the same one.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from pyspark.sql import functions as F
 from ..operators.components import connected_components
 from .common import forget, hot_join, let_go, partitions, place, remove, small_batches, table, written
 from .sets import LARGE, bounds, buckets, key_filter, large_components, linked, links_by_prefix, passes, runs
-from .tokens import BLANKS, mix, pieces, text_list, words
+from .tokens import BLANKS, Batch, mix, pieces, rolling, text_list, words
 
 _U = np.uint64
 
@@ -30,7 +34,9 @@ _U = np.uint64
 @dataclass(frozen=True)
 class Settings:
     """sentence_words: words a sentence needs to be a unit of its own. passage_words: words
-    that a shared unit, or neighbouring shared units together, need to count as a passage."""
+    that a shared unit, or neighbouring shared units together, need to count as a passage; a
+    window has as many. sure_words: as many equal words in a row that several documents have
+    are found wherever they begin; 0: no windows."""
 
     threshold: float = 0.8
     shingle: int = 5
@@ -38,6 +44,7 @@ class Settings:
     rows: int = 3
     sentence_words: int = 12
     passage_words: int = 25
+    sure_words: int = 0
 
 
 _BAND = np.dtype([("band", "<u8"), ("key", "<u8")])
@@ -47,6 +54,10 @@ _SENT = np.dtype([("band", "<u4"), ("key", "<u8")])
 _STOPS = np.isin(np.arange(256), [ord(c) for c in ".!?"])
 
 
+#: Of passages that repeat across documents.
+ACROSS = Settings(sure_words=50)
+
+
 @dataclass
 class Units:
     """Units of some texts, in order: text, number of the line, its number among the text's
@@ -111,13 +122,34 @@ def shingles(h: np.ndarray, first: np.ndarray, past: np.ndarray, size: int) -> t
     return out, begin
 
 
+def windows(b: Batch, h: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, key) of the windows that the texts of a batch give: of sure_words words in a
+    row at least one of passage_words, picked by what it says, once for each text."""
+    picked = s.sure_words - s.passage_words + 1
+    if picked < 1 or len(h) < s.sure_words:
+        return np.empty(0, np.int64), np.empty(0, _U)
+    key = rolling(h, s.passage_words)
+    mask = _U((1 << len(key).bit_length()) - 1)
+    least, span = (key & ~mask) | np.arange(len(key), dtype=_U), 1  # a window's hash, then its place
+    while 2 * span <= picked:
+        least, span = np.minimum(least[:-span], least[span:]), 2 * span
+    least = np.minimum(least[: len(least) - picked + span], least[picked - span :])
+    at = (least[b.doc[: len(least)] == b.doc[s.sure_words - 1 :]] & mask).astype(np.int64)
+    at = at[np.diff(at, prepend=-1) != 0]
+    order = np.lexsort((at, key[at], b.doc[at]))
+    k, d = key[at][order], b.doc[at][order]
+    at = np.sort(at[order[np.concatenate(([True], (k[1:] != k[:-1]) | (d[1:] != d[:-1])))[: len(at)]]])
+    return at, key[at]
+
+
 def _distinct(u: Units) -> Units:
     _, k = np.unique(u.key, return_index=True)
     return Units(*(x[k] for x in (u.doc, u.line, u.nth, u.part, u.first, u.past, u.key)))
 
 
 def band_records(texts: list, s: Settings) -> np.ndarray:
-    """Records of the distinct units; a unit that the texts have more than once has one more.
+    """Records of the distinct units; a unit that the texts have more than once has one more, a
+    window that several of them have as well.
 
     Units of so few shingles that similar ones must be equal have one band, of their key.
     The lowest bit of a band's hash tells the first band, which every unit has.
@@ -129,7 +161,8 @@ def band_records(texts: list, s: Settings) -> np.ndarray:
     u = Units(*(x[k] for x in (u.doc, u.line, u.nth, u.part, u.first, u.past, u.key)))
     least = int(np.floor(s.threshold / (1 - s.threshold) + 1e-9)) if s.threshold < 1 else 1 << 30
     long = np.flatnonzero(u.past - u.first - s.shingle + 1 >= least)  # one less shingle is least / (least + 1)
-    sh, begin = shingles(b.hashes(), u.first[long], u.past[long], s.shingle)
+    h = b.hashes()
+    sh, begin = shingles(h, u.first[long], u.past[long], s.shingle)
     rng = np.random.default_rng(7)
     a = rng.integers(1, 1 << 63, s.bands * s.rows, dtype=np.uint64) | _U(1)
     c = rng.integers(0, 1 << 63, s.bands * s.rows, dtype=np.uint64)
@@ -146,7 +179,10 @@ def band_records(texts: list, s: Settings) -> np.ndarray:
         else:
             first["band"][long] = key
     first["band"] |= _U(1 << 32)
-    return np.concatenate((first, out.reshape(-1), first[often > 1]))
+    k, several = np.unique(windows(b, h, s)[1], return_counts=True)
+    window = np.empty(len(k), _BAND)
+    window["band"], window["key"] = mix(k) | _U(1 << 32), k
+    return np.concatenate((first, out.reshape(-1), first[often > 1], window, window[several > 1]))
 
 
 def _collide(docs: DataFrame, text: str, s: Settings) -> DataFrame:
@@ -213,7 +249,8 @@ _FOUND = "kind int, key long, id string, rk long, line int, nth int, part int, n
 
 def _found(docs: DataFrame, doc_id: str | None, text: str, s: Settings, sets: DataFrame, occurrences: DataFrame | None) -> str:
     """Where one more reading of the texts is written: shingles (kind 1) of the units that have
-    their key in sets, now and then one more, and the places (kind 0) of those in occurrences."""
+    their key in sets, now and then one more, and the places (kind 0) of those in occurrences.
+    A window's part is -2 less the number of its first word."""
     spark = docs.sparkSession
     wanted = spark.sparkContext.broadcast(key_filter(sets))
     placed = spark.sparkContext.broadcast(key_filter(occurrences) if occurrences is not None else None)
@@ -223,18 +260,22 @@ def _found(docs: DataFrame, doc_id: str | None, text: str, s: Settings, sets: Da
         for b in batches:
             for at, part in pieces(text_list(b.t), PIECE):
                 w, u = units(part, s)
-                key = u.key.view(np.int64)
+                h, key = w.hashes(), u.key.view(np.int64)
                 if placed.value is not None:
                     k = np.flatnonzero(passes(placed.value, key))
                     g = b.iloc[at : at + len(part)]
                     yield pd.DataFrame({"kind": 0, "key": key[k], "id": g.id.to_numpy(object)[u.doc[k]], "rk": g.rk.to_numpy()[u.doc[k]], "line": u.line[k], "nth": u.nth[k], "part": u.part[k], "n": (u.past - u.first)[k], "sh": None})
+                    first, found = windows(w, h, s)
+                    k = np.flatnonzero(passes(placed.value, found.view(np.int64)))
+                    of, nth = w.doc[first[k]], first[k] - np.searchsorted(w.doc, w.doc[first[k]])
+                    yield pd.DataFrame({"kind": 0, "key": found.view(np.int64)[k], "id": g.id.to_numpy(object)[of], "rk": g.rk.to_numpy()[of], "line": 0, "nth": 0, "part": -2 - nth, "n": s.passage_words, "sh": None})
                 u = _distinct(u)
                 key = u.key.view(np.int64)
                 k = np.flatnonzero(passes(wanted.value, key))
                 k = k[[x not in seen for x in key[k].tolist()]] if len(k) else k
                 if not len(k):
                     continue
-                sh, begin = shingles(w.hashes(), u.first[k], u.past[k], s.shingle)
+                sh, begin = shingles(h, u.first[k], u.past[k], s.shingle)
                 seen.update(key[k].tolist())
                 if len(seen) > 100_000:
                     seen.clear()
@@ -313,7 +354,8 @@ def clusters(docs: DataFrame, text: str = "text", s: Settings = Settings(), larg
 def shared_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s: Settings = Settings(), large: int = LARGE) -> DataFrame:
     """One row for each unit whose cluster has units of several lines: id, rk, line, nth (the
     line's number among those that have words), part (-1: the line, else the sentence's number), n (words), first_id (least id that has the unit's
-    cluster) and removed (an earlier occurrence exists). Sentences of a cluster's first
+    cluster), removed (an earlier occurrence exists) and across (its cluster has units of several
+    documents). Sentences of a cluster's first
     line that are similar to it by others don't count.
 
     Occurrences are ordered by (id, rk, line, part), null ids first. rk is xxhash64 of the
@@ -322,6 +364,11 @@ def shared_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s:
     Only units that occur more than once or collide with others are placed; they are
     summed by key and by cluster, and hot ones met by broadcast, so none is one task's.
     """
+    return _shared(docs, doc_id, text, s, large).where("part >= -1")
+
+
+def _shared(docs: DataFrame, doc_id: str, text: str, s: Settings, large: int) -> DataFrame:
+    """shared_units(), and the windows that several documents have."""
     spark = docs.sparkSession
     with small_batches(spark):
         links = written(_collide(docs, text, s))
@@ -341,11 +388,12 @@ def shared_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s:
     by = keys.groupBy("c").agg(F.min("f").alias("f"), F.max("l").alias("l"), F.min("first_id").alias("first_id"), F.count("*").alias("n_keys"))
     first_line = F.struct(F.col("f.id").alias("id"), F.col("f.rk").alias("rk"), F.col("f.line").alias("line"))
     by = by.where(~first_line.eqNullSafe(F.col("l")))
+    by = by.withColumn("across", ~(F.col("f.id").eqNullSafe(F.col("l.id")) & F.col("f.rk").eqNullSafe(F.col("l.rk"))))
     total = keys.agg(F.count("*"), F.coalesce(F.sum("places"), F.lit(0))).first()
-    told = hot_join(keys.select("key", "c", "places"), by, "c", "n_keys", total[0]).select("key", "places", "f", "first_id")
+    told = hot_join(keys.select("key", "c", "places"), by, "c", "n_keys", total[0]).select("key", "places", "f", "first_id", "across")
     met = hot_join(occ, told, "key", "places", total[1])
     met = met.where(~line.eqNullSafe(first_line) | at.eqNullSafe(F.col("f")) | (F.col("f.part") >= 0))
-    return met.select("id", "rk", "line", "nth", "part", "n", "first_id", (~at.eqNullSafe(F.col("f"))).alias("removed"))
+    return met.select("id", "rk", "line", "nth", "part", "n", "first_id", (~at.eqNullSafe(F.col("f"))).alias("removed"), "across")
 
 
 def _passages(u, s: Settings):
@@ -377,18 +425,23 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s: Setti
 
     A passage is a run of neighbouring shared units, or removed ones for what is removed, of
     at least passage_words words together; shorter ones are left alone. Lines without words
-    don't part neighbours. Null, empty and wordless texts have zeros and empty arrays; so
+    don't part neighbours. With sure_words, n_shared counts only units that have their like in
+    another document, and where there are none, the windows that others have; n_removed and
+    repeated go by windows, too, where no line or sentence is removed. Null, empty and wordless texts have zeros and empty arrays; so
     has everything in an empty table. Repeated rows have equal results; of equal texts under
     different ids the one with the least id comes first. Texts may be of any length, ids of
     any type that has an order; other columns of docs are not returned.
     """
-    found = shared_units(docs, doc_id, text, s, large)
-    unit = F.struct("nth", "part", "n", "line", "first_id", "removed")
-    rows = found.groupBy("id", "rk").agg(F.sort_array(F.collect_list(unit)).alias("u"))
+    found = _shared(docs, doc_id, text, s, large)
+    unit = F.struct("nth", "part", "n", "line", "first_id", "removed", "across")
+    window = F.col("part") < -1
+    rows = found.groupBy("id", "rk").agg(F.sort_array(F.collect_list(F.when(~window, unit))).alias("u"), F.collect_list(F.when(window, unit)).alias("w"))
     rows = rows.withColumn("gone", _passages(F.filter("u", lambda x: x["removed"]), s)).withColumn("u", _passages(F.col("u"), s))
+    other = F.filter("u", lambda x: x["across"]) if s.sure_words else F.col("u")
+    rows = rows.select("id", "rk", "u", F.when(F.size(other) > 0, other).otherwise(F.col("w")).alias("shared"), F.when(F.size("gone") > 0, F.col("gone")).otherwise(F.filter("w", lambda x: x["removed"])).alias("gone"))
     lines = F.sort_array(F.array_distinct(F.transform(F.filter("gone", lambda x: x["part"] == -1), lambda x: x["line"])))
-    firsts = F.sort_array(F.array_distinct(F.filter(F.transform("u", lambda x: x["first_id"]), lambda v: v.isNotNull())))
-    rows = rows.select("id", "rk", F.size("u").cast("long").alias("n_shared"), F.size("gone").cast("long").alias("n_removed"), lines.alias("removed_lines"), firsts.alias("first_ids"), (F.size("gone") > 0).alias("repeated"))
+    firsts = F.sort_array(F.array_distinct(F.filter(F.transform(F.concat("u", "shared"), lambda x: x["first_id"]), lambda v: v.isNotNull())))
+    rows = rows.select("id", "rk", F.size("shared").cast("long").alias("n_shared"), F.size("gone").cast("long").alias("n_removed"), lines.alias("removed_lines"), firsts.alias("first_ids"), (F.size("gone") > 0).alias("repeated"))
     mine = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("k"))
     met = mine.join(rows, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("k") == F.col("rk")), "left")
     types = dict(rows.dtypes)
@@ -398,4 +451,4 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s: Setti
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
-    return report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return report(table(spark, sf_dir, "documents").select("doc_id", "text"), s=ACROSS)

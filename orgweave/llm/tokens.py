@@ -83,6 +83,14 @@ def words(texts: list, seps: np.ndarray = BLANKS, lower: bool = True) -> Batch:
     return Batch(buf, start, end, doc, doc_at, sums)
 
 
+def rolling(h: np.ndarray, size: int) -> np.ndarray:
+    """Hash of every size hashes in a row."""
+    power, inverse = _powers(len(h))
+    sums = np.zeros(len(h) + 1, U)
+    np.cumsum(h * power[: len(h)], out=sums[1:])
+    return mix((sums[size:] - sums[:-size]) * inverse[: len(h) - size + 1])
+
+
 def pieces(texts: list, limit: int = 1_000_000) -> Iterator[tuple[int, list]]:
     """Runs of whole texts of about limit characters, with the index of the first."""
     at, size = 0, 0

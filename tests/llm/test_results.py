@@ -442,6 +442,28 @@ def test_passages_of_short_units(spark):
     assert passages.units(["\n\na b\n \nc d", "e", "\nf"], passages.Settings())[1].nth.tolist() == [0, 1, 0, 0]
 
 
+def test_passages_across_documents(spark):
+    """Words that begin and end inside sentences, or over the ends of lines, are found in all
+    documents that have 50 of them; what repeats in one document only isn't shared."""
+    r = random.Random(22)
+    plain = lambda n: [r.choice(VOCAB).strip(".!?") for _ in range(n)]
+    docs, common = {}, [plain(50) for _ in range(40)]
+    for k, c in enumerate(common):  # once inside a sentence, once over lines of seven words that begin anywhere
+        docs[2 * k] = " ".join([*plain(60 + k), *c, *plain(70)]) + "."
+        w = [*plain(k), *c, *plain(40)]
+        docs[2 * k + 1] = "\n".join(" ".join(w[i : i + 7]) for i in range(0, len(w), 7))
+    line = " ".join(plain(60))
+    docs |= {90: f"{line}\n{' '.join(plain(30))}\n{line}", 91: " ".join(plain(200)), 92: " ".join(["of"] * 500), 93: " ".join(plain(49)), 94: None, 95: "a " * 49}
+    df = spark.createDataFrame([*docs.items(), (92, docs[92])], "doc_id long, text string").repartition(3)
+    got = {x.doc_id: x for x in passages.report(df, s=passages.ACROSS).collect()}
+    assert all(got[i].n_shared > 0 and got[i].first_ids == [i // 2 * 2] and got[i].repeated == (i % 2 == 1) for i in range(80))
+    assert {i: (got[i].n_shared, got[i].n_removed) for i in range(90, 96)} == {90: (0, 1), 91: (0, 0), 92: (0, 0), 93: (0, 0), 94: (0, 0), 95: (0, 0)}
+    of = passages.words([docs[0], docs[1], docs[92], None, ""])
+    first, key = passages.windows(of, of.hashes(), passages.ACROSS)
+    of_doc = of.doc[first].tolist()
+    assert set(key[of.doc[first] == 0].tolist()) & set(key[of.doc[first] == 1].tolist()) and of_doc.count(2) == 1 and set(of_doc) == {0, 1, 2}
+
+
 def test_moves_are_the_best():
     """Against the likelihood of all token classes, counted anew for each move."""
     r = np.random.default_rng(6)
