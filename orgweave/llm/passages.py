@@ -364,11 +364,11 @@ def shared_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s:
     Only units that occur more than once or collide with others are placed; they are
     summed by key and by cluster, and hot ones met by broadcast, so none is one task's.
     """
-    return _shared(docs, doc_id, text, s, large).where("part >= -1")
+    return _shared(docs, doc_id, text, s, large).where("part >= -1").distinct()
 
 
 def _shared(docs: DataFrame, doc_id: str, text: str, s: Settings, large: int) -> DataFrame:
-    """shared_units(), and the windows that several documents have."""
+    """shared_units(), and the windows that several documents have; repeated rows repeat theirs."""
     spark = docs.sparkSession
     with small_batches(spark):
         links = written(_collide(docs, text, s))
@@ -381,10 +381,11 @@ def _shared(docs: DataFrame, doc_id: str, text: str, s: Settings, large: int) ->
     remove(spark, f"{found}/kind=1")
     let_go(spark)
     kind = docs.schema[doc_id].dataType
-    occ = _of_kind(spark, found, 0).select("key", F.col("id").cast(kind).alias("id"), "rk", "line", "nth", "part", "n").distinct()
+    occ = _of_kind(spark, found, 0).select("key", F.col("id").cast(kind).alias("id"), "rk", "line", "nth", "part", "n")
     at, line = F.struct("id", "rk", "line", "part"), F.struct("id", "rk", "line")
     ends = (F.min(at).alias("f"), F.max(line).alias("l"), F.min("id").alias("first_id"))
     keys = written(occ.groupBy("key").agg(*ends, F.count("*").alias("places")).join(of, "key", "left").withColumn("c", F.coalesce("cluster", "key")).drop("cluster"))
+    let_go(spark)
     by = keys.groupBy("c").agg(F.min("f").alias("f"), F.max("l").alias("l"), F.min("first_id").alias("first_id"), F.count("*").alias("n_keys"))
     first_line = F.struct(F.col("f.id").alias("id"), F.col("f.rk").alias("rk"), F.col("f.line").alias("line"))
     by = by.where(~first_line.eqNullSafe(F.col("l")))
@@ -435,7 +436,7 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s: Setti
     found = _shared(docs, doc_id, text, s, large)
     unit = F.struct("nth", "part", "n", "line", "first_id", "removed", "across")
     window = F.col("part") < -1
-    rows = found.groupBy("id", "rk").agg(F.sort_array(F.collect_list(F.when(~window, unit))).alias("u"), F.collect_list(F.when(window, unit)).alias("w"))
+    rows = found.groupBy("id", "rk").agg(F.sort_array(F.collect_set(F.when(~window, unit))).alias("u"), F.collect_set(F.when(window, unit)).alias("w"))
     rows = rows.withColumn("gone", _passages(F.filter("u", lambda x: x["removed"]), s)).withColumn("u", _passages(F.col("u"), s))
     other = F.filter("u", lambda x: x["across"]) if s.sure_words else F.col("u")
     rows = rows.select("id", "rk", "u", F.when(F.size(other) > 0, other).otherwise(F.col("w")).alias("shared"), F.when(F.size("gone") > 0, F.col("gone")).otherwise(F.filter("w", lambda x: x["removed"])).alias("gone"))
