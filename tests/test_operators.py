@@ -2,6 +2,7 @@
 
 import difflib
 import json
+import math
 import random
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from orgweave.functions import text
-from orgweave.operators import cluster, collab, dedupe, fuzzy, generate, graph, hot, link, merge, profiles, scan, setjoin, synergy, taxonomy, windows
+from orgweave.operators import cluster, collab, dedupe, fuzzy, generate, graph, hot, link, merge, near, profiles, scan, setjoin, synergy, taxonomy, windows
 from orgweave.operators.components import connected_components
 from orgweave.sources import elements, markup, registry, sinks
 from orgweave.streaming import new_only, read_upserted, upsert_batches
@@ -644,3 +645,37 @@ def test_unlike_names_end_at_their_meeting(spark):
     got = fuzzy.candidates(left, spark.createDataFrame([(n,) for n in names], "n string"), 0.85)
     assert "bit_count" in got._jdf.queryExecution().optimizedPlan().toString()
     assert {tuple(x) for x in got.collect()} >= {(n[:5] + n[6:], n) for n in names}
+
+
+@pytest.mark.parametrize("km, most", [(150.5, 4), (150.5, 10_000), (2.0, 3), (4000.0, 9), (10_100.0, 50), (20_100.0, 50)])
+def test_near_pairs_of_tiles(spark, monkeypatch, km, most):
+    """Every pair once with both counts, at the poles, over the date line and where cells are cut into tiles."""
+    monkeypatch.setattr(near, "DENSE", most)
+    r = random.Random(7)
+    at = [(s * (90 - r.randrange(30) / 20), r.randrange(-1800, 1800) / 10) for s in (1, -1) for _ in range(25)]
+    at += [(r.randrange(-900, 901) / 10, r.randrange(-1800, 1801) / 10) for _ in range(40)] + [(r.randrange(-20, 20) / 10, s * (180 - r.randrange(12) / 10)) for s in (1, -1) for _ in range(15)]
+    at += [(50.0, 8.0), (50.01, 8.0), (50.0, 8.01), (50.0, -352.0), (90.0, 5.0), (90.0, 7.0), (-90.0, 1.0)]
+    places = spark.createDataFrame([(i, *p) for i, p in enumerate(at)], "id long, lat double, lon double")
+    classes = near.place_classes(places)
+    k = classes.collect()
+
+    def far(x, y):
+        p, q = math.radians(x.lat), math.radians(y.lat)
+        return 2 * near.RADIUS_KM * math.asin(math.sqrt(min(1, math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(y.lon - x.lon) / 2) ** 2)))
+
+    want = sorted((x.rep, y.rep, x.n, y.n, round(far(x, y), 6)) for x in k for y in k if x.rep < y.rep and far(x, y) <= km)
+    got = near.near_pairs(classes, km)
+    assert got.columns == ["a", "b", "n_a", "n_b", "km"]
+    got = sorted((*x[:4], round(x.km, 6)) for x in got.collect())
+    assert [x[:4] for x in got] == [x[:4] for x in want] and [x[4] for x in got] == pytest.approx([x[4] for x in want], abs=1e-5)
+    members, pairs = near.near(places, km)
+    assert sum(x.n for x in k) == members.count() == len(at) and pairs.columns == ["a", "b", "km"] and pairs.count() == len(want)
+
+
+def test_near_places_are_shuffled_as_places(spark, sf):
+    """Pairs, which can be very many, go through no exchange and no further join."""
+    from orgweave.plans.registry import QUERIES
+
+    plan = QUERIES["near_places"](spark, sf)._jdf.queryExecution().executedPlan().toString().split("\n")
+    met = next(i for i, x in enumerate(plan) if "Join" in x and "ASIN" in x)
+    assert not [x for x in plan[:met] if "Exchange" in x or "Join" in x]
